@@ -1,34 +1,387 @@
 """The registered queries: each operator run over whole driver tables.
 
 Every query reads the given parquet tables (or frames Spark derives from
-them) so its work grows with the data. Float outputs are rounded to 6 digits
-for the cross-engine comparison; SQL oracles are DuckDB dialect.
+them) so its work grows with the data. Float outputs are rounded (6 digits,
+4 for aggregates of large magnitudes) for the cross-engine comparison; the
+oracles are DuckDB SQL built in ``sqlgen``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import groups
-from tessera.plans.facts import line_late, load_table, order_frame, scored_frame, line_facts, event_frame
+from tessera.functions.safe import sql_std_name
+from tessera.operators import assoc, features, groups, impute, metrics, profile, select, split
+from tessera.operators import hypothesis as hyp
+from tessera.plans import sqlgen as S
+from tessera.plans.facts import (ORDER_NUMERIC, event_frame, line_facts, line_late, load_table, order_frame,
+                                 scored_frame, with_nulls)
 from tessera.plans.registry import query, round_doubles
 
-LATE_SQL = "CASE WHEN l.l_shipdate > o.o_orderdate + INTERVAL 30 DAY THEN 1 ELSE 0 END"
-LINE_LATE_SQL = f"""SELECT l.*, o.*, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS delay_days,
-  {LATE_SQL} AS late FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+LL, LF, OF, SC = S.LINE_LATE, S.LINE_FACTS, S.ORDER_FRAME, S.SCORED
 
 
 # -- 2.3 grouped aggregates ---------------------------------------------------
 
 @query("group_mean_count", f"""
-SELECT o_orderpriority, round(avg(late), 6) AS mean, count(late) AS "count"
-FROM ({LINE_LATE_SQL}) t GROUP BY o_orderpriority""")
+SELECT o_orderpriority, round(avg(late), 6) AS mean, count(late) AS "count" FROM {LL} t GROUP BY o_orderpriority""")
 def q_group_mean_count(spark, sf):
     return round_doubles(groups.group_mean_count(line_late(spark, sf), "o_orderpriority", "late"))
 
 
 @query("group_mean", f"""
-SELECT l_linenumber, round(avg(late), 6) AS mean FROM ({LINE_LATE_SQL}) t
+SELECT l_linenumber, round(avg(late), 6) AS mean FROM {LL} t
 GROUP BY l_linenumber ORDER BY avg(late) DESC, l_linenumber LIMIT 10""")
 def q_group_mean(spark, sf):
     return round_doubles(groups.group_mean(line_late(spark, sf), "l_linenumber", "late", top=10))
+
+
+DELAY_YEARS = "CAST(floor(delay_days / 365) AS BIGINT)"
+
+
+@query("group_mean_derived", f"""
+SELECT delay_years, round(mean, 6) AS mean FROM (
+  SELECT {DELAY_YEARS} AS delay_years, avg(late) AS mean FROM {LL} t GROUP BY 1) g
+ORDER BY mean DESC, delay_years LIMIT 10""")
+def q_group_mean_derived(spark, sf):
+    return round_doubles(groups.group_mean_derived(line_late(spark, sf), "delay_years", DELAY_YEARS, "late", top=10))
+
+
+QLABELS = ["Q1_Low", "Q2", "Q3", "Q4_High"]
+
+
+@query("quantile_buckets", f"""
+WITH t AS {LL}, e AS (SELECT quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]) AS q FROM t)
+SELECT CASE WHEN l_extendedprice <= q[1] THEN 'Q1_Low' WHEN l_extendedprice <= q[2] THEN 'Q2'
+            WHEN l_extendedprice <= q[3] THEN 'Q3' ELSE 'Q4_High' END AS bucket,
+       round(avg(late), 6) AS mean, count(late) AS "count"
+FROM t, e WHERE l_extendedprice IS NOT NULL GROUP BY 1""")
+def q_quantile_buckets(spark, sf):
+    return round_doubles(groups.quantile_buckets(line_late(spark, sf), "l_extendedprice", "late", 4, QLABELS))
+
+
+@query("group_multi_agg", f"""
+SELECT c_mktsegment, round(avg(l_quantity), 6) AS l_quantity_mean, round(stddev_samp(l_quantity), 6) AS l_quantity_std,
+  min(l_quantity) AS l_quantity_min, max(l_quantity) AS l_quantity_max, round(avg(l_extendedprice), 4) AS l_extendedprice_mean,
+  max(l_extendedprice) AS l_extendedprice_max, round(avg(l_discount), 6) AS l_discount_mean, count(late) AS late_count,
+  round(avg(late), 6) AS late_mean
+FROM {LF} t GROUP BY c_mktsegment""")
+def q_group_multi_agg(spark, sf):
+    out = groups.group_multi_agg(line_facts(spark, sf), "c_mktsegment",
+                                 {"l_quantity": ["mean", "std", "min", "max"], "l_extendedprice": ["mean", "max"],
+                                  "l_discount": ["mean"], "late": ["count", "mean"]})
+    out = out.withColumn("l_extendedprice_mean", F.round("l_extendedprice_mean", 4))
+    return round_doubles(out)
+
+
+@query("prediction_kpis", f"""
+WITH s AS {SC}, per AS (SELECT prediction AS cls, count(*) AS n FROM s GROUP BY 1)
+SELECT (SELECT count(*) FROM s) AS "rows",
+  (SELECT cls FROM per ORDER BY n DESC, cls LIMIT 1) AS top_class,
+  round((SELECT max(n) FROM per) * 100.0 / (SELECT count(*) FROM s), 6) AS top_share_pct,
+  round((SELECT avg(prediction_proba) FROM s), 6) AS mean_confidence,
+  round((SELECT count_if(prediction = 1.0) FROM s) * 100.0 / (SELECT count(*) FROM s), 6) AS positive_pct,
+  round((SELECT avg(o_totalprice) FROM s), 4) AS mean_benefit""")
+def q_prediction_kpis(spark, sf):
+    k = groups.prediction_kpis(scored_frame(spark, sf), benefit="o_totalprice")
+    return round_doubles(k.withColumn("mean_benefit", F.round("mean_benefit", 4)))
+
+
+@query("predicted_rate_by_category", f"""
+SELECT r_name, round(avg(CASE WHEN prediction = 1.0 THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS positive_pct,
+  count(*) AS "rows" FROM {SC} s WHERE r_name IS NOT NULL GROUP BY r_name""")
+def q_predicted_rate_by_category(spark, sf):
+    return round_doubles(groups.predicted_rate_by_category(scored_frame(spark, sf), "r_name"))
+
+
+@query("late_by_state_top10", f"""
+SELECT n_name, count(*) AS "count" FROM {SC} s WHERE prediction = 1.0 AND n_name IS NOT NULL
+GROUP BY n_name ORDER BY count(*) DESC, n_name LIMIT 10""")
+def q_late_by_state_top10(spark, sf):
+    return groups.late_by_state_top10(scored_frame(spark, sf), "n_name")
+
+
+# -- 2.3 profiling ------------------------------------------------------------
+
+@query("column_profile", S.column_profile(OF, S.ORDER_COLS))
+def q_column_profile(spark, sf):
+    return round_doubles(profile.column_profile(order_frame(spark, sf)), 4)
+
+
+@query("describe_all", S.describe(OF, S.ORDER_COLS))
+def q_describe_all(spark, sf):
+    return round_doubles(profile.describe_all(order_frame(spark, sf)), 4)
+
+
+LI_NUM = [(c, t) for c, t in S.LINEITEM_COLS if t in S.NUMERIC_TYPES]
+
+
+@query("describe_numeric_transposed", S.describe("lineitem", LI_NUM, d=3, only_numeric=True))
+def q_describe_numeric_transposed(spark, sf):
+    return profile.describe_numeric_transposed(load_table(spark, sf, "lineitem"), digits=3)
+
+
+@query("table_inventory", "\nUNION ALL\n".join(
+    f"SELECT (SELECT count(*) FROM lineitem) AS \"rows\", {len(S.LINEITEM_COLS)} AS \"columns\", {i} AS position, "
+    f"{S.lit(c)} AS \"column\", {S.lit(t)} AS dtype" for i, (c, t) in enumerate(S.LINEITEM_COLS)))
+def q_table_inventory(spark, sf):
+    return profile.table_inventory(load_table(spark, sf, "lineitem"))
+
+
+def _nulled_orders(spark, sf):
+    f = order_frame(spark, sf)
+    f = with_nulls(f, "_src_idx", ["o_totalprice", "c_mktsegment"], 10)
+    f = with_nulls(f, "_src_idx", ["sum_qty", "r_name"], 7)
+    return with_nulls(f, "_src_idx", ["avg_tax"], 13)
+
+
+NULLED_OF = f"""(SELECT _src_idx,
+  CASE WHEN _src_idx % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice, n_lines,
+  CASE WHEN _src_idx % 7 = 0 THEN NULL ELSE sum_qty END AS sum_qty, sum_price, avg_discount,
+  CASE WHEN _src_idx % 13 = 0 THEN NULL ELSE avg_tax END AS avg_tax, c_acctbal, o_orderpriority, o_orderstatus,
+  CASE WHEN _src_idx % 10 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN _src_idx % 7 = 0 THEN NULL ELSE r_name END AS r_name, n_name, late FROM {OF} x)"""
+
+
+@query("null_report", "\nUNION ALL\n".join(
+    f"SELECT {S.lit(c)} AS \"column\", count_if({S.q(c)} IS NULL) AS nulls FROM {NULLED_OF} t "
+    f"HAVING count_if({S.q(c)} IS NULL) > 0" for c, _ in S.ORDER_COLS))
+def q_null_report(spark, sf):
+    return profile.null_report(_nulled_orders(spark, sf))
+
+
+def _iqr_sql(src, cols, d=6):
+    parts = []
+    for c in cols:
+        x = f"CAST({S.q(c)} AS DOUBLE)"
+        parts.append(f"""SELECT {S.lit(c)} AS "column", count_if({x} < lo OR {x} > hi) AS outliers, round(q1, {d}) AS q1,
+  round(q3, {d}) AS q3, round(lo, {d}) AS lower, round(hi, {d}) AS upper FROM {src} s,
+  (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
+    (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM {src} s2) a) b
+  GROUP BY q1, q3, lo, hi HAVING count_if({x} < lo OR {x} > hi) > 0""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("iqr_outliers", _iqr_sql(OF, ORDER_NUMERIC))
+def q_iqr_outliers(spark, sf):
+    return round_doubles(profile.iqr_outliers(order_frame(spark, sf), ORDER_NUMERIC))
+
+
+@query("value_counts", """
+SELECT p_brand, count(*) AS "count" FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand
+ORDER BY count(*) DESC, p_brand LIMIT 15""")
+def q_value_counts(spark, sf):
+    return profile.value_counts(load_table(spark, sf, "part"), "p_brand", 15)
+
+
+@query("value_shares", """
+SELECT event_type, count(*) AS "count", round(count(*) * 1.0 / (SELECT count(event_type) FROM events), 6) AS share
+FROM events WHERE event_type IS NOT NULL GROUP BY event_type""")
+def q_value_shares(spark, sf):
+    return round_doubles(profile.value_shares(load_table(spark, sf, "events"), "event_type"))
+
+
+@query("mode_of", """
+SELECT l_returnflag AS "mode", count(*) AS freq, round(count(*) * 1.0 / (SELECT count(*) FROM lineitem), 6) AS share
+FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag ORDER BY count(*) DESC, l_returnflag LIMIT 1""")
+def q_mode_of(spark, sf):
+    return round_doubles(profile.mode_of(load_table(spark, sf, "lineitem"), "l_returnflag"))
+
+
+def _hist_sql(src, x, bins=40, d=6):
+    return f"""WITH mm AS (SELECT min({x}) AS mn, max({x}) AS mx FROM {src} s0),
+b AS (SELECT CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor(({x} - mn) / ((mx - mn) / {float(bins)})), {bins - 1}) END AS INTEGER)
+  AS bin FROM {src} s1, mm WHERE {x} IS NOT NULL AND NOT isnan({x})),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(g.bin AS INTEGER) AS bin, round(mn + g.bin * ((mx - mn) / {float(bins)}), {d}) AS lower,
+  round(mn + (g.bin + 1) * ((mx - mn) / {float(bins)}), {d}) AS upper, coalesce(c.n, 0) AS "count"
+FROM range({bins}) g(bin) CROSS JOIN mm LEFT JOIN c ON c.bin = g.bin WHERE mn IS NOT NULL"""
+
+
+@query("histogram", _hist_sql("events", "value"))
+def q_histogram(spark, sf):
+    return round_doubles(profile.histogram(load_table(spark, sf, "events"), "value", 40))
+
+
+LI_BOX = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _box_sql(src, cols, d=6):
+    parts = []
+    for c in cols:
+        x = f"CAST({S.q(c)} AS DOUBLE)"
+        parts.append(f"""SELECT {S.lit(c)} AS "column", round(q1, {d}) AS q1, round(q2, {d}) AS median, round(q3, {d}) AS q3,
+  round(q3 - q1, {d}) AS iqr, round(min(CASE WHEN {x} >= lo AND {x} <= hi THEN {x} END), {d}) AS whisker_low,
+  round(max(CASE WHEN {x} >= lo AND {x} <= hi THEN {x} END), {d}) AS whisker_high,
+  count_if({x} IS NOT NULL AND NOT ({x} >= lo AND {x} <= hi)) AS fliers
+FROM {src} s, (SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
+  (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS q2, quantile_cont({x}, 0.75) AS q3
+   FROM {src} s2) a) b GROUP BY q1, q2, q3, lo, hi""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("boxplot_stats", _box_sql("lineitem", LI_BOX))
+def q_boxplot_stats(spark, sf):
+    return round_doubles(profile.boxplot_stats(load_table(spark, sf, "lineitem"), LI_BOX))
+
+
+# -- 2.2 projections and filters ----------------------------------------------
+
+@query("select_by_type", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+                         "l_discount, l_tax FROM lineitem")
+def q_select_by_type(spark, sf):
+    return select.select_by_type(load_table(spark, sf, "lineitem"), "numeric")
+
+
+@query("low_cardinality_columns", f"""
+SELECT "column", nunique, position FROM (
+  SELECT 'o_orderpriority' AS "column", count(DISTINCT o_orderpriority) AS nunique, 8 AS position FROM {OF} a
+  UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus), 9 FROM {OF} b
+  UNION ALL SELECT 'c_mktsegment', count(DISTINCT c_mktsegment), 10 FROM {OF} c
+  UNION ALL SELECT 'r_name', count(DISTINCT r_name), 11 FROM {OF} d
+  UNION ALL SELECT 'n_name', count(DISTINCT n_name), 12 FROM {OF} e) t
+WHERE nunique <= 20 ORDER BY position LIMIT 4""")
+def q_low_cardinality_columns(spark, sf):
+    return select.low_cardinality_columns(order_frame(spark, sf), 20, 4, exclude=("late",))
+
+
+@query("filter_in", f"""
+SELECT * FROM {OF} t WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND n_lines IN (3, 4)""")
+def q_filter_in(spark, sf):
+    f = order_frame(spark, sf)
+    f = select.filter_in(f, "o_orderpriority", ["1-URGENT", "2-HIGH"])
+    return round_doubles(select.filter_in(f, "n_lines", ["3", "4"]))
+
+
+@query("filter_range", """
+SELECT * FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND l_discount BETWEEN 0.02 AND 0.05""")
+def q_filter_range(spark, sf):
+    return select.filter_range(load_table(spark, sf, "lineitem"),
+                               {"l_quantity": (10.0, 20.0), "l_discount": (0.02, 0.05), "l_tax": (0.0, 0.0)})
+
+
+@query("filter_prediction", f"SELECT _src_idx, prediction, prediction_proba FROM {SC} s WHERE prediction = 1.0")
+def q_filter_prediction(spark, sf):
+    return select.filter_prediction(scored_frame(spark, sf), "late").select("_src_idx", "prediction",
+                                                                           "prediction_proba")
+
+
+@query("project_priority", f"""
+SELECT prediction, prediction_proba, late, o_orderpriority, o_orderstatus, _src_idx, o_totalprice, n_lines, sum_qty,
+  sum_price, avg_discount, avg_tax, c_acctbal, c_mktsegment, r_name, n_name FROM {SC} s""")
+def q_project_priority(spark, sf):
+    return round_doubles(select.project_priority(scored_frame(spark, sf)))
+
+
+@query("map_values", f"""
+SELECT _src_idx, CASE WHEN prediction = 1.0 THEN 'Late' WHEN prediction = 0.0 THEN 'On time' END AS prediction_label
+FROM {SC} s""")
+def q_map_values(spark, sf):
+    m = select.map_values(scored_frame(spark, sf), "prediction", {1.0: "Late", 0.0: "On time"}, "prediction_label")
+    return m.select("_src_idx", "prediction_label")
+
+
+@query("align_schema", f"""
+SELECT _src_idx, o_totalprice, 0 AS feat_missing, n_lines, c_mktsegment FROM {OF} t""")
+def q_align_schema(spark, sf):
+    return round_doubles(select.align_schema(order_frame(spark, sf),
+                                             ["o_totalprice", "feat_missing", "n_lines", "c_mktsegment"],
+                                             keep=("_src_idx",)))
+
+
+@query("sample_head", f"SELECT * FROM {OF} t ORDER BY _src_idx LIMIT 10")
+def q_sample_head(spark, sf):
+    return round_doubles(select.sample_head(order_frame(spark, sf), 10))
+
+
+@query("drop_null_rows", f"SELECT * FROM {NULLED_OF} t WHERE o_totalprice IS NOT NULL AND sum_qty IS NOT NULL "
+                         f"AND avg_tax IS NOT NULL AND c_mktsegment IS NOT NULL AND r_name IS NOT NULL")
+def q_drop_null_rows(spark, sf):
+    return round_doubles(select.drop_null_rows(_nulled_orders(spark, sf)))
+
+
+@query("standardize_names", r"""
+SELECT p_partkey, regexp_replace(replace(lower(trim(p_type)), ' ', '_'), '[^a-z0-9_]', '', 'g') AS p_type_std FROM part""")
+def q_standardize_names(spark, sf):
+    p = load_table(spark, sf, "part")
+    return p.select("p_partkey", sql_std_name("p_type").alias("p_type_std"))
+
+
+# -- 2.4 association ----------------------------------------------------------
+
+@query("correlation_matrix", S.corr_pairs(OF, ORDER_NUMERIC))
+def q_correlation_matrix(spark, sf):
+    return round_doubles(assoc.correlation_matrix(order_frame(spark, sf), ORDER_NUMERIC))
+
+
+@query("correlation_with_target", "SELECT \"column\", position, corr, abs(corr) AS abs_corr FROM (" + "\nUNION ALL\n".join(
+    f"SELECT {S.lit(c)} AS \"column\", {i} AS position, "
+    f"round({S.corr(f'CAST({S.q(c)} AS DOUBLE)', 'CAST(late AS DOUBLE)')}, 6) AS corr FROM {OF} t{i}"
+    for i, c in enumerate(ORDER_NUMERIC)) + ") u")
+def q_correlation_with_target(spark, sf):
+    out = assoc.correlation_with_target(order_frame(spark, sf), "late", ORDER_NUMERIC)
+    return round_doubles(out).withColumn("abs_corr", F.abs("corr"))
+
+
+STD_FEATS = ["feat_ratio", "feat_sum", "feat_product", "feat_diff", "feat_interact", "sq_o_totalprice", "sq_n_lines"]
+STD_FEATS_SQL = f"""(SELECT *, CAST(o_totalprice AS DOUBLE) / (CAST(n_lines AS DOUBLE) + 1e-9) AS feat_ratio,
+  o_totalprice + n_lines AS feat_sum, o_totalprice * n_lines AS feat_product, o_totalprice - n_lines AS feat_diff,
+  o_totalprice * sum_qty AS feat_interact, o_totalprice * o_totalprice AS sq_o_totalprice,
+  CAST(n_lines AS DOUBLE) * n_lines AS sq_n_lines FROM {OF} t0)"""
+
+
+def _std_frame(spark, sf):
+    f, _ = features.standard_features(order_frame(spark, sf), target="late", exclude=("_src_idx",), logs=False)
+    return f
+
+
+@query("standard_features", f"SELECT _src_idx, {', '.join(f'round({c}, 4) AS {c}' for c in STD_FEATS)} FROM {STD_FEATS_SQL} s")
+def q_standard_features(spark, sf):
+    return round_doubles(_std_frame(spark, sf).select("_src_idx", *STD_FEATS), 4)
+
+
+CORR_COLS = ORDER_NUMERIC + STD_FEATS
+
+
+@query("redundant_columns", f"""
+SELECT "column", position, max_abs_corr, partner FROM (
+  SELECT col_b AS "column", pos_b AS position, abs(corr) AS max_abs_corr, col_a AS partner,
+         row_number() OVER (PARTITION BY col_b ORDER BY abs(corr) DESC, pos_a) AS rn
+  FROM ({S.corr_pairs(STD_FEATS_SQL, CORR_COLS)}) p WHERE abs(corr) > 0.95 AND col_b <> 'late') w WHERE rn = 1""")
+def q_redundant_columns(spark, sf):
+    cm = round_doubles(assoc.correlation_matrix(_std_frame(spark, sf), CORR_COLS))
+    return assoc.redundant_columns(None, corr=cm, threshold=0.95, target="late")
+
+
+@query("cramers_v_matrix", "\nUNION ALL\n".join(
+    f"""SELECT {S.lit(a)} AS col_a, {S.lit(b)} AS col_b, n, round(chi2, 6) AS chi2,
+  round(CASE WHEN least(r, c) - 1 > 0 THEN sqrt(greatest(chi2, 0.0) / (n * (least(r, c) - 1))) END, 6) AS cramers_v FROM (
+  SELECT tot.n, tot.r, tot.c, sum(cells.o * cells.o * tot.n / (ra.ra * cb.cb)) - tot.n AS chi2 FROM
+  (SELECT {a} AS a, {b} AS b, count(*) AS o FROM {OF} x WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2) cells
+  JOIN (SELECT {a} AS a, count(*) AS ra FROM {OF} x WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1) ra ON cells.a = ra.a
+  JOIN (SELECT {b} AS b, count(*) AS cb FROM {OF} x WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1) cb ON cells.b = cb.b
+  CROSS JOIN (SELECT count(*) AS n, count(DISTINCT {a}) AS r, count(DISTINCT {b}) AS c FROM {OF} x
+              WHERE {a} IS NOT NULL AND {b} IS NOT NULL) tot
+  GROUP BY tot.n, tot.r, tot.c) z"""
+    for i, a in enumerate(["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"])
+    for b in ["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"][i + 1:]))
+def q_cramers_v_matrix(spark, sf):
+    return round_doubles(assoc.cramers_v_matrix(order_frame(spark, sf),
+                                                ["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"]))
+
+
+@query("ml_ready_prune", f"""
+SELECT DISTINCT "column", reason FROM (
+  SELECT col_b AS "column", 'redundant' AS reason FROM ({S.corr_pairs(STD_FEATS_SQL, CORR_COLS)}) p
+  WHERE abs(corr) > 0.95 AND col_b <> 'late'
+  UNION ALL SELECT '_src_idx', 'id_like') u""")
+def q_ml_ready_prune(spark, sf):
+    """Columns removed to form the ml_ready layer: redundant (|corr| > 0.95 with an earlier
+    column) and id-like names; the pruned frame itself is ``assoc.prune_columns``."""
+    f = _std_frame(spark, sf)
+    cm = round_doubles(assoc.correlation_matrix(f, CORR_COLS))
+    red = assoc.redundant_columns(None, corr=cm, threshold=0.95, target="late").select(
+        "column", F.lit("redundant").alias("reason"))
+    ids = spark.createDataFrame([(c, "id_like") for c in assoc.id_like_columns(f.columns, "late")],
+                                "column string, reason string")
+    return red.unionByName(ids).distinct()

@@ -88,11 +88,11 @@ def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select(
         F.col("o_orderkey").alias("_src_idx"), "o_totalprice", "n_lines", "sum_qty", "sum_price",
         "avg_discount", "avg_tax", "c_acctbal", "o_orderpriority", "o_orderstatus", "c_mktsegment",
-        "r_name", (F.col("late_share") > 0.5).cast("int").alias("late"))
+        "r_name", "n_name", (F.col("late_share") > 0.5).cast("int").alias("late"))
 
 
 ORDER_NUMERIC = ["o_totalprice", "n_lines", "sum_qty", "sum_price", "avg_discount", "avg_tax", "c_acctbal"]
-ORDER_CATEGORICAL = ["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"]
+ORDER_CATEGORICAL = ["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name", "n_name"]
 
 
 def event_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
