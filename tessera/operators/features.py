@@ -162,3 +162,16 @@ def choose_target(df: DataFrame, target: str | None = None) -> str:
     if not num:
         raise ValueError("no numeric column to use as target")
     return num[-1]
+
+
+def log_decisions(df: DataFrame, cols: list[str], skew_limit: float = 1.0) -> DataFrame:
+    """The log rule as a table: (column, position, min, skew, chosen)."""
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "column string, position int, min double, skew double, chosen boolean")
+    wide = df.agg(*[F.min(_q(c)).cast("double").alias(f"m{i}") for i, c in enumerate(cols)],
+                  *[sample_skew(_q(c)).alias(f"s{i}") for i, c in enumerate(cols)])
+    structs = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), F.col(f"m{i}").alias("min"),
+                        F.col(f"s{i}").alias("skew")) for i, c in enumerate(cols)]
+    out = wide.select(F.inline(F.array(*structs)))
+    return out.withColumn("chosen", F.coalesce((F.col("min") > 0) & (F.abs("skew") > skew_limit), F.lit(False)))

@@ -385,3 +385,346 @@ def q_ml_ready_prune(spark, sf):
     ids = spark.createDataFrame([(c, "id_like") for c in assoc.id_like_columns(f.columns, "late")],
                                 "column string, reason string")
     return red.unionByName(ids).distinct()
+
+
+# -- 2.5 imputation -----------------------------------------------------------
+
+def _nulled_lines(spark, sf):
+    li = load_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    li = with_nulls(li, "l_orderkey", ["l_quantity"], 10)
+    return with_nulls(li, "l_orderkey", ["l_linenumber"], 7)
+
+
+NULLED_LI = """(SELECT l_orderkey, CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
+  CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE l_quantity END AS l_quantity, l_extendedprice FROM lineitem)"""
+
+
+@query("impute_median", f"""
+WITH t AS {NULLED_LI}
+SELECT l_orderkey, coalesce(CAST(l_linenumber AS DOUBLE), (SELECT quantile_cont(CAST(l_linenumber AS DOUBLE), 0.5) FROM t))
+  AS l_linenumber, coalesce(l_quantity, (SELECT quantile_cont(l_quantity, 0.5) FROM t)) AS l_quantity, l_extendedprice
+FROM t""")
+def q_impute_median(spark, sf):
+    return round_doubles(impute.impute_median(_nulled_lines(spark, sf), ["l_linenumber", "l_quantity"]))
+
+
+def _mode_sql(src, c):
+    return (f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM {src} m WHERE {c} IS NOT NULL GROUP BY 1) "
+            f"ORDER BY n DESC, v LIMIT 1)")
+
+
+@query("impute_mode", f"""
+WITH t AS {NULLED_OF}
+SELECT _src_idx, coalesce(c_mktsegment, {_mode_sql('t', 'c_mktsegment')}) AS c_mktsegment,
+  coalesce(r_name, {_mode_sql('t', 'r_name')}) AS r_name, o_orderpriority FROM t""")
+def q_impute_mode(spark, sf):
+    f = _nulled_orders(spark, sf).select("_src_idx", "c_mktsegment", "r_name", "o_orderpriority")
+    return impute.impute_mode(f)
+
+
+@query("impute_auto")
+def q_impute_auto(spark, sf):
+    """KNN up to 50,000 rows, median above (the driver tables exceed it from sf0.01 on)."""
+    return round_doubles(impute.impute_auto(_nulled_lines(spark, sf), key="l_orderkey"))
+
+
+# -- 2.6 features and encoding ------------------------------------------------
+
+EV_NUM = ["user_id", "value"]
+
+
+@query("log_candidates", "\nUNION ALL\n".join(
+    f"""SELECT {S.lit(c)} AS "column", {i} AS position, round(CAST(min({c}) AS DOUBLE), 6) AS min,
+  round({S.skew(f'CAST({c} AS DOUBLE)')}, 6) AS skew,
+  coalesce(min({c}) > 0 AND abs({S.skew(f'CAST({c} AS DOUBLE)')}) > 1.0, false) AS chosen FROM events"""
+    for i, c in enumerate(EV_NUM)))
+def q_log_candidates(spark, sf):
+    return round_doubles(features.log_decisions(event_frame(spark, sf), EV_NUM))
+
+
+@query("log_features", "SELECT event_id AS _src_idx, round(ln(1 + value), 6) AS log_value FROM events")
+def q_log_features(spark, sf):
+    f, made = features.log_features(event_frame(spark, sf), EV_NUM)
+    return round_doubles(f.select("_src_idx", *made))
+
+
+DOMAIN = {"delay": "delay_days",
+          "speed_ratio": "l_extendedprice / (l_quantity + 0.1)",
+          "qty_sq_ratio": "l_quantity * l_quantity / (l_discount + 1)",
+          "benefit_ratio": "l_extendedprice * (1 - l_discount) / (o_totalprice + 1)",
+          "delay_x_qty": "delay_days * l_quantity"}
+
+
+@query("domain_features", f"""SELECT l_orderkey, l_linenumber, {', '.join(f'round({e}, 6) AS {n}' for n, e in DOMAIN.items())}
+FROM {LF} t""")
+def q_domain_features(spark, sf):
+    f = features.domain_features(line_facts(spark, sf), DOMAIN)
+    return round_doubles(f.select("l_orderkey", "l_linenumber", *DOMAIN))
+
+
+OH_LEVELS = {"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+             "o_orderstatus": ["F", "O", "P"],
+             "c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+             "r_name": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]}
+
+
+@query("one_hot", "SELECT _src_idx, " + ", ".join(
+    f"CAST(CASE WHEN {c} = {S.lit(v)} THEN 1 ELSE 0 END AS INTEGER) AS {S.q(f'{c}_{v}')}"
+    for c, lv in OH_LEVELS.items() for v in lv[1:]) + f" FROM {OF} t")
+def q_one_hot(spark, sf):
+    f = order_frame(spark, sf).select("_src_idx", *OH_LEVELS)
+    out, names = features.one_hot(f, list(OH_LEVELS))
+    return out.select("_src_idx", *[F.col(f"`{n}`") for n in names])
+
+
+@query("label_encode", f"""SELECT _src_idx, o_orderpriority,
+  CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS o_orderpriority_idx FROM {OF} t""")
+def q_label_encode(spark, sf):
+    out, _ = features.label_encode(order_frame(spark, sf).select("_src_idx", "o_orderpriority"), "o_orderpriority")
+    return out
+
+
+PT_TARGETS = [("late", "int"), ("n_lines", "bigint"), ("o_totalprice", "double"), ("o_orderpriority", "string"),
+              ("c_acctbal", "double"), ("sum_qty", "double")]
+
+
+@query("detect_problem_type", "\nUNION ALL\n".join(
+    f"""SELECT {S.lit(c)} AS "column", {S.lit(t)} AS dtype, count(DISTINCT {c}) AS nunique, count(*) AS n,
+  CASE WHEN {str(t == 'string').upper()} THEN 'classification' WHEN count(DISTINCT {c}) <= 15 THEN 'classification'
+       WHEN count(DISTINCT {c}) <= 30 AND {str(t in ('int', 'bigint')).upper()} THEN 'classification'
+       WHEN count(DISTINCT {c}) * 1.0 / count(*) < 0.05 THEN 'classification' ELSE 'regression' END AS problem_type
+FROM {OF} t""" for c, t in PT_TARGETS))
+def q_detect_problem_type(spark, sf):
+    return features.detect_problem_type(order_frame(spark, sf), [c for c, _ in PT_TARGETS])
+
+
+# -- 2.7 splits ---------------------------------------------------------------
+
+RANKED_OF = f"""(SELECT _src_idx, late,
+  row_number() OVER (PARTITION BY late ORDER BY md5('42|' || CAST(_src_idx AS VARCHAR)), _src_idx) AS rn,
+  count(*) OVER (PARTITION BY late) AS cnt FROM {OF} t)"""
+SPLIT_OF = f"""(SELECT _src_idx, late, CASE WHEN rn <= floor(cnt * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split
+  FROM {RANKED_OF} r)"""
+
+
+@query("train_test_split", f"SELECT * FROM {SPLIT_OF} s")
+def q_train_test_split(spark, sf):
+    return split.train_test_split(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", "late", 0.2, 42)
+
+
+@query("kfold_assign", f"SELECT _src_idx, late, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM {RANKED_OF} r")
+def q_kfold_assign(spark, sf):
+    return split.kfold_assign(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", 5, "late", 42)
+
+
+@query("temporal_holdout", """
+SELECT event_id AS _src_idx, CASE WHEN epoch_us(ts) / 1e6 > (SELECT quantile_cont(epoch_us(ts) / 1e6, 0.8) FROM events)
+  THEN 'test' ELSE 'train' END AS split FROM events""")
+def q_temporal_holdout(spark, sf):
+    out, _cut = split.temporal_holdout(event_frame(spark, sf), "ts", 0.2)
+    return out.select("_src_idx", "split")
+
+
+# -- 2.7 metrics on (actual, predicted) ----------------------------------------
+
+LAB_A = "CAST(CAST(late AS DOUBLE) AS VARCHAR)"
+LAB_P = "CAST(prediction AS VARCHAR)"
+
+
+@query("accuracy", f"""SELECT count(*) AS "rows",
+  round(avg(CASE WHEN {LAB_A} = {LAB_P} THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM {SC} s""")
+def q_accuracy(spark, sf):
+    return round_doubles(metrics.accuracy(scored_frame(spark, sf), "late", "prediction"))
+
+
+@query("binary_cells", f"""SELECT count_if(late = 0 AND prediction = 0.0) AS tn, count_if(late = 0 AND prediction = 1.0) AS fp,
+  count_if(late = 1 AND prediction = 0.0) AS fn, count_if(late = 1 AND prediction = 1.0) AS tp FROM {SC} s""")
+def q_binary_cells(spark, sf):
+    return metrics.binary_cells(scored_frame(spark, sf), "late", "prediction")
+
+
+@query("rmse_r2", f"""SELECT count(*) AS "rows", round(sqrt(avg((o_totalprice - sum_price) ^ 2)), 4) AS rmse,
+  round(1 - sum((o_totalprice - sum_price) ^ 2) / (var_pop(o_totalprice) * count(*)), 6) AS r2
+FROM {OF} t WHERE o_totalprice IS NOT NULL AND sum_price IS NOT NULL""")
+def q_rmse_r2(spark, sf):
+    out = metrics.rmse_r2(order_frame(spark, sf), "o_totalprice", "sum_price")
+    return round_doubles(out.withColumn("rmse", F.round("rmse", 4)))
+
+
+CM_SQL = f"""(WITH s AS {SC},
+lab AS (SELECT DISTINCT v FROM (SELECT {LAB_A} AS v FROM s UNION ALL SELECT {LAB_P} FROM s) u WHERE v IS NOT NULL),
+obs AS (SELECT {LAB_A} AS actual, {LAB_P} AS predicted, count(*) AS n FROM s
+        WHERE late IS NOT NULL AND prediction IS NOT NULL GROUP BY 1, 2)
+SELECT a.v AS actual, p.v AS predicted, coalesce(obs.n, 0) AS "count" FROM lab a CROSS JOIN lab p
+LEFT JOIN obs ON obs.actual = a.v AND obs.predicted = p.v)"""
+
+
+@query("confusion_matrix", f"SELECT * FROM {CM_SQL} c")
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion_matrix(scored_frame(spark, sf), "late", "prediction")
+
+
+@query("classification_report", f"""
+WITH cm AS {CM_SQL},
+per AS (SELECT actual AS label, sum(CASE WHEN actual = predicted THEN "count" END) AS tp, sum("count") AS support
+        FROM cm GROUP BY actual),
+pc AS (SELECT predicted AS label, sum("count") AS pred_n FROM cm GROUP BY predicted),
+cls AS (SELECT per.label, per.tp, per.support,
+  coalesce(CASE WHEN pred_n = 0 THEN NULL ELSE tp * 1.0 / pred_n END, 0.0) AS precision,
+  coalesce(CASE WHEN support = 0 THEN NULL ELSE tp * 1.0 / support END, 0.0) AS recall FROM per JOIN pc USING (label)),
+cls2 AS (SELECT *, coalesce(CASE WHEN precision + recall = 0 THEN NULL ELSE 2 * precision * recall / (precision + recall) END, 0.0)
+  AS f1 FROM cls),
+allr AS (SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM cls2
+  UNION ALL SELECT 'accuracy', round(sum(tp) * 1.0 / sum(support), 6), round(sum(tp) * 1.0 / sum(support), 6),
+    round(sum(tp) * 1.0 / sum(support), 6), sum(support) FROM cls2
+  UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM cls2
+  UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+    round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support) FROM cls2)
+SELECT label, precision, recall, f1, CAST(support AS BIGINT) AS support FROM allr""")
+def q_classification_report(spark, sf):
+    return round_doubles(metrics.classification_report(scored_frame(spark, sf), "late", "prediction"))
+
+
+@query("class_distribution_compare", f"""
+SELECT label, count_if(w = 0) AS actual_count, count_if(w = 1) AS predicted_count FROM (
+  SELECT 0 AS w, {LAB_A} AS label FROM {SC} a UNION ALL SELECT 1, {LAB_P} FROM {SC} b) u
+WHERE label IS NOT NULL GROUP BY label""")
+def q_class_distribution_compare(spark, sf):
+    return metrics.class_distribution_compare(scored_frame(spark, sf), "late", "prediction")
+
+
+@query("error_rate_by_class", f"""
+WITH d AS (SELECT {LAB_A} AS label, {LAB_A} <> {LAB_P} AS wrong FROM {SC} s WHERE late IS NOT NULL),
+u AS (SELECT label, count(*) AS "rows", count_if(wrong) AS errors FROM d GROUP BY label
+      UNION ALL SELECT 'ALL', count(*), count_if(wrong) FROM d)
+SELECT label, "rows", errors, round(errors * 1.0 / "rows", 6) AS error_rate, round(1 - errors * 1.0 / "rows", 6) AS accuracy
+FROM u""")
+def q_error_rate_by_class(spark, sf):
+    return round_doubles(metrics.error_rate_by_class(scored_frame(spark, sf), "late", "prediction"))
+
+
+RESID = f"(SELECT _src_idx, o_totalprice - sum_price AS residual FROM {OF} t)"
+
+
+@query("residuals", f"""SELECT _src_idx, o_totalprice AS actual, sum_price AS predicted,
+  round(o_totalprice - sum_price, 6) AS residual FROM {OF} t""")
+def q_residuals(spark, sf):
+    return round_doubles(metrics.residuals(order_frame(spark, sf), "o_totalprice", "sum_price", "_src_idx"))
+
+
+@query("residual_histogram", _hist_sql(RESID, "residual", 40, d=4))
+def q_residual_histogram(spark, sf):
+    r = metrics.residuals(order_frame(spark, sf), "o_totalprice", "sum_price", "_src_idx")
+    return round_doubles(profile.histogram(r, "residual", 40), 4)
+
+
+@query("identity_line", f"SELECT least(min(o_totalprice), min(sum_price)) AS lo, greatest(max(o_totalprice), "
+                        f"max(sum_price)) AS hi FROM {OF} t")
+def q_identity_line(spark, sf):
+    return round_doubles(metrics.identity_line(order_frame(spark, sf), "o_totalprice", "sum_price"))
+
+
+@query("train_test_gap", f"""
+WITH j AS (SELECT s.late, s.prediction, p.split FROM {SC} s JOIN {SPLIT_OF} p ON s._src_idx = p._src_idx),
+a AS (SELECT avg(CASE WHEN split = 'train' THEN CASE WHEN CAST(late AS DOUBLE) = prediction THEN 1.0 ELSE 0.0 END END) AS tr,
+             avg(CASE WHEN split = 'test' THEN CASE WHEN CAST(late AS DOUBLE) = prediction THEN 1.0 ELSE 0.0 END END) AS te FROM j)
+SELECT round(tr, 6) AS train_score, round(te, 6) AS test_score, round(tr - te, 6) AS gap,
+  CASE WHEN tr - te > 0.05 THEN 'overfitting' WHEN tr - te < -0.05 THEN 'underfitting' ELSE 'good fit' END AS fit FROM a""")
+def q_train_test_gap(spark, sf):
+    s = scored_frame(spark, sf)
+    sp = split.train_test_split(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", "late").select(
+        "_src_idx", "split")
+    return round_doubles(metrics.train_test_gap(s.join(sp, "_src_idx"), "late", "prediction"))
+
+
+@query("high_confidence_tiers", f"""
+SELECT tier, count(*) AS "rows" FROM (SELECT CASE WHEN p > 0.8 THEN 'high' WHEN p >= 0.5 THEN 'medium'
+  WHEN p IS NOT NULL THEN 'low' END AS tier FROM (SELECT CASE WHEN prediction = 1.0 THEN prediction_proba
+  ELSE 1 - prediction_proba END AS p FROM {SC} s) a) b WHERE tier IS NOT NULL GROUP BY tier""")
+def q_high_confidence_tiers(spark, sf):
+    s = scored_frame(spark, sf)
+    s = s.withColumn("proba_1", F.when(F.col("prediction") == 1.0, F.col("prediction_proba"))
+                     .otherwise(1 - F.col("prediction_proba")))
+    return metrics.high_confidence_tiers(s, "proba_1")
+
+
+# -- 2.8 hypotheses -----------------------------------------------------------
+
+SPECS = [
+    {"id": "H1", "statement": "Later line numbers ship late more often", "kind": "group_mean", "key": "l_linenumber",
+     "target": "late", "expected_direction": "positive"},
+    {"id": "H2", "statement": "Order priority changes the late rate", "kind": "group_mean_count",
+     "key": "o_orderpriority", "target": "late", "expected_direction": "none"},
+    {"id": "H3", "statement": "Longer delays in years mean more late lines", "kind": "group_mean_derived",
+     "key": "delay_years", "expr": DELAY_YEARS, "target": "late", "expected_direction": "positive"},
+    {"id": "H4", "statement": "Market segment changes the late rate", "kind": "group_mean_count",
+     "key": "c_mktsegment", "target": "late", "expected_direction": "none"},
+    {"id": "H5", "statement": "Region changes the late rate", "kind": "group_mean_count", "key": "r_name",
+     "target": "late", "expected_direction": "none"},
+    {"id": "H6", "statement": "Pricier lines ship late less often", "kind": "quantile_buckets",
+     "key": "l_extendedprice", "q": 4, "labels": QLABELS, "target": "late", "expected_direction": "negative"},
+    {"id": "H7", "statement": "Nation changes the late rate", "kind": "group_mean_count", "key": "n_name",
+     "target": "late", "expected_direction": "none"},
+]
+
+
+def _spec_sql(s):
+    if s["kind"] == "quantile_buckets":
+        return f"""SELECT 'H6' AS id, bucket AS grp, CAST(CASE bucket WHEN 'Q1_Low' THEN 1 WHEN 'Q2' THEN 2 WHEN 'Q3' THEN 3
+  ELSE 4 END AS DOUBLE) AS ord, avg(late) AS mean, count(late) AS "count" FROM (
+  SELECT late, CASE WHEN l_extendedprice <= q[1] THEN 'Q1_Low' WHEN l_extendedprice <= q[2] THEN 'Q2'
+    WHEN l_extendedprice <= q[3] THEN 'Q3' ELSE 'Q4_High' END AS bucket FROM {LF} t,
+    (SELECT quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]) AS q FROM {LF} t2) e
+  WHERE l_extendedprice IS NOT NULL) b GROUP BY bucket"""
+    key = DELAY_YEARS if s["kind"] == "group_mean_derived" else s["key"]
+    ordc = f"CAST({key} AS DOUBLE)" if s["key"] in ("l_linenumber", "delay_years") else "CAST(NULL AS DOUBLE)"
+    return (f"SELECT {S.lit(s['id'])} AS id, CAST({key} AS VARCHAR) AS grp, {ordc} AS ord, avg(late) AS mean, "
+            f"count(late) AS \"count\" FROM {LF} t WHERE {key} IS NOT NULL GROUP BY {key}")
+
+
+HYP_RESULTS = "(" + "\nUNION ALL\n".join(_spec_sql(s) for s in SPECS) + ")"
+
+
+def _hyp_results(spark, sf):
+    return hyp.run_hypotheses(line_facts(spark, sf), SPECS)
+
+
+@query("hypothesis_test", f"SELECT id, grp, ord, round(mean, 6) AS mean, \"count\" FROM {HYP_RESULTS} h")
+def q_hypothesis_test(spark, sf):
+    return round_doubles(_hyp_results(spark, sf))
+
+
+SPEC_VALUES = "(VALUES " + ", ".join(f"({S.lit(s['id'])}, {S.lit(s['statement'])}, {S.lit(s['expected_direction'])})"
+                                     for s in SPECS) + ") AS sp(id, statement, expected_direction)"
+
+VERDICT_SQL = f"""(WITH r AS {HYP_RESULTS},
+g AS (SELECT id, count(*) AS groups FROM r GROUP BY id),
+s AS (SELECT id, count(*) AS supported, max(mean) - min(mean) AS spread,
+  {S.corr('ord', 'mean')} AS direction_corr FROM r WHERE "count" >= 30 GROUP BY id)
+SELECT sp.id, sp.statement, sp.expected_direction, coalesce(g.groups, 0) AS groups, coalesce(s.supported, 0) AS supported,
+  round(s.spread, 6) AS spread, round(s.direction_corr, 6) AS direction_corr,
+  CASE WHEN coalesce(s.supported, 0) < 2 THEN 'INCONCLUSIVE'
+       WHEN s.spread >= 0.05 AND coalesce(CASE WHEN sp.expected_direction = 'positive' THEN s.direction_corr > 0
+            WHEN sp.expected_direction = 'negative' THEN s.direction_corr < 0 ELSE true END, false) THEN 'TRUE'
+       ELSE 'FALSE' END AS verdict
+FROM {SPEC_VALUES} LEFT JOIN g ON g.id = sp.id LEFT JOIN s ON s.id = sp.id)"""
+
+
+def _verdicts(spark, sf):
+    return hyp.hypothesis_verdict(_hyp_results(spark, sf), hyp.specs_frame(spark, SPECS), 30, 0.05)
+
+
+@query("hypothesis_verdict", f"SELECT * FROM {VERDICT_SQL} v")
+def q_hypothesis_verdict(spark, sf):
+    return round_doubles(_verdicts(spark, sf).select("id", "statement", "expected_direction", "groups", "supported",
+                                                     "spread", "direction_corr", "verdict"))
+
+
+@query("verdict_counts", f"SELECT verdict, count(*) AS \"count\" FROM {VERDICT_SQL} v GROUP BY verdict")
+def q_verdict_counts(spark, sf):
+    return hyp.verdict_counts(_verdicts(spark, sf))
+
+
+@query("confirmed_insights", f"SELECT id, statement FROM {VERDICT_SQL} v WHERE verdict = 'TRUE'")
+def q_confirmed_insights(spark, sf):
+    return hyp.confirmed_insights(_verdicts(spark, sf))
