@@ -30,8 +30,9 @@ from tessera.operators.split import hash_rank, kfold_assign
 FAIL_SCORE = -9999.0
 
 
-def feature_stages(numeric: list[str], categorical: list[str], label: str, problem_type: str) -> list:
-    """Indexing/encoding/assembly stages producing ``features`` and ``label``."""
+def feature_stages(numeric: list[str], categorical: list[str]) -> list:
+    """Indexing/encoding/assembly stages producing ``features`` (no label stage, so a
+    fitted model scores rows that carry no target)."""
     stages = []
     oh = []
     if categorical:
@@ -41,30 +42,38 @@ def feature_stages(numeric: list[str], categorical: list[str], label: str, probl
                                  stringOrderType="alphabetAsc"),
                    OneHotEncoder(inputCols=ix, outputCols=oh, dropLast=True, handleInvalid="keep")]
     stages.append(VectorAssembler(inputCols=list(numeric) + oh, outputCol="features", handleInvalid="keep"))
-    if problem_type == "classification":
-        stages.append(StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"))
     return stages
 
 
+def with_label(df: DataFrame, target: str, problem_type: str, labels: list[str] | None = None):
+    """Add ``label``: class index (alphabetical labels) or the numeric target. Returns (df, labels)."""
+    if problem_type != "classification":
+        return df.withColumn("label", F.col(target).cast("double")), []
+    tgt = F.col(target).cast("string")
+    if labels is None:
+        m = StringIndexer(inputCol="__t", outputCol="label", stringOrderType="alphabetAsc").fit(
+            df.select(tgt.alias("__t")))
+        labels = list(m.labels)
+    idx = F.array_position(F.array(*[F.lit(x) for x in labels]), tgt) - 1
+    return df.withColumn("label", F.when(idx >= 0, idx.cast("double"))).where(F.col("label").isNotNull()), labels
+
+
 def prepare(df: DataFrame, numeric, categorical, label, problem_type):
     """Fit the feature stages and return (prepared frame, fitted feature model)."""
-    d = df
-    if problem_type == "classification":
-        d = d.withColumn(label, F.col(label).cast("string"))
-    else:
-        d = d.withColumn("label", F.col(label).cast("double"))
-    fm = Pipeline(stages=feature_stages(numeric, categorical, label, problem_type)).fit(d)
+    d, _labels = with_label(df, label, problem_type)
+    fm = Pipeline(stages=feature_stages(numeric, categorical)).fit(d)
     return fm.transform(d), fm
 
 
-def model_catalog(problem_type: str, seed: int = 42, trees: int = 100) -> dict:
-    """Estimators per problem type. GBTClassifier is binary-only (dropped for >2 classes)."""
+def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 30) -> dict:
+    """Estimators per problem type: random forest (``trees``), gradient boosting
+    (``rounds`` boosting rounds), logistic / ridge. GBTClassifier is binary-only."""
     if problem_type == "classification":
         return {"RandomForest": RandomForestClassifier(numTrees=trees, seed=seed),
-                "GradientBoosting": GBTClassifier(maxIter=trees, seed=seed),
+                "GradientBoosting": GBTClassifier(maxIter=rounds, seed=seed),
                 "LogisticRegression": LogisticRegression(maxIter=1000)}
     return {"RandomForest": RandomForestRegressor(numTrees=trees, seed=seed),
-            "GradientBoosting": GBTRegressor(maxIter=trees, seed=seed),
+            "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed),
             "Ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0)}
 
 
@@ -104,10 +113,13 @@ def cv_compare(prepared: DataFrame, problem_type: str, models: dict, k: int) ->
 
 
 # search spaces: (kind, low, high, log)
+# Ranges follow the reference's search space, bounded where Spark's cost model differs:
+# boosting rounds run as sequential distributed jobs (<= 60 rounds here) and tree depth
+# grows node statistics exponentially (<= 12).
 SEARCH_SPACE = {
-    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 20, False),
+    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 12, False),
                      "minInstancesPerNode": ("int", 1, 10, False)},
-    "GradientBoosting": {"maxIter": ("int", 50, 300, False), "stepSize": ("float", 0.01, 0.3, True),
+    "GradientBoosting": {"maxIter": ("int", 10, 60, False), "stepSize": ("float", 0.01, 0.3, True),
                          "maxDepth": ("int", 2, 8, False), "subsamplingRate": ("float", 0.5, 1.0, False)},
     "LogisticRegression": {"regParam": ("float", 0.001, 100.0, True)},
     "Ridge": {"regParam": ("float", 0.001, 100.0, True)},
@@ -219,36 +231,31 @@ class ModelBundle:
 
 def fit_bundle(train: DataFrame, numeric, categorical, target, problem_type, estimator, name="model",
                params=None) -> ModelBundle:
-    d = train.withColumn(target, F.col(target).cast("string")) if problem_type == "classification" else \
-        train.withColumn("label", F.col(target).cast("double"))
-    pm = Pipeline(stages=feature_stages(numeric, categorical, target, problem_type) + [estimator]).fit(d)
-    labels = []
-    if problem_type == "classification":
-        labels = list(pm.stages[-2].labels)
+    d, labels = with_label(train, target, problem_type)
+    pm = Pipeline(stages=feature_stages(numeric, categorical) + [estimator]).fit(d)
     return ModelBundle(pm, target, problem_type, name, list(numeric), list(categorical), labels,
                        params=params or {})
 
 
 def predict_all(bundle: ModelBundle, df: DataFrame) -> DataFrame:
-    """Every input row plus ``prediction`` (original label value), ``prediction_proba``
-    (probability of the winning class, 4 digits) and ``proba_1`` (class index 1).
+    """Every input row plus ``prediction`` (original label value, as double when numeric),
+    ``prediction_label`` (string), ``prediction_proba`` (probability of the winning class,
+    4 digits) and ``proba_1`` (probability of class index 1).
 
     The model is applied row-wise to the frame itself, so each prediction stays
     attached to its own row key; nothing is aligned by position.
     """
-    d = df.withColumn(bundle.target, F.col(bundle.target).cast("string")) if (
-        bundle.problem_type == "classification" and bundle.target in df.columns) else df
-    out = bundle.model.transform(d)
-    keep = [c for c in df.columns]
+    out = bundle.model.transform(df)
+    keep = [F.col(f"`{c}`") for c in df.columns]
     if bundle.problem_type == "classification":
         lab = F.element_at(F.array(*[F.lit(x) for x in bundle.labels]), F.col("prediction").cast("int") + 1)
         probs = vector_to_array(F.col("probability"))
-        return out.select(*[F.col(f"`{c}`") for c in keep],
-                          F.when(lab.rlike(r"^-?[0-9.]+$"), lab.cast("double")).alias("prediction"),
+        return out.select(*keep,
+                          F.when(lab.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), lab.cast("double")).alias("prediction"),
                           lab.alias("prediction_label"),
                           F.round(F.array_max(probs), 4).alias("prediction_proba"),
                           (F.element_at(probs, 2) if len(bundle.labels) > 1 else F.lit(None)).alias("proba_1"))
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("prediction"))
+    return out.select(*keep, F.col("prediction"))
 
 
 def score_rows(bundle: ModelBundle, spark, rows: list[dict]) -> DataFrame:
@@ -258,10 +265,7 @@ def score_rows(bundle: ModelBundle, spark, rows: list[dict]) -> DataFrame:
     recs = [{c: r.get(c) for c in cols} for r in rows]
     schema = ", ".join([f"`{c}` double" for c in bundle.numeric] + [f"`{c}` string" for c in bundle.categorical])
     df = spark.createDataFrame([tuple(r[c] for c in cols) for r in recs], schema)
-    df = align_schema(df, cols)
-    if bundle.target not in df.columns:
-        df = df.withColumn(bundle.target, F.lit(None).cast("string"))
-    return predict_all(bundle, df)
+    return predict_all(bundle, align_schema(df, cols))
 
 
 def feature_importance_topn(bundle: ModelBundle, prepared: DataFrame, n: int = 15) -> DataFrame:
