@@ -2,15 +2,10 @@
 
 Spark's exact ``percentile`` keeps a map of every distinct value and merges
 it in a single task per group, which cannot hold a 100 TB column. Here the
-exact answer is found in three bounded steps:
-
-1. approximate bucket edges per column (``percentile_approx``: a mergeable
-   sketch with bounded memory);
-2. exact row counts per (column, bucket) - map-side combined, at most
-   ``columns x buckets`` rows;
-3. only the few buckets that contain a wanted rank are re-read; their
-   distinct values are counted (a hot value collapses to one row) and ranked
-   with a window partitioned by (column, bucket).
+exact answer is found by narrowing value intervals: approximate edges
+(``percentile_approx``, a bounded mergeable sketch) cut an interval into
+buckets, exact per-bucket counts locate the wanted rank, and only once an
+interval holds few distinct values are they ranked exactly with a window.
 
 Quantiles interpolate linearly between order statistics (pandas default,
 DuckDB ``quantile_cont``).
@@ -24,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import persisted
+
 
 def _long(df: DataFrame, cols: list[str], value_type: str = "double") -> DataFrame:
     """Unpivot ``cols`` into (k, v) with k the column position; nulls/NaN dropped."""
@@ -35,76 +32,145 @@ def _long(df: DataFrame, cols: list[str], value_type: str = "double") -> DataFra
     return out
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int = 1024, accuracy: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 256,
+                    max_distinct: int = 1_000_000, max_levels: int = 6) -> DataFrame:
     """Exact linear-interpolated quantiles: (name string, q double, value double).
 
-    ``buckets`` bounds the share of data re-read in step 3 (about
-    ``2 * len(probs) / buckets``); raise it with the data size so a target
-    bucket stays small enough for one task.
+    Driver-coordinated, every collected table is bounded by
+    ``len(cols) * len(probs) * buckets``:
+
+    * pass 1: per column row count and approximate distinct count;
+    * while a wanted rank lies in a value interval with more than
+      ``max_distinct`` distinct values: approximate edges inside the interval
+      (``percentile_approx``), exact counts per sub-bucket (JVM binary search
+      via ``Bucketizer``), keep the sub-bucket holding the rank;
+    * final pass: distinct values of the final intervals only, ranked with a
+      window partitioned by interval (at most ``max_distinct`` values each).
+
+    A value repeated a billion times is one distinct value, so hot values
+    never make a task large.
     """
     spark = df.sparkSession
     cols = list(cols)
+    out_schema = "name string, q double, value double"
     if not cols:
-        return spark.createDataFrame([], "name string, q double, value double")
-    acc = accuracy or max(10_000, 10 * buckets)
-    grid = [i / buckets for i in range(1, buckets)]
-    src = df.select([df[c].cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    src = src.select([F.when(F.isnan(f"v{i}"), None).otherwise(F.col(f"v{i}")).alias(f"v{i}")
-                      for i in range(len(cols))])
-    # step 1: approximate edges (one row of bounded arrays)
-    edge_row = src.agg(*[F.percentile_approx(f"v{i}", grid, acc).alias(f"e{i}")
-                         for i in range(len(cols))]).first()
-    splits = []
-    for i in range(len(cols)):
-        e = sorted({x for x in (edge_row[f"e{i}"] or []) if x is not None})
-        s = [-math.inf] + e + [math.inf]
-        if len(s) < 3:
-            s = [-math.inf, 0.0, math.inf]
-        splits.append(s)
-    bz = Bucketizer(splitsArray=splits, inputCols=[f"v{i}" for i in range(len(cols))],
-                    outputCols=[f"b{i}" for i in range(len(cols))], handleInvalid="keep")
-    b = bz.transform(src)
-    long = b.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(f"v{i}").alias("v"), F.col(f"b{i}").cast("int").alias("b"))
-        for i in range(len(cols))]))).where(F.col("v").isNotNull())
-
-    # step 2: exact counts per bucket, cumulative offsets per column (<= buckets rows each)
-    bc = long.groupBy("k", "b").agg(F.count(F.lit(1)).alias("cnt"))
-    wk = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    bc = (bc.withColumn("hi", F.sum("cnt").over(wk))
-            .withColumn("lo", F.col("hi") - F.col("cnt"))
-            .withColumn("n", F.sum("cnt").over(Window.partitionBy("k"))))
-
-    targets = spark.createDataFrame(
-        [(i, float(p)) for i in range(len(cols)) for p in probs], "k int, q double")
-    t = (targets.join(bc.select("k", "n").distinct(), "k", "left")
-         .withColumn("pos", F.col("q") * (F.col("n") - 1))
-         .withColumn("r0", F.floor("pos").cast("long"))
-         .withColumn("r1", F.ceil("pos").cast("long"))
-         .withColumn("frac", F.col("pos") - F.col("r0")))
-    ranks = t.select("k", "q", F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), F.col("r0").alias("r")),
-        F.struct(F.lit(1).alias("which"), F.col("r1").alias("r")))).alias("x")
-    ).select("k", "q", "x.which", "x.r").where(F.col("r").isNotNull())
-    tb = ranks.join(bc.select("k", "b", "lo", "hi"),
-                    (ranks.k == bc.k) & (ranks.r >= bc.lo) & (ranks.r < bc.hi)
-                    ).select(ranks.k, "q", "which", "r", "b", "lo")
-    # bounded by len(cols) * len(probs) * 2 rows: safe to broadcast
-    need = F.broadcast(tb.select("k", "b").distinct())
-
-    # step 3: rank distinct values inside the wanted buckets only
-    sel = long.join(need, ["k", "b"]).groupBy("k", "b", "v").agg(F.count(F.lit(1)).alias("c"))
-    wv = Window.partitionBy("k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sel = sel.withColumn("chi", F.sum("c").over(wv)).withColumn("clo", F.col("chi") - F.col("c"))
-    hit = (tb.join(sel, ["k", "b"])
-             .where((F.col("r") - F.col("lo") >= F.col("clo")) & (F.col("r") - F.col("lo") < F.col("chi")))
-             .groupBy("k", "q").agg(F.max(F.when(F.col("which") == 0, F.col("v"))).alias("v0"),
-                                    F.max(F.when(F.col("which") == 1, F.col("v"))).alias("v1")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return (t.select("k", "q", "frac").join(hit, ["k", "q"], "left")
-             .select(F.element_at(names, F.col("k") + 1).alias("name"), "q",
-                     (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("frac")).alias("value")))
+        return spark.createDataFrame([], out_schema)
+    p = len(cols)
+    src = df.select([F.when(F.isnan(df[c].cast("double")), None).otherwise(df[c].cast("double")).alias(f"v{i}")
+                     for i, c in enumerate(cols)])
+    with persisted(src) as src:
+        rows = _exact_quantile_rows(src, cols, probs, buckets, max_distinct, max_levels)
+    return spark.createDataFrame(rows, out_schema)
+
+
+def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels) -> list:
+    spark = src.sparkSession
+    p = len(cols)
+    st = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)],
+                 *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(p)]).first()
+    # targets: (column, q, which) -> global 0-based rank
+    targets = []
+    for i in range(p):
+        n = st[f"n{i}"]
+        for qv in probs:
+            if n == 0:
+                continue
+            pos = float(qv) * (n - 1)
+            r0 = int(math.floor(pos))
+            r1 = int(math.ceil(pos))
+            targets.append({"k": i, "q": float(qv), "frac": pos - r0, "ranks": [r0, r1]})
+    # interval state per (target, which): [k, lo, hi, base, distinct]
+    state = {}
+    for t_i, t in enumerate(targets):
+        for w, r in enumerate(t["ranks"]):
+            state[(t_i, w)] = [t["k"], -math.inf, math.inf, 0, st[f"d{t['k']}"], r]
+    acc = max(10_000, 10 * buckets)
+    grid = [j / buckets for j in range(1, buckets)]
+    for _level in range(max_levels):
+        active = sorted({(v[0], v[1], v[2]) for v in state.values() if v[4] > max_distinct})
+        if not active:
+            break
+        def in_iv(k, lo, hi):
+            c = F.col(f"v{k}")
+            cond = c.isNotNull()
+            if lo != -math.inf:
+                cond = cond & (c >= F.lit(lo))
+            if hi != math.inf:
+                cond = cond & (c < F.lit(hi))
+            return F.when(cond, c)
+        w = src.select([in_iv(k, lo, hi).alias(f"w{j}") for j, (k, lo, hi) in enumerate(active)])
+        er = w.agg(*[F.percentile_approx(f"w{j}", grid, acc).alias(f"e{j}") for j in range(len(active))]).first()
+        splits, bounds = [], []
+        for j, (k, lo, hi) in enumerate(active):
+            e = sorted({x for x in (er[f"e{j}"] or []) if x is not None and lo < x < hi})
+            splits.append([-math.inf] + e + [math.inf] if e else [-math.inf, 0.0, math.inf])
+            bounds.append([lo] + e + [hi] if e else [lo, hi])
+        bz = Bucketizer(splitsArray=splits, inputCols=[f"w{j}" for j in range(len(active))],
+                        outputCols=[f"b{j}" for j in range(len(active))], handleInvalid="keep")
+        long = bz.transform(w).select(F.inline(F.array(*[
+            F.struct(F.lit(j).alias("j"), F.col(f"w{j}").alias("v"), F.col(f"b{j}").cast("int").alias("b"))
+            for j in range(len(active))]))).where(F.col("v").isNotNull())
+        cnt = {}
+        for r in long.groupBy("j", "b").agg(F.count(F.lit(1)).alias("c"),
+                                           F.approx_count_distinct("v").alias("d")).collect():
+            if not bounds[r["j"]][1:-1]:  # no inner edge: the whole interval is bucket "0"
+                cnt.setdefault(r["j"], {})
+                prev = cnt[r["j"]].get(0, (0, 0))
+                cnt[r["j"]][0] = (prev[0] + r["c"], max(prev[1], r["d"]))
+            else:
+                cnt.setdefault(r["j"], {})[r["b"]] = (r["c"], r["d"])
+        index = {a: j for j, a in enumerate(active)}
+        for key, v in state.items():
+            j = index.get((v[0], v[1], v[2]))
+            if j is None:
+                continue
+            within = v[5] - v[3]
+            cum = 0
+            nb = len(bounds[j]) - 1
+            for b in range(nb):
+                c, d = cnt.get(j, {}).get(b, (0, 0))
+                if within < cum + c:
+                    same = (bounds[j][b], bounds[j][b + 1]) == (v[1], v[2])
+                    v[1], v[2], v[3], v[4] = bounds[j][b], bounds[j][b + 1], v[3] + cum, (0 if same else d)
+                    break
+                cum += c
+    finals = sorted({(v[0], v[1], v[2], v[3]) for v in state.values()})
+    if not finals:
+        return [(c, float(qv), None) for c in cols for qv in probs]
+    fidx = {f: j for j, f in enumerate(finals)}
+
+    def in_final(k, lo, hi):
+        c = F.col(f"v{k}")
+        cond = c.isNotNull()
+        if lo != -math.inf:
+            cond = cond & (c >= F.lit(lo))
+        if hi != math.inf:
+            cond = cond & (c < F.lit(hi))
+        return cond
+    long = src.select(F.inline(F.array(*[
+        F.struct(F.lit(j).alias("f"), F.when(in_final(k, lo, hi), F.col(f"v{k}")).alias("v"))
+        for j, (k, lo, hi, _b) in enumerate(finals)]))).where(F.col("v").isNotNull())
+    vc = long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("c"))
+    wv = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    vc = vc.withColumn("hi_r", F.sum("c").over(wv)).withColumn("lo_r", F.col("hi_r") - F.col("c"))
+    want = spark.createDataFrame(
+        [(fidx[(v[0], v[1], v[2], v[3])], int(v[5] - v[3])) for v in state.values()], "f int, rr long").distinct()
+    # want: at most 2 * len(cols) * len(probs) rows
+    hits = (vc.join(F.broadcast(want), "f").where((F.col("rr") >= F.col("lo_r")) & (F.col("rr") < F.col("hi_r")))
+            .select("f", "rr", "v").collect())
+    found = {(r["f"], r["rr"]): r["v"] for r in hits}
+    rows = []
+    for t_i, t in enumerate(targets):
+        vals = []
+        for w_ in range(2):
+            v = state[(t_i, w_)]
+            vals.append(found.get((fidx[(v[0], v[1], v[2], v[3])], int(v[5] - v[3]))))
+        v0, v1 = vals
+        val = None if v0 is None or v1 is None else v0 + (v1 - v0) * t["frac"]
+        rows.append((cols[t["k"]], t["q"], val))
+    have = {(cols[t["k"]], t["q"]) for t in targets}
+    rows += [(c, float(qv), None) for c in cols for qv in probs if (c, float(qv)) not in have]
+    return rows
 
 
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict:

@@ -7,42 +7,108 @@ once and reused for the target ranking and the redundancy rule.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.safe import numeric_columns, safe_corr
+from tessera.session import persisted
 
 
 def _q(c: str):
     return F.col(f"`{c}`")
 
 
+PAIRS_PER_PASS = 15  # 6 plain sums per pair: stays under whole-stage codegen's field limit
+
+
+def _pairwise_sums(df: DataFrame, cols: list[str], means: list[float], pairs: list[tuple[int, int]]) -> dict:
+    """Pairwise-complete Pearson correlation from shifted plain sums.
+
+    Values are shifted by the column means (shift-invariant, and keeps the
+    sums well conditioned); per pair n, Sx, Sy, Sxx, Syy, Sxy over the rows
+    where both are present. Pairs are processed in passes of
+    ``PAIRS_PER_PASS`` so each aggregate stays code-generated.
+    """
+    out = {}
+    for s0 in range(0, len(pairs), PAIRS_PER_PASS):
+        chunk = pairs[s0:s0 + PAIRS_PER_PASS]
+        aggs = []
+        for i, j in chunk:
+            x = _q(cols[i]).cast("double") - F.lit(means[i])
+            y = _q(cols[j]).cast("double") - F.lit(means[j])
+            both = x.isNotNull() & y.isNotNull()
+            xs, ys = F.when(both, x), F.when(both, y)
+            aggs += [F.count_if(both).alias(f"n{i}_{j}"), F.sum(xs).alias(f"x{i}_{j}"), F.sum(ys).alias(f"y{i}_{j}"),
+                     F.sum(xs * xs).alias(f"xx{i}_{j}"), F.sum(ys * ys).alias(f"yy{i}_{j}"),
+                     F.sum(xs * ys).alias(f"xy{i}_{j}")]
+        r = df.agg(*aggs).first()
+        for i, j in chunk:
+            n = r[f"n{i}_{j}"]
+            if not n or n < 2:
+                out[(i, j)] = None
+                continue
+            sx, sy = r[f"x{i}_{j}"], r[f"y{i}_{j}"]
+            cxx = r[f"xx{i}_{j}"] - sx * sx / n
+            cyy = r[f"yy{i}_{j}"] - sy * sy / n
+            cxy = r[f"xy{i}_{j}"] - sx * sy / n
+            den = math.sqrt(max(cxx, 0.0) * max(cyy, 0.0))
+            out[(i, j)] = None if den == 0 else cxy / den
+    return out
+
+
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None, full: bool = False) -> DataFrame:
     """Pearson correlation of all numeric pairs over pairwise-complete rows.
 
     Long form ``(col_a, col_b, pos_a, pos_b, corr)`` for ``pos_a < pos_b``;
     ``full=True`` adds the mirrored pairs and the diagonal (1, or NULL for a
     constant/empty column). NULL stands for pandas' NaN.
+
+    One pass gets means and null counts. Without nulls the centred columns go
+    through ``pyspark.ml.stat.Correlation`` (a tree-aggregated Gramian); with
+    nulls, shifted pairwise sums are aggregated in code-generated passes.
+    The p x p result is bounded by the schema width.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     spark = df.sparkSession
-    if not pairs:
-        return spark.createDataFrame([], "col_a string, col_b string, pos_a int, pos_b int, corr double")
-    aggs = [safe_corr(_q(cols[i]), _q(cols[j])).alias(f"r{i}_{j}") for i, j in pairs]
-    if full:
-        aggs += [F.try_divide(F.stddev_samp(_q(c)), F.stddev_samp(_q(c))).alias(f"d{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.lit(i).alias("pos_a"),
-                        F.lit(j).alias("pos_b"), F.col(f"r{i}_{j}").alias("corr")) for i, j in pairs]
+    schema = "col_a string, col_b string, pos_a int, pos_b int, corr double"
+    p = len(cols)
+    if p < 2 and not (full and p == 1):
+        return spark.createDataFrame([], schema)
+    with persisted(df.select([_q(c) for c in cols])) as d:
+        rows = _corr_rows(d, cols, full)
+    return spark.createDataFrame(rows, schema)
+
+
+def _corr_rows(df: DataFrame, cols: list[str], full: bool) -> list:
+    p = len(cols)
+    st = df.agg(F.count(F.lit(1)).alias("n"),
+                *[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(cols)],
+                *[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+                *[F.stddev_samp(_q(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    means = [st[f"m{i}"] if st[f"m{i}"] is not None else 0.0 for i in range(p)]
+    pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
+    no_nulls = all(st[f"c{i}"] == st["n"] for i in range(p))
+    corr: dict = {}
+    if no_nulls and st["n"] >= 2 and p >= 2:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        centred = df.select([(_q(c).cast("double") - F.lit(means[i])).alias(f"z{i}") for i, c in enumerate(cols)])
+        vec = VectorAssembler(inputCols=[f"z{i}" for i in range(p)], outputCol="v").transform(centred).select("v")
+        mat = Correlation.corr(vec, "v", "pearson").first()[0].toArray()
+        for i, j in pairs:
+            v = float(mat[i][j])
+            const = not st[f"s{i}"] or not st[f"s{j}"]
+            corr[(i, j)] = None if (math.isnan(v) or const) else v
+    elif pairs:
+        corr = _pairwise_sums(df, cols, means, pairs)
+    rows = [(cols[i], cols[j], i, j, corr.get((i, j))) for i, j in pairs]
     if full:
-        structs += [F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), F.lit(j).alias("pos_a"),
-                             F.lit(i).alias("pos_b"), F.col(f"r{i}_{j}").alias("corr")) for i, j in pairs]
-        structs += [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(i).alias("pos_a"),
-                             F.lit(i).alias("pos_b"), F.col(f"d{i}").alias("corr")) for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*structs)))
+        rows += [(cols[j], cols[i], j, i, corr.get((i, j))) for i, j in pairs]
+        rows += [(c, c, i, i, 1.0 if st[f"s{i}"] else None) for i, c in enumerate(cols)]
+    return rows
 
 
 def correlation_with_target(df: DataFrame, target: str, cols: list[str] | None = None,

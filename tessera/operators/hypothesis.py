@@ -54,11 +54,40 @@ def hypothesis_test(df: DataFrame, spec: dict) -> DataFrame:
 
 
 def run_hypotheses(df: DataFrame, specs: list[dict]) -> DataFrame:
-    out = None
+    """All specs in one pass: every row is unpivoted into one (id, group, order,
+    target) record per spec and a single grouped aggregate (partial, map-side)
+    computes every hypothesis' means and counts. Bucket edges of
+    ``quantile_buckets`` specs are computed first (exact, bounded)."""
+    if not specs:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    recs = []
     for s in specs:
-        r = hypothesis_test(df, s)
-        out = r if out is None else out.unionByName(r)
-    return out if out is not None else df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        kind, key, target = s["kind"], s["key"], s["target"]
+        t = F.col(target).cast("double")
+        if kind == "quantile_buckets":
+            q = int(s.get("q", 4))
+            edges = quantile_edges(df, key, q)
+            nb = len(edges) - 1
+            labels = s.get("labels")
+            if not labels or len(labels) != nb:
+                labels = [f"B{i + 1}" for i in range(max(nb, 0))]
+            grp = bucket_expr(key, edges, labels)
+            ordc = F.lit(None).cast("double")
+            for i, lab in enumerate(labels):
+                ordc = F.when(grp == F.lit(lab), F.lit(float(i + 1))).otherwise(ordc)
+        else:
+            kc = F.expr(s["expr"]) if kind == "group_mean_derived" else F.col(key)
+            grp = kc.cast("string")
+            if kind == "group_mean_derived":
+                numeric = True
+            else:
+                numeric = isinstance(df.schema[key].dataType, NUMERIC_TYPES)
+            ordc = kc.cast("double") if numeric else F.lit(None).cast("double")
+        recs.append(F.struct(F.lit(s["id"]).alias("id"), grp.alias("grp"), ordc.alias("ord"), t.alias("t")))
+    long = df.select(F.inline(F.array(*recs))).where(F.col("grp").isNotNull())
+    return (long.groupBy("id", "grp", "ord")
+                .agg(F.avg("t").alias("mean"), F.count("t").alias("count"))
+                .select("id", "grp", "ord", "mean", "count"))
 
 
 def specs_frame(spark, specs: list[dict]) -> DataFrame:

@@ -9,12 +9,15 @@ collapses hot values before the shuffle.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.quantile import exact_quantiles, mode_table, quantile_row
 from tessera.functions.safe import NUMERIC_TYPES, numeric_columns, sample_skew, string_columns
+from tessera.session import persisted
 
 
 def _q(c: str):
@@ -62,8 +65,16 @@ def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool =
                     F.coalesce("nunique", F.lit(0)).cast("long").alias("nunique")))
 
 
+PROFILE_SCHEMA = ("column string, position int, dtype string, nunique long, null_pct double, mean double, "
+                  "std double, min double, max double, skew double")
+
+
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: dtype, nunique, null %, and for numbers mean, std, min, max, skew."""
+    """Per column: dtype, nunique, null %, and for numbers mean, std, min, max, skew.
+
+    Two passes over the (persisted) input: one wide aggregate and one
+    distinct-count grouping; the result has one row per column.
+    """
     cols = df.columns
     num = set(numeric_columns(df))
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -73,19 +84,23 @@ def column_profile(df: DataFrame) -> DataFrame:
             x = _q(c).cast("double")
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
                      F.max(x).alias(f"hi{i}"), sample_skew(x).alias(f"k{i}")]
-    wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.try_divide(F.col(f"z{i}") * 100.0, F.col("n")).alias(f"p{i}")
-                             for i in range(len(cols))])
-    prof = _unpivot_row(wide, cols,
-                        {"null_pct": "p{i}", "mean": "m{i}", "std": "s{i}", "min": "lo{i}", "max": "hi{i}",
-                         "skew": "k{i}"},
-                        {"null_pct": "double", "mean": "double", "std": "double", "min": "double",
-                         "max": "double", "skew": "double"})
-    types = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(df.schema.fields)],
-        "column string, dtype string, position int")
-    return (prof.join(F.broadcast(types), "column").join(distinct_counts(df, cols), "column")
-            .select("column", "position", "dtype", "nunique", "null_pct", "mean", "std", "min", "max", "skew"))
+    with persisted(df) as d:
+        w = d.agg(*aggs).first()
+        nun = {r["column"]: r["nunique"] for r in distinct_counts(d, cols).collect()}
+    n = w["n"]
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        c = f.name
+        g = (lambda k: w[f"{k}{i}"]) if c in num else (lambda k: None)
+        rows.append((c, i, f.dataType.simpleString(), int(nun.get(c, 0)),
+                     (w[f"z{i}"] * 100.0 / n) if n else None, g("m"), g("s"),
+                     None if g("lo") is None else float(g("lo")), None if g("hi") is None else float(g("hi")),
+                     g("k")))
+    return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
+
+
+DESCRIBE_SCHEMA = ("column string, position int, count long, unique long, top string, freq long, mean double, "
+                   "std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
@@ -94,7 +109,6 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
     numbers: count, mean, std, min, 25/50/75 % (exact, interpolated), max;
     strings: count, unique, top (most frequent, smallest on ties), freq.
     """
-    spark = df.sparkSession
     cols = df.columns
     num = numeric_columns(df)
     strs = string_columns(df)
@@ -105,25 +119,29 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
             x = _q(c).cast("double")
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                      F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    base = _unpivot_row(wide, cols, {"count": "c{i}", "mean": "m{i}", "std": "s{i}", "min": "lo{i}",
-                                     "max": "hi{i}"},
-                        {"count": "long", "mean": "double", "std": "double", "min": "double", "max": "double"})
-    qs = exact_quantiles(df, num, [0.25, 0.5, 0.75]).groupBy(F.col("name").alias("column")).agg(
-        F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q25"),
-        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("q50"),
-        F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q75"))
-    top = mode_table(df, strs).select(F.col("name").alias("column"), F.col("value").alias("top"), "freq")
-    uniq = distinct_counts(df, strs).withColumnRenamed("nunique", "unique")
-    pos = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, position int")
-    out = (base.join(F.broadcast(pos), "column").join(uniq, "column", "left").join(top, "column", "left")
-           .join(qs, "column", "left")
-           .select("column", "position", "count", "unique", "top", "freq", "mean", "std", "min", "q25", "q50",
-                   "q75", "max"))
-    if digits is not None:
-        out = out.select([F.round(c, digits).alias(c) if c in ("mean", "std", "min", "q25", "q50", "q75", "max")
-                          else F.col(c) for c in out.columns])
-    return out
+    with persisted(df) as d:
+        w = d.agg(*aggs).first()
+        qs = quantile_row(d, num, [0.25, 0.5, 0.75])
+        top = {r["name"]: (r["value"], r["freq"]) for r in mode_table(d, strs).collect()}
+        uniq = {r["column"]: r["nunique"] for r in distinct_counts(d, strs).collect()}
+
+    def rd(v):
+        if v is None:
+            return None
+        if digits is None:
+            return float(v)
+        # half-up on the exact binary value, as Spark's and DuckDB's round
+        return float(Decimal(float(v)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+    rows = []
+    for i, c in enumerate(cols):
+        if c in num:
+            rows.append((c, i, w[f"c{i}"], None, None, None, rd(w[f"m{i}"]), rd(w[f"s{i}"]), rd(w[f"lo{i}"]),
+                         rd(qs.get((c, 0.25))), rd(qs.get((c, 0.5))), rd(qs.get((c, 0.75))), rd(w[f"hi{i}"])))
+        else:
+            t, fq = top.get(c, (None, None))
+            rows.append((c, i, w[f"c{i}"], uniq.get(c) if c in strs else None, t, fq,
+                         None, None, None, None, None, None, None))
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
 def describe_numeric_transposed(df: DataFrame, digits: int = 3) -> DataFrame:
@@ -155,27 +173,26 @@ def iqr_outliers(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Rows strictly outside [q1 - 1.5 iqr, q3 + 1.5 iqr] per numeric column (> 0 only).
 
     Quartiles are exact (distributed); the 2 x p bounds are inlined as
-    literals into one wide conditional count - one more scan, no join.
+    literals into one wide conditional count over the persisted projection.
     """
     cols = cols or numeric_columns(df)
-    qs = quantile_row(df, cols, [0.25, 0.75])
-    aggs, kept = [], []
-    for i, c in enumerate(cols):
-        q1, q3 = qs.get((c, 0.25)), qs.get((c, 0.75))
-        if q1 is None or q3 is None:
-            continue
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        x = _q(c).cast("double")
-        aggs.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"o{i}"))
-        kept.append((i, c, q1, q3, lo, hi))
-    if not aggs:
-        return df.sparkSession.createDataFrame(
-            [], "column string, outliers long, q1 double, q3 double, lower double, upper double")
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"o{i}").alias("outliers"), F.lit(q1).alias("q1"),
-                        F.lit(q3).alias("q3"), F.lit(lo).alias("lower"), F.lit(hi).alias("upper"))
-               for i, c, q1, q3, lo, hi in kept]
-    return wide.select(F.inline(F.array(*structs))).where(F.col("outliers") > 0)
+    schema = "column string, outliers long, q1 double, q3 double, lower double, upper double"
+    rows = []
+    with persisted(df.select([_q(c) for c in cols])) as d:
+        qs = quantile_row(d, cols, [0.25, 0.75])
+        aggs, kept = [], []
+        for i, c in enumerate(cols):
+            q1, q3 = qs.get((c, 0.25)), qs.get((c, 0.75))
+            if q1 is None or q3 is None:
+                continue
+            lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+            x = _q(c).cast("double")
+            aggs.append(F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"o{i}"))
+            kept.append((i, c, q1, q3, lo, hi))
+        if aggs:
+            w = d.agg(*aggs).first()
+            rows = [(c, w[f"o{i}"], q1, q3, lo, hi) for i, c, q1, q3, lo, hi in kept if w[f"o{i}"] > 0]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def value_counts(df: DataFrame, col: str, top: int | None = 15) -> DataFrame:
@@ -234,25 +251,23 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
 def boxplot_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Quartiles, whiskers at the extreme points within 1.5 iqr, and flier count."""
     cols = cols or numeric_columns(df)
-    qs = quantile_row(df, cols, [0.25, 0.5, 0.75])
-    aggs, kept = [], []
-    for i, c in enumerate(cols):
-        q1, q2, q3 = qs.get((c, 0.25)), qs.get((c, 0.5)), qs.get((c, 0.75))
-        if q1 is None:
-            continue
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        x = _q(c).cast("double")
-        inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-        aggs += [F.min(F.when(inside, x)).alias(f"wl{i}"), F.max(F.when(inside, x)).alias(f"wh{i}"),
-                 F.count_if(x.isNotNull() & ~inside).alias(f"f{i}")]
-        kept.append((i, c, q1, q2, q3))
-    if not aggs:
-        return df.sparkSession.createDataFrame(
-            [], "column string, q1 double, median double, q3 double, iqr double, whisker_low double, "
-                "whisker_high double, fliers long")
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
-                        F.lit(q3).alias("q3"), F.lit(q3 - q1).alias("iqr"), F.col(f"wl{i}").alias("whisker_low"),
-                        F.col(f"wh{i}").alias("whisker_high"), F.col(f"f{i}").alias("fliers"))
-               for i, c, q1, q2, q3 in kept]
-    return wide.select(F.inline(F.array(*structs)))
+    schema = ("column string, q1 double, median double, q3 double, iqr double, whisker_low double, "
+              "whisker_high double, fliers long")
+    rows = []
+    with persisted(df.select([_q(c) for c in cols])) as d:
+        qs = quantile_row(d, cols, [0.25, 0.5, 0.75])
+        aggs, kept = [], []
+        for i, c in enumerate(cols):
+            q1, q2, q3 = qs.get((c, 0.25)), qs.get((c, 0.5)), qs.get((c, 0.75))
+            if q1 is None:
+                continue
+            lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+            x = _q(c).cast("double")
+            inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            aggs += [F.min(F.when(inside, x)).alias(f"wl{i}"), F.max(F.when(inside, x)).alias(f"wh{i}"),
+                     F.count_if(x.isNotNull() & ~inside).alias(f"f{i}")]
+            kept.append((i, c, q1, q2, q3))
+        if aggs:
+            w = d.agg(*aggs).first()
+            rows = [(c, q1, q2, q3, q3 - q1, w[f"wl{i}"], w[f"wh{i}"], w[f"f{i}"]) for i, c, q1, q2, q3 in kept]
+    return df.sparkSession.createDataFrame(rows, schema)

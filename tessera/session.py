@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,3 +85,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
 def env_flag(name: str, default: str = "") -> str:
     return os.environ.get(name, default)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Keep ``df`` (usually a narrow column projection) across the passes of a
+    multi-pass operator whose result is collected inside the block.
+
+    Lost blocks are recomputed from lineage, so executor loss is survivable;
+    the cache is released on exit.
+    """
+    d = df.persist(level)
+    try:
+        yield d
+    finally:
+        d.unpersist()
