@@ -66,15 +66,27 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
 def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels) -> list:
     spark = src.sparkSession
     p = len(cols)
-    st = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)],
-                 *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(p)]).first()
+    counts = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)]).first()
+    small = [i for i in range(p) if counts[f"n{i}"] <= max_distinct]
+    large = [i for i in range(p) if counts[f"n{i}"] > max_distinct]
+    rows = []
+    if small:
+        # at most max_distinct values per column: the exact percentile buffer is bounded
+        r = src.agg(*[F.percentile(f"v{i}", [float(x) for x in probs]).alias(f"p{i}") for i in small]).first()
+        for i in small:
+            vals = r[f"p{i}"]
+            for j, qv in enumerate(probs):
+                rows.append((cols[i], float(qv), None if vals is None else vals[j]))
+    if not large:
+        return rows
+    dist = src.agg(*[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in large]).first()
+    st = {f"n{i}": counts[f"n{i}"] for i in large}
+    st.update({f"d{i}": dist[f"d{i}"] for i in large})
     # targets: (column, q, which) -> global 0-based rank
     targets = []
-    for i in range(p):
+    for i in large:
         n = st[f"n{i}"]
         for qv in probs:
-            if n == 0:
-                continue
             pos = float(qv) * (n - 1)
             r0 = int(math.floor(pos))
             r1 = int(math.ceil(pos))
@@ -135,8 +147,6 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
                     break
                 cum += c
     finals = sorted({(v[0], v[1], v[2], v[3]) for v in state.values()})
-    if not finals:
-        return [(c, float(qv), None) for c in cols for qv in probs]
     fidx = {f: j for j, f in enumerate(finals)}
 
     def in_final(k, lo, hi):
@@ -159,7 +169,6 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
     hits = (vc.join(F.broadcast(want), "f").where((F.col("rr") >= F.col("lo_r")) & (F.col("rr") < F.col("hi_r")))
             .select("f", "rr", "v").collect())
     found = {(r["f"], r["rr"]): r["v"] for r in hits}
-    rows = []
     for t_i, t in enumerate(targets):
         vals = []
         for w_ in range(2):
@@ -168,8 +177,6 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
         v0, v1 = vals
         val = None if v0 is None or v1 is None else v0 + (v1 - v0) * t["frac"]
         rows.append((cols[t["k"]], t["q"], val))
-    have = {(cols[t["k"]], t["q"]) for t in targets}
-    rows += [(c, float(qv), None) for c in cols for qv in probs if (c, float(qv)) not in have]
     return rows
 
 

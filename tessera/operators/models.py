@@ -262,7 +262,8 @@ def score_rows(bundle: ModelBundle, spark, rows: list[dict]) -> DataFrame:
     """Score a handful of given rows (missing features default to 0 / NULL)."""
     from tessera.operators.select import align_schema
     cols = bundle.numeric + bundle.categorical
-    recs = [{c: r.get(c) for c in cols} for r in rows]
+    recs = [{**{c: (None if r.get(c) is None else float(r[c])) for c in bundle.numeric},
+             **{c: (None if r.get(c) is None else str(r[c])) for c in bundle.categorical}} for r in rows]
     schema = ", ".join([f"`{c}` double" for c in bundle.numeric] + [f"`{c}` string" for c in bundle.categorical])
     df = spark.createDataFrame([tuple(r[c] for c in cols) for r in recs], schema)
     return predict_all(bundle, align_schema(df, cols))

@@ -43,26 +43,18 @@ def _unpivot_row(wide: DataFrame, names: list[str], fields: dict[str, str], type
 def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """(column, nunique) for every column: nulls not counted (pandas ``nunique``).
 
-    Exact: unpivot to (k, value-as-string), group by it (map-side combine),
-    then count per column. ``approx=True`` uses HyperLogLog++ in one pass.
+    Exact: ``count(DISTINCT c)`` for all columns in one aggregate - Catalyst
+    expands each row once per column and partially aggregates (column,
+    value) pairs before the shuffle, so a hot value is combined map-side.
+    ``approx=True`` uses HyperLogLog++ (bounded memory, one pass).
     """
     cols = list(cols if cols is not None else df.columns)
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], "column string, nunique long")
-    if approx:
-        wide = df.agg(*[F.approx_count_distinct(_q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-        return _unpivot_row(wide, cols, {"nunique": "d{i}"}, {"nunique": "long"})
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("k"), _q(c).cast("string").alias("v")) for i, c in enumerate(cols)])))
-    per = (long.where(F.col("v").isNotNull()).select("k", "v").distinct()
-           .groupBy("k").agg(F.count(F.lit(1)).alias("nunique")))
-    names = F.array(*[F.lit(c) for c in cols])
-    base = spark.createDataFrame([(i,) for i in range(len(cols))], "k int")
-    # base has len(cols) rows: bounded by the schema width
-    return (F.broadcast(base).join(per, "k", "left")
-            .select(F.element_at(names, F.col("k") + 1).alias("column"),
-                    F.coalesce("nunique", F.lit(0)).cast("long").alias("nunique")))
+    fn = F.approx_count_distinct if approx else F.count_distinct
+    wide = df.agg(*[fn(_q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+    return _unpivot_row(wide, cols, {"nunique": "d{i}"}, {"nunique": "long"})
 
 
 PROFILE_SCHEMA = ("column string, position int, dtype string, nunique long, null_pct double, mean double, "

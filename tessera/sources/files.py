@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from tessera.functions.names import standardize_names
 
 ENCODINGS = ("utf-8", "latin-1", "iso-8859-1", "cp1252")
+# names the CSV reader accepts for the encodings above
+SPARK_CHARSET = {"utf-8": "utf-8", "utf8": "utf-8", "latin-1": "iso-8859-1", "latin1": "iso-8859-1",
+                 "iso-8859-1": "iso-8859-1"}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -44,7 +47,7 @@ def read_csv_multi_encoding(spark: SparkSession, path: str, encodings=ENCODINGS,
                             infer_schema: bool = True, schema=None, standardize: bool = True) -> DataFrame:
     """Read CSV with the first working encoding; standardise names; NaN -> NULL."""
     enc = detect_encoding(spark, path, encodings)
-    r = spark.read.option("header", header).option("encoding", enc)
+    r = spark.read.option("header", header).option("encoding", SPARK_CHARSET.get(enc.lower(), enc))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
     df = r.csv(path)
     if standardize:
