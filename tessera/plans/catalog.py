@@ -728,3 +728,31 @@ def q_verdict_counts(spark, sf):
 @query("confirmed_insights", f"SELECT id, statement FROM {VERDICT_SQL} v WHERE verdict = 'TRUE'")
 def q_confirmed_insights(spark, sf):
     return hyp.confirmed_insights(_verdicts(spark, sf))
+
+
+# -- remaining selection / encoding items ------------------------------------
+
+@query("base_columns", f"SELECT o_totalprice, n_lines, sum_qty, sum_price, avg_discount, avg_tax, c_acctbal, late "
+                       f"FROM {STD_FEATS_SQL} s")
+def q_base_columns(spark, sf):
+    f = _std_frame(spark, sf)
+    return round_doubles(f.select(*select.base_columns(f, 8, exclude=("_src_idx",))))
+
+
+@query("label_decode", f"""SELECT _src_idx, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER)
+  AS o_orderpriority_idx, o_orderpriority AS decoded FROM {OF} t""")
+def q_label_decode(spark, sf):
+    enc, model = features.label_encode(order_frame(spark, sf).select("_src_idx", "o_orderpriority"), "o_orderpriority")
+    dec = features.label_decode(enc, "o_orderpriority_idx", list(model.labels), "decoded")
+    return dec.select("_src_idx", F.col("o_orderpriority_idx").cast("int").alias("o_orderpriority_idx"), "decoded")
+
+
+@query("target_config", f"""SELECT 'late' AS target_col, CASE WHEN count(DISTINCT late) <= 15 THEN 'classification'
+  WHEN count(DISTINCT late) <= 30 THEN 'classification' WHEN count(DISTINCT late) * 1.0 / count(*) < 0.05
+  THEN 'classification' ELSE 'regression' END AS problem_type, count(DISTINCT late) AS nunique, count(*) AS n FROM {OF} t""")
+def q_target_config(spark, sf):
+    """No target given: the last numeric column (older rule), typed by the problem-type rules."""
+    f = order_frame(spark, sf)
+    t = features.choose_target(f)
+    return features.detect_problem_type(f, [t]).select(F.col("column").alias("target_col"), "problem_type",
+                                                       "nunique", "n")

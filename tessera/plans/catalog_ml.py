@@ -151,3 +151,22 @@ def q_export_filtered_csv(spark, sf):
 def q_stats_report_table(spark, sf):
     md = files.stats_report_table(profile.column_profile(order_frame(spark, sf)))
     return spark.createDataFrame([(md,)], "markdown string")
+
+
+@query("ml_ready_layer")
+def q_ml_ready_layer(spark, sf):
+    """Feature layer minus redundant and id-like columns (the reference's ml_ready table)."""
+    from tessera.operators import assoc, features
+    f, _ = features.standard_features(order_frame(spark, sf), target="late", exclude=("_src_idx",))
+    pruned, _dropped = assoc.prune_columns(f, "late", 0.95)
+    return pruned
+
+
+@query("save_load_model")
+def q_save_load_model(spark, sf):
+    """Fit, save the bundle to shared storage, load it back and score every order."""
+    bundle, _ = _bundle(spark, sf)
+    path = scratch(spark)
+    models.save_bundle(bundle, path)
+    loaded = models.load_bundle(spark, path)
+    return models.predict_all(loaded, order_frame(spark, sf)).select("_src_idx", "prediction", "prediction_proba")

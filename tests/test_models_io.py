@@ -112,3 +112,17 @@ def test_layers_are_versioned(spark, frame):
     assert files.layer_exists(spark, base, "silver") and not files.layer_exists(spark, base, "gold")
     files.write_config(spark, {"target_col": "late", "insights": ["a"]}, f"{base}/cfg")
     assert files.read_config(spark, f"{base}/cfg") == {"target_col": "late", "insights": ["a"]}
+
+
+def test_regression_catalog(frame):
+    f = split.kfold_assign(frame, "_src_idx", 2)
+    prepared, _ = models.prepare(f, ["n_lines", "sum_qty", "sum_price"], ["o_orderpriority"], "o_totalprice",
+                                 "regression")
+    cat = models.model_catalog("regression", 42, trees=5, rounds=3)
+    res = models.cv_compare(prepared, "regression", cat, 2)
+    assert set(res) == {"RandomForest", "GradientBoosting", "Ridge"}
+    assert all(v["mean"] > models.FAIL_SCORE for v in res.values())
+    b = models.fit_bundle(frame, ["n_lines", "sum_qty", "sum_price"], ["o_orderpriority"], "o_totalprice",
+                          "regression", cat["Ridge"], "Ridge")
+    out = models.predict_all(b, frame)
+    assert out.count() == frame.count() and dict(out.dtypes)["prediction"] == "double"
