@@ -5,9 +5,11 @@ Rows are ranked by (h, key) inside their class; the test share and the fold
 number follow from that rank, so class proportions are exact.
 
 The rank is computed without a window over a whole class: rows are spread
-over 4096 buckets by the first three hex digits of ``h`` (uniform, so a huge
-class splits evenly), bucket sizes give offsets, and only the window inside
-one (class, bucket) is sorted.
+over 16**5 (about a million) buckets by the first five hex digits of ``h``
+(uniform, so a huge class splits evenly: 10^12 rows give about 10^6 rows per
+sorted task), bucket sizes give offsets, and only the window inside one
+(class, bucket) is sorted. The bucket-size table joins back on the same
+(class, bucket) partitioning the window needs, so the rows shuffle once.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.quantile import quantile_row
 
-HASH_BUCKETS_HEX = 3  # 16**3 = 4096 buckets
+HASH_BUCKETS_HEX = 5  # 16**5 buckets
 
 
 def hash_rank(df: DataFrame, key: str, seed: int = 42, by: str | None = None) -> DataFrame:
@@ -26,14 +28,14 @@ def hash_rank(df: DataFrame, key: str, seed: int = 42, by: str | None = None) ->
     g = F.col(by) if by else F.lit(0)
     d = df.withColumn("_h", h).withColumn("_g", g).withColumn("_b", F.substring("_h", 1, HASH_BUCKETS_HEX))
     sizes = d.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy("_g").orderBy("_b")  # <= 4096 rows per group
+    wb = Window.partitionBy("_g").orderBy("_b")  # <= 16**5 rows per group
     sizes = (sizes.withColumn("_off", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
                   .withColumn("_group_n", F.sum("_bn").over(Window.partitionBy("_g")))
                   .select("_g", "_b", F.coalesce("_off", F.lit(0)).alias("_off"), "_group_n"))
     w = Window.partitionBy("_g", "_b").orderBy("_h", key)
     ranked = d.withColumn("_r", F.row_number().over(w))
-    # sizes: at most groups x 4096 rows
-    out = ranked.join(F.broadcast(sizes), ["_g", "_b"]).withColumn("_rank", F.col("_off") + F.col("_r"))
+    # sizes: at most groups x 16**5 rows; the planner (AQE) decides whether to broadcast it
+    out = ranked.join(sizes, ["_g", "_b"]).withColumn("_rank", F.col("_off") + F.col("_r"))
     return out.drop("_g", "_b", "_r", "_off")
 
 

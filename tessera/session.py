@@ -87,14 +87,28 @@ def env_flag(name: str, default: str = "") -> str:
     return os.environ.get(name, default)
 
 
+_COSTLY_NODES = ("Join", "Aggregate", "Window", "Generate", "Sort", "Expand", "Union")
+
+
+def is_costly(df: DataFrame) -> bool:
+    """True when re-reading ``df`` recomputes joins/aggregates (not just a file scan)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(n in plan for n in _COSTLY_NODES)
+
+
 @contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, force: bool = False):
     """Keep ``df`` (usually a narrow column projection) across the passes of a
     multi-pass operator whose result is collected inside the block.
 
-    Lost blocks are recomputed from lineage, so executor loss is survivable;
-    the cache is released on exit.
+    Only done when re-reading would recompute joins or aggregates: a plain
+    column-pruned parquet scan is cheaper to read again than to cache at
+    scale. Lost blocks are recomputed from lineage, so executor loss is
+    survivable; the cache is released on exit.
     """
+    if not (force or is_costly(df)):
+        yield df
+        return
     d = df.persist(level)
     try:
         yield d
