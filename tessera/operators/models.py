@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tessera.operators.metrics import accuracy as acc_metric
 from tessera.operators.metrics import rmse_r2
 from tessera.operators.split import hash_rank, kfold_assign
+from tessera.session import persisted
 
 FAIL_SCORE = -9999.0
 
@@ -65,15 +66,21 @@ def prepare(df: DataFrame, numeric, categorical, label, problem_type):
     return fm.transform(d), fm
 
 
-def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 30) -> dict:
+def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 20,
+                  tree_memory_mb: int = 128) -> dict:
     """Estimators per problem type: random forest (``trees``), gradient boosting
-    (``rounds`` boosting rounds), logistic / ridge. GBTClassifier is binary-only."""
+    (``rounds`` boosting rounds), logistic / ridge. GBTClassifier is binary-only.
+
+    ``tree_memory_mb`` caps the split statistics one task holds per pass
+    (Spark's default is 256 MB per task, which several concurrent tasks on a
+    small executor cannot afford)."""
+    mem = {"maxMemoryInMB": tree_memory_mb}
     if problem_type == "classification":
-        return {"RandomForest": RandomForestClassifier(numTrees=trees, seed=seed),
-                "GradientBoosting": GBTClassifier(maxIter=rounds, seed=seed),
+        return {"RandomForest": RandomForestClassifier(numTrees=trees, seed=seed, **mem),
+                "GradientBoosting": GBTClassifier(maxIter=rounds, seed=seed, **mem),
                 "LogisticRegression": LogisticRegression(maxIter=1000)}
-    return {"RandomForest": RandomForestRegressor(numTrees=trees, seed=seed),
-            "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed),
+    return {"RandomForest": RandomForestRegressor(numTrees=trees, seed=seed, **mem),
+            "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed, **mem),
             "Ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0)}
 
 
@@ -114,12 +121,12 @@ def cv_compare(prepared: DataFrame, problem_type: str, models: dict, k: int) ->
 
 # search spaces: (kind, low, high, log)
 # Ranges follow the reference's search space, bounded where Spark's cost model differs:
-# boosting rounds run as sequential distributed jobs (<= 60 rounds here) and tree depth
-# grows node statistics exponentially (<= 12).
+# boosting rounds run as sequential distributed jobs (<= 40 rounds here) and tree depth
+# grows node statistics exponentially (<= 10).
 SEARCH_SPACE = {
-    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 12, False),
+    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 10, False),
                      "minInstancesPerNode": ("int", 1, 10, False)},
-    "GradientBoosting": {"maxIter": ("int", 10, 60, False), "stepSize": ("float", 0.01, 0.3, True),
+    "GradientBoosting": {"maxIter": ("int", 10, 40, False), "stepSize": ("float", 0.01, 0.3, True),
                          "maxDepth": ("int", 2, 8, False), "subsamplingRate": ("float", 0.5, 1.0, False)},
     "LogisticRegression": {"regParam": ("float", 0.001, 100.0, True)},
     "Ridge": {"regParam": ("float", 0.001, 100.0, True)},
@@ -145,18 +152,21 @@ def tune_top(prepared: DataFrame, problem_type: str, models: dict, baseline: dic
     rng = random.Random(seed)
     tuned = {}
     for name in names:
-        best_p, best_s = {}, -math.inf
+        best_p, best_s, best_sd = {}, -math.inf, 0.0
         for _ in range(trials):
             p = sample_params(name, rng)
             est = models[name].copy(p and {models[name].getParam(k2): v for k2, v in p.items()})
             try:
-                s = _mean_std(cv_scores(est, prepared, problem_type, tune_folds or k))[0]
+                s, sd = _mean_std(cv_scores(est, prepared, problem_type, tune_folds or k))
             except Exception:
-                s = FAIL_SCORE
+                s, sd = FAIL_SCORE, 0.0
             if s > best_s:
-                best_p, best_s = p, s
+                best_p, best_s, best_sd = p, s, sd
         est = models[name].copy({models[name].getParam(k2): v for k2, v in best_p.items()})
-        m, sd = _mean_std(cv_scores(est, prepared, problem_type, k))
+        if tune_folds is None or tune_folds == k:
+            m, sd = best_s, best_sd  # the trial already used these folds
+        else:
+            m, sd = _mean_std(cv_scores(est, prepared, problem_type, k))
         tuned[name] = {"estimator": est, "params": best_p, "mean": m, "std": sd}
     return tuned
 
@@ -232,7 +242,9 @@ class ModelBundle:
 def fit_bundle(train: DataFrame, numeric, categorical, target, problem_type, estimator, name="model",
                params=None) -> ModelBundle:
     d, labels = with_label(train, target, problem_type)
-    pm = Pipeline(stages=feature_stages(numeric, categorical) + [estimator]).fit(d)
+    # fitting reads the input several times (metadata, split candidates, training)
+    with persisted(d) as dd:
+        pm = Pipeline(stages=feature_stages(numeric, categorical) + [estimator]).fit(dd)
     return ModelBundle(pm, target, problem_type, name, list(numeric), list(categorical), labels,
                        params=params or {})
 

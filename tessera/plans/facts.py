@@ -29,7 +29,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = load_table(spark, sf_dir, "nation")
     r = load_table(spark, sf_dir, "region")
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    return checked_broadcast(geo, 10_000)
+    return checked_broadcast(geo, 10_000, cache_key=f"geo:{sf_dir}")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,15 +72,25 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+_SIZE_CHECKS: dict = {}
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000, cache_key: str | None = None) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``); above
     the bound the frame is returned unhinted and the planner falls back to a
     shuffle join (AQE may still convert it at runtime from real sizes).
+    ``cache_key`` (e.g. the source path) reuses a check within the session.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), cache_key, max_rows) if cache_key else None
+    if key is not None and key in _SIZE_CHECKS:
+        small = _SIZE_CHECKS[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def env_flag(name: str, default: str = "") -> str:

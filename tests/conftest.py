@@ -14,7 +14,7 @@ SF_ORACLE = os.environ.get("TESSERA_ORACLE_SF", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_spark, checkpoint_dir
-    s = get_spark(master="local[*]", shuffle_partitions=8)
+    s = get_spark(master="local[*]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
     checkpoint_dir(s)
     yield s
 
