@@ -144,7 +144,7 @@ NULLED_OF = f"""(SELECT _src_idx,
 
 
 @query("null_report", "\nUNION ALL\n".join(
-    f"SELECT {S.lit(c)} AS \"column\", count_if({S.q(c)} IS NULL) AS nulls FROM {NULLED_OF} t "
+    f"SELECT {S.lit(c)} AS \"column\", count(*) FILTER (WHERE {S.q(c)} IS NULL) AS nulls FROM {NULLED_OF} t "
     f"HAVING count_if({S.q(c)} IS NULL) > 0" for c, _ in S.ORDER_COLS))
 def q_null_report(spark, sf):
     return profile.null_report(_nulled_orders(spark, sf))
@@ -154,7 +154,7 @@ def _iqr_sql(src, cols, d=6):
     parts = []
     for c in cols:
         x = f"CAST({S.q(c)} AS DOUBLE)"
-        parts.append(f"""SELECT {S.lit(c)} AS "column", count_if({x} < lo OR {x} > hi) AS outliers, round(q1, {d}) AS q1,
+        parts.append(f"""SELECT {S.lit(c)} AS "column", count(*) FILTER (WHERE {x} < lo OR {x} > hi) AS outliers, round(q1, {d}) AS q1,
   round(q3, {d}) AS q3, round(lo, {d}) AS lower, round(hi, {d}) AS upper FROM {src} s,
   (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
     (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM {src} s2) a) b
@@ -213,7 +213,7 @@ def _box_sql(src, cols, d=6):
         parts.append(f"""SELECT {S.lit(c)} AS "column", round(q1, {d}) AS q1, round(q2, {d}) AS median, round(q3, {d}) AS q3,
   round(q3 - q1, {d}) AS iqr, round(min(CASE WHEN {x} >= lo AND {x} <= hi THEN {x} END), {d}) AS whisker_low,
   round(max(CASE WHEN {x} >= lo AND {x} <= hi THEN {x} END), {d}) AS whisker_high,
-  count_if({x} IS NOT NULL AND NOT ({x} >= lo AND {x} <= hi)) AS fliers
+  count(*) FILTER (WHERE {x} IS NOT NULL AND NOT ({x} >= lo AND {x} <= hi)) AS fliers
 FROM {src} s, (SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
   (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS q2, quantile_cont({x}, 0.75) AS q3
    FROM {src} s2) a) b GROUP BY q1, q2, q3, lo, hi""")
@@ -537,8 +537,8 @@ def q_accuracy(spark, sf):
     return round_doubles(metrics.accuracy(scored_frame(spark, sf), "late", "prediction"))
 
 
-@query("binary_cells", f"""SELECT count_if(late = 0 AND prediction = 0.0) AS tn, count_if(late = 0 AND prediction = 1.0) AS fp,
-  count_if(late = 1 AND prediction = 0.0) AS fn, count_if(late = 1 AND prediction = 1.0) AS tp FROM {SC} s""")
+@query("binary_cells", f"""SELECT count(*) FILTER (WHERE late = 0 AND prediction = 0.0) AS tn, count(*) FILTER (WHERE late = 0 AND prediction = 1.0) AS fp,
+  count(*) FILTER (WHERE late = 1 AND prediction = 0.0) AS fn, count(*) FILTER (WHERE late = 1 AND prediction = 1.0) AS tp FROM {SC} s""")
 def q_binary_cells(spark, sf):
     return metrics.binary_cells(scored_frame(spark, sf), "late", "prediction")
 
@@ -586,7 +586,7 @@ def q_classification_report(spark, sf):
 
 
 @query("class_distribution_compare", f"""
-SELECT label, count_if(w = 0) AS actual_count, count_if(w = 1) AS predicted_count FROM (
+SELECT label, count(*) FILTER (WHERE w = 0) AS actual_count, count(*) FILTER (WHERE w = 1) AS predicted_count FROM (
   SELECT 0 AS w, {LAB_A} AS label FROM {SC} a UNION ALL SELECT 1, {LAB_P} FROM {SC} b) u
 WHERE label IS NOT NULL GROUP BY label""")
 def q_class_distribution_compare(spark, sf):
@@ -595,8 +595,8 @@ def q_class_distribution_compare(spark, sf):
 
 @query("error_rate_by_class", f"""
 WITH d AS (SELECT {LAB_A} AS label, {LAB_A} <> {LAB_P} AS wrong FROM {SC} s WHERE late IS NOT NULL),
-u AS (SELECT label, count(*) AS "rows", count_if(wrong) AS errors FROM d GROUP BY label
-      UNION ALL SELECT 'ALL', count(*), count_if(wrong) FROM d)
+u AS (SELECT label, count(*) AS "rows", count(*) FILTER (WHERE wrong) AS errors FROM d GROUP BY label
+      UNION ALL SELECT 'ALL', count(*), count(*) FILTER (WHERE wrong) FROM d)
 SELECT label, "rows", errors, round(errors * 1.0 / "rows", 6) AS error_rate, round(1 - errors * 1.0 / "rows", 6) AS accuracy
 FROM u""")
 def q_error_rate_by_class(spark, sf):

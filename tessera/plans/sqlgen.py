@@ -8,7 +8,7 @@ from __future__ import annotations
 
 LATE_SQL = "CASE WHEN l.l_shipdate > o.o_orderdate + INTERVAL 30 DAY THEN 1 ELSE 0 END"
 
-LINE_LATE = f"""(SELECT l.*, o.*, date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS delay_days,
+LINE_LATE = f"""(SELECT l.*, o.*, CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS INTEGER) AS delay_days,
   {LATE_SQL} AS late FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 LINE_FACTS = f"""(SELECT lf.*, c.c_acctbal, c.c_mktsegment, n.n_name, r.r_name FROM {LINE_LATE} lf
