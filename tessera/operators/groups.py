@@ -136,20 +136,32 @@ def late_by_state_top10(df: DataFrame, key: str, pred: str = "prediction", posit
               .orderBy(F.desc("count"), F.asc(key)).limit(top))
 
 
+MAX_DASHBOARD_LEVELS = 1000
+
+
+def _bounded_levels(df: DataFrame, col: str, limit: int) -> None:
+    n = df.select(col).distinct().limit(limit + 1).count()
+    if n > limit:
+        raise ValueError(f"{col} has more than {limit} levels; pick a low-cardinality column for the dashboard")
+
+
 def dashboard_summary(df: DataFrame, key: str, pred: str = "prediction", proba: str = "prediction_proba",
                       importance: DataFrame | None = None, verdicts: DataFrame | None = None,
                       top_features: int = 8) -> DataFrame:
     """One JSON record for the dashboard: KPIs, class distribution, per-category
     rates, top feature importances and verdict counts.
 
-    Every piece is an aggregate bounded by class / category / feature counts;
-    only those small results reach the driver.
+    Every piece is an aggregate bounded by class / category / feature counts
+    (checked before collecting: a high-cardinality column raises instead of
+    being truncated); only those small results reach the driver.
     """
     spark = df.sparkSession
+    _bounded_levels(df, pred, MAX_DASHBOARD_LEVELS)
+    _bounded_levels(df, key, MAX_DASHBOARD_LEVELS)
     k = prediction_kpis(df, pred, proba).first().asDict()
     dist = [r.asDict() for r in df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("cls").limit(1000).collect()]
-    cats = [r.asDict() for r in predicted_rate_by_category(df, key, pred).limit(100).collect()]
+            .orderBy("cls").collect()]
+    cats = [r.asDict() for r in predicted_rate_by_category(df, key, pred).collect()]
     imp = ([r.asDict() for r in importance.orderBy(F.desc("importance")).limit(top_features).collect()]
            if importance is not None else [])
     ver = ([r.asDict() for r in verdicts.groupBy("verdict").count().orderBy("verdict").collect()]
