@@ -33,13 +33,15 @@ def _long(df: DataFrame, cols: list[str], value_type: str = "double") -> DataFra
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 256,
-                    max_distinct: int = 1_000_000, max_levels: int = 6) -> DataFrame:
+                    max_distinct: int = 20_000, max_levels: int = 8) -> DataFrame:
     """Exact linear-interpolated quantiles: (name string, q double, value double).
 
     Driver-coordinated, every collected table is bounded by
     ``len(cols) * len(probs) * buckets``:
 
-    * pass 1: per column row count and approximate distinct count;
+    * pass 1: per column row count and approximate distinct count; a column
+      with at most ``max_distinct`` rows uses Spark's exact ``percentile``
+      (its buffer then holds at most that many values);
     * while a wanted rank lies in a value interval with more than
       ``max_distinct`` distinct values: approximate edges inside the interval
       (``percentile_approx``), exact counts per sub-bucket (JVM binary search
@@ -66,7 +68,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
 def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels) -> list:
     spark = src.sparkSession
     p = len(cols)
-    counts = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)]).first()
+    counts = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)],
+                     *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(p)]).first()
     small = [i for i in range(p) if counts[f"n{i}"] <= max_distinct]
     large = [i for i in range(p) if counts[f"n{i}"] > max_distinct]
     rows = []
@@ -79,9 +82,8 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
                 rows.append((cols[i], float(qv), None if vals is None else vals[j]))
     if not large:
         return rows
-    dist = src.agg(*[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in large]).first()
     st = {f"n{i}": counts[f"n{i}"] for i in large}
-    st.update({f"d{i}": dist[f"d{i}"] for i in large})
+    st.update({f"d{i}": counts[f"d{i}"] for i in large})
     # targets: (column, q, which) -> global 0-based rank
     targets = []
     for i in large:
