@@ -37,29 +37,35 @@ def rmse_r2(df: DataFrame, actual: str, pred: str) -> DataFrame:
                   (F.lit(1.0) - F.try_divide(F.sum((a - p) ** 2), F.var_pop(a) * F.count(F.lit(1)))).alias("r2"))
 
 
-def _labels(df: DataFrame, actual: str, pred: str) -> list[str]:
-    both = df.select(F.inline(F.array(F.struct(label_col(df, actual).alias("v")),
-                                      F.struct(label_col(df, pred).alias("v")))))
-    vals = [r["v"] for r in both.where(F.col("v").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(vals) > MAX_CLASSES:
+def _cells(df: DataFrame, actual: str, pred: str) -> list:
+    """Observed (actual, predicted, count) cells in one grouped pass (nulls kept
+    as their own keys so a label seen only next to a null still counts).
+    Bounded by the number of classes squared, checked before collecting."""
+    cells = (df.select(label_col(df, actual).alias("a"), label_col(df, pred).alias("p"))
+               .groupBy("a", "p").agg(F.count(F.lit(1)).alias("n")))
+    rows = cells.limit((MAX_CLASSES + 1) ** 2 + 1).collect()
+    if len(rows) > (MAX_CLASSES + 1) ** 2:
         raise ValueError("too many classes for a confusion matrix")
-    return sorted(vals)
+    return rows
+
+
+def _grid(rows, labels):
+    counts = {(r["a"], r["p"]): r["n"] for r in rows if r["a"] is not None and r["p"] is not None}
+    if labels is None:
+        labels = sorted({r["a"] for r in rows if r["a"] is not None} | {r["p"] for r in rows if r["p"] is not None})
+    if len(labels) > MAX_CLASSES:
+        raise ValueError("too many classes for a confusion matrix")
+    return labels, [(a, p, int(counts.get((a, p), 0))) for a in labels for p in labels]
 
 
 def confusion_matrix(df: DataFrame, actual: str, pred: str, labels: list[str] | None = None) -> DataFrame:
     """(actual, predicted, count) for every label pair, zero cells kept.
 
-    The label grid (classes^2 rows, bounded) is built on the driver and
-    broadcast; observed counts come from one grouped aggregate.
+    One grouped aggregate produces the observed cells (classes^2 rows at
+    most, checked); the full label grid is completed from that bounded table.
     """
-    spark = df.sparkSession
-    labels = labels if labels is not None else _labels(df, actual, pred)
-    grid = spark.createDataFrame([(a, p) for a in labels for p in labels], "actual string, predicted string")
-    obs = (df.select(label_col(df, actual).alias("actual"), label_col(df, pred).alias("predicted"))
-             .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
-             .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("count")))
-    return (F.broadcast(grid).join(obs, ["actual", "predicted"], "left")
-            .select("actual", "predicted", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
+    _, grid = _grid(_cells(df, actual, pred), labels)
+    return df.sparkSession.createDataFrame(grid, "actual string, predicted string, count long")
 
 
 def binary_cells(df: DataFrame, actual: str, pred: str, positive="1.0") -> DataFrame:
@@ -75,32 +81,28 @@ def classification_report(df: DataFrame, actual: str, pred: str, labels: list[st
 
     Zero divisions give 0 (scikit-learn's zero_division default output).
     The accuracy row carries the accuracy in all three metric columns.
+    Computed from the bounded confusion cells of one grouped pass.
     """
-    cm = confusion_matrix(df, actual, pred, labels)
-    per = (cm.groupBy(F.col("actual").alias("label"))
-             .agg(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))).alias("tp"),
-                  F.sum("count").alias("support")))
-    pc = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("count").alias("pred_n"))
-    cls = (per.join(pc, "label")
-              .withColumn("precision", F.coalesce(F.try_divide(F.col("tp") * 1.0, F.col("pred_n")), F.lit(0.0)))
-              .withColumn("recall", F.coalesce(F.try_divide(F.col("tp") * 1.0, F.col("support")), F.lit(0.0)))
-              .withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
-                                                        F.col("precision") + F.col("recall")), F.lit(0.0))))
-    tot = cls.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("k"),
-                  F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.try_divide(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-                  F.try_divide(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-                  F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"))
-    acc = F.coalesce(F.try_divide(F.col("tp") * 1.0, F.col("n")), F.lit(0.0))
-    summary = tot.select(F.inline(F.array(
-        F.struct(F.lit("accuracy").alias("label"), acc.alias("precision"), acc.alias("recall"), acc.alias("f1"),
-                 F.col("n").alias("support")),
-        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("weighted avg").alias("label"), F.col("wp").alias("precision"), F.col("wr").alias("recall"),
-                 F.col("wf").alias("f1"), F.col("n").alias("support")))))
-    return cls.select("label", "precision", "recall", "f1", F.col("support").cast("long").alias("support")).unionByName(
-        summary.withColumn("support", F.col("support").cast("long")))
+    labels, grid = _grid(_cells(df, actual, pred), labels)
+    tp = {a: n for a, p, n in grid if a == p}
+    support = {lab: sum(n for a, _, n in grid if a == lab) for lab in labels}
+    pred_n = {lab: sum(n for _, p, n in grid if p == lab) for lab in labels}
+
+    def div(a, b):
+        return a / b if b else 0.0
+    rows = []
+    for lab in labels:
+        pr, rc = div(tp.get(lab, 0), pred_n[lab]), div(tp.get(lab, 0), support[lab])
+        rows.append((lab, pr, rc, div(2 * pr * rc, pr + rc), support[lab]))
+    n = sum(support.values())
+    acc = div(sum(tp.values()), n)
+    k = len(rows)
+    rows.append(("accuracy", acc, acc, acc, n))
+    rows.append(("macro avg", div(sum(r[1] for r in rows[:k]), k), div(sum(r[2] for r in rows[:k]), k),
+                 div(sum(r[3] for r in rows[:k]), k), n))
+    rows.append(("weighted avg", div(sum(r[1] * r[4] for r in rows[:k]), n), div(sum(r[2] * r[4] for r in rows[:k]), n),
+                 div(sum(r[3] * r[4] for r in rows[:k]), n), n))
+    return df.sparkSession.createDataFrame(rows, "label string, precision double, recall double, f1 double, support long")
 
 
 def class_distribution_compare(df: DataFrame, actual: str, pred: str) -> DataFrame:
