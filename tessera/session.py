@@ -102,7 +102,10 @@ _COSTLY_NODES = ("Join", "Aggregate", "Window", "Generate", "Sort", "Expand", "U
 
 def is_costly(df: DataFrame) -> bool:
     """True when re-reading ``df`` recomputes joins/aggregates (not just a file scan)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # no JVM handle (e.g. a remote session): assume costly
+        return True
     if "InMemoryRelation" in plan:  # already served from the cache
         return False
     return any(n in plan for n in _COSTLY_NODES)
