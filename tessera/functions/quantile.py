@@ -39,51 +39,80 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     Driver-coordinated, every collected table is bounded by
     ``len(cols) * len(probs) * buckets``:
 
-    * pass 1: per column row count and approximate distinct count; a column
+    * pass 1: per column row count, approximate distinct count and
+      approximate edges of the whole column (``percentile_approx``); a column
       with at most ``max_distinct`` rows uses Spark's exact ``percentile``
       (its buffer then holds at most that many values);
     * while a wanted rank lies in a value interval with more than
-      ``max_distinct`` distinct values: approximate edges inside the interval
-      (``percentile_approx``), exact counts per sub-bucket (JVM binary search
-      via ``Bucketizer``), keep the sub-bucket holding the rank;
+      ``max_distinct`` distinct values: exact counts per sub-bucket between
+      the interval's approximate edges (JVM binary search via ``Bucketizer``),
+      keep the sub-bucket holding the rank, and take approximate edges inside
+      it for the next level;
     * final pass: distinct values of the final intervals only, ranked with a
       window partitioned by interval (at most ``max_distinct`` values each).
 
     A value repeated a billion times is one distinct value, so hot values
     never make a task large.
     """
-    spark = df.sparkSession
+    rows, _ = quantiles_with_aggs(df, cols, probs, buckets=buckets, max_distinct=max_distinct,
+                                  max_levels=max_levels)
+    return df.sparkSession.createDataFrame(rows, "name string, q double, value double")
+
+
+def quantiles_with_aggs(df: DataFrame, cols: list[str], probs: list[float], extra: list | None = None,
+                        buckets: int = 256, max_distinct: int = 20_000, max_levels: int = 8):
+    """Exact quantiles of ``cols`` plus ``extra`` aggregates over ``df`` in the same first pass.
+
+    Returns (rows, extra_row): rows as in :func:`exact_quantiles`, extra_row
+    the one-row result of ``extra`` (``None`` when no extra aggregate is
+    given). Folding the caller's statistics (count, mean, min, ...) into the
+    quantiles' first pass saves one scan of the input.
+    """
     cols = list(cols)
-    out_schema = "name string, q double, value double"
-    if not cols:
-        return spark.createDataFrame([], out_schema)
-    p = len(cols)
-    src = df.select([F.when(F.isnan(df[c].cast("double")), None).otherwise(df[c].cast("double")).alias(f"v{i}")
-                     for i, c in enumerate(cols)])
+    extra = list(extra or [])
+    if not cols and not extra:
+        return [], None
+    vals = [F.when(F.isnan(df[c].cast("double")), None).otherwise(df[c].cast("double")).alias(_vn(i))
+            for i, c in enumerate(cols)]
+    keep = [F.col(f"`{c}`") for c in df.columns] if extra else []
+    src = df.select(*vals, *keep)
     with persisted(src) as src:
-        rows = _exact_quantile_rows(src, cols, probs, buckets, max_distinct, max_levels)
-    return spark.createDataFrame(rows, out_schema)
+        return _exact_quantile_rows(src, cols, probs, buckets, max_distinct, max_levels, extra)
+
 
+def _vn(i: int) -> str:
+    return f"__q{i}"
 
-def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels) -> list:
+
+def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels, extra) -> tuple:
     spark = src.sparkSession
     p = len(cols)
-    counts = src.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in range(p)],
-                     *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(p)]).first()
+    acc = max(10_000, 10 * buckets)
+    grid = [j / buckets for j in range(1, buckets)]
+    # pass 1: counts, approximate distinct counts, approximate whole-column edges, caller's aggregates
+    first = src.agg(*[F.count(_vn(i)).alias(f"__n{i}") for i in range(p)],
+                    *[F.approx_count_distinct(_vn(i)).alias(f"__d{i}") for i in range(p)],
+                    *[F.percentile_approx(_vn(i), grid, acc).alias(f"__e{i}") for i in range(p)],
+                    *extra).first()
+    extra_row = first if extra else None
+    counts = {f"n{i}": first[f"__n{i}"] for i in range(p)}
+    counts.update({f"d{i}": first[f"__d{i}"] for i in range(p)})
     small = [i for i in range(p) if counts[f"n{i}"] <= max_distinct]
     large = [i for i in range(p) if counts[f"n{i}"] > max_distinct]
     rows = []
     if small:
         # at most max_distinct values per column: the exact percentile buffer is bounded
-        r = src.agg(*[F.percentile(f"v{i}", [float(x) for x in probs]).alias(f"p{i}") for i in small]).first()
+        r = src.agg(*[F.percentile(_vn(i), [float(x) for x in probs]).alias(f"p{i}") for i in small]).first()
         for i in small:
             vals = r[f"p{i}"]
             for j, qv in enumerate(probs):
                 rows.append((cols[i], float(qv), None if vals is None else vals[j]))
     if not large:
-        return rows
+        return rows, extra_row
     st = {f"n{i}": counts[f"n{i}"] for i in large}
     st.update({f"d{i}": counts[f"d{i}"] for i in large})
+    # edges of each column's whole range, already known from pass 1
+    known_edges = {(i, -math.inf, math.inf): first[f"__e{i}"] for i in large}
     # targets: (column, q, which) -> global 0-based rank
     targets = []
     for i in large:
@@ -98,14 +127,13 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
     for t_i, t in enumerate(targets):
         for w, r in enumerate(t["ranks"]):
             state[(t_i, w)] = [t["k"], -math.inf, math.inf, 0, st[f"d{t['k']}"], r]
-    acc = max(10_000, 10 * buckets)
-    grid = [j / buckets for j in range(1, buckets)]
     for _level in range(max_levels):
         active = sorted({(v[0], v[1], v[2]) for v in state.values() if v[4] > max_distinct})
         if not active:
             break
+
         def in_iv(k, lo, hi):
-            c = F.col(f"v{k}")
+            c = F.col(_vn(k))
             cond = c.isNotNull()
             if lo != -math.inf:
                 cond = cond & (c >= F.lit(lo))
@@ -113,10 +141,16 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
                 cond = cond & (c < F.lit(hi))
             return F.when(cond, c)
         w = src.select([in_iv(k, lo, hi).alias(f"w{j}") for j, (k, lo, hi) in enumerate(active)])
-        er = w.agg(*[F.percentile_approx(f"w{j}", grid, acc).alias(f"e{j}") for j in range(len(active))]).first()
+        edges = {a: known_edges.pop(a) for a in active if a in known_edges}
+        need = [a for a in active if a not in edges]
+        if need:
+            idx = {a: j for j, a in enumerate(active)}
+            er = w.agg(*[F.percentile_approx(f"w{idx[a]}", grid, acc).alias(f"e{m}")
+                         for m, a in enumerate(need)]).first()
+            edges.update({a: er[f"e{m}"] for m, a in enumerate(need)})
         splits, bounds = [], []
         for j, (k, lo, hi) in enumerate(active):
-            e = sorted({x for x in (er[f"e{j}"] or []) if x is not None and lo < x < hi})
+            e = sorted({x for x in (edges[(k, lo, hi)] or []) if x is not None and lo < x < hi})
             splits.append([-math.inf] + e + [math.inf] if e else [-math.inf, 0.0, math.inf])
             bounds.append([lo] + e + [hi] if e else [lo, hi])
         bz = Bucketizer(splitsArray=splits, inputCols=[f"w{j}" for j in range(len(active))],
@@ -152,7 +186,7 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
     fidx = {f: j for j, f in enumerate(finals)}
 
     def in_final(k, lo, hi):
-        c = F.col(f"v{k}")
+        c = F.col(_vn(k))
         cond = c.isNotNull()
         if lo != -math.inf:
             cond = cond & (c >= F.lit(lo))
@@ -160,7 +194,7 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
             cond = cond & (c < F.lit(hi))
         return cond
     long = src.select(F.inline(F.array(*[
-        F.struct(F.lit(j).alias("f"), F.when(in_final(k, lo, hi), F.col(f"v{k}")).alias("v"))
+        F.struct(F.lit(j).alias("f"), F.when(in_final(k, lo, hi), F.col(_vn(k))).alias("v"))
         for j, (k, lo, hi, _b) in enumerate(finals)]))).where(F.col("v").isNotNull())
     vc = long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("c"))
     wv = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -179,30 +213,40 @@ def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max
         v0, v1 = vals
         val = None if v0 is None or v1 is None else v0 + (v1 - v0) * t["frac"]
         rows.append((cols[t["k"]], t["q"], val))
-    return rows
+    return rows, extra_row
 
 
-def quantile_row(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict:
-    """Collect the (bounded) quantile table as {(name, q): value}."""
-    return {(r["name"], r["q"]): r["value"] for r in exact_quantiles(df, cols, probs, **kw).collect()}
+def quantile_row(df: DataFrame, cols: list[str], probs: list[float], extra: list | None = None, **kw):
+    """The (bounded) quantile table as {(name, q): value}.
+
+    With ``extra`` aggregates, returns ({(name, q): value}, extra_row), the
+    aggregates computed in the quantiles' first pass.
+    """
+    rows, extra_row = quantiles_with_aggs(df, cols, probs, extra=extra, **kw)
+    qs = {(n, q): v for n, q, v in rows}
+    return (qs, extra_row) if extra else qs
 
 
-def mode_table(df: DataFrame, cols: list[str], value_type: str = "string") -> DataFrame:
+def mode_table(df: DataFrame, cols: list[str], value_type: str = "string",
+               with_distinct: bool = False) -> DataFrame:
     """Most frequent non-null value per column, smallest value on ties.
 
-    (name, value, freq, n). Counting is a grouped aggregate (map-side
-    combine), the arg-max a ``min(struct(-count, value))`` - no single task
-    ever holds a column's distinct values.
+    (name, value, freq, n[, nunique]). Counting is a grouped aggregate
+    (map-side combine), the arg-max a ``min(struct(-count, value))`` - no
+    single task ever holds a column's distinct values. ``with_distinct``
+    adds the number of distinct values, counted from the same groups.
     """
     spark = df.sparkSession
     if not cols:
-        return spark.createDataFrame([], f"name string, value {value_type}, freq long, n long")
+        extra = ", nunique long" if with_distinct else ""
+        return spark.createDataFrame([], f"name string, value {value_type}, freq long, n long{extra}")
     long = _long(df, cols, value_type) if value_type == "double" else df.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("k"), df[c].cast(value_type).alias("v")) for i, c in enumerate(cols)]))
     ).where(F.col("v").isNotNull())
     vc = long.groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt"))
     best = vc.groupBy("k").agg(F.min(F.struct((-F.col("cnt")).alias("nc"), F.col("v").alias("v"))).alias("m"),
-                              F.sum("cnt").alias("n"))
+                              F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("nunique"))
     names = F.array(*[F.lit(c) for c in cols])
     return best.select(F.element_at(names, F.col("k") + 1).alias("name"),
-                       F.col("m.v").alias("value"), (-F.col("m.nc")).alias("freq"), "n")
+                       F.col("m.v").alias("value"), (-F.col("m.nc")).alias("freq"), "n",
+                       *(["nunique"] if with_distinct else []))

@@ -12,7 +12,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.quantile import exact_quantiles
+from tessera.functions.quantile import quantile_row
+from tessera.session import persisted
 
 
 def _c(c) -> Column:
@@ -45,8 +46,8 @@ def group_mean_derived(df: DataFrame, name: str, expr, target: str, top: int | N
 def quantile_edges(df: DataFrame, col: str, q: int = 4) -> list[float]:
     """Exact quantile edges (0, 1/q, ..., 1) with duplicates dropped (qcut ``duplicates='drop'``)."""
     probs = [i / q for i in range(q + 1)]
-    rows = exact_quantiles(df, [col], probs).collect()
-    vals = [r["value"] for r in sorted(rows, key=lambda r: r["q"]) if r["value"] is not None]
+    qs = quantile_row(df, [col], probs)
+    vals = [qs[(col, p)] for p in probs if qs.get((col, p)) is not None]
     out = []
     for v in vals:
         if not out or v != out[-1]:
@@ -75,11 +76,15 @@ def quantile_buckets(df: DataFrame, col: str, target: str, q: int = 4,
     Unlike ``ntile`` (which splits ties) and ``QuantileDiscretizer``
     (approximate), edges are exact and equal values share a bucket.
     """
-    edges = quantile_edges(df, col, q)
-    b = df.withColumn(name, bucket_expr(col, edges, labels)).where(F.col(name).isNotNull())
-    return (b.groupBy(name).agg(F.avg(F.col(target).cast("double")).alias("mean"),
-                                F.count(target).alias("count"))
-             .orderBy(name))
+    # the edge search and the bucket means share one persisted two-column
+    # projection, so a join feeding ``df`` runs once; the result has at most q rows
+    with persisted(df.select(F.col(col), F.col(target))) as d:
+        edges = quantile_edges(d, col, q)
+        b = d.withColumn(name, bucket_expr(col, edges, labels)).where(F.col(name).isNotNull())
+        rows = (b.groupBy(name).agg(F.avg(F.col(target).cast("double")).alias("mean"),
+                                    F.count(target).alias("count"))
+                 .orderBy(name).collect())
+    return df.sparkSession.createDataFrame(rows, f"`{name}` string, mean double, count long")
 
 
 def group_multi_agg(df: DataFrame, key: str, aggs: dict[str, list[str]]) -> DataFrame:

@@ -112,10 +112,12 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                      F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     with persisted(df) as d:
-        w = d.agg(*aggs).first()
-        qs = quantile_row(d, num, [0.25, 0.5, 0.75])
-        top = {r["name"]: (r["value"], r["freq"]) for r in mode_table(d, strs).collect()}
-        uniq = {r["column"]: r["nunique"] for r in distinct_counts(d, strs).collect()}
+        # one scan: the statistics ride on the quantiles' first pass
+        qs, w = quantile_row(d, num, [0.25, 0.5, 0.75], extra=aggs)
+        # modes and distinct counts come from the same grouped (column, value) count
+        top, uniq = {}, {}
+        for r in mode_table(d, strs, with_distinct=True).collect():
+            top[r["name"]], uniq[r["name"]] = (r["value"], r["freq"]), r["nunique"]
 
     def rd(v):
         if v is None:
