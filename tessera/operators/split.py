@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.quantile import quantile_row
 
@@ -56,6 +57,11 @@ def kfold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None,
 
 def temporal_holdout(df: DataFrame, ts: str, test_frac: float = 0.2) -> tuple[DataFrame, float]:
     """Split by time: rows after the exact (1 - frac) quantile of the timestamp are test."""
-    secs = F.unix_micros(F.col(ts).cast("timestamp")).cast("double") / 1e6
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        # wall-clock timestamps: microseconds since the epoch without any session time zone
+        us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(ts))
+    else:
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+    secs = us.cast("double") / 1e6
     cut = quantile_row(df.select(secs.alias("_t")), ["_t"], [1 - test_frac]).get(("_t", 1 - test_frac))
     return df.withColumn("split", F.when(secs > F.lit(cut), "test").otherwise("train")), cut
