@@ -67,8 +67,8 @@ def standard_features(df: DataFrame, target: str | None = None, exclude=(),
         extra.append((_q(num[0]).cast("double") * _q(num[2]).cast("double")).alias("feat_interact"))
         made.append("feat_interact")
     if len(num) >= 2:
-        extra += [(_q(num[0]).cast("double") ** 2).alias(f"sq_{num[0]}"),
-                  (_q(num[1]).cast("double") ** 2).alias(f"sq_{num[1]}")]
+        extra += [(_q(num[0]).cast("double") * _q(num[0]).cast("double")).alias(f"sq_{num[0]}"),
+                  (_q(num[1]).cast("double") * _q(num[1]).cast("double")).alias(f"sq_{num[1]}")]
         made += [f"sq_{num[0]}", f"sq_{num[1]}"]
     if extra:
         out = out.select("*", *extra)

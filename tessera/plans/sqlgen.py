@@ -15,9 +15,13 @@ LINE_FACTS = f"""(SELECT lf.*, c.c_acctbal, c.c_mktsegment, n.n_name, r.r_name F
   JOIN customer c ON lf.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
+# exact sum of a 2-decimal money column: whole cents as integers, one division
+MONEY_SUM = "CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE)"
+
 ORDER_FRAME = f"""(WITH lines AS (
-  SELECT l.l_orderkey, count(*) AS n_lines, sum(l.l_quantity) AS sum_qty, sum(l.l_extendedprice) AS sum_price,
-         avg(l.l_discount) AS avg_discount, avg(l.l_tax) AS avg_tax, avg({LATE_SQL}) AS late_share
+  SELECT l.l_orderkey, count(*) AS n_lines, sum(l.l_quantity) AS sum_qty, {MONEY_SUM.format(c="l.l_extendedprice")} AS sum_price,
+         {MONEY_SUM.format(c="l.l_discount")} / CAST(count(l.l_discount) AS DOUBLE) AS avg_discount,
+         {MONEY_SUM.format(c="l.l_tax")} / CAST(count(l.l_tax) AS DOUBLE) AS avg_tax, avg({LATE_SQL}) AS late_share
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l.l_orderkey)
 SELECT o.o_orderkey AS _src_idx, o.o_totalprice, li.n_lines, li.sum_qty, li.sum_price, li.avg_discount,
        li.avg_tax, c.c_acctbal, o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, r.r_name, n.n_name,
