@@ -14,7 +14,6 @@ import math
 import random
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.operators.metrics import accuracy as acc_metric
 from tessera.operators.metrics import rmse_r2
 from tessera.operators.split import hash_rank, kfold_assign
-from tessera.session import persisted
+from tessera.session import persist_sized, persisted
 
 FAIL_SCORE = -9999.0
 
@@ -243,8 +242,11 @@ def fit_bundle(train: DataFrame, numeric, categorical, target, problem_type, est
                params=None) -> ModelBundle:
     d, labels = with_label(train, target, problem_type)
     # fitting reads the input several times (metadata, split candidates, training)
-    with persisted(d) as dd:
+    dd = persist_sized(d)
+    try:
         pm = Pipeline(stages=feature_stages(numeric, categorical) + [estimator]).fit(dd)
+    finally:
+        dd.unpersist()
     return ModelBundle(pm, target, problem_type, name, list(numeric), list(categorical), labels,
                        params=params or {})
 
@@ -312,25 +314,37 @@ def boruta_select(prepared_src: DataFrame, numeric: list[str], label: str, key:
     """
     spark = prepared_src.sparkSession
     hits = {c: 0 for c in numeric}
-    base = prepared_src.select(key, label, *numeric)
-    for r in range(rounds):
+    # the source is read twice per round: keep its narrow projection
+    base = persist_sized(prepared_src.select(key, label, *numeric))
+    try:
         a = hash_rank(base, key, seed=seed).select(key, label, *numeric, F.col("_rank").alias("_ra"))
-        b = hash_rank(base.select(key, *numeric), key, seed=seed + 1000 + r).select(
-            F.col("_rank").alias("_ra"), *[F.col(c).alias(f"shadow_{c}") for c in numeric])
-        j = a.join(b, "_ra")
-        cols = numeric + [f"shadow_{c}" for c in numeric]
-        d = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(
-            j.withColumn("label", F.col(label).cast("double")))
-        rf = RandomForestClassifier(numTrees=trees, seed=seed + r, labelCol="label").fit(d)
-        imp = rf.featureImportances.toArray()
-        shadow_max = max(imp[len(numeric):]) if len(imp) > len(numeric) else 0.0
-        for i, c in enumerate(numeric):
-            if imp[i] > shadow_max:
-                hits[c] += 1
+        for r in range(rounds):
+            b = hash_rank(base.select(key, *numeric), key, seed=seed + 1000 + r).select(
+                F.col("_rank").alias("_ra"), *[F.col(c).alias(f"shadow_{c}") for c in numeric])
+            j = a.join(b, "_ra")
+            cols = numeric + [f"shadow_{c}" for c in numeric]
+            # the forest reads its input once per tree level: fit on a sized, persisted frame
+            d = persist_sized(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(
+                j.withColumn("label", F.col(label).cast("double"))).select("features", "label"))
+            try:
+                rf = RandomForestClassifier(numTrees=trees, seed=seed + r, labelCol="label").fit(d)
+            finally:
+                d.unpersist()
+            _record_hits(rf.featureImportances.toArray(), numeric, hits)
+    finally:
+        base.unpersist()
     rows = [(c, hits[c], rounds, hits[c] * 2 > rounds) for c in numeric]
     return spark.createDataFrame(rows, "feature string, hits int, rounds int, selected boolean")
 
 
+def _record_hits(imp, numeric: list[str], hits: dict) -> None:
+    """A real feature scores a hit when its importance beats every shadow's."""
+    shadow_max = max(imp[len(numeric):]) if len(imp) > len(numeric) else 0.0
+    for i, c in enumerate(numeric):
+        if imp[i] > shadow_max:
+            hits[c] += 1
+
+
 def save_bundle(bundle: ModelBundle, path: str) -> None:
     bundle.model.write().overwrite().save(f"{path}/model")
     spark = bundle.model.stages[0].sparkSession if hasattr(bundle.model.stages[0], "sparkSession") else None

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera.operators import groups, models, profile, select, split
 from tessera.plans.catalog import SPECS, _verdicts
 from tessera.plans.facts import ORDER_NUMERIC, load_table, order_frame, scored_frame
 from tessera.plans.registry import query, round_doubles
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, persist_sized
 from tessera.sources import files
 
 CATEGORICAL = ["o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name"]
@@ -40,7 +39,7 @@ def _prepared(spark, sf):
     train = sp.where(F.col("split") == "train").drop("split")
     train = split.kfold_assign(train, "_src_idx", FOLDS, "late", SEED)
     prepared, _fm = models.prepare(train, ORDER_NUMERIC, CATEGORICAL, "late", "classification")
-    return prepared.select("_src_idx", "features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    return persist_sized(prepared.select("_src_idx", "features", "label", "fold"))
 
 
 @query("cv_compare")

@@ -111,6 +111,32 @@ def is_costly(df: DataFrame) -> bool:
     return any(n in plan for n in _COSTLY_NODES)
 
 
+ROWS_PER_TRAINING_TASK = 1_000_000
+
+
+def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_TASK,
+                  level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Persist ``df`` with about ``rows_per_partition`` rows per partition.
+
+    Iterative learners (boosting rounds, tree levels, optimiser steps) run one
+    job per step over every partition of their input; a training frame that
+    comes out of a shuffle has ``spark.sql.shuffle.partitions`` partitions
+    whatever its size, so small frames would pay per-task overhead on every
+    step. The frame is counted once (materialising the cache), then narrowed
+    with ``coalesce`` (no shuffle) when it has more partitions than its size
+    needs; it is never widened. The caller unpersists the result.
+    """
+    d = df.persist(level)
+    n = d.count()
+    want = max(1, -(-n // rows_per_partition))
+    if want >= d.rdd.getNumPartitions():
+        return d
+    c = d.coalesce(want).persist(level)
+    c.count()
+    d.unpersist()
+    return c
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK, force: bool = False):
     """Keep ``df`` (usually a narrow column projection) across the passes of a
