@@ -124,12 +124,16 @@ def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_TAS
     whatever its size, so small frames would pay per-task overhead on every
     step. The frame is counted once (materialising the cache), then narrowed
     with ``coalesce`` (no shuffle) when it has more partitions than its size
-    needs; it is never widened. The caller unpersists the result.
+    needs, but not below the cluster's default parallelism; it is never
+    widened. The caller unpersists the result.
     """
     d = df.persist(level)
     n = d.count()
-    want = max(1, -(-n // rows_per_partition))
-    if want >= d.rdd.getNumPartitions():
+    have = d.rdd.getNumPartitions()
+    # never below the cluster's task slots (while the frame has that many partitions)
+    slots = min(have, df.sparkSession.sparkContext.defaultParallelism)
+    want = max(1, -(-n // rows_per_partition), slots)
+    if want >= have:
         return d
     c = d.coalesce(want).persist(level)
     c.count()
