@@ -73,3 +73,23 @@ def batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def id_edges(docs: DataFrame, buckets: int) -> list[int]:
+    """Ascending cuts of ``doc_id`` into about ``buckets`` equal ranges (a bounded quantile sketch of one column)."""
+    if buckets < 2:
+        return []
+    at = [i / buckets for i in range(1, buckets)]
+    cuts = docs.agg(F.percentile_approx("doc_id", at, 10_000)).first()[0]
+    return sorted({int(c) for c in cuts or []})
+
+
+def id_bucket(doc_id: Column, edges: list[int]) -> Column:
+    """Number of ``edges`` at or below ``doc_id``, by binary search; a null id belongs to the last bucket."""
+    steps = [1 << i for i in reversed(range(len(edges).bit_length()))]
+    if not steps:
+        return F.lit(0)
+    cuts = F.lit(edges)
+    found = F.aggregate(F.lit(steps), F.lit(0), lambda pos, step: F.when(
+        F.get(cuts, pos + step - 1) <= doc_id, pos + step).otherwise(pos))
+    return F.when(doc_id.isNull(), F.lit(len(edges))).otherwise(found)

@@ -26,7 +26,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BLANKS, ascii_lower, scratch_path, stored
+from tessera.llm.common import BLANKS, ascii_lower, id_edges, scratch_path, stored
 
 MIN_DOCS, MIN_CHARS = 3, 20
 #: Batches of one run over a table, and runs of a level before it is compacted.
@@ -106,19 +106,11 @@ def line_pairs(docs: DataFrame, min_chars: int, edges: list[int]) -> DataFrame:
             .select("doc", "th", "pos", F.unhex(F.md5(key)).alias("h"), "batch"))
 
 
-def batch_edges(docs: DataFrame, batches: int) -> list[int]:
-    """Ascending cuts that split the ids into about equal batches (a bounded quantile sketch)."""
-    if batches < 2:
-        return []
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0]
-    return sorted({int(c) for c in cuts or []})
-
-
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
                 batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """``docs`` with ``text`` replaced by its kept lines, ``n_lines`` (before) and ``n_dropped``."""
     docs = docs.drop("n_lines", "n_dropped")
-    edges = batch_edges(docs, batches)
+    edges = id_edges(docs, batches)
     pairs = stored(line_pairs(docs, min_chars, edges), "line-pairs", ["batch"])
     index = LineRuns(docs.sparkSession, fanout)
     for b in range(len(edges) + 1):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, mixing, simhash
+from tessera.llm import bpe, line_dedup, mixing, simhash, token_file
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_source_mixing": mixing.query,
+    "op3_token_file": token_file.query,
+    "op8_bpe_round_trip": bpe.query,
     "op10_simhash_near_dedup": simhash.query,
 }
 ORACLES = {
