@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, line_dedup, mixing, simhash, token_file
+from tessera.llm import ann, bpe, line_dedup, mixing, secret_scan, simhash, token_file, winnow
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_source_mixing": mixing.query,
     "op3_token_file": token_file.query,
+    "op4_winnowing": winnow.query,
+    "op6_nearest_neighbours": ann.query,
+    "op7_secret_scan": secret_scan.query,
     "op8_bpe_round_trip": bpe.query,
     "op10_simhash_near_dedup": simhash.query,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.SQL.strip(),
     "op2_source_mixing": mixing.SQL.strip(),
+    "op6_nearest_neighbours": ann.SQL.strip(),
 }
