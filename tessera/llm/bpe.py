@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.chunks import Memo, Ragged, per_text, spread
@@ -290,23 +291,25 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
     return arrow_map(coded, run, schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: both ways in one pass, without the ids leaving the task."""
+def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: both ways in one pass; ``ids`` leave the task only if asked for."""
     path = path or default_path()
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         c = codec(path)
         ids, n = c.encode(b.column(1).to_pylist())
         raw = ids.astype("<u4").tobytes()
-        ends = np.concatenate(([0], np.cumsum(n) * 4)).tolist()
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n, pa.int64()),
-             pa.array([hashlib.sha256(raw[i:j]).hexdigest() for i, j in zip(ends, ends[1:])]),
-             pa.array([hashlib.sha256(t).hexdigest() for t in c.decode(ids, n)])],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return arrow_map(docs.select("doc_id", "text"), run,
-                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        ends = np.concatenate(([0], np.cumsum(n)))
+        cuts = (ends * 4).tolist()
+        out = {"doc_id": b.column(0), "n_tokens": pa.array(n, pa.int64()),
+               "ids_sha256": pa.array([hashlib.sha256(raw[i:j]).hexdigest() for i, j in zip(cuts, cuts[1:])]),
+               "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in c.decode(ids, n)])}
+        if with_ids:
+            out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        return pa.RecordBatch.from_arrays(list(out.values()), list(out))
+
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run,
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def query(spark, sf_dir):

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import ann, bpe, line_dedup, mixing, secret_scan, simhash, token_file, winnow
+from tessera.llm import ann, bpe, line_dedup, mixing, quality, secret_scan, simhash, token_file, toxicity, winnow
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_source_mixing": mixing.query,
     "op3_token_file": token_file.query,
     "op4_winnowing": winnow.query,
+    "op5_quality_nbsvm": quality.query,
     "op6_nearest_neighbours": ann.query,
     "op7_secret_scan": secret_scan.query,
     "op8_bpe_round_trip": bpe.query,
+    "op9_toxicity_chain": toxicity.query,
     "op10_simhash_near_dedup": simhash.query,
 }
 ORACLES = {
