@@ -20,10 +20,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with the lines it keeps; ``n_chars`` follows its text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*[new.get(c, F.col(f"_row.`{c}`")) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,22 +118,22 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     hot = stored(index.repeated(min_docs), "line-hot")
     index.drop()
     gone = (pairs.drop("batch").join(hot, "h").where(F.col("doc") != F.col("keeper"))
-            .groupBy("doc", "th").agg(F.sort_array(F.collect_set("pos")).alias("_gone")))
-    lines, gone_at = _lines(F.col("text")), F.col("_gone")
+            .groupBy("doc", "th").agg(F.sort_array(F.collect_set("pos")).alias("_line_gone")))
+    lines, gone_at = _lines(F.col("text")), F.col("_line_gone")
     # the lines between one dropped place and the next, put together in order
     kept = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(gone_at)),
-        lambda i: F.slice("_lines", F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) + 2,
-                          F.coalesce(F.get(gone_at, i), F.size("_lines"))
+        lambda i: F.slice("_line_lines", F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) + 2,
+                          F.coalesce(F.get(gone_at, i), F.size("_line_lines"))
                           - F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) - 1)))
     cols = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    out = (docs.withColumn("_doc", F.coalesce("doc_id", F.lit(LOWEST))).withColumn("_th", F.xxhash64("text"))
-           .join(gone.withColumnsRenamed({"doc": "_doc", "th": "_th"}), ["_doc", "_th"], "left")
-           .withColumn("_lines", lines))
+    out = (docs.withColumn("_line_doc", F.coalesce("doc_id", F.lit(LOWEST))).withColumn("_line_th", F.xxhash64("text"))
+           .join(gone.withColumnsRenamed({"doc": "_line_doc", "th": "_line_th"}), ["_line_doc", "_line_th"], "left")
+           .withColumn("_line_lines", lines))
     return out.select(
         *cols,
         F.when(gone_at.isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
+        F.size("_line_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size(gone_at), F.lit(0)).cast("long").alias("n_dropped"))
 
 

@@ -86,8 +86,8 @@ def mix_plan(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epoch
 
 def _taken(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return (docs.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
-            .select("d.*", "source_size", "target",
-                    (F.col("whole") + (F.col("_h") <= F.col("cut")).cast("long")).alias("reps")).drop("_h"))
+            .select("d.*", "p.source_size", "p.target", F.expr("p.whole + cast(d._h <= p.cut as long)").alias("reps"))
+            .drop("_h"))
 
 
 def _narrow(docs: DataFrame, seed: str) -> DataFrame:
@@ -103,9 +103,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: the columns of ``docs``, each row as many times as it is taken."""
-    m = mix(docs, **how)
-    return (m.where("reps > 0").withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("reps"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    m = mix(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), **how)
+    return m.where("reps > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("reps")))).select("_row.*")
 
 
 def query(spark, sf_dir):

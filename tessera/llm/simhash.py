@@ -93,14 +93,12 @@ def _flips(fp, bits: range, zeros_only: bool = True):
 
 def _entries(fps: DataFrame, flips: bool) -> DataFrame:
     """``(s, key, fp)``: the halves of each fingerprint, and with ``flips`` their balls' keys met from below."""
-    out = []
-    for s in (0, 1):
+    def listed(s: int):
         half = _half(F.col("fp"), s)
-        keys = F.array(half)
-        if flips:
-            keys = F.concat(keys, _flips(half, range(32)))
-        out.append(F.transform(keys, lambda k, s=s: F.struct(F.lit(s).alias("s"), k.alias("key"))))
-    return fps.select("fp", F.explode(F.concat(*out)).alias("e")).select("e.s", "e.key", "fp")
+        keys = F.concat(F.array(half), _flips(half, range(32))) if flips else F.array(half)
+        return F.transform(keys, lambda k: F.struct(F.lit(s).alias("s"), k.alias("key")))
+
+    return fps.select("fp", F.explode(F.concat(listed(0), listed(1))).alias("e")).select("e.s", "e.key", "fp")
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, max_entry: int = MAX_ENTRY) -> DataFrame:
@@ -207,11 +205,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BIT
 def keep_one(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest id (then of the smallest text hash)."""
     first = _components(docs, words, max_bits)[2].select(
-        F.coalesce("first.doc_id", F.lit(NO_ID)).alias("_id"), F.col("first.th").alias("_th"))
-    row = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("text"))
-    return (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-            .withColumn("_th", F.xxhash64("text")).join(first, ["_id", "_th"], "left_semi")
-            .withColumn("_row", row).where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+        F.coalesce("first.doc_id", F.lit(NO_ID)).alias("_simhash_id"), F.col("first.th").alias("_simhash_th"))
+    row = F.row_number().over(Window.partitionBy("_simhash_id", "_simhash_th").orderBy("text"))
+    return (docs.withColumn("_simhash_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+            .withColumn("_simhash_th", F.xxhash64("text")).join(first, ["_simhash_id", "_simhash_th"], "left_semi")
+            .withColumn("_simhash_row", row).where("_simhash_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def query(spark, sf_dir):

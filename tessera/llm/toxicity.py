@@ -153,5 +153,5 @@ def query(spark, sf_dir):
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those whose toxicity reaches ``threshold``."""
-    scored = score(docs, train(docs, labels))
-    return scored.where(F.col("toxicity") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = score(docs.select("text", F.struct("*").alias("_row")), train(docs, labels))
+    return scored.where(F.col("toxicity") < threshold).select("_row.*")
