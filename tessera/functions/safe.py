@@ -18,15 +18,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(a, b) -> Column:
-    return F.try_divide(_c(a), _c(b))
-
-
-def rnd(c, digits: int = 6) -> Column:
-    """Round for compared output (engines differ in the last float digits)."""
-    return F.round(_c(c).cast("double"), digits)
-
-
 def sample_skew(c) -> Column:
     """Bias-corrected sample skewness (the pandas ``skew`` definition).
 
@@ -69,3 +60,12 @@ def string_columns(df: DataFrame, exclude=()) -> list[str]:
     ex = set(exclude or ())
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in ex]
+
+
+def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``df`` with NaN as NULL in the float columns (of ``cols``): a missing value, as at CSV ingest."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+              and (cols is None or f.name in cols)}
+    if not floats:
+        return df
+    return df.select([F.nanvl(F.col(f"`{c}`"), F.lit(None)).alias(c) if c in floats else F.col(f"`{c}`") for c in df.columns])

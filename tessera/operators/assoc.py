@@ -10,10 +10,13 @@ from __future__ import annotations
 import math
 import re
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.safe import numeric_columns, safe_corr
+from tessera.functions.safe import nan_to_null, numeric_columns, safe_corr
 from tessera.session import persisted
 
 
@@ -21,41 +24,30 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-PAIRS_PER_PASS = 15  # 6 plain sums per pair: stays under whole-stage codegen's field limit
+def _pairwise(df: DataFrame, cols: list[str], means: list[float], devs: list[float], pairs: list[tuple[int, int]]) -> dict:
+    """Pairwise-complete Pearson correlations of any number of columns in one pass.
 
-
-def _pairwise_sums(df: DataFrame, cols: list[str], means: list[float], pairs: list[tuple[int, int]]) -> dict:
-    """Pairwise-complete Pearson correlation from shifted plain sums.
-
-    Values are shifted by the column means (shift-invariant, and keeps the
-    sums well conditioned); per pair n, Sx, Sy, Sxx, Syy, Sxy over the rows
-    where both are present. Pairs are processed in passes of
-    ``PAIRS_PER_PASS`` so each aggregate stays code-generated.
+    Each row becomes its standardised values (0 where missing), their squares and a 0/1 mask;
+    the Gramian of these 3p numbers, accumulated per partition and merged in a tree, holds every pair's
+    count, sums and cross product.
     """
-    out = {}
-    for s0 in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[s0:s0 + PAIRS_PER_PASS]
-        aggs = []
-        for i, j in chunk:
-            x = _q(cols[i]).cast("double") - F.lit(means[i])
-            y = _q(cols[j]).cast("double") - F.lit(means[j])
-            both = x.isNotNull() & y.isNotNull()
-            xs, ys = F.when(both, x), F.when(both, y)
-            aggs += [F.count_if(both).alias(f"n{i}_{j}"), F.sum(xs).alias(f"x{i}_{j}"), F.sum(ys).alias(f"y{i}_{j}"),
-                     F.sum(xs * xs).alias(f"xx{i}_{j}"), F.sum(ys * ys).alias(f"yy{i}_{j}"),
-                     F.sum(xs * ys).alias(f"xy{i}_{j}")]
-        r = df.agg(*aggs).first()
-        for i, j in chunk:
-            n = r[f"n{i}_{j}"]
-            if not n or n < 2:
-                out[(i, j)] = None
-                continue
-            sx, sy = r[f"x{i}_{j}"], r[f"y{i}_{j}"]
-            cxx = r[f"xx{i}_{j}"] - sx * sx / n
-            cyy = r[f"yy{i}_{j}"] - sy * sy / n
-            cxy = r[f"xy{i}_{j}"] - sx * sy / n
-            den = math.sqrt(max(cxx, 0.0) * max(cyy, 0.0))
-            out[(i, j)] = None if den == 0 else cxy / den
+    p = len(cols)
+    z = [(_q(c).cast("double") - F.lit(means[i])) / F.lit(devs[i]) for i, c in enumerate(cols)]
+    parts = [F.coalesce(x, F.lit(0.0)) for x in z] + [F.coalesce(x * x, F.lit(0.0)) for x in z] + [
+        F.col(f"`{c}`").isNotNull().cast("double") for c in cols]
+    rows = df.select(array_to_vector(F.array(*parts)).alias("v"))
+    g = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+    out: dict = {}
+    for i, j in pairs:
+        n = g[2 * p + i][2 * p + j]
+        if n < 2:
+            out[(i, j)] = None
+            continue
+        sx, sy = g[i][2 * p + j], g[2 * p + i][j]
+        sxx, syy = g[p + i][2 * p + j], g[2 * p + i][p + j]
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        flat = vx <= 1e-12 * max(sxx, 1.0) or vy <= 1e-12 * max(syy, 1.0)
+        out[(i, j)] = None if flat else float((g[i][j] - sx * sy / n) / math.sqrt(vx * vy))
     return out
 
 
@@ -68,7 +60,7 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, full: bool
 
     One pass gets means and null counts. Without nulls the centred columns go
     through ``pyspark.ml.stat.Correlation`` (a tree-aggregated Gramian); with
-    nulls, shifted pairwise sums are aggregated in code-generated passes.
+    nulls, one Gramian of values, squares and masks serves all pairs. NaN is missing.
     The p x p result is bounded by the schema width.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
@@ -77,7 +69,7 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, full: bool
     p = len(cols)
     if p < 2 and not (full and p == 1):
         return spark.createDataFrame([], schema)
-    with persisted(df.select([_q(c) for c in cols])) as d:
+    with persisted(nan_to_null(df.select([_q(c) for c in cols]))) as d:
         rows = _corr_rows(d, cols, full)
     return spark.createDataFrame(rows, schema)
 
@@ -103,7 +95,7 @@ def _corr_rows(df: DataFrame, cols: list[str], full: bool) -> list:
             const = not st[f"s{i}"] or not st[f"s{j}"]
             corr[(i, j)] = None if (math.isnan(v) or const) else v
     elif pairs:
-        corr = _pairwise_sums(df, cols, means, pairs)
+        corr = _pairwise(df, cols, means, [st[f"s{i}"] or 1.0 for i in range(p)], pairs)
     rows = [(cols[i], cols[j], i, j, corr.get((i, j))) for i, j in pairs]
     if full:
         rows += [(cols[j], cols[i], j, i, corr.get((i, j))) for i, j in pairs]
@@ -168,19 +160,19 @@ def redundant_columns(df: DataFrame, cols: list[str] | None = None, threshold: f
             .orderBy("position"))
 
 
-def prune_columns(df: DataFrame, target: str, threshold: float = 0.95, strict_ids: bool = False) -> tuple[DataFrame, list[str]]:
-    """Drop redundant numeric columns and id-like columns (the 'ml_ready' layer)."""
+def prune_columns(df: DataFrame, target: str, threshold: float = 0.95, strict_ids: bool = False,
+                  keep: tuple[str, ...] = ("_src_idx",)) -> tuple[DataFrame, list[str]]:
+    """Drop redundant numeric columns and id-like columns (the 'ml_ready' layer); the row key (``keep``) stays."""
     red = [r["column"] for r in redundant_columns(df, threshold=threshold, target=target).collect()]
     ids = id_like_columns(df.columns, target, strict=strict_ids)
-    drop = sorted((set(red) | set(ids)) - {target})
+    drop = sorted((set(red) | set(ids)) - {target} - set(keep))
     return df.drop(*drop), drop
 
 
-def cramers_v_matrix(df: DataFrame, cols: list[str], max_levels: int = 30) -> DataFrame:
+def cramers_v_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Cramér's V (plain, no bias correction) for every pair of categorical columns.
 
-    Only columns with at most ``max_levels`` levels should be passed (callers
-    gate with ``low_cardinality_columns``). Per row one (pair, a, b) record is
+    Callers choose the columns (``low_cardinality_columns``). Per row one (pair, a, b) record is
     emitted per column pair; observed cells are counted with a grouped
     aggregate, and chi2 = sum(O^2 / E) - n over observed cells only, so empty
     cells are never materialised. Rows with a null in either column of a pair

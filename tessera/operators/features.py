@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,18 +86,19 @@ def domain_features(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
 
 def one_hot(df: DataFrame, cols: list[str] | None = None, drop_first: bool = True,
             max_levels: int = 50, drop_source: bool = True) -> tuple[DataFrame, list[str]]:
-    """0/1 dummy columns ``<col>_<value>`` for string columns (get_dummies).
+    """0/1 dummies of every level of the string columns (get_dummies); no level is left out.
 
-    Levels are sorted; with ``drop_first`` the alphabetically first level is
-    dropped; a NULL row is all zeros. Columns with more than ``max_levels``
-    levels are not expanded (and are dropped when ``drop_source``) - dense
-    dummies of a 65k-level date column would explode the row width.
+    Columns with at most ``max_levels`` levels become integer columns ``<col>_<value>``;
+    wider ones become one sparse vector column ``<col>__levels`` (see ``one_hot_vector``), as
+    65k dense dummies would explode the row width. Levels are sorted; with ``drop_first``
+    the alphabetically first level is dropped; a NULL row is all zeros.
     """
     cols = list(cols) if cols is not None else string_columns(df)
     if not cols:
         return df, []
     nun = {r["column"]: r["nunique"] for r in distinct_counts(df, cols).collect()}
     small = [c for c in cols if nun.get(c, 0) <= max_levels]
+    wide = [c for c in cols if c not in small]
     levels: dict[str, list[str]] = {c: [] for c in small}
     if small:
         long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("k"), _q(c).cast("string").alias("v"))
@@ -113,8 +114,31 @@ def one_hot(df: DataFrame, cols: list[str] | None = None, drop_first: bool = Tru
             n = f"{c}_{v}"
             dummies.append(F.when(_q(c) == F.lit(v), 1).otherwise(0).cast("int").alias(n))
             names.append(n)
-    keep = [_q(c) for c in df.columns if not (drop_source and c in cols)]
-    return df.select(*keep, *dummies), names
+    out = df
+    for c in wide:
+        out, name = one_hot_vector(out, c, drop_first)
+        names.append(name)
+    keep = [_q(c) for c in out.columns if not (drop_source and c in cols)]
+    return out.select(*keep, *dummies), names
+
+
+def one_hot_vector(df: DataFrame, col: str, drop_first: bool = True) -> tuple[DataFrame, str]:
+    """Adds ``<col>__levels``: a sparse 0/1 vector over all levels of ``col`` in descending order.
+
+    The alphabetically first level is thus the last; with ``drop_first`` its place is cut off.
+    A NULL or, later, an unknown level is all zeros.
+    """
+    out, ix = f"{col}__levels", f"{col}__level_ix"
+    text = df.withColumn(ix + "_s", _q(col).cast("string"))
+    index = StringIndexer(inputCol=ix + "_s", outputCol=ix, stringOrderType="alphabetDesc", handleInvalid="keep").fit(text)
+    n = len(index.labels)
+    # the kept-invalid place is the last category, which dropLast leaves out
+    coded = OneHotEncoder(inputCol=ix, outputCol=out if not drop_first else out + "_all", dropLast=True)
+    d = index.transform(text)
+    d = coded.fit(d).transform(d)
+    if drop_first:
+        d = VectorSlicer(inputCol=out + "_all", outputCol=out, indices=list(range(max(n - 1, 0)))).transform(d)
+    return d.drop(ix, ix + "_s", out + "_all"), out
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None):

@@ -7,8 +7,6 @@ the rows is reduced to one row per map task before it is exchanged.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,35 +139,35 @@ def late_by_state_top10(df: DataFrame, key: str, pred: str = "prediction", posit
               .orderBy(F.desc("count"), F.asc(key)).limit(top))
 
 
-MAX_DASHBOARD_LEVELS = 1000
-
-
-def _bounded_levels(df: DataFrame, col: str, limit: int) -> None:
-    n = df.select(col).distinct().limit(limit + 1).count()
-    if n > limit:
-        raise ValueError(f"{col} has more than {limit} levels; pick a low-cardinality column for the dashboard")
-
-
 def dashboard_summary(df: DataFrame, key: str, pred: str = "prediction", proba: str = "prediction_proba",
                       importance: DataFrame | None = None, verdicts: DataFrame | None = None,
-                      top_features: int = 8) -> DataFrame:
-    """One JSON record for the dashboard: KPIs, class distribution, per-category
-    rates, top feature importances and verdict counts.
+                      top_features: int = 8, positive: float = 1.0) -> DataFrame:
+    """Rows ``(section, name, value)`` for the dashboard: KPIs, class distribution, rate per
+    category, top feature importances ``(feature, importance)`` and verdict counts.
 
-    Every piece is an aggregate bounded by class / category / feature counts
-    (checked before collecting: a high-cardinality column raises instead of
-    being truncated); only those small results reach the driver.
+    One grouped aggregate by (prediction, category) feeds the first three sections;
+    any number of classes or categories is kept.
     """
-    spark = df.sparkSession
-    _bounded_levels(df, pred, MAX_DASHBOARD_LEVELS)
-    _bounded_levels(df, key, MAX_DASHBOARD_LEVELS)
-    k = prediction_kpis(df, pred, proba).first().asDict()
-    dist = [r.asDict() for r in df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("cls").collect()]
-    cats = [r.asDict() for r in predicted_rate_by_category(df, key, pred).collect()]
-    imp = ([r.asDict() for r in importance.orderBy(F.desc("importance")).limit(top_features).collect()]
-           if importance is not None else [])
-    ver = ([r.asDict() for r in verdicts.groupBy("verdict").count().orderBy("verdict").collect()]
-           if verdicts is not None else [])
-    doc = {"kpis": k, "distribution": dist, "by_category": cats, "importance": imp, "verdicts": ver}
-    return spark.createDataFrame([(json.dumps(doc, default=str),)], "summary string")
+    p = F.col("cls")
+    cells = (df.groupBy(F.col(pred).alias("cls"), F.col(key).cast("string").alias("cat"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(proba).cast("double")).alias("sp"), F.count(proba).alias("np")))
+    pos = F.sum(F.when(p == positive, F.col("n")).otherwise(0))
+    k = cells.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("rows"),
+                  F.coalesce(F.try_divide(pos * 100.0, F.sum("n")), F.lit(0.0)).alias("positive_pct"),
+                  F.try_divide(F.sum("sp"), F.sum("np")).alias("mean_confidence"))
+    parts = [k.select(F.lit("kpi").alias("section"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("rows", "positive_pct", "mean_confidence")]))),
+        cells.groupBy(p.cast("string").alias("name")).agg(F.sum("n").cast("double").alias("value"))
+        .select(F.lit("distribution").alias("section"), "name", "value"),
+        cells.where("cat is not null").groupBy(F.col("cat").alias("name"))
+        .agg(F.try_divide(pos * 100.0, F.sum("n")).alias("value")).select(F.lit("by_category").alias("section"), "name", "value")]
+    if importance is not None:
+        parts.append(importance.orderBy(F.desc("importance"), "feature").limit(top_features)
+                     .select(F.lit("importance").alias("section"), F.col("feature").alias("name"), F.col("importance").alias("value")))
+    if verdicts is not None:
+        parts.append(verdicts.groupBy(F.col("verdict").alias("name")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+                     .select(F.lit("verdict").alias("section"), "name", "value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

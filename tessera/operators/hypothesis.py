@@ -16,43 +16,6 @@ from tessera.operators.groups import bucket_expr, quantile_edges
 RESULT_SCHEMA = "id string, grp string, ord double, mean double, count long"
 
 
-def hypothesis_test(df: DataFrame, spec: dict) -> DataFrame:
-    """Run one spec -> (id, grp, ord, mean, count).
-
-    kinds: group_mean / group_mean_count (by a column), group_mean_derived
-    (by ``expr`` named ``key``), quantile_buckets (qcut of ``key`` into ``q``).
-    ``ord`` orders the groups for the direction check (numeric key value or
-    bucket number; NULL for categories).
-    """
-    kind, key, target = spec["kind"], spec["key"], spec["target"]
-    d = df
-    if kind == "group_mean_derived":
-        d = d.withColumn(key, F.expr(spec["expr"]))
-    if kind == "quantile_buckets":
-        q = int(spec.get("q", 4))
-        edges = quantile_edges(d, key, q)
-        labels = spec.get("labels")
-        nb = len(edges) - 1
-        if not labels or len(labels) != nb:
-            labels = [f"B{i + 1}" for i in range(nb)]
-        grp = bucket_expr(key, edges, labels)
-        ordmap = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(float(i + 1)))])
-        d = d.withColumn("_grp", grp).where(F.col("_grp").isNotNull())
-        ordc = F.try_element_at(ordmap, F.col("_grp"))
-    else:
-        d = d.where(F.col(key).isNotNull()).withColumn("_grp", F.col(key).cast("string"))
-        numeric = isinstance(d.schema[key].dataType, NUMERIC_TYPES)
-        ordc = F.col(key).cast("double") if numeric else F.lit(None).cast("double")
-        d = d.withColumn("_ord", ordc)
-        ordc = F.col("_ord")
-    if "_ord" not in d.columns:
-        d = d.withColumn("_ord", ordc)
-    return (d.groupBy("_grp", "_ord")
-             .agg(F.avg(F.col(target).cast("double")).alias("mean"), F.count(target).alias("count"))
-             .select(F.lit(spec["id"]).alias("id"), F.col("_grp").alias("grp"), F.col("_ord").alias("ord"),
-                     "mean", "count"))
-
-
 def run_hypotheses(df: DataFrame, specs: list[dict]) -> DataFrame:
     """All specs in one pass: every row is unpivoted into one (id, group, order,
     target) record per spec and a single grouped aggregate (partial, map-side)
@@ -78,10 +41,7 @@ def run_hypotheses(df: DataFrame, specs: list[dict]) -> DataFrame:
         else:
             kc = F.expr(s["expr"]) if kind == "group_mean_derived" else F.col(key)
             grp = kc.cast("string")
-            if kind == "group_mean_derived":
-                numeric = True
-            else:
-                numeric = isinstance(df.schema[key].dataType, NUMERIC_TYPES)
+            numeric = isinstance(df.select(kc.alias("_k")).schema["_k"].dataType, NUMERIC_TYPES)
             ordc = kc.cast("double") if numeric else F.lit(None).cast("double")
         recs.append(F.struct(F.lit(s["id"]).alias("id"), grp.alias("grp"), ordc.alias("ord"), t.alias("t")))
     long = df.select(F.inline(F.array(*recs))).where(F.col("grp").isNotNull())

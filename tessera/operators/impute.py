@@ -1,20 +1,23 @@
 """Imputation (inventory 47-50).
 
-Median and mode fills are one bounded statistics job plus a ``coalesce``
-projection. Nearest-neighbour imputation compares every incomplete row with
-every donor, so it is gated to small inputs exactly like the reference
-(above 50,000 rows the median is used).
+Median, mean and mode fills are one bounded statistics job plus a ``coalesce``
+projection. Neighbour imputation uses a fixed number of learned centres, so
+its work stays linear in the rows. The caller names the method; no method
+changes with the size of the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.quantile import mode_table, quantile_row
 from tessera.functions.safe import numeric_columns, string_columns
 
-KNN_ROW_LIMIT = 50_000
+#: Complete rows that centres are learned from at most (about).
+FIT_ROWS = 1_000_000
 
 
 def _q(c: str):
@@ -41,49 +44,73 @@ def impute_mode(df: DataFrame, cols: list[str] | None = None, missing: str = "MI
                       if c in cols else _q(c) for c in df.columns])
 
 
-def impute_knn(df: DataFrame, cols: list[str] | None = None, key: str = "_src_idx", k: int = 5,
-               max_rows: int = KNN_ROW_LIMIT) -> DataFrame:
-    """k-nearest-neighbour imputation of numeric columns (uniform weights).
+def impute_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Fill numeric NULLs with the column mean; all-null columns are left alone."""
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    if not cols:
+        return df
+    mean = df.agg(*[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    fill = {c: mean[f"m{i}"] for i, c in enumerate(cols)}
+    return df.select([F.coalesce(_q(c).cast("double"), F.lit(fill[c])).alias(c)
+                      if fill.get(c) is not None else _q(c) for c in df.columns])
 
-    Distance between a row and a donor: Euclidean over the coordinates both
-    have, scaled by sqrt(p / shared). Donors must hold the missing value;
-    ties are broken by the donor key. A value with no usable donor gets the
-    column mean. The pairing is quadratic, hence the ``max_rows`` gate.
+
+def fit_centres(df: DataFrame, cols: list[str], centres: int = 64, seed: int = 42, max_rows: int = FIT_ROWS) -> dict:
+    """Centres of the complete rows (k-means on standardised columns) with the means and deviations used.
+
+    k-means is fitted on at most about ``max_rows`` complete rows (a documented bound of the fit, chosen by a
+    seeded hash); every row is imputed with it afterwards.
     """
-    cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != key]
-    n = df.limit(max_rows + 1).count()
+    base = df.select([_q(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    stats = base.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(cols))],
+                     *[F.stddev_pop(f"x{i}").alias(f"s{i}") for i in range(len(cols))]).first()
+    mean = [stats[f"m{i}"] for i in range(len(cols))]
+    dev = [stats[f"s{i}"] or 1.0 for i in range(len(cols))]
+    full = base.dropna()
+    n = full.count()
+    if n == 0:
+        return {"mean": mean, "dev": dev, "centres": []}
     if n > max_rows:
-        raise ValueError(f"impute_knn is gated to {max_rows} rows; use impute_auto")
-    valid = df.agg(*[F.count(_q(c)).alias(c) for c in cols]).first()
-    cols = [c for c in cols if valid[c] > 0]
-    p = len(cols)
-    if p == 0:
+        full = full.where(F.pmod(F.xxhash64(*full.columns, F.lit(seed)), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)) + 1)
+    scaled = full.select(array_to_vector(F.array(*[(F.col(f"x{i}") - mean[i]) / dev[i] for i in range(len(cols))])).alias("features"))
+    model = KMeans(k=centres, seed=seed, maxIter=20).fit(scaled)
+    return {"mean": mean, "dev": dev, "centres": [[float(v) for v in c] for c in model.clusterCenters()]}
+
+
+def impute_centres(df: DataFrame, cols: list[str] | None = None, key: str | None = None, centres: int = 64,
+                   seed: int = 42) -> DataFrame:
+    """Neighbour imputation with a fixed number of learned centres, at any size.
+
+    A row with a missing value takes it from the nearest centre: Euclidean on standardised columns over the
+    coordinates the row has. A row with none takes the column mean. Observed values never change; the centres are a
+    bounded literal, so rows are filled where they are.
+    """
+    cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != key]
+    valid = df.agg(*[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first() if cols else {}
+    cols = [c for i, c in enumerate(cols) if valid[f"n{i}"] > 0]
+    if not cols:
         return df
-    means = df.agg(*[F.avg(_q(c)).alias(c) for c in cols]).first()
-    base = df.select(_q(key).alias("rid"), *[_q(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
-    recv = base.where(F.greatest(*[F.col(f"x{i}").isNull().cast("int") for i in range(p)]) == 1)
-    donors = base.select(F.col("rid").alias("did"), *[F.col(f"x{i}").alias(f"y{i}") for i in range(p)])
-    # receivers x donors: quadratic, bounded by the row gate above
-    pairs = recv.join(donors, F.col("rid") != F.col("did"))
-    shared = sum(F.when(F.col(f"x{i}").isNotNull() & F.col(f"y{i}").isNotNull(), 1).otherwise(0) for i in range(p))
-    sq = sum(F.coalesce((F.col(f"x{i}") - F.col(f"y{i}")) ** 2, F.lit(0.0)) for i in range(p))
-    pairs = pairs.withColumn("shared", shared).where(F.col("shared") > 0).withColumn(
-        "dist", F.sqrt(sq * p / F.col("shared")))
-    out = None
-    for i, c in enumerate(cols):
-        cand = pairs.where(F.col(f"x{i}").isNull() & F.col(f"y{i}").isNotNull())
-        w = Window.partitionBy("rid").orderBy("dist", "did")
-        est = (cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-               .groupBy("rid").agg(F.avg(f"y{i}").alias(f"e{i}")))
-        out = est if out is None else out.join(est, "rid", "full")
-    filled = df.join(out.withColumnRenamed("rid", key), key, "left")
-    return filled.select([F.coalesce(_q(c).cast("double"), F.col(f"e{cols.index(c)}"),
-                                     F.lit(means[c])).alias(c) if c in cols else _q(c) for c in df.columns])
-
-
-def impute_auto(df: DataFrame, key: str = "_src_idx", threshold: int = KNN_ROW_LIMIT) -> DataFrame:
-    """KNN up to ``threshold`` rows, median above; strings always by mode."""
-    n = df.limit(threshold + 1).count()
+    fit = fit_centres(df, cols, centres, seed)
+    z = [(_q(c).cast("double") - fit["mean"][i]) / fit["dev"][i] for i, c in enumerate(cols)]
+    missing = F.greatest(*[x.isNull().cast("int") for x in z], F.lit(0)) == 1
+    if fit["centres"]:
+        def away(centre):
+            return F.struct(sum(F.coalesce((x - v) * (x - v), F.lit(0.0)) for x, v in zip(z, centre)).alias("d"),
+                            F.array(*map(F.lit, centre)).alias("v"))
+        any_seen = F.least(*[x.isNull().cast("int") for x in z], F.lit(1)) == 0
+        nearest = F.when(missing & any_seen, F.array_min(F.array(*[away(c) for c in fit["centres"]]))["v"])
+    else:
+        nearest = F.lit(None).cast("array<double>")
+    out = df.withColumn("_centre", nearest)
+    return out.select([F.coalesce(_q(c).cast("double"), F.col("_centre")[cols.index(c)] * fit["dev"][cols.index(c)]
+                                  + fit["mean"][cols.index(c)], F.lit(fit["mean"][cols.index(c)])).alias(c)
+                       if c in cols else _q(c) for c in df.columns])
+
+
+METHODS = {"median": impute_median, "mean": impute_mean, "centres": impute_centres}
+
+
+def impute_auto(df: DataFrame, key: str = "_src_idx", method: str = "median") -> DataFrame:
+    """Numeric columns by the named ``method``, the same at every size; strings by mode. ``key`` is left alone."""
     num = [c for c in numeric_columns(df) if c != key]
-    out = impute_knn(df, num, key=key, max_rows=threshold) if n <= threshold else impute_median(df, num)
-    return impute_mode(out)
+    return impute_mode(METHODS[method](df, num))

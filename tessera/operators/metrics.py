@@ -1,8 +1,7 @@
 """Evaluation on any (actual, predicted) table (inventory 71-78, 81).
 
 All metrics are aggregates over the scored rows; per-class metrics come
-from the confusion counts (one row per (actual, predicted) cell), which are
-bounded by the number of classes squared.
+from the grouped confusion counts (one row per (actual, predicted) cell).
 """
 
 from __future__ import annotations
@@ -10,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
-
-
 def label_col(df: DataFrame, c: str):
     """Class label as a string; numeric labels go through double so 1 and 1.0 agree ('1.0')."""
     from tessera.functions.safe import NUMERIC_TYPES
@@ -37,35 +33,28 @@ def rmse_r2(df: DataFrame, actual: str, pred: str) -> DataFrame:
                   (F.lit(1.0) - F.try_divide(F.sum((a - p) ** 2), F.var_pop(a) * F.count(F.lit(1)))).alias("r2"))
 
 
-def _cells(df: DataFrame, actual: str, pred: str) -> list:
-    """Observed (actual, predicted, count) cells in one grouped pass (nulls kept
-    as their own keys so a label seen only next to a null still counts).
-    Bounded by the number of classes squared, checked before collecting."""
-    cells = (df.select(label_col(df, actual).alias("a"), label_col(df, pred).alias("p"))
-               .groupBy("a", "p").agg(F.count(F.lit(1)).alias("n")))
-    rows = cells.limit((MAX_CLASSES + 1) ** 2 + 1).collect()
-    if len(rows) > (MAX_CLASSES + 1) ** 2:
-        raise ValueError("too many classes for a confusion matrix")
-    return rows
-
-
-def _grid(rows, labels):
-    counts = {(r["a"], r["p"]): r["n"] for r in rows if r["a"] is not None and r["p"] is not None}
-    if labels is None:
-        labels = sorted({r["a"] for r in rows if r["a"] is not None} | {r["p"] for r in rows if r["p"] is not None})
-    if len(labels) > MAX_CLASSES:
-        raise ValueError("too many classes for a confusion matrix")
-    return labels, [(a, p, int(counts.get((a, p), 0))) for a in labels for p in labels]
+def _cells(df: DataFrame, actual: str, pred: str) -> DataFrame:
+    """Observed (a, p, n) cells in one grouped pass; a label seen only next to a null still counts."""
+    return (df.select(label_col(df, actual).alias("a"), label_col(df, pred).alias("p"))
+              .groupBy("a", "p").agg(F.count(F.lit(1)).alias("n")))
 
 
 def confusion_matrix(df: DataFrame, actual: str, pred: str, labels: list[str] | None = None) -> DataFrame:
     """(actual, predicted, count) for every label pair, zero cells kept.
 
-    One grouped aggregate produces the observed cells (classes^2 rows at
-    most, checked); the full label grid is completed from that bounded table.
+    One grouped aggregate gives the observed cells; every label is written out with the
+    sorted list of labels (one row from an aggregate of the cells) and the cells join that grid.
     """
-    _, grid = _grid(_cells(df, actual, pred), labels)
-    return df.sparkSession.createDataFrame(grid, "actual string, predicted string, count long")
+    cells = _cells(df, actual, pred)
+    if labels is None:
+        seen = cells.select(F.explode(F.array("a", "p")).alias("v")).where("v is not null")
+        row = seen.agg(F.sort_array(F.collect_set("v")).alias("ls"))
+    else:
+        row = df.sparkSession.createDataFrame([(list(labels),)], "ls array<string>")
+    grid = row.select(F.explode("ls").alias("actual"), "ls").select("actual", F.explode("ls").alias("predicted"))
+    both = cells.where("a is not null and p is not null")
+    return (grid.join(both, (F.col("actual") == F.col("a")) & (F.col("predicted") == F.col("p")), "left")
+            .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("count")))
 
 
 def binary_cells(df: DataFrame, actual: str, pred: str, positive="1.0") -> DataFrame:
@@ -81,28 +70,41 @@ def classification_report(df: DataFrame, actual: str, pred: str, labels: list[st
 
     Zero divisions give 0 (scikit-learn's zero_division default output).
     The accuracy row carries the accuracy in all three metric columns.
-    Computed from the bounded confusion cells of one grouped pass.
+    Computed from the grouped confusion cells, for any number of classes.
     """
-    labels, grid = _grid(_cells(df, actual, pred), labels)
-    tp = {a: n for a, p, n in grid if a == p}
-    support = {lab: sum(n for a, _, n in grid if a == lab) for lab in labels}
-    pred_n = {lab: sum(n for _, p, n in grid if p == lab) for lab in labels}
-
-    def div(a, b):
-        return a / b if b else 0.0
-    rows = []
-    for lab in labels:
-        pr, rc = div(tp.get(lab, 0), pred_n[lab]), div(tp.get(lab, 0), support[lab])
-        rows.append((lab, pr, rc, div(2 * pr * rc, pr + rc), support[lab]))
-    n = sum(support.values())
-    acc = div(sum(tp.values()), n)
-    k = len(rows)
-    rows.append(("accuracy", acc, acc, acc, n))
-    rows.append(("macro avg", div(sum(r[1] for r in rows[:k]), k), div(sum(r[2] for r in rows[:k]), k),
-                 div(sum(r[3] for r in rows[:k]), k), n))
-    rows.append(("weighted avg", div(sum(r[1] * r[4] for r in rows[:k]), n), div(sum(r[2] * r[4] for r in rows[:k]), n),
-                 div(sum(r[3] * r[4] for r in rows[:k]), n), n))
-    return df.sparkSession.createDataFrame(rows, "label string, precision double, recall double, f1 double, support long")
+    cells = _cells(df, actual, pred)
+    if labels is None:
+        base = cells.select(F.explode(F.array("a", "p")).alias("label")).where("label is not null").distinct()
+    else:
+        base = df.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    zero = F.lit(0).cast("long")
+    both = cells.where("a is not null and p is not null")
+    if labels is not None:
+        both = both.where(F.col("a").isin(list(labels)) & F.col("p").isin(list(labels)))
+    sums = (both.select(F.inline(F.array(
+        F.struct(F.col("a").alias("label"), F.col("n").alias("s"), zero.alias("q"),
+                 F.when(F.col("a") == F.col("p"), F.col("n")).otherwise(zero).alias("t")),
+        F.struct(F.col("p").alias("label"), zero.alias("s"), F.col("n").alias("q"), zero.alias("t")))))
+        .groupBy("label").agg(F.sum("s").alias("support"), F.sum("q").alias("pred_n"), F.sum("t").alias("tp")))
+
+    def ratio(a, b):
+        return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
+    pr, rc = F.col("precision"), F.col("recall")
+    per = (base.join(sums, "label", "left").select(
+        "label", *[F.coalesce(c, zero).alias(c) for c in ("support", "pred_n", "tp")])
+        .withColumn("precision", ratio(F.col("tp"), F.col("pred_n"))).withColumn("recall", ratio(F.col("tp"), F.col("support")))
+        .withColumn("f1", ratio(2 * pr * rc, pr + rc)))
+    metric = ("precision", "recall", "f1")
+    w = per.agg(F.coalesce(F.sum("support"), zero).alias("n"), F.coalesce(F.sum("tp"), zero).alias("tp"),
+                *[F.coalesce(F.avg(m), F.lit(0.0)).alias(f"macro_{m}") for m in metric],
+                *[ratio(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(f"weighted_{m}") for m in metric])
+    acc = ratio(F.col("tp"), F.col("n"))
+    totals = w.select(F.inline(F.array(
+        F.struct(F.lit("accuracy").alias("label"), *[acc.alias(m) for m in metric], F.col("n").alias("support")),
+        F.struct(F.lit("macro avg").alias("label"), *[F.col(f"macro_{m}").alias(m) for m in metric], F.col("n").alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), *[F.col(f"weighted_{m}").alias(m) for m in metric],
+                 F.col("n").alias("support")))))
+    return per.select("label", *metric, "support").unionByName(totals)
 
 
 def class_distribution_compare(df: DataFrame, actual: str, pred: str) -> DataFrame:
@@ -150,6 +152,20 @@ def train_test_gap(df: DataFrame, actual: str, pred: str, split: str = "split",
                     .otherwise("good fit").alias("fit"))
 
 
+def r2_gap(df: DataFrame, actual: str, pred: str, split: str = "split", overfit_gap: float = 0.05) -> DataFrame:
+    """R2 on train and test rows, their gap and a fit label (the regression form of ``train_test_gap``)."""
+    a, p = F.col(actual).cast("double"), F.col(pred).cast("double")
+
+    def r2(part: str):
+        here = F.col(split) == part
+        return F.lit(1.0) - F.try_divide(F.sum(F.when(here, (a - p) ** 2)),
+                                         F.var_pop(F.when(here & p.isNotNull(), a)) * F.count(F.when(here & p.isNotNull(), a)))
+    s = df.agg(r2("train").alias("train_r2"), r2("test").alias("test_r2"))
+    gap = F.col("train_r2") - F.col("test_r2")
+    return s.select("train_r2", "test_r2", gap.alias("gap"),
+                    F.when(gap > overfit_gap, "overfitting").when(gap < -overfit_gap, "underfitting").otherwise("good fit").alias("fit"))
+
+
 def high_confidence_tiers(df: DataFrame, p1: str, high: float = 0.8, low: float = 0.5) -> DataFrame:
     """Rows per confidence tier of the class-1 probability: high > .8, medium .5-.8, low < .5."""
     p = F.col(p1).cast("double")

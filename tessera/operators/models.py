@@ -9,15 +9,19 @@ reproducible), so CV is a filter on the fold column, not a resample.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,10 @@ from tessera.operators.split import hash_rank, kfold_assign
 from tessera.session import persist_sized, persisted
 
 FAIL_SCORE = -9999.0
+#: Labelled rows that a model search is fitted on at most (about).
+FIT_ROWS = 1_000_000
+#: Independent fits that run at the same time.
+PARALLEL_FITS = 8
 
 
 def feature_stages(numeric: list[str], categorical: list[str]) -> list:
@@ -65,24 +73,50 @@ def prepare(df: DataFrame, numeric, categorical, label, problem_type):
     return fm.transform(d), fm
 
 
-def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 20,
-                  tree_memory_mb: int = 128) -> dict:
+def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 100,
+                  tree_memory_mb: int = 128, classes: int = 2) -> dict:
     """Estimators per problem type: random forest (``trees``), gradient boosting
-    (``rounds`` boosting rounds), logistic / ridge. GBTClassifier is binary-only.
+    (``rounds`` boosting rounds), logistic / ridge. Spark's boosting is binary, so with more
+    than two ``classes`` it is wrapped one-vs-rest.
 
     ``tree_memory_mb`` caps the split statistics one task holds per pass
     (Spark's default is 256 MB per task, which several concurrent tasks on a
     small executor cannot afford)."""
     mem = {"maxMemoryInMB": tree_memory_mb}
     if problem_type == "classification":
+        boost = GBTClassifier(maxIter=rounds, seed=seed, **mem)
         return {"RandomForest": RandomForestClassifier(numTrees=trees, seed=seed, **mem),
-                "GradientBoosting": GBTClassifier(maxIter=rounds, seed=seed, **mem),
+                "GradientBoosting": boost if classes <= 2 else OneVsRest(classifier=boost),
                 "LogisticRegression": LogisticRegression(maxIter=1000)}
     return {"RandomForest": RandomForestRegressor(numTrees=trees, seed=seed, **mem),
             "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed, **mem),
             "Ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0)}
 
 
+def bounded_fit_rows(df: DataFrame, key: str, max_rows: int = FIT_ROWS, seed: int = 42) -> DataFrame:
+    """``df`` if it has at most ``max_rows`` rows, else about that many, picked by a seeded hash of the key.
+
+    The one bound of the model search: how many labelled rows it is fitted on.
+    """
+    n = df.count()
+    if n <= max_rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)) + 1)
+
+
+def _in_parallel(jobs: list) -> list:
+    """Results of independent fits, a bounded number at a time (each is a chain of small Spark jobs)."""
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(lambda f: f(), [inheritable_thread_target(j) for j in jobs]))
+
+
+def _with_params(est, params: dict):
+    """A copy of ``est`` with ``params``; those of a one-vs-rest estimator go to its inner one."""
+    if isinstance(est, OneVsRest):
+        return OneVsRest(classifier=_with_params(est.getClassifier(), params))
+    return est.copy({est.getParam(k): v for k, v in params.items()})
+
+
 def _score(pred: DataFrame, problem_type: str) -> float:
     if problem_type == "classification":
         return float(acc_metric(pred, "label", "prediction").first()["accuracy"] or 0.0)
@@ -90,14 +124,17 @@ def _score(pred: DataFrame, problem_type: str) -> float:
     return float(r) if r is not None else FAIL_SCORE
 
 
+def _fold_score(est, prepared: DataFrame, problem_type: str, f: int, fold_col: str = "fold"):
+    """Score on fold ``f`` of a model fitted on the others, or why the model cannot be fitted."""
+    try:
+        m = est.fit(prepared.where(F.col(fold_col) != f))
+        return _score(m.transform(prepared.where(F.col(fold_col) == f)), problem_type), None
+    except (IllegalArgumentException, ValueError) as e:  # wrong for this model or these data; anything else is raised
+        return FAIL_SCORE, str(e)[:200]
+
+
 def cv_scores(est, prepared: DataFrame, problem_type: str, k: int, fold_col: str = "fold") -> list[float]:
-    scores = []
-    for f in range(k):
-        tr = prepared.where(F.col(fold_col) != f)
-        va = prepared.where(F.col(fold_col) == f)
-        m = est.fit(tr)
-        scores.append(_score(m.transform(va), problem_type))
-    return scores
+    return [s for s, _ in _in_parallel([functools.partial(_fold_score, est, prepared, problem_type, f, fold_col) for f in range(k)])]
 
 
 def _mean_std(xs):
@@ -105,27 +142,29 @@ def _mean_std(xs):
     return m, math.sqrt(sum((x - m) ** 2 for x in xs) / len(xs))
 
 
-def cv_compare(prepared: DataFrame, problem_type: str, models: dict, k: int) -> dict:
-    """Mean and std (population, as numpy) of the fold metric per model; failures score -9999."""
-    out = {}
-    for name, est in models.items():
-        try:
-            s = cv_scores(est, prepared, problem_type, k)
-            m, sd = _mean_std(s)
-            out[name] = {"mean": m, "std": sd}
-        except Exception:  # a failing model is ranked last, as in the reference
-            out[name] = {"mean": FAIL_SCORE, "std": 0.0}
+def _cv_all(cases: list, prepared: DataFrame, problem_type: str, k: int) -> list[dict]:
+    """Mean, std (population) and failure reason of every estimator of ``cases``; all folds of all cases run together."""
+    jobs = [functools.partial(_fold_score, est, prepared, problem_type, f) for est in cases for f in range(k)]
+    found = _in_parallel(jobs)
+    out = []
+    for i in range(len(cases)):
+        part = found[i * k:(i + 1) * k]
+        m, sd = _mean_std([s for s, _ in part])
+        why = next((w for _, w in part if w), None)
+        out.append({"mean": FAIL_SCORE if why else m, "std": 0.0 if why else sd, "reason": why})
     return out
 
 
+def cv_compare(prepared: DataFrame, problem_type: str, models: dict, k: int) -> dict:
+    """Mean and std (population, as numpy) of the fold metric per model; one that cannot be fitted scores -9999, with the reason."""
+    return dict(zip(models, _cv_all(list(models.values()), prepared, problem_type, k)))
+
+
 # search spaces: (kind, low, high, log)
-# Ranges follow the reference's search space, bounded where Spark's cost model differs:
-# boosting rounds run as sequential distributed jobs (<= 40 rounds here) and tree depth
-# grows node statistics exponentially (<= 10).
 SEARCH_SPACE = {
-    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 10, False),
+    "RandomForest": {"numTrees": ("int", 50, 300, False), "maxDepth": ("int", 3, 20, False),
                      "minInstancesPerNode": ("int", 1, 10, False)},
-    "GradientBoosting": {"maxIter": ("int", 10, 40, False), "stepSize": ("float", 0.01, 0.3, True),
+    "GradientBoosting": {"maxIter": ("int", 50, 300, False), "stepSize": ("float", 0.01, 0.3, True),
                          "maxDepth": ("int", 2, 8, False), "subsamplingRate": ("float", 0.5, 1.0, False)},
     "LogisticRegression": {"regParam": ("float", 0.001, 100.0, True)},
     "Ridge": {"regParam": ("float", 0.001, 100.0, True)},
@@ -144,69 +183,99 @@ def sample_params(name: str, rng: random.Random) -> dict:
     return out
 
 
+def _cost(name: str, p: dict) -> float:
+    """Rough cost of a fit, for cheap-first order: boosting rounds run one after another."""
+    return p.get("maxIter", 0) * 10 * p.get("maxDepth", 1) + p.get("numTrees", 0) * p.get("maxDepth", 1)
+
+
 def tune_top(prepared: DataFrame, problem_type: str, models: dict, baseline: dict, k: int,
-             top: int = 3, trials: int = 3, seed: int = 42, tune_folds: int | None = None) -> dict:
-    """Seeded random search for the ``top`` best baselines, then re-scored on the k folds."""
+             top: int = 3, trials: int = 20, seed: int = 42) -> dict:
+    """Seeded random search for the ``top`` best baselines on the ``k`` folds; all trials run together, cheap ones first."""
     names = sorted(baseline, key=lambda n: baseline[n]["mean"], reverse=True)[:top]
     rng = random.Random(seed)
+    cases = sorted(((n, sample_params(n, rng)) for n in names for _ in range(trials)), key=lambda c: _cost(*c))
+    results = _cv_all([_with_params(models[n], p) for n, p in cases], prepared, problem_type, k)
     tuned = {}
-    for name in names:
-        best_p, best_s, best_sd = {}, -math.inf, 0.0
-        for _ in range(trials):
-            p = sample_params(name, rng)
-            est = models[name].copy(p and {models[name].getParam(k2): v for k2, v in p.items()})
-            try:
-                s, sd = _mean_std(cv_scores(est, prepared, problem_type, tune_folds or k))
-            except Exception:
-                s, sd = FAIL_SCORE, 0.0
-            if s > best_s:
-                best_p, best_s, best_sd = p, s, sd
-        est = models[name].copy({models[name].getParam(k2): v for k2, v in best_p.items()})
-        if tune_folds is None or tune_folds == k:
-            m, sd = best_s, best_sd  # the trial already used these folds
-        else:
-            m, sd = _mean_std(cv_scores(est, prepared, problem_type, k))
-        tuned[name] = {"estimator": est, "params": best_p, "mean": m, "std": sd}
+    for (n, p), r in zip(cases, results):
+        if n not in tuned or r["mean"] > tuned[n]["mean"]:
+            tuned[n] = {"estimator": _with_params(models[n], p), "params": p, **r}
     return tuned
 
 
-def _positive_score(col_prob: str, problem_type: str):
+def _base_output(model, df: DataFrame, i: int, problem_type: str) -> DataFrame:
+    """``df`` with the ``i``-th base's output ``s<i>``: all class probabilities but the first, or the prediction."""
+    out = with_probability(model.transform(df)) if problem_type == "classification" else model.transform(df)
+    col = F.expr("slice(p, 2, greatest(size(p) - 1, 1))") if problem_type == "classification" else F.array("prediction")
     if problem_type == "classification":
-        return vector_to_array(F.col(col_prob))
-    return F.col(col_prob)
+        out = out.withColumn("p", vector_to_array("probability"))
+    return out.withColumn(f"s{i}", array_to_vector(col)).drop("p", "prediction", "probability", "rawPrediction")
+
+
+class StackedModel:
+    """Fitted bases and the meta model over their outputs; ``transform`` works on any prepared frame, without a join."""
+
+    def __init__(self, bases: list, meta, problem_type: str):
+        self.bases, self.meta, self.problem_type = bases, meta, problem_type
+
+    def transform(self, prepared: DataFrame) -> DataFrame:
+        out = prepared
+        for i, b in enumerate(self.bases):
+            out = _base_output(b, out, i, self.problem_type)
+        out = VectorAssembler(inputCols=[f"s{i}" for i in range(len(self.bases))], outputCol="_stack").transform(out)
+        self.meta.setFeaturesCol("_stack")
+        return self.meta.transform(out).drop("_stack", *[f"s{i}" for i in range(len(self.bases))])
 
 
 def stacking(prepared: DataFrame, problem_type: str, bases: dict, k: int, key: str = "_src_idx") -> dict:
     """Stack the base estimators: their out-of-fold outputs feed a logistic/linear meta model.
 
-    For each fold the bases are fitted on the other folds and applied to it;
-    the per-fold outputs are unioned (no join), then the meta model is scored
-    with the same folds.
+    For each fold the bases are fitted on the other folds and applied to it one
+    after another (they read the same features, so nothing is joined); the meta model is
+    scored with the same folds. ``fit`` gives the model that predicts: bases and meta
+    model fitted on all rows.
     """
-    parts = []
     names = list(bases)
+    fitted = _in_parallel([functools.partial(bases[n].fit, prepared.where(F.col("fold") != f)) for f in range(k) for n in names])
+    oof = None
     for f in range(k):
-        tr = prepared.where(F.col("fold") != f)
-        va = prepared.where(F.col("fold") == f).select(key, "label", "fold")
-        cur = prepared.where(F.col("fold") == f)
-        outs = []
-        for i, n in enumerate(names):
-            m = bases[n].fit(tr)
-            col = "probability" if problem_type == "classification" else "prediction"
-            t = m.transform(cur).select(key, (vector_to_array(F.col(col))[1] if problem_type == "classification"
-                                              else F.col(col)).alias(f"s{i}"))
-            outs.append(t)
-        j = va
-        for t in outs:
-            j = j.join(t, key)
-        parts.append(j)
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = VectorAssembler(inputCols=[f"s{i}" for i in range(len(names))], outputCol="features").transform(oof)
+        part = prepared.where(F.col("fold") == f)
+        for i in range(len(names)):
+            part = _base_output(fitted[f * len(names) + i], part, i, problem_type)
+        part = part.select(key, "label", "fold", *[f"s{i}" for i in range(len(names))])
+        oof = part if oof is None else oof.unionByName(part)
+    oof = VectorAssembler(inputCols=[f"s{i}" for i in range(len(names))], outputCol="features").transform(oof).persist()
     meta = LogisticRegression(maxIter=1000) if problem_type == "classification" else LinearRegression(regParam=1.0)
     m, sd = _mean_std(cv_scores(meta, oof, problem_type, k))
-    return {"mean": m, "std": sd, "bases": names, "meta": meta}
+
+    def fit() -> StackedModel:
+        whole = _in_parallel([functools.partial(bases[n].fit, prepared) for n in names])
+        return StackedModel(whole, meta.fit(oof), problem_type)
+    return {"mean": m, "std": sd, "bases": names, "meta": meta, "fit": fit, "release": oof.unpersist}
+
+
+def with_probability(out: DataFrame) -> DataFrame:
+    """``out`` with a ``probability`` vector; a model that gives raw scores only (one-vs-rest) gets their softmax."""
+    if "probability" in out.columns:
+        return out
+    raw = vector_to_array("rawPrediction")
+    e = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
+    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+    return out.withColumn("probability", array_to_vector(F.transform(e, lambda x: x / total)))
+
+
+def search(prepared: DataFrame, problem_type: str, models: dict, k: int = 5, trials: int = 20, seed: int = 42) -> dict:
+    """Baselines, the tuned top three and their stack, and the best of them refitted on all rows of ``prepared``."""
+    base = cv_compare(prepared, problem_type, models, k)
+    tuned = tune_top(prepared, problem_type, models, base, k, trials=trials, seed=seed)
+    usable = {n: v["estimator"] for n, v in tuned.items() if not v["reason"]}
+    stack = stacking(prepared, problem_type, usable, k)
+    best = max(tuned, key=lambda n: tuned[n]["mean"])
+    if stack["mean"] > tuned[best]["mean"]:
+        name, model = "Stacking", stack["fit"]()
+    else:
+        name, model = f"{best}_Tuned", tuned[best]["estimator"].fit(prepared)
+    stack["release"]()
+    return {"baseline": base, "tuned": tuned, "stack": stack, "name": name, "model": model}
 
 
 def model_ranking(spark, baseline: dict, tuned: dict, stack: dict | None = None) -> DataFrame:
@@ -260,6 +329,8 @@ def predict_all(bundle: ModelBundle, df: DataFrame) -> DataFrame:
     attached to its own row key; nothing is aligned by position.
     """
     out = bundle.model.transform(df)
+    if bundle.problem_type == "classification":
+        out = with_probability(out)
     keep = [F.col(f"`{c}`") for c in df.columns]
     if bundle.problem_type == "classification":
         lab = F.element_at(F.array(*[F.lit(x) for x in bundle.labels]), F.col("prediction").cast("int") + 1)
@@ -273,14 +344,12 @@ def predict_all(bundle: ModelBundle, df: DataFrame) -> DataFrame:
 
 
 def score_rows(bundle: ModelBundle, spark, rows: list[dict]) -> DataFrame:
-    """Score a handful of given rows (missing features default to 0 / NULL)."""
-    from tessera.operators.select import align_schema
+    """Score a handful of given rows; a feature that a row does not have is 0 (a category: unknown)."""
     cols = bundle.numeric + bundle.categorical
-    recs = [{**{c: (None if r.get(c) is None else float(r[c])) for c in bundle.numeric},
+    recs = [{**{c: (0.0 if r.get(c) is None else float(r[c])) for c in bundle.numeric},
              **{c: (None if r.get(c) is None else str(r[c])) for c in bundle.categorical}} for r in rows]
     schema = ", ".join([f"`{c}` double" for c in bundle.numeric] + [f"`{c}` string" for c in bundle.categorical])
-    df = spark.createDataFrame([tuple(r[c] for c in cols) for r in recs], schema)
-    return predict_all(bundle, align_schema(df, cols))
+    return predict_all(bundle, spark.createDataFrame([tuple(r[c] for c in cols) for r in recs], schema))
 
 
 def feature_importance_topn(bundle: ModelBundle, prepared: DataFrame, n: int = 15) -> DataFrame:
@@ -304,30 +373,35 @@ def feature_importance_topn(bundle: ModelBundle, prepared: DataFrame, n: int = 1
 
 
 def boruta_select(prepared_src: DataFrame, numeric: list[str], label: str, key: str = "_src_idx",
-                  rounds: int = 5, trees: int = 50, seed: int = 42) -> DataFrame:
+                  rounds: int = 20, trees: int = 100, seed: int = 42, tree_memory_mb: int = 128) -> DataFrame:
     """Shadow-feature selection: a feature is kept when its random-forest importance beats
-    the best shadow (the same columns taken from a permuted row) in more than half the rounds.
+    the best shadow in more than half the rounds.
 
-    The permutation pairs each row with the row of equal rank under a second
-    hash (exact distributed ranks, one equi-join on the rank) - no row is
-    copied to the driver or to a single task.
+    Each shadow is its column under a permutation of its own: rows carry one exact distributed
+    rank, and shadow ``i`` of a round is shifted along it by an offset of its own, fetched by an
+    equi-join on the rank. No row is copied to the driver or to a single task.
     """
     spark = prepared_src.sparkSession
     hits = {c: 0 for c in numeric}
-    # the source is read twice per round: keep its narrow projection
-    base = persist_sized(prepared_src.select(key, label, *numeric))
+    base = persist_sized(hash_rank(prepared_src.select(key, label, *numeric), key, seed=seed)
+                         .select(label, *numeric, F.col("_rank").alias("_ra")))
     try:
-        a = hash_rank(base, key, seed=seed).select(key, label, *numeric, F.col("_rank").alias("_ra"))
+        n = base.count()
+        rng = random.Random(seed)
         for r in range(rounds):
-            b = hash_rank(base.select(key, *numeric), key, seed=seed + 1000 + r).select(
-                F.col("_rank").alias("_ra"), *[F.col(c).alias(f"shadow_{c}") for c in numeric])
-            j = a.join(b, "_ra")
+            # a row gives each column to the row whose rank is the column's offset further, around the end
+            offsets = [rng.randrange(1, max(n, 2)) for _ in numeric]
+            given = base.select(F.explode(F.array(*[
+                F.struct(F.pmod(F.col("_ra") - 1 + o, F.lit(n)).alias("_to"), F.lit(i).alias("_i"), F.col(c).cast("double").alias("_v"))
+                for i, (c, o) in enumerate(zip(numeric, offsets))])).alias("g"))
+            shadows = given.groupBy((F.col("g._to") + 1).alias("_ra")).agg(*[
+                F.max(F.when(F.col("g._i") == i, F.col("g._v"))).alias(f"shadow_{c}") for i, c in enumerate(numeric)])
             cols = numeric + [f"shadow_{c}" for c in numeric]
             # the forest reads its input once per tree level: fit on a sized, persisted frame
             d = persist_sized(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(
-                j.withColumn("label", F.col(label).cast("double"))).select("features", "label"))
+                base.join(shadows, "_ra").withColumn("label", F.col(label).cast("double"))).select("features", "label"))
             try:
-                rf = RandomForestClassifier(numTrees=trees, seed=seed + r, labelCol="label").fit(d)
+                rf = RandomForestClassifier(numTrees=trees, seed=seed + r, labelCol="label", maxMemoryInMB=tree_memory_mb).fit(d)
             finally:
                 d.unpersist()
             _record_hits(rf.featureImportances.toArray(), numeric, hits)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.quantile import exact_quantiles, mode_table, quantile_row
-from tessera.functions.safe import NUMERIC_TYPES, numeric_columns, sample_skew, string_columns
+from tessera.functions.safe import NUMERIC_TYPES, nan_to_null, numeric_columns, sample_skew, string_columns
 from tessera.session import persisted
 
 
@@ -67,6 +67,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     Two passes over the (persisted) input: one wide aggregate and one
     distinct-count grouping; the result has one row per column.
     """
+    df = nan_to_null(df)
     cols = df.columns
     num = set(numeric_columns(df))
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -99,8 +100,12 @@ def describe_all(df: DataFrame, digits: int | None = None) -> DataFrame:
     """pandas ``describe(include='all')`` in long form, one row per column.
 
     numbers: count, mean, std, min, 25/50/75 % (exact, interpolated), max;
-    strings: count, unique, top (most frequent, smallest on ties), freq.
+    strings, booleans, dates and timestamps (as text): count, unique, top (most frequent,
+    smallest on ties), freq. NaN is a missing value.
     """
+    other = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+    df = nan_to_null(df).select([_q(c).cast("string").alias(c) if c in other else _q(c) for c in df.columns])
     cols = df.columns
     num = numeric_columns(df)
     strs = string_columns(df)
@@ -172,7 +177,7 @@ def iqr_outliers(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or numeric_columns(df)
     schema = "column string, outliers long, q1 double, q3 double, lower double, upper double"
     rows = []
-    with persisted(df.select([_q(c) for c in cols])) as d:
+    with persisted(nan_to_null(df.select([_q(c) for c in cols]))) as d:
         qs = quantile_row(d, cols, [0.25, 0.75])
         aggs, kept = [], []
         for i, c in enumerate(cols):
@@ -225,6 +230,7 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     all rows into bin 0.
     """
     spark = df.sparkSession
+    df = nan_to_null(df, [col])
     x = _q(col).cast("double")
     mm = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
     mn, mx = mm.select("mn").scalar(), mm.select("mx").scalar()
@@ -248,7 +254,7 @@ def boxplot_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     schema = ("column string, q1 double, median double, q3 double, iqr double, whisker_low double, "
               "whisker_high double, fliers long")
     rows = []
-    with persisted(df.select([_q(c) for c in cols])) as d:
+    with persisted(nan_to_null(df.select([_q(c) for c in cols]))) as d:
         qs = quantile_row(d, cols, [0.25, 0.5, 0.75])
         aggs, kept = [], []
         for i, c in enumerate(cols):

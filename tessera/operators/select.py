@@ -8,7 +8,7 @@ pushdown applies (casting the column to string would block it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +51,6 @@ def drop_columns(df: DataFrame, cols) -> DataFrame:
     return df.drop(*[c for c in cols if c in present])
 
 
-def drop_all_null_columns(df: DataFrame) -> DataFrame:
-    """Drop columns that hold no value at all (they would empty an any-null row drop)."""
-    counts = df.agg(*[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    return df.select([_q(c) for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0])
-
-
 def drop_null_rows(df: DataFrame, subset=None, how: str = "any") -> DataFrame:
     return df.dropna(how=how, subset=list(subset) if subset else None)
 
@@ -99,10 +93,13 @@ def filter_range(df: DataFrame, ranges: dict) -> DataFrame:
     """Inclusive range per column; a column whose data min equals max is not filtered.
 
     ``ranges``: col -> (lo, hi). Rows with NULL fall out once a range applies.
+    One aggregate finds the data bounds; the ranges then reach the scan as plain comparisons.
     """
     out = df
-    for c, (lo, hi) in ranges.items():
-        if lo is None or hi is None or lo == hi:
+    wanted = {c: r for c, r in ranges.items() if r[0] is not None and r[1] is not None}
+    bounds = data_bounds(df, list(wanted)) if wanted else {}
+    for c, (lo, hi) in wanted.items():
+        if bounds[c][0] == bounds[c][1]:
             continue
         out = out.where(_q(c).between(F.lit(lo), F.lit(hi)))
     return out
@@ -148,3 +145,15 @@ def align_schema(df: DataFrame, columns: list[str], fill=0, keep=()) -> DataFram
 def sample_head(df: DataFrame, n: int = 10, order_by: str = "_src_idx") -> DataFrame:
     """First ``n`` rows by the row key (a distributed top-k, not a full sort)."""
     return df.orderBy(_q(order_by)).limit(n)
+
+
+def column_samples(df: DataFrame, n: int = 3, order_by: str = "_src_idx") -> DataFrame:
+    """``(column, rank, value)``: the first ``n`` non-null values of every column by the row key.
+
+    One pass: each task keeps ``n`` rows per column before anything is shuffled.
+    """
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), _q(order_by).alias("_k"), _q(c).cast("string").alias("value"))
+        for c in df.columns if c != order_by]))).where("value is not null")
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("_k"))
+    return long.withColumn("rank", rank).where(F.col("rank") <= n).select("column", "rank", "value")

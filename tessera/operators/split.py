@@ -19,34 +19,58 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.quantile import quantile_row
+from tessera.session import checked_broadcast
 
 HASH_BUCKETS_HEX = 5  # 16**5 buckets
 
 
+def _hashed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
+    """``df`` with its hash, bucket and class; a NULL class is a class of its own (``_gn`` true)."""
+    h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+    g = F.col(by).cast("string") if by else F.lit("")
+    return (df.withColumn("_h", h).withColumn("_gn", g.isNull()).withColumn("_g", F.coalesce(g, F.lit("")))
+              .withColumn("_b", F.substring("_h", 1, HASH_BUCKETS_HEX)))
+
+
+def _bucket_sizes(hashed: DataFrame) -> DataFrame:
+    sizes = hashed.groupBy("_gn", "_g", "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = Window.partitionBy("_gn", "_g").orderBy("_b")  # <= 16**5 rows per group
+    return (sizes.withColumn("_off", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
+                 .withColumn("_group_n", F.sum("_bn").over(Window.partitionBy("_gn", "_g")))
+                 .withColumn("_off", F.coalesce("_off", F.lit(0))))
+
+
 def hash_rank(df: DataFrame, key: str, seed: int = 42, by: str | None = None) -> DataFrame:
     """Adds ``_h`` and ``_rank`` (1-based rank of (h, key) within ``by``) and ``_group_n``."""
-    h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-    g = F.col(by) if by else F.lit(0)
-    d = df.withColumn("_h", h).withColumn("_g", g).withColumn("_b", F.substring("_h", 1, HASH_BUCKETS_HEX))
-    sizes = d.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy("_g").orderBy("_b")  # <= 16**5 rows per group
-    sizes = (sizes.withColumn("_off", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-                  .withColumn("_group_n", F.sum("_bn").over(Window.partitionBy("_g")))
-                  .select("_g", "_b", F.coalesce("_off", F.lit(0)).alias("_off"), "_group_n"))
-    w = Window.partitionBy("_g", "_b").orderBy("_h", key)
+    d = _hashed(df, key, seed, by)
+    sizes = _bucket_sizes(d).drop("_bn")
+    w = Window.partitionBy("_gn", "_g", "_b").orderBy("_h", key)
     ranked = d.withColumn("_r", F.row_number().over(w))
     # sizes: at most groups x 16**5 rows; the planner (AQE) decides whether to broadcast it
-    out = ranked.join(sizes, ["_g", "_b"]).withColumn("_rank", F.col("_off") + F.col("_r"))
-    return out.drop("_g", "_b", "_r", "_off")
+    out = ranked.join(sizes, ["_gn", "_g", "_b"]).withColumn("_rank", F.col("_off") + F.col("_r"))
+    return out.drop("_gn", "_g", "_b", "_r", "_off")
 
 
 def train_test_split(df: DataFrame, key: str, label: str | None = None, test_frac: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """Adds ``split`` in {'train','test'}: per class the first round(frac * n_class) ranks are test."""
-    r = hash_rank(df, key, seed, label)
+    """Adds ``split`` in {'train','test'}: per class the first round(frac * n_class) ranks are test.
+
+    Only the last test row's (hash, key) of each class is needed, and only the one
+    bucket it falls in is ranked; whole rows are compared with their class's cut
+    where they are.
+    """
+    narrow = _hashed(df.select(key, *([label] if label else [])), key, seed, label).select("_gn", "_g", "_b", "_h", F.col(key).alias("_k"))
     n_test = F.floor(F.col("_group_n") * F.lit(test_frac) + F.lit(0.5))
-    return r.withColumn("split", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop(
-        "_h", "_rank", "_group_n")
+    edge = (_bucket_sizes(narrow).withColumn("_want", n_test - F.col("_off"))
+            .where((F.col("_want") > 0) & (F.col("_want") <= F.col("_bn"))).select("_gn", "_g", "_b", "_want"))
+    w = Window.partitionBy("_gn", "_g").orderBy("_h", "_k")
+    cuts = (narrow.join(edge, ["_gn", "_g", "_b"]).withColumn("_r", F.row_number().over(w))
+            .where(F.col("_r") == F.col("_want")).select("_gn", "_g", F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k")))
+    cuts = checked_broadcast(cuts)  # one row per class
+    upto = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
+    return (_hashed(df, key, seed, label).join(cuts, ["_gn", "_g"], "left")
+            .withColumn("split", F.when(upto, "test").otherwise("train"))
+            .select(*[F.col(f"`{c}`") for c in df.columns], "split"))
 
 
 def kfold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None, seed: int = 42) -> DataFrame:
@@ -56,7 +80,7 @@ def kfold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None,
 
 
 def temporal_holdout(df: DataFrame, ts: str, test_frac: float = 0.2) -> tuple[DataFrame, float]:
-    """Split by time: rows after the exact (1 - frac) quantile of the timestamp are test."""
+    """Split by time: rows after the exact (1 - frac) quantile of the timestamp are test; without one, NULL."""
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
         # wall-clock timestamps: microseconds since the epoch without any session time zone
         us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(ts))
@@ -64,4 +88,4 @@ def temporal_holdout(df: DataFrame, ts: str, test_frac: float = 0.2) -> tuple[Da
         us = F.unix_micros(F.col(ts).cast("timestamp"))
     secs = us.cast("double") / 1e6
     cut = quantile_row(df.select(secs.alias("_t")), ["_t"], [1 - test_frac]).get(("_t", 1 - test_frac))
-    return df.withColumn("split", F.when(secs > F.lit(cut), "test").otherwise("train")), cut
+    return df.withColumn("split", F.when(secs > F.lit(cut), "test").when(secs.isNotNull(), "train")), cut

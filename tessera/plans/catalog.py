@@ -49,13 +49,13 @@ def q_group_mean_derived(spark, sf):
     return round_doubles(groups.group_mean_derived(line_late(spark, sf), "delay_years", DELAY_YEARS, "late", top=10))
 
 
-QLABELS = ["Q1_Low", "Q2", "Q3", "Q4_High"]
+QLABELS = ["lowest", "lower", "upper", "highest"]
 
 
 @query("quantile_buckets", f"""
 WITH t AS {LL}, e AS (SELECT quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]) AS q FROM t)
-SELECT CASE WHEN l_extendedprice <= q[1] THEN 'Q1_Low' WHEN l_extendedprice <= q[2] THEN 'Q2'
-            WHEN l_extendedprice <= q[3] THEN 'Q3' ELSE 'Q4_High' END AS bucket,
+SELECT CASE WHEN l_extendedprice <= q[1] THEN 'lowest' WHEN l_extendedprice <= q[2] THEN 'lower'
+            WHEN l_extendedprice <= q[3] THEN 'upper' ELSE 'highest' END AS bucket,
        round(avg(late), 6) AS mean, count(late) AS "count"
 FROM t, e WHERE l_extendedprice IS NOT NULL GROUP BY 1""")
 def q_quantile_buckets(spark, sf):
@@ -256,7 +256,10 @@ def q_filter_in(spark, sf):
 
 
 @query("filter_range", """
-SELECT * FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND l_discount BETWEEN 0.02 AND 0.05""")
+WITH b AS (SELECT min(l_quantity) = max(l_quantity) AS q, min(l_discount) = max(l_discount) AS d, min(l_tax) = max(l_tax) AS t
+  FROM lineitem)
+SELECT lineitem.* FROM lineitem, b WHERE (q OR l_quantity BETWEEN 10 AND 20) AND (d OR l_discount BETWEEN 0.02 AND 0.05)
+  AND (t OR l_tax BETWEEN 0.0 AND 0.0)""")
 def q_filter_range(spark, sf):
     return select.filter_range(load_table(spark, sf, "lineitem"),
                                {"l_quantity": (10.0, 20.0), "l_discount": (0.02, 0.05), "l_tax": (0.0, 0.0)})
@@ -296,12 +299,27 @@ def q_sample_head(spark, sf):
     return select.sample_head(order_frame(spark, sf), 10)
 
 
+@query("column_samples", "\nUNION ALL\n".join(
+    f"""SELECT * FROM (SELECT {S.lit(c)} AS "column", CAST(row_number() OVER (ORDER BY _src_idx) AS INTEGER) AS rank,
+  CAST({S.q(c)} AS VARCHAR) AS value FROM {NULLED_OF} t WHERE {S.q(c)} IS NOT NULL) u WHERE rank <= 3"""
+    for c in ("n_lines", "o_orderpriority", "c_mktsegment", "r_name", "late")))
+def q_column_samples(spark, sf):
+    f = _nulled_orders(spark, sf).select("_src_idx", "n_lines", "o_orderpriority", "c_mktsegment", "r_name", "late")
+    return select.column_samples(f, 3)
+
+
 @query("drop_null_rows", f"SELECT * FROM {NULLED_OF} t WHERE o_totalprice IS NOT NULL AND sum_qty IS NOT NULL "
                          f"AND avg_tax IS NOT NULL AND c_mktsegment IS NOT NULL AND r_name IS NOT NULL")
 def q_drop_null_rows(spark, sf):
     return select.drop_null_rows(_nulled_orders(spark, sf))
 
 
+@query("drop_columns", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
+       "l_returnflag, l_linestatus, l_shipdate FROM lineitem")
+def q_drop_columns(spark, sf):
+    return select.drop_columns(load_table(spark, sf, "lineitem"), ["l_tax", "not_there"])
+
+
 @query("standardize_names", r"""
 SELECT p_partkey, regexp_replace(replace(lower(trim(p_type)), ' ', '_'), '[^a-z0-9_]', '', 'g') AS p_type_std FROM part""")
 def q_standardize_names(spark, sf):
@@ -316,6 +334,11 @@ def q_correlation_matrix(spark, sf):
     return round_doubles(assoc.correlation_matrix(order_frame(spark, sf), ORDER_NUMERIC))
 
 
+@query("correlation_matrix_nulls", S.corr_pairs(NULLED_OF, ORDER_NUMERIC))
+def q_correlation_matrix_nulls(spark, sf):
+    return round_doubles(assoc.correlation_matrix(_nulled_orders(spark, sf), ORDER_NUMERIC))
+
+
 @query("correlation_with_target", "SELECT \"column\", position, corr, abs(corr) AS abs_corr FROM (" + "\nUNION ALL\n".join(
     f"SELECT {S.lit(c)} AS \"column\", {i} AS position, "
     f"round({S.corr(f'CAST({S.q(c)} AS DOUBLE)', 'CAST(late AS DOUBLE)')}, 6) AS corr FROM {OF} t{i}"
@@ -425,10 +448,29 @@ def q_impute_mode(spark, sf):
     return impute.impute_mode(f)
 
 
-@query("impute_auto")
+@query("impute_auto", f"""
+WITH t AS {NULLED_OF}
+SELECT _src_idx, coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM t)) AS o_totalprice,
+  coalesce(sum_qty, (SELECT quantile_cont(sum_qty, 0.5) FROM t)) AS sum_qty,
+  coalesce(c_mktsegment, {_mode_sql('t', 'c_mktsegment')}) AS c_mktsegment,
+  coalesce(r_name, {_mode_sql('t', 'r_name')}) AS r_name FROM t""")
 def q_impute_auto(spark, sf):
-    """KNN up to 50,000 rows, median above (the driver tables exceed it from sf0.01 on)."""
-    return round_doubles(impute.impute_auto(_nulled_lines(spark, sf), key="l_orderkey"))
+    """Numbers by the named method (median), strings by mode."""
+    f = _nulled_orders(spark, sf).select("_src_idx", "o_totalprice", "sum_qty", "c_mktsegment", "r_name")
+    return impute.impute_auto(f, key="_src_idx", method="median")
+
+
+@query("impute_centres", f"""
+SELECT _src_idx, sum_price, o_totalprice AS seen_price, sum_qty AS seen_qty, true AS whole FROM {NULLED_OF} t""")
+def q_impute_centres(spark, sf):
+    """Neighbour imputation by learned centres: observed values stay, nothing is missing or out of range afterwards."""
+    f = _nulled_orders(spark, sf).select("_src_idx", "o_totalprice", "sum_qty", "sum_price")
+    out = impute.impute_centres(f.withColumn("seen_price", F.col("o_totalprice")).withColumn("seen_qty", F.col("sum_qty")),
+                                ["o_totalprice", "sum_qty", "sum_price"])
+    lo, hi = f.select(F.min("o_totalprice")).scalar(), f.select(F.max("o_totalprice")).scalar()
+    whole = (F.col("o_totalprice").between(lo, hi) & F.col("sum_qty").isNotNull()
+             & F.coalesce(F.col("seen_price") == F.col("o_totalprice"), F.lit(True)))
+    return out.select("_src_idx", "sum_price", "seen_price", "seen_qty", whole.alias("whole"))
 
 
 # -- 2.6 features and encoding ------------------------------------------------
@@ -451,11 +493,11 @@ def q_log_features(spark, sf):
     return round_doubles(f.select("_src_idx", *made))
 
 
-DOMAIN = {"delay": "delay_days",
-          "speed_ratio": "l_extendedprice / (l_quantity + 0.1)",
-          "qty_sq_ratio": "l_quantity * l_quantity / (l_discount + 1)",
-          "benefit_ratio": "l_extendedprice * (1 - l_discount) / (o_totalprice + 1)",
-          "delay_x_qty": "delay_days * l_quantity"}
+DOMAIN = {"net_price": "l_extendedprice * (1 - l_discount)",
+          "gross_price": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+          "tax_paid": "l_extendedprice * (1 - l_discount) * l_tax",
+          "balance_left": "c_acctbal - l_extendedprice",
+          "ship_weeks": "CAST(delay_days AS DOUBLE) / 7"}
 
 
 @query("domain_features", f"""SELECT l_orderkey, l_linenumber, {', '.join(f'round({e}, 6) AS {n}' for n, e in DOMAIN.items())}
@@ -510,6 +552,18 @@ SPLIT_OF = f"""(SELECT _src_idx, late, CASE WHEN rn <= floor(cnt * 0.2 + 0.5) TH
   FROM {RANKED_OF} r)"""
 
 
+@query("train_test_split_nulls", f"""
+WITH t AS (SELECT _src_idx, CASE WHEN _src_idx % 10 = 0 THEN NULL ELSE late END AS late FROM {OF} t0),
+r AS (SELECT *, row_number() OVER (PARTITION BY late ORDER BY md5('42|' || CAST(_src_idx AS VARCHAR)), _src_idx) AS rn,
+  count(*) OVER (PARTITION BY late) AS cnt FROM t)
+SELECT _src_idx, late, CASE WHEN rn <= floor(cnt * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split,
+  CAST((rn - 1) % 5 AS INTEGER) AS fold FROM r""")
+def q_train_test_split_nulls(spark, sf):
+    """Rows without a class are a class of their own, in the split and in the folds."""
+    f = with_nulls(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", ["late"], 10)
+    return split.kfold_assign(split.train_test_split(f, "_src_idx", "late", 0.2, 42), "_src_idx", 5, "late", 42)
+
+
 @query("train_test_split", f"SELECT * FROM {SPLIT_OF} s")
 def q_train_test_split(spark, sf):
     return split.train_test_split(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", "late", 0.2, 42)
@@ -673,10 +727,10 @@ SPECS = [
 
 def _spec_sql(s):
     if s["kind"] == "quantile_buckets":
-        return f"""SELECT 'H6' AS id, bucket AS grp, CAST(CASE bucket WHEN 'Q1_Low' THEN 1 WHEN 'Q2' THEN 2 WHEN 'Q3' THEN 3
+        return f"""SELECT 'H6' AS id, bucket AS grp, CAST(CASE bucket WHEN 'lowest' THEN 1 WHEN 'lower' THEN 2 WHEN 'upper' THEN 3
   ELSE 4 END AS DOUBLE) AS ord, avg(late) AS mean, count(late) AS "count" FROM (
-  SELECT late, CASE WHEN l_extendedprice <= q[1] THEN 'Q1_Low' WHEN l_extendedprice <= q[2] THEN 'Q2'
-    WHEN l_extendedprice <= q[3] THEN 'Q3' ELSE 'Q4_High' END AS bucket FROM {LF} t,
+  SELECT late, CASE WHEN l_extendedprice <= q[1] THEN 'lowest' WHEN l_extendedprice <= q[2] THEN 'lower'
+    WHEN l_extendedprice <= q[3] THEN 'upper' ELSE 'highest' END AS bucket FROM {LF} t,
     (SELECT quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]) AS q FROM {LF} t2) e
   WHERE l_extendedprice IS NOT NULL) b GROUP BY bucket"""
     key = DELAY_YEARS if s["kind"] == "group_mean_derived" else s["key"]

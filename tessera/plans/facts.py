@@ -28,14 +28,14 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = load_table(spark, sf_dir, "nation")
     r = load_table(spark, sf_dir, "region")
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
     return checked_broadcast(geo, 10_000, cache_key=f"geo:{sf_dir}")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     g = _geo(spark, sf_dir)
-    return c.join(g, c.c_nationkey == g.n_nationkey).drop("n_nationkey")
+    return c.join(g, c.c_nationkey == g.n_nationkey, "left").drop("n_nationkey")
 
 
 def late_expr(ship="l_shipdate", order="o_orderdate"):
@@ -43,10 +43,9 @@ def late_expr(ship="l_shipdate", order="o_orderdate"):
 
 
 def money_sum(c: str):
-    """Sum of a 2-decimal money column, exact: whole cents are added as integers
-    (cheap long arithmetic, no order dependence across tasks or engines) and
-    divided by 100 once, giving the double nearest the exact decimal sum."""
-    return F.sum(F.round(F.col(c) * 100).cast("long")).cast("double") / F.lit(100.0)
+    """Sum of a money column, exact to six decimals: values are added as wide decimals (no
+    order dependence across tasks or engines) and turned into a double once."""
+    return F.sum(F.col(c).cast("decimal(28,6)")).cast("double")
 
 
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,23 +74,26 @@ def line_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, keyed by the unique ``o_orderkey`` (our ``_src_idx``).
 
-    lineitem joins orders once; the line measures are aggregated per order
-    with the order's own attributes as extra grouping keys (they depend on
-    the key), so the aggregate reuses the join's order-key partitioning and
-    orders is read once. Money sums and means are exact (``money_sum``). Target ``late`` = more than half of the order's
-    lines shipped late.
+    orders left-joins its lines once; the line measures are aggregated per
+    order with the order's own attributes as extra grouping keys (they depend
+    on the key), so the aggregate reuses the join's order-key partitioning and
+    orders is read once. An order without lines has 0 lines and zero measures and
+    is not late; one without a known customer has NULL customer columns.
+    Money sums and means are exact (``money_sum``). Target ``late`` = more
+    than half of the order's lines shipped late.
     """
     li = load_table(spark, sf_dir, "lineitem")
     o = load_table(spark, sf_dir, "orders")
-    f = (li.join(o, li.l_orderkey == o.o_orderkey)
+    zero = F.lit(0.0)
+    f = (o.join(li, li.l_orderkey == o.o_orderkey, "left")
            .groupBy("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
-           .agg(F.count(F.lit(1)).alias("n_lines"),
-                F.sum("l_quantity").alias("sum_qty"),
-                money_sum("l_extendedprice").alias("sum_price"),
-                (money_sum("l_discount") / F.count("l_discount").cast("double")).alias("avg_discount"),
-                (money_sum("l_tax") / F.count("l_tax").cast("double")).alias("avg_tax"),
-                F.avg(late_expr()).alias("late_share")))
-    f = f.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+           .agg(F.count("l_orderkey").alias("n_lines"),
+                F.coalesce(F.sum("l_quantity"), zero).alias("sum_qty"),
+                F.coalesce(money_sum("l_extendedprice"), zero).alias("sum_price"),
+                F.coalesce(F.try_divide(money_sum("l_discount"), F.count("l_discount")), zero).alias("avg_discount"),
+                F.coalesce(F.try_divide(money_sum("l_tax"), F.count("l_tax")), zero).alias("avg_tax"),
+                F.coalesce(F.avg(late_expr()), zero).alias("late_share")))
+    f = f.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
     return f.select(
         F.col("o_orderkey").alias("_src_idx"), "o_totalprice", "n_lines", "sum_qty", "sum_price",
         "avg_discount", "avg_tax", "c_acctbal", "o_orderpriority", "o_orderstatus", "c_mktsegment",

@@ -15,19 +15,20 @@ LINE_FACTS = f"""(SELECT lf.*, c.c_acctbal, c.c_mktsegment, n.n_name, r.r_name F
   JOIN customer c ON lf.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
-# exact sum of a 2-decimal money column: whole cents as integers, one division
-MONEY_SUM = "CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE)"
+# exact sum of a money column as a wide decimal, turned into a double once
+MONEY_SUM = "CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE)"
 
 ORDER_FRAME = f"""(WITH lines AS (
   SELECT l.l_orderkey, count(*) AS n_lines, sum(l.l_quantity) AS sum_qty, {MONEY_SUM.format(c="l.l_extendedprice")} AS sum_price,
          {MONEY_SUM.format(c="l.l_discount")} / CAST(count(l.l_discount) AS DOUBLE) AS avg_discount,
          {MONEY_SUM.format(c="l.l_tax")} / CAST(count(l.l_tax) AS DOUBLE) AS avg_tax, avg({LATE_SQL}) AS late_share
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l.l_orderkey)
-SELECT o.o_orderkey AS _src_idx, o.o_totalprice, li.n_lines, li.sum_qty, li.sum_price, li.avg_discount,
-       li.avg_tax, c.c_acctbal, o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, r.r_name, n.n_name,
-       CAST(li.late_share > 0.5 AS INTEGER) AS late
-FROM orders o JOIN lines li ON o.o_orderkey = li.l_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+SELECT o.o_orderkey AS _src_idx, o.o_totalprice, coalesce(li.n_lines, 0) AS n_lines, coalesce(li.sum_qty, 0.0) AS sum_qty,
+       coalesce(li.sum_price, 0.0) AS sum_price, coalesce(li.avg_discount, 0.0) AS avg_discount,
+       coalesce(li.avg_tax, 0.0) AS avg_tax, c.c_acctbal, o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, r.r_name,
+       n.n_name, CAST(coalesce(li.late_share, 0.0) > 0.5 AS INTEGER) AS late
+FROM orders o LEFT JOIN lines li ON o.o_orderkey = li.l_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 ORDER_COLS = [("_src_idx", "bigint"), ("o_totalprice", "double"), ("n_lines", "bigint"), ("sum_qty", "double"),
               ("sum_price", "double"), ("avg_discount", "double"), ("avg_tax", "double"), ("c_acctbal", "double"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from contextlib import contextmanager
 
@@ -47,8 +48,9 @@ def get_spark(app: str = "tessera", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a private folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only in local mode, where driver and
+    tasks are one process, a private folder is created when it is unset; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local(\[[^-]*\])?$", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
@@ -93,10 +97,6 @@ def checked_broadcast(df: DataFrame, max_rows: int = 100_000, cache_key: str | N
     return F.broadcast(df) if small else df
 
 
-def env_flag(name: str, default: str = "") -> str:
-    return os.environ.get(name, default)
-
-
 _COSTLY_NODES = ("Join", "Aggregate", "Window", "Generate", "Sort", "Expand", "Union")
 
 
@@ -114,7 +114,7 @@ def is_costly(df: DataFrame) -> bool:
 ROWS_PER_TRAINING_TASK = 1_000_000
 
 
-def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_TASK,
+def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_TASK, keep_slots: bool = True,
                   level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Persist ``df`` with about ``rows_per_partition`` rows per partition.
 
@@ -130,8 +130,8 @@ def persist_sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAINING_TAS
     d = df.persist(level)
     n = d.count()
     have = d.rdd.getNumPartitions()
-    # never below the cluster's task slots (while the frame has that many partitions)
-    slots = min(have, df.sparkSession.sparkContext.defaultParallelism)
+    # never below the cluster's task slots (while the frame has that many partitions), unless several fits share them
+    slots = min(have, df.sparkSession.sparkContext.defaultParallelism) if keep_slots else 1
     want = max(1, -(-n // rows_per_partition), slots)
     if want >= have:
         return d

@@ -44,10 +44,16 @@ def detect_encoding(spark: SparkSession, path: str, encodings=ENCODINGS) -> str:
 
 
 def read_csv_multi_encoding(spark: SparkSession, path: str, encodings=ENCODINGS, header: bool = True,
-                            infer_schema: bool = True, schema=None, standardize: bool = True) -> DataFrame:
-    """Read CSV with the first working encoding; standardise names; NaN -> NULL."""
+                            infer_schema: bool = True, schema=None, standardize: bool = True,
+                            multi_line: bool = False) -> DataFrame:
+    """Read CSV with the first working encoding; standardise names; NaN -> NULL.
+
+    Quotes inside a quoted field are doubled. ``multi_line`` allows line breaks inside quoted
+    fields; such a file cannot be split, so it is read by one task.
+    """
     enc = detect_encoding(spark, path, encodings)
-    r = spark.read.option("header", header).option("encoding", SPARK_CHARSET.get(enc.lower(), enc))
+    r = (spark.read.option("header", header).option("encoding", SPARK_CHARSET.get(enc.lower(), enc))
+         .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     r = r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
     df = r.csv(path)
     if standardize:
@@ -115,7 +121,7 @@ def layer_exists(spark: SparkSession, base: str, name: str, min_rows: int = 1) -
 
 def export_filtered_csv(df: DataFrame, path: str) -> str:
     """Write the (filtered) rows as CSV with a header, one file per partition."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -128,9 +134,26 @@ def read_config(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path).first()["value"])
 
 
-def stats_report_table(df: DataFrame, max_rows: int = 200, digits: int = 4) -> str:
-    """Render a small result (profile, metrics) as a markdown table; at most ``max_rows`` rows."""
-    rows = df.limit(max_rows).collect()
+def stats_report_table(df: DataFrame, keys: list[str], digits: int = 4) -> DataFrame:
+    """A profile or metrics table as report rows ``(*keys, metric, value, text)``, all of them.
+
+    Every other column becomes one row per input row: numbers in ``value`` (rounded), anything else in ``text``.
+    """
+    numeric = (T.NumericType,)
+    recs = []
+    for f in df.schema.fields:
+        if f.name in keys:
+            continue
+        c = F.col(f"`{f.name}`")
+        is_num = isinstance(f.dataType, numeric)
+        recs.append(F.struct(F.lit(f.name).alias("metric"),
+                             (F.round(c.cast("double"), digits) if is_num else F.lit(None).cast("double")).alias("value"),
+                             (F.lit(None).cast("string") if is_num else c.cast("string")).alias("text")))
+    return df.select(*[F.col(f"`{k}`") for k in keys], F.inline(F.array(*recs)))
+
+
+def markdown(df: DataFrame, digits: int = 4) -> str:
+    """A small result (the caller has bounded it) as a markdown table, every row."""
     cols = df.columns
 
     def fmt(v):
@@ -138,5 +161,5 @@ def stats_report_table(df: DataFrame, max_rows: int = 200, digits: int = 4) -> s
             return f"{v:.{digits}f}"
         return "" if v is None else str(v)
     lines = ["| " + " | ".join(cols) + " |", "|" + "---|" * len(cols)]
-    lines += ["| " + " | ".join(fmt(r[c]) for c in cols) + " |" for r in rows]
+    lines += ["| " + " | ".join(fmt(r[c]) for c in cols) + " |" for r in df.collect()]
     return "\n".join(lines) + "\n"

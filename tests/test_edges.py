@@ -1,6 +1,6 @@
 """Hand-made edge frames (FIXTURES.md): nulls, constants, ties, empty, one row."""
 
-import math
+import datetime
 
 import numpy as np
 import pandas as pd
@@ -86,33 +86,97 @@ def test_impute_skips_all_null_and_uses_missing(spark, edge):
     assert {r["s"] for r in impute.impute_mode(allnull, ["s"]).collect()} == {"MISSING"}
 
 
-def test_knn_matches_bruteforce(spark):
-    rng = np.random.default_rng(0)
-    X = rng.normal(size=(40, 3))
-    X[rng.random(X.shape) < 0.15] = np.nan
-    pdf = pd.DataFrame(X, columns=["a", "b", "c"])
-    pdf.insert(0, "_src_idx", range(len(pdf)))
-    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "_src_idx long, a double, b double, c double")
-    got = impute.impute_knn(df, ["a", "b", "c"], k=3).toPandas().sort_values("_src_idx").reset_index(drop=True)
-    # brute force, same definition: nan-euclidean distance scaled by p/shared, ties by donor key
-    exp = pdf.copy()
-    cols = ["a", "b", "c"]
-    for i in range(len(pdf)):
-        for ci, c in enumerate(cols):
-            if not np.isnan(pdf.loc[i, c]):
-                continue
-            cand = []
-            for j in range(len(pdf)):
-                if j == i or np.isnan(pdf.loc[j, c]):
-                    continue
-                both = [k for k in cols if not np.isnan(pdf.loc[i, k]) and not np.isnan(pdf.loc[j, k])]
-                if not both:
-                    continue
-                d2 = sum((pdf.loc[i, k] - pdf.loc[j, k]) ** 2 for k in both) * 3 / len(both)
-                cand.append((math.sqrt(d2), j))
-            cand.sort()
-            exp.loc[i, c] = (np.mean([pdf.loc[j, c] for _, j in cand[:3]]) if cand else pdf[c].mean())
-    np.testing.assert_allclose(got[cols].to_numpy(dtype=float), exp[cols].to_numpy(dtype=float), rtol=1e-9)
+def test_centres_fill_from_the_nearest_cluster(spark):
+    rows = [(i, 10.0 * (i % 2), 100.0 * (i % 2) + (i % 5) * 0.1, None) for i in range(200)]
+    rows += [(1000, 10.0, None, None), (1001, 0.0, None, None), (1002, None, 100.0, None), (1003, None, None, None)]
+    df = spark.createDataFrame(rows, "_src_idx long, a double, b double, c double")
+    got = {r["_src_idx"]: r for r in impute.impute_centres(df, ["a", "b", "c"], centres=2).collect()}
+    assert abs(got[1000]["b"] - 100) < 1 and abs(got[1001]["b"]) < 1 and abs(got[1002]["a"] - 10) < 0.1
+    assert abs(got[1003]["a"] - 5) < 0.1 and got[1003]["c"] is None
+    assert all(got[i]["a"] == 10.0 * (i % 2) for i in range(200))
+    # the same rule at every size: no row count changes the method
+    auto = {r["_src_idx"]: r for r in impute.impute_auto(df.drop("c"), method="mean").collect()}
+    assert auto[1003]["a"] == sum(r[1] for r in rows if r[1] is not None) / 202
+
+
+def test_one_hot_keeps_every_level_of_a_wide_column(spark):
+    df = spark.createDataFrame([(i, f"v{i:03d}") for i in range(60)] + [(99, None)], "_src_idx long, wide string")
+    out, names = features.one_hot(df, ["wide"], max_levels=50)
+    assert names == ["wide__levels"] and "wide" not in out.columns
+    v = {r["_src_idx"]: r["wide__levels"] for r in out.collect()}
+    assert v[0].size == 59 and v[0].numNonzeros() == 0 and v[99].numNonzeros() == 0
+    assert len({tuple(v[i].indices) for i in range(1, 60)}) == 59
+    full, _ = features.one_hot_vector(df, "wide", drop_first=False)
+    assert all(r["wide__levels"].numNonzeros() == (r["_src_idx"] != 99) for r in full.collect())
+
+
+def test_orders_without_lines_and_null_classes_are_kept(spark, sf_oracle):
+    from tessera.plans.facts import order_frame
+    f = order_frame(spark, sf_oracle)
+    n = spark.read.parquet(f"{sf_oracle}/orders.parquet").count()
+    assert f.count() == n and f.where("n_lines = 0 and late = 0 and sum_price = 0").count() > 0
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "k long, y int")
+    s = split.train_test_split(df, "k", "y")
+    assert s.count() == 100 and s.where("y is null and split = 'test'").count() == 2
+    assert split.kfold_assign(df, "k", 5, "y").count() == 100
+
+
+def test_filter_range_skips_by_the_data_only(spark):
+    df = spark.createDataFrame([(i, 7) for i in range(10)], "a int, b int")
+    assert select.filter_range(df, {"a": (5, 5)}).count() == 1
+    assert select.filter_range(df, {"b": (0, 1)}).count() == 10
+
+
+def test_text_derived_key(spark):
+    df = spark.createDataFrame([(i, f"x{i % 3}") for i in range(90)], "v int, s string")
+    spec = {"id": "H", "kind": "group_mean_derived", "key": "first", "expr": "upper(s)", "target": "v"}
+    got = hypothesis.run_hypotheses(df, [spec]).collect()
+    assert {r["grp"] for r in got} == {"X0", "X1", "X2"} and all(r["ord"] is None for r in got)
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 5.0), (float("nan"), 2.0), (4.0, 4.0)], "a double, b double")
+    p = {r["column"]: r for r in profile.column_profile(df).collect()}["a"]
+    assert p["null_pct"] == 25.0 and p["max"] == 4.0 and p["nunique"] == 3
+    assert profile.iqr_outliers(df).count() == 0
+    h = profile.histogram(df, "a", 3).collect()
+    assert sum(r["count"] for r in h) == 3 and h[0]["lower"] == 1.0
+    assert assoc.correlation_matrix(df).first()["corr"] == pytest.approx(np.corrcoef([1, 2, 4], [1, 5, 4])[0, 1])
+
+
+def test_pairwise_correlation_matches_pandas(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 6)) * [1, 10, 1e6, 1, 1, 0] + [0, 5, 1e8, 0, 0, 3]
+    x[rng.random(x.shape) < 0.2] = np.nan
+    pdf = pd.DataFrame(x, columns=list("abcdef"))
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in "abcdef"))
+    want = pdf.corr()
+    for r in assoc.correlation_matrix(df).collect():
+        if "f" in (r["col_a"], r["col_b"]):
+            assert r["corr"] is None
+        else:
+            assert r["corr"] == pytest.approx(want.loc[r["col_a"], r["col_b"]], abs=1e-8)
+
+
+def test_null_time_belongs_to_no_side(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else datetime.datetime(2020, 1, 1 + i)) for i in range(10)], "k int, ts timestamp")
+    out, _ = split.temporal_holdout(df, "ts")
+    assert {r["k"]: r["split"] for r in out.collect()}[3] is None
+
+
+def test_describe_covers_booleans_and_times(spark):
+    df = spark.createDataFrame([(True, datetime.date(2020, 1, 1), datetime.datetime(2020, 1, 1))] * 2
+                               + [(False, datetime.date(2020, 1, 2), None)], "b boolean, d date, t timestamp")
+    d = {r["column"]: r for r in profile.describe_all(df).collect()}
+    assert (d["b"]["unique"], d["b"]["top"], d["b"]["freq"]) == (2, "true", 2)
+    assert d["d"]["top"] == "2020-01-01" and d["t"]["count"] == 2
+
+
+def test_many_classes_in_a_report(spark):
+    df = spark.range(3000).select((F.col("id") % 1500).cast("string").alias("a"), (F.col("id") % 1499).cast("string").alias("p"))
+    rep = metrics.classification_report(df, "a", "p")
+    assert rep.count() == 1503
+    assert metrics.confusion_matrix(df.limit(20), "a", "p").count() == 400
 
 
 def test_one_hot_drop_first_and_null_row(spark, edge):

@@ -60,6 +60,10 @@ def test_save_load_and_score_rows(spark, frame, bundle):
     rows = [{"o_totalprice": 1000.0, "n_lines": 3, "o_orderpriority": "1-URGENT"}, {"c_acctbal": 5.0}]
     s = models.score_rows(b2, spark, rows).collect()
     assert len(s) == 2 and all(r["prediction"] in (0.0, 1.0) for r in s)
+    # a missing number scores as 0
+    zeros = {**{c: 0.0 for c in ORDER_NUMERIC}, "c_acctbal": 5.0}
+    z = models.score_rows(b2, spark, [zeros]).first()
+    assert (z["prediction"], z["proba_1"]) == (s[1]["prediction"], s[1]["proba_1"])
 
 
 def test_stream_scoring_equals_batch(spark, frame, bundle):
@@ -80,6 +84,41 @@ def test_cv_and_stacking_small(frame):
     assert set(res) == set(cat) and all(0.0 <= v["mean"] <= 1.0 for v in res.values())
     st = models.stacking(prepared, "classification", {k: cat[k] for k in ("RandomForest", "LogisticRegression")}, 2)
     assert 0.0 <= st["mean"] <= 1.0
+    out = st["fit"]().transform(prepared)
+    assert out.count() == prepared.count() and out.where("prediction in (0, 1)").count() == out.count()
+    st["release"]()
+
+
+def test_search_finds_and_refits_the_best(frame):
+    f = split.kfold_assign(frame, "_src_idx", 2, "late")
+    prepared, _ = models.prepare(f, ORDER_NUMERIC, CAT, "late", "classification")
+    cat = {"LogisticRegression": models.model_catalog("classification")["LogisticRegression"]}
+    found = models.search(prepared, "classification", cat, 2, trials=2)
+    best = max(found["tuned"]["LogisticRegression"]["mean"], found["stack"]["mean"])
+    assert found["name"] in ("Stacking", "LogisticRegression_Tuned") and 0 <= best <= 1
+    assert found["model"].transform(prepared).where("prediction is null").count() == 0
+
+
+def test_three_classes(spark):
+    df = spark.createDataFrame([(i, float(i % 30), ["a", "b", "c"][i % 30 // 10]) for i in range(300)], "_src_idx long, x double, y string")
+    cat = models.model_catalog("classification", trees=5, rounds=3, classes=3)
+    for est in (cat["GradientBoosting"], cat["RandomForest"]):
+        b = models.fit_bundle(df, ["x"], [], "y", "classification", est)
+        out = models.predict_all(b, df)
+        assert out.where("prediction_label = y").count() >= 290
+        assert out.where("prediction_proba between 0.33 and 1").count() == 300
+    f = split.kfold_assign(df, "_src_idx", 2, "y")
+    prepared, _ = models.prepare(f, ["x"], [], "y", "classification")
+    st = models.stacking(prepared, "classification", {k: cat[k] for k in ("GradientBoosting", "RandomForest")}, 2)
+    assert st["mean"] >= 0.9
+    st["release"]()
+
+
+def test_failures_that_are_not_the_models_are_raised(spark):
+    bad = spark.createDataFrame([(0, 0, 1.0)], "_src_idx long, fold int, label double")
+    with pytest.raises(Exception):
+        models.cv_compare(bad.withColumn("features", F.expr("raise_error('lost')")), "classification",
+                          {"LogisticRegression": models.model_catalog("classification")["LogisticRegression"]}, 1)
 
 
 def test_boruta_rows(frame):
@@ -100,6 +139,10 @@ def test_csv_encodings(spark):
     with open(f"{local}/utf8.csv", "wb") as fh:
         fh.write("a,b\nçã,1\n".encode("utf-8"))
     assert files.detect_encoding(spark, f"{base}/utf8.csv") == "utf-8"
+    with open(f"{local}/zquotes.csv", "wb") as fh:
+        fh.write(b'name,n\n"say ""hi"", then",1\n"two\nlines",2\n')
+    got = files.read_csv_multi_encoding(spark, f"{base}/zquotes.csv", multi_line=True).collect()
+    assert [tuple(r) for r in got] == [('say "hi", then', 1), ("two\nlines", 2)]
     assert files.pick_csv_in_folder(spark, base).endswith("latin.csv")
 
 
