@@ -22,16 +22,19 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.bpe import byte_symbols
 from tessera.llm.chunks import Memo, per_text
 from tessera.llm.common import arrow_map, batches, documents, id_bucket, id_edges, scratch_path, stored
 
@@ -40,6 +43,10 @@ END_ID = 1
 #: The dictionary: its size, the documents it is trained on (about), and the longest text of those.
 DICT_BYTES, SAMPLE_DOCS, SAMPLE_TEXT = 64 << 10, 1_000, 32 << 10
 BLOCK_BYTES, LEVEL = 4 << 20, 3
+#: Distinct chunks, and pieces of them, that a task process remembers.
+MEMO = 300_000
+#: Characters that the library and Python lower-case and class alike, and that no normal form changes.
+PLAIN = regex.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 
 
 def default_path() -> str:
@@ -48,20 +55,50 @@ def default_path() -> str:
 
 
 class Encoder:
-    """The tokenizers library behind a memory of distinct chunks (its tokens never span a space)."""
+    """The tokenizers library behind a memory of distinct chunks (its tokens never span a space).
+
+    A new chunk of plain letters, digits and signs is lower-cased and split as the file's own pattern
+    says, and the library's model encodes each distinct piece once; any other chunk is encoded by the library as it is.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.memo = Memo(self._library)
-
-    def _library(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        names = [n["type"] for n in spec["normalizer"]["normalizers"]], [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
+        # what the short way does by hand; another vocabulary goes through the library alone
+        self.plain = names == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
+        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) if self.plain else None
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.as_bytes = {b: c for b, c in enumerate(byte_symbols())}
+        self.pieces, self.memo = Memo(self._pieces), Memo(self._chunks)
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize, odd = self.tokenizer.model.tokenize, [p[1:] for p in pieces if p[0] == "\0"]
+        whole = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
+        ids = [next(whole).ids if p[0] == "\0" else
+               [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.as_bytes))] for p in pieces]
         n = np.array([len(x) for x in ids], np.int64)
         return np.fromiter((i for x in ids for i in x), np.int32, int(n.sum())), n
 
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces, counts = [], []
+        for c in chunks:
+            if self.plain and PLAIN.fullmatch(c) and not any(s in c for s in self.special):
+                found = self.pattern.findall(c.lower())
+            else:
+                found = ["\0" + c]
+            pieces += found
+            counts.append(len(found))
+        rows = np.array(list(map(self.pieces.__getitem__, pieces)), np.int64)
+        self.pieces.learn()
+        flat, n = self.pieces.ids.take(rows)
+        self.pieces.forget(2 * MEMO)
+        return flat, per_text(n, np.array(counts, np.int64))
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another and how many each text has, end ids left out."""
         chunks, counts = [], []
@@ -72,7 +109,7 @@ class Encoder:
         rows = np.array(list(map(self.memo.__getitem__, chunks)), np.int64)
         self.memo.learn()
         flat, n = self.memo.ids.take(rows)
-        self.memo.forget()
+        self.memo.forget(MEMO)
         return flat, per_text(n, np.array(counts, np.int64))
 
     def serialized(self, texts: list[str | None]) -> list[bytes]:

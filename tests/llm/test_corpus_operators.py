@@ -164,6 +164,16 @@ def test_token_files_round_trip(spark, awkward):
     assert token_file.read_one(spark, folder, 12345) is None
 
 
+def test_encoder_equals_the_library():
+    t, e = Tokenizer.from_file(token_file.default_path()), token_file.Encoder(token_file.default_path())
+    rng = random.Random(8)
+    parts = [*"ab  \n\t.!'strevldmIS019ÄßéÑ×÷µ", "e\u0301", "中", "<|endoftext|>", "<|startoftext|>", "\x1c", "\x85", "\U0001f600", "İ", "Σ", "ﬁ", "'LL"]
+    cases = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3_000)] + ["", None, "x" * 2_000]
+    ids, n = e.encode(cases)
+    expect = [x.ids for x in t.encode_batch([x or "" for x in cases], add_special_tokens=False)]
+    assert [ids[b - k:b].tolist() for b, k in zip(np.cumsum(n), n)] == expect
+
+
 def test_token_file_query(spark, sf_small, texts):
     t = Tokenizer.from_file(token_file.default_path())
     start = 0
