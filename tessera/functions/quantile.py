@@ -2,10 +2,8 @@
 
 Spark's exact ``percentile`` keeps a map of every distinct value and merges
 it in a single task per group, which cannot hold a 100 TB column. Here the
-exact answer is found by narrowing value intervals: approximate edges
-(``percentile_approx``, a bounded mergeable sketch) cut an interval into
-buckets, exact per-bucket counts locate the wanted rank, and only once an
-interval holds few distinct values are they ranked exactly with a window.
+exact answer is found by narrowing value intervals with grouped counts until
+one value is left.
 
 Quantiles interpolate linearly between order statistics (pandas default,
 DuckDB ``quantile_cont``).
@@ -15,12 +13,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import persisted
 
+#: Equal parts that an interval is cut into; the largest finite double.
+BUCKETS = 4_096
+TOP = 1.7976931348623157e308
+
 
 def _long(df: DataFrame, cols: list[str], value_type: str = "double") -> DataFrame:
     """Unpivot ``cols`` into (k, v) with k the column position; nulls/NaN dropped."""
@@ -32,35 +33,26 @@ def _long(df: DataFrame, cols: list[str], value_type: str = "double") -> DataFra
     return out
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = 256,
-                    max_distinct: int = 20_000, max_levels: int = 8) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int = BUCKETS) -> DataFrame:
     """Exact linear-interpolated quantiles: (name string, q double, value double).
 
-    Driver-coordinated, every collected table is bounded by
-    ``len(cols) * len(probs) * buckets``:
-
-    * pass 1: per column row count, approximate distinct count and
-      approximate edges of the whole column (``percentile_approx``); a column
-      with at most ``max_distinct`` rows uses Spark's exact ``percentile``
-      (its buffer then holds at most that many values);
-    * while a wanted rank lies in a value interval with more than
-      ``max_distinct`` distinct values: exact counts per sub-bucket between
-      the interval's approximate edges (JVM binary search via ``Bucketizer``),
-      keep the sub-bucket holding the rank, and take approximate edges inside
-      it for the next level;
-    * final pass: distinct values of the final intervals only, ranked with a
-      window partitioned by interval (at most ``max_distinct`` values each).
-
-    A value repeated a billion times is one distinct value, so hot values
-    never make a task large.
+    One pass counts each column and finds its range. Then, level by level, the interval around
+    every wanted rank is cut into ``buckets`` equal parts; a grouped aggregate (combined in
+    the map tasks) gives each part's count, smallest and largest value, and the part
+    that holds the rank is the next interval. A part whose smallest and largest value are equal
+    is the answer. As an interval's two ends always fall into different parts, every level
+    narrows; a few levels are usual.
+
+    A value repeated a billion times is one entry of a grouped count, and no window or sort
+    ever holds more than ``buckets`` rows of an interval, so hot values never make a task
+    large. Only one row per wanted rank reaches the driver in a level.
     """
-    rows, _ = quantiles_with_aggs(df, cols, probs, buckets=buckets, max_distinct=max_distinct,
-                                  max_levels=max_levels)
+    rows, _ = quantiles_with_aggs(df, cols, probs, buckets=buckets)
     return df.sparkSession.createDataFrame(rows, "name string, q double, value double")
 
 
 def quantiles_with_aggs(df: DataFrame, cols: list[str], probs: list[float], extra: list | None = None,
-                        buckets: int = 256, max_distinct: int = 20_000, max_levels: int = 8):
+                        buckets: int = BUCKETS):
     """Exact quantiles of ``cols`` plus ``extra`` aggregates over ``df`` in the same first pass.
 
     Returns (rows, extra_row): rows as in :func:`exact_quantiles`, extra_row
@@ -72,148 +64,74 @@ def quantiles_with_aggs(df: DataFrame, cols: list[str], probs: list[float], extr
     extra = list(extra or [])
     if not cols and not extra:
         return [], None
-    vals = [F.when(F.isnan(df[c].cast("double")), None).otherwise(df[c].cast("double")).alias(_vn(i))
-            for i, c in enumerate(cols)]
+    # infinities take the ends of the number line, so that intervals have widths
+    vals = []
+    for i, c in enumerate(cols):
+        x = df[c].cast("double")
+        vals.append(F.when(x.isNotNull() & ~F.isnan(x), F.greatest(F.least(x, F.lit(TOP)), F.lit(-TOP))).alias(_vn(i)))
     keep = [F.col(f"`{c}`") for c in df.columns] if extra else []
-    src = df.select(*vals, *keep)
-    with persisted(src) as src:
-        return _exact_quantile_rows(src, cols, probs, buckets, max_distinct, max_levels, extra)
+    with persisted(df.select(*vals, *keep)) as src:
+        p = len(cols)
+        first = src.agg(*[F.count(_vn(i)).alias(f"__n{i}") for i in range(p)], *[F.min(_vn(i)).alias(f"__lo{i}") for i in range(p)],
+                        *[F.max(_vn(i)).alias(f"__hi{i}") for i in range(p)], *extra).first()
+        found = _select_ranks(src, {i: (first[f"__n{i}"], first[f"__lo{i}"], first[f"__hi{i}"]) for i in range(p)}, probs, buckets)
+    rows = []
+    for i, c in enumerate(cols):
+        for q in probs:
+            v = None
+            if first[f"__n{i}"]:
+                pos = float(q) * (first[f"__n{i}"] - 1)
+                lo, hi = found[(i, math.floor(pos))], found[(i, math.ceil(pos))]
+                v = lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
+            rows.append((c, float(q), v))
+    return rows, first if extra else None
 
 
 def _vn(i: int) -> str:
     return f"__q{i}"
 
 
-def _exact_quantile_rows(src: DataFrame, cols, probs, buckets, max_distinct, max_levels, extra) -> tuple:
+def _select_ranks(src: DataFrame, ranges: dict, probs: list[float], buckets: int) -> dict:
+    """{(column, 0-based rank): value} for the ranks around every quantile."""
     spark = src.sparkSession
-    p = len(cols)
-    acc = max(10_000, 10 * buckets)
-    grid = [j / buckets for j in range(1, buckets)]
-    # pass 1: counts, approximate distinct counts, approximate whole-column edges, caller's aggregates
-    first = src.agg(*[F.count(_vn(i)).alias(f"__n{i}") for i in range(p)],
-                    *[F.approx_count_distinct(_vn(i)).alias(f"__d{i}") for i in range(p)],
-                    *[F.percentile_approx(_vn(i), grid, acc).alias(f"__e{i}") for i in range(p)],
-                    *extra).first()
-    extra_row = first if extra else None
-    counts = {f"n{i}": first[f"__n{i}"] for i in range(p)}
-    counts.update({f"d{i}": first[f"__d{i}"] for i in range(p)})
-    small = [i for i in range(p) if counts[f"n{i}"] <= max_distinct]
-    large = [i for i in range(p) if counts[f"n{i}"] > max_distinct]
-    rows = []
-    if small:
-        # at most max_distinct values per column: the exact percentile buffer is bounded
-        r = src.agg(*[F.percentile(_vn(i), [float(x) for x in probs]).alias(f"p{i}") for i in small]).first()
-        for i in small:
-            vals = r[f"p{i}"]
-            for j, qv in enumerate(probs):
-                rows.append((cols[i], float(qv), None if vals is None else vals[j]))
-    if not large:
-        return rows, extra_row
-    st = {f"n{i}": counts[f"n{i}"] for i in large}
-    st.update({f"d{i}": counts[f"d{i}"] for i in large})
-    # edges of each column's whole range, already known from pass 1
-    known_edges = {(i, -math.inf, math.inf): first[f"__e{i}"] for i in large}
-    # targets: (column, q, which) -> global 0-based rank
-    targets = []
-    for i in large:
-        n = st[f"n{i}"]
-        for qv in probs:
-            pos = float(qv) * (n - 1)
-            r0 = int(math.floor(pos))
-            r1 = int(math.ceil(pos))
-            targets.append({"k": i, "q": float(qv), "frac": pos - r0, "ranks": [r0, r1]})
-    # interval state per (target, which): [k, lo, hi, base, distinct]
-    state = {}
-    for t_i, t in enumerate(targets):
-        for w, r in enumerate(t["ranks"]):
-            state[(t_i, w)] = [t["k"], -math.inf, math.inf, 0, st[f"d{t['k']}"], r]
-    for _level in range(max_levels):
-        active = sorted({(v[0], v[1], v[2]) for v in state.values() if v[4] > max_distinct})
-        if not active:
-            break
-
-        def in_iv(k, lo, hi):
-            c = F.col(_vn(k))
-            cond = c.isNotNull()
-            if lo != -math.inf:
-                cond = cond & (c >= F.lit(lo))
-            if hi != math.inf:
-                cond = cond & (c < F.lit(hi))
-            return F.when(cond, c)
-        w = src.select([in_iv(k, lo, hi).alias(f"w{j}") for j, (k, lo, hi) in enumerate(active)])
-        edges = {a: known_edges.pop(a) for a in active if a in known_edges}
-        need = [a for a in active if a not in edges]
-        if need:
-            idx = {a: j for j, a in enumerate(active)}
-            er = w.agg(*[F.percentile_approx(f"w{idx[a]}", grid, acc).alias(f"e{m}")
-                         for m, a in enumerate(need)]).first()
-            edges.update({a: er[f"e{m}"] for m, a in enumerate(need)})
-        splits, bounds = [], []
-        for j, (k, lo, hi) in enumerate(active):
-            e = sorted({x for x in (edges[(k, lo, hi)] or []) if x is not None and lo < x < hi})
-            splits.append([-math.inf] + e + [math.inf] if e else [-math.inf, 0.0, math.inf])
-            bounds.append([lo] + e + [hi] if e else [lo, hi])
-        bz = Bucketizer(splitsArray=splits, inputCols=[f"w{j}" for j in range(len(active))],
-                        outputCols=[f"b{j}" for j in range(len(active))], handleInvalid="keep")
-        long = bz.transform(w).select(F.inline(F.array(*[
-            F.struct(F.lit(j).alias("j"), F.col(f"w{j}").alias("v"), F.col(f"b{j}").cast("int").alias("b"))
-            for j in range(len(active))]))).where(F.col("v").isNotNull())
-        cnt = {}
-        for r in long.groupBy("j", "b").agg(F.count(F.lit(1)).alias("c"),
-                                           F.approx_count_distinct("v").alias("d")).collect():
-            if not bounds[r["j"]][1:-1]:  # no inner edge: the whole interval is bucket "0"
-                cnt.setdefault(r["j"], {})
-                prev = cnt[r["j"]].get(0, (0, 0))
-                cnt[r["j"]][0] = (prev[0] + r["c"], max(prev[1], r["d"]))
+    found: dict = {}
+    # (column, rank) -> (lo, hi, rank inside that interval)
+    open_: dict = {}
+    for i, (n, lo, hi) in ranges.items():
+        for q in probs if n else ():
+            for r in {math.floor(float(q) * (n - 1)), math.ceil(float(q) * (n - 1))}:
+                if lo == hi:
+                    found[(i, r)] = lo
+                else:
+                    open_[(i, r)] = (lo, hi, r)
+    while open_:
+        intervals = sorted({(i, lo, hi) for (i, _), (lo, hi, _) in open_.items()})
+        index = {v: j for j, v in enumerate(intervals)}
+        recs = []
+        for j, (i, lo, hi) in enumerate(intervals):
+            x = F.col(_vn(i))
+            x = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)
+            # halves keep the width finite; of neighbouring tiny numbers it may vanish
+            width = hi / 2 - lo / 2
+            part = (F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width) * buckets).cast("int") if width
+                    else F.when(x > F.lit(lo), 1).otherwise(0))
+            recs.append(F.struct(F.lit(j).alias("j"), x.alias("v"), F.least(part, F.lit(buckets - 1)).alias("b")))
+        parts = (src.select(F.inline(F.array(*recs))).where(F.col("v").isNotNull()).groupBy("j", "b")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+        upto = Window.partitionBy("j").orderBy("b")  # at most ``buckets`` rows an interval
+        parts = parts.withColumn("upto", F.sum("n").over(upto))
+        want = spark.createDataFrame([(index[(i, lo, hi)], i, r, inside) for (i, r), (lo, hi, inside) in open_.items()],
+                                     "j int, i int, r long, inside long")
+        # want: at most two rows for each column and quantile
+        hits = (parts.join(F.broadcast(want), "j").where("inside < upto and inside >= upto - n")
+                .select("i", "r", "lo", "hi", (F.col("inside") - (F.col("upto") - F.col("n"))).alias("inside")).collect())
+        open_ = {}
+        for h in hits:
+            if h["lo"] == h["hi"]:
+                found[(h["i"], h["r"])] = h["lo"]
             else:
-                cnt.setdefault(r["j"], {})[r["b"]] = (r["c"], r["d"])
-        index = {a: j for j, a in enumerate(active)}
-        for key, v in state.items():
-            j = index.get((v[0], v[1], v[2]))
-            if j is None:
-                continue
-            within = v[5] - v[3]
-            cum = 0
-            nb = len(bounds[j]) - 1
-            for b in range(nb):
-                c, d = cnt.get(j, {}).get(b, (0, 0))
-                if within < cum + c:
-                    same = (bounds[j][b], bounds[j][b + 1]) == (v[1], v[2])
-                    v[1], v[2], v[3], v[4] = bounds[j][b], bounds[j][b + 1], v[3] + cum, (0 if same else d)
-                    break
-                cum += c
-    finals = sorted({(v[0], v[1], v[2], v[3]) for v in state.values()})
-    fidx = {f: j for j, f in enumerate(finals)}
-
-    def in_final(k, lo, hi):
-        c = F.col(_vn(k))
-        cond = c.isNotNull()
-        if lo != -math.inf:
-            cond = cond & (c >= F.lit(lo))
-        if hi != math.inf:
-            cond = cond & (c < F.lit(hi))
-        return cond
-    long = src.select(F.inline(F.array(*[
-        F.struct(F.lit(j).alias("f"), F.when(in_final(k, lo, hi), F.col(_vn(k))).alias("v"))
-        for j, (k, lo, hi, _b) in enumerate(finals)]))).where(F.col("v").isNotNull())
-    vc = long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("c"))
-    wv = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.withColumn("hi_r", F.sum("c").over(wv)).withColumn("lo_r", F.col("hi_r") - F.col("c"))
-    want = spark.createDataFrame(
-        [(fidx[(v[0], v[1], v[2], v[3])], int(v[5] - v[3])) for v in state.values()], "f int, rr long").distinct()
-    # want: at most 2 * len(cols) * len(probs) rows
-    hits = (vc.join(F.broadcast(want), "f").where((F.col("rr") >= F.col("lo_r")) & (F.col("rr") < F.col("hi_r")))
-            .select("f", "rr", "v").collect())
-    found = {(r["f"], r["rr"]): r["v"] for r in hits}
-    for t_i, t in enumerate(targets):
-        vals = []
-        for w_ in range(2):
-            v = state[(t_i, w_)]
-            vals.append(found.get((fidx[(v[0], v[1], v[2], v[3])], int(v[5] - v[3]))))
-        v0, v1 = vals
-        val = None if v0 is None or v1 is None else v0 + (v1 - v0) * t["frac"]
-        rows.append((cols[t["k"]], t["q"], val))
-    return rows, extra_row
+                open_[(h["i"], h["r"])] = (h["lo"], h["hi"], h["inside"])
+    return {k: math.copysign(math.inf, v) if abs(v) == TOP else v for k, v in found.items()}
 
 
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float], extra: list | None = None, **kw):

@@ -104,10 +104,10 @@ def bounded_fit_rows(df: DataFrame, key: str, max_rows: int = FIT_ROWS, seed: in
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)) + 1)
 
 
-def _in_parallel(jobs: list) -> list:
+def _in_parallel(spark, jobs: list) -> list:
     """Results of independent fits, a bounded number at a time (each is a chain of small Spark jobs)."""
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        return list(pool.map(lambda f: f(), [inheritable_thread_target(j) for j in jobs]))
+        return list(pool.map(lambda f: f(), [inheritable_thread_target(spark)(j) for j in jobs]))
 
 
 def _with_params(est, params: dict):
@@ -134,7 +134,7 @@ def _fold_score(est, prepared: DataFrame, problem_type: str, f: int, fold_col: s
 
 
 def cv_scores(est, prepared: DataFrame, problem_type: str, k: int, fold_col: str = "fold") -> list[float]:
-    return [s for s, _ in _in_parallel([functools.partial(_fold_score, est, prepared, problem_type, f, fold_col) for f in range(k)])]
+    return [s for s, _ in _in_parallel(prepared.sparkSession, [functools.partial(_fold_score, est, prepared, problem_type, f, fold_col) for f in range(k)])]
 
 
 def _mean_std(xs):
@@ -145,7 +145,7 @@ def _mean_std(xs):
 def _cv_all(cases: list, prepared: DataFrame, problem_type: str, k: int) -> list[dict]:
     """Mean, std (population) and failure reason of every estimator of ``cases``; all folds of all cases run together."""
     jobs = [functools.partial(_fold_score, est, prepared, problem_type, f) for est in cases for f in range(k)]
-    found = _in_parallel(jobs)
+    found = _in_parallel(prepared.sparkSession, jobs)
     out = []
     for i in range(len(cases)):
         part = found[i * k:(i + 1) * k]
@@ -235,7 +235,7 @@ def stacking(prepared: DataFrame, problem_type: str, bases: dict, k: int, key: s
     model fitted on all rows.
     """
     names = list(bases)
-    fitted = _in_parallel([functools.partial(bases[n].fit, prepared.where(F.col("fold") != f)) for f in range(k) for n in names])
+    fitted = _in_parallel(prepared.sparkSession, [functools.partial(bases[n].fit, prepared.where(F.col("fold") != f)) for f in range(k) for n in names])
     oof = None
     for f in range(k):
         part = prepared.where(F.col("fold") == f)
@@ -248,7 +248,7 @@ def stacking(prepared: DataFrame, problem_type: str, bases: dict, k: int, key: s
     m, sd = _mean_std(cv_scores(meta, oof, problem_type, k))
 
     def fit() -> StackedModel:
-        whole = _in_parallel([functools.partial(bases[n].fit, prepared) for n in names])
+        whole = _in_parallel(prepared.sparkSession, [functools.partial(bases[n].fit, prepared) for n in names])
         return StackedModel(whole, meta.fit(oof), problem_type)
     return {"mean": m, "std": sd, "bases": names, "meta": meta, "fit": fit, "release": oof.unpersist}
 

@@ -1,6 +1,7 @@
 """Hand-made edge frames (FIXTURES.md): nulls, constants, ties, empty, one row."""
 
 import datetime
+import math
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.names import standardize_names
 from tessera.functions.quantile import exact_quantiles, mode_table
 from tessera.functions.safe import safe_corr, sample_skew
-from tessera.operators import assoc, features, groups, impute, metrics, profile, select, split
+from tessera.operators import assoc, features, groups, hypothesis, impute, metrics, profile, select, split
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +55,7 @@ def test_correlation_matrix_paths_agree(spark, edge):
 
 def test_quantiles_ties_empty_single(spark):
     df = spark.createDataFrame([(1.0,), (1.0,), (1.0,), (2.0,)], "v double")
-    q = {r.q: r.value for r in exact_quantiles(df, ["v"], [0.0, 0.5, 0.75, 1.0], max_distinct=1).collect()}
+    q = {r.q: r.value for r in exact_quantiles(df, ["v"], [0.0, 0.5, 0.75, 1.0], buckets=2).collect()}
     s = pd.Series([1.0, 1.0, 1.0, 2.0])
     for k, v in q.items():
         assert math.isclose(v, s.quantile(k))
@@ -64,6 +65,25 @@ def test_quantiles_ties_empty_single(spark):
     assert exact_quantiles(empty, ["v"], [0.5]).first().value is None
 
 
+def test_quantiles_of_hot_and_wild_columns(spark):
+    rng = np.random.default_rng(0)
+    n = 4000
+    cols = {"hot": np.where(rng.random(n) < 0.97, 7.0, rng.normal(size=n)), "wild": rng.lognormal(0, 20, n) * rng.choice([-1, 1], n),
+            "ends": np.concatenate([[-np.inf, np.inf, 5e-324, 0.0, 1e308], rng.normal(size=n - 5)]), "few": rng.integers(0, 3, n) * 1.0}
+    pdf = pd.DataFrame(cols)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {(r.name, r.q): r.value for r in exact_quantiles(spark.createDataFrame(pdf), list(cols), probs, buckets=64).collect()}
+    for c in cols:
+        v = np.sort(pdf[c].to_numpy())
+        for q in probs:
+            pos = q * (n - 1)
+            lo, hi = v[math.floor(pos)], v[math.ceil(pos)]
+            want = lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos))
+            assert got[(c, q)] == want or math.isclose(got[(c, q)], want, rel_tol=1e-12), (c, q)
+    plan = spark.createDataFrame([], "name string, q double, value double")
+    assert exact_quantiles(spark.createDataFrame(pdf).limit(0), ["hot"], [0.5]).schema == plan.schema
+
+
 def test_quantile_buckets_duplicate_edges(spark):
     df = spark.createDataFrame([(float(v), 1.0) for v in [1, 1, 1, 1, 1, 1, 2, 3]], "x double, t double")
     edges = groups.quantile_edges(df, "x", 4)

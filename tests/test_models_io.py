@@ -115,10 +115,12 @@ def test_three_classes(spark):
 
 
 def test_failures_that_are_not_the_models_are_raised(spark):
-    bad = spark.createDataFrame([(0, 0, 1.0)], "_src_idx long, fold int, label double")
-    with pytest.raises(Exception):
-        models.cv_compare(bad.withColumn("features", F.expr("raise_error('lost')")), "classification",
-                          {"LogisticRegression": models.model_catalog("classification")["LogisticRegression"]}, 1)
+    from pyspark.ml.functions import array_to_vector
+    bad = (spark.range(20).select(F.col("id").alias("_src_idx"), (F.col("id") % 2).cast("int").alias("fold"))
+           .withColumn("features", array_to_vector(F.array(F.col("_src_idx").cast("double"))))
+           .withColumn("label", F.expr("if(_src_idx >= 0, cast(raise_error('lost') as double), 1.0)")))
+    with pytest.raises(Exception, match="lost"):
+        models.cv_compare(bad, "classification", {"RandomForest": models.model_catalog("classification", trees=2)["RandomForest"]}, 2)
 
 
 def test_boruta_rows(frame):
