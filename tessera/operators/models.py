@@ -74,22 +74,25 @@ def prepare(df: DataFrame, numeric, categorical, label, problem_type):
 
 
 def model_catalog(problem_type: str, seed: int = 42, trees: int = 100, rounds: int = 100,
-                  tree_memory_mb: int = 128, classes: int = 2) -> dict:
+                  tree_memory_mb: int = 128, classes: int = 2,
+                  early_stop: str | None = None) -> dict:
     """Estimators per problem type: random forest (``trees``), gradient boosting
     (``rounds`` boosting rounds), logistic / ridge. Spark's boosting is binary, so with more
-    than two ``classes`` it is wrapped one-vs-rest.
+    than two ``classes`` it is wrapped one-vs-rest. ``early_stop`` names a boolean column of
+    the training frame: boosting then ends when these rows stop improving, at ``rounds`` at most.
 
     ``tree_memory_mb`` caps the split statistics one task holds per pass
     (Spark's default is 256 MB per task, which several concurrent tasks on a
     small executor cannot afford)."""
     mem = {"maxMemoryInMB": tree_memory_mb}
+    stop = {"validationIndicatorCol": early_stop} if early_stop else {}
     if problem_type == "classification":
-        boost = GBTClassifier(maxIter=rounds, seed=seed, **mem)
+        boost = GBTClassifier(maxIter=rounds, seed=seed, **mem, **stop)
         return {"RandomForest": RandomForestClassifier(numTrees=trees, seed=seed, **mem),
                 "GradientBoosting": boost if classes <= 2 else OneVsRest(classifier=boost),
                 "LogisticRegression": LogisticRegression(maxIter=1000)}
     return {"RandomForest": RandomForestRegressor(numTrees=trees, seed=seed, **mem),
-            "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed, **mem),
+            "GradientBoosting": GBTRegressor(maxIter=rounds, seed=seed, **mem, **stop),
             "Ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0)}
 
 

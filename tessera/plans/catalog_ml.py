@@ -49,13 +49,23 @@ def _prepared(spark, sf):
     train = models.bounded_fit_rows(sp.where(F.col("split") == "train").drop("split"), "_src_idx", FIT_ROWS, SEED)
     train = split.kfold_assign(train, "_src_idx", FOLDS, "late", SEED)
     prepared, fm = models.prepare(train, ORDER_NUMERIC, CATEGORICAL, "late", "classification")
-    return persist_sized(prepared.select("_src_idx", "features", "label", "fold"), 50_000, keep_slots=False), fm, sp
+    prepared = _held_back(prepared.select("_src_idx", "features", "label", "fold"))
+    return persist_sized(prepared, 50_000, keep_slots=False), fm, sp
+
+
+def _held_back(df):
+    """``df`` with ``held_back``: the tenth of the rows that tell boosting when to stop."""
+    return df.withColumn("held_back", F.pmod(F.xxhash64("_src_idx", F.lit(SEED)), F.lit(10)) == 0)
+
+
+def _catalog():
+    return models.model_catalog("classification", SEED, early_stop="held_back")
 
 
 @query("cv_compare")
 def q_cv_compare(spark, sf):
     prepared, _, _ = _prepared(spark, sf)
-    res = models.cv_compare(prepared, "classification", models.model_catalog("classification", SEED), FOLDS)
+    res = models.cv_compare(prepared, "classification", _catalog(), FOLDS)
     prepared.unpersist()
     return spark.createDataFrame([(n, v["mean"], v["std"], v["reason"]) for n, v in res.items()],
                                  "model string, mean double, std double, reason string").orderBy(F.desc("mean"))
@@ -65,7 +75,7 @@ def q_cv_compare(spark, sf):
 def q_model_ranking(spark, sf):
     """Baselines, tuned top 3 and a stacked model ranked by CV accuracy; the best, refitted, scores the test rows."""
     prepared, fm, sp = _prepared(spark, sf)
-    found = models.search(prepared, "classification", models.model_catalog("classification", SEED), FOLDS, TRIALS, SEED)
+    found = models.search(prepared, "classification", _catalog(), FOLDS, TRIALS, SEED)
     ranking = models.model_ranking(spark, found["baseline"], found["tuned"], found["stack"])
     test, _ = models.with_label(sp.where(F.col("split") == "test"), "late", "classification")
     acc = metrics.accuracy(found["model"].transform(fm.transform(test)), "label", "prediction").first()["accuracy"]
@@ -84,12 +94,12 @@ def _bundle(spark, sf):
 def q_fit_best_and_score(spark, sf):
     """The best baseline by cross-validation, refitted on all training rows and scored on the test rows."""
     prepared, _, sp = _prepared(spark, sf)
-    catalog = models.model_catalog("classification", SEED)
+    catalog = _catalog()
     cv = models.cv_compare(prepared, "classification", catalog, FOLDS)
     prepared.unpersist()
     best = max(cv, key=lambda n: cv[n]["mean"])
-    bundle = models.fit_bundle(sp.where(F.col("split") == "train"), ORDER_NUMERIC, CATEGORICAL, "late", "classification",
-                               catalog[best], best)
+    bundle = models.fit_bundle(_held_back(sp.where(F.col("split") == "train")), ORDER_NUMERIC, CATEGORICAL, "late",
+                               "classification", catalog[best], best)
     test = models.predict_all(bundle, sp.where(F.col("split") == "test"))
     return round_doubles(metrics.accuracy(test, "late", "prediction").select(F.lit(best).alias("model"), "*"))
 
