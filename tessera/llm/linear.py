@@ -111,13 +111,14 @@ class Indicators:
         return pairs // self.size, pairs % self.size
 
 
-def class_counts(find: Indicators, texts: list[str], classes: np.ndarray, step: int = 1_000) -> np.ndarray:
+def class_counts(find: Indicators, texts: list[str], classes: np.ndarray, step: int = 200) -> np.ndarray:
     """For every feature, the texts that have it, by column of ``classes`` (a 0/1 matrix)."""
-    out = np.zeros((classes.shape[1], find.size), np.int32)
+    out = np.zeros((classes.shape[1], find.size), np.int32 if len(texts) >= 1 << 16 else np.uint16)
     for i in range(0, len(texts), step):
         doc, feature = find.of(texts[i:i + step])
         for c in range(classes.shape[1]):
-            out[c] += np.bincount(feature[classes[i + doc, c] > 0], minlength=find.size).astype(np.int32)
+            at, n = np.unique(feature[classes[i + doc, c] > 0], return_counts=True)
+            out[c, at] += n.astype(out.dtype)
     return out
 
 
@@ -128,10 +129,13 @@ class Rows:
         self.doc, self.feature, self.n, self.size = doc, feature, n, size
 
     @classmethod
-    def of(cls, find: Indicators, texts: list[str], step: int = 500) -> Rows:
-        parts = [find.of(texts[i:i + step]) for i in range(0, len(texts), step)]
-        doc = np.concatenate([d + i * step for i, (d, _) in enumerate(parts)]) if parts else np.empty(0, np.int64)
-        return cls(doc, np.concatenate([f for _, f in parts]) if parts else np.empty(0, np.int64), len(texts), find.size)
+    def of(cls, find: Indicators, texts: list[str], step: int = 200) -> Rows:
+        docs, features = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        for i in range(0, len(texts), step):
+            doc, feature = find.of(texts[i:i + step])
+            docs.append((doc + i).astype(np.int32))
+            features.append(feature.astype(np.int32))
+        return cls(np.concatenate(docs), np.concatenate(features), len(texts), find.size)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, w[self.feature], self.n)

@@ -29,7 +29,7 @@ from tessera.llm.common import arrow_map, documents
 
 CUT, FOLDS, COST, EPOCHS = 0.3, 3, 1.0, 8
 #: N-grams of the model at most, and the texts one must be in.
-FEATURES, LEAST_TEXTS = 60_000, 3
+FEATURES, LEAST_TEXTS = 40_000, 3
 #: Lengths of runs of words met before, and of one word repeated, that are features.
 MET_RUNS, SAME_RUNS = (2, 4, 8, 12, 16, 24, 32, 48, 64), (1, 2, 4, 8)
 N_RUNS = len(MET_RUNS) + len(SAME_RUNS)
@@ -133,11 +133,11 @@ def fit(ids: list[int], texts: list[str], y: np.ndarray, folds: int = FOLDS) ->
     counts = linear.class_counts(linear.Indicators(words, None, runs, N_RUNS), texts, np.column_stack((y, 1 - y)))
     grams = 1 << linear.HASH_BITS
     # the n-grams that tell most: their ratio, weighed by the texts that have them
-    weight = np.abs(log_count_ratio(counts[0], counts[1])) * np.sqrt(counts.sum(axis=0))
-    weight[counts.sum(axis=0) < LEAST_TEXTS] = 0
-    best = np.argsort(-weight[:grams], kind="stable")[:FEATURES]
-    chosen = np.sort(best[weight[best] > 0])
-    kept = np.concatenate((chosen, grams + np.arange(N_RUNS)))
+    pos, neg = counts[0, :grams], counts[1, :grams]
+    seen = np.flatnonzero(pos.astype(np.int32) + neg >= LEAST_TEXTS)
+    weight = np.abs(log_count_ratio(pos[seen], neg[seen])) * np.sqrt(pos[seen].astype(float) + neg[seen])
+    chosen = np.sort(seen[np.argsort(-weight, kind="stable")[:FEATURES]])
+    del counts, pos, neg
     x = linear.Rows.of(linear.Indicators(words, chosen, runs, N_RUNS), texts)
     cuts = np.searchsorted(x.doc, np.arange(len(texts) + 1))
     parts = [x.feature[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -164,7 +164,6 @@ def fit(ids: list[int], texts: list[str], y: np.ndarray, folds: int = FOLDS) ->
                 margin[i] = w[at] @ v + b
     slope, shift = fit_sigmoid(margin, y)
     ratio, w, b = train(np.ones(len(texts), bool))
-    assert len(kept) == len(ratio)
     return Model(chosen, ratio, w, float(b), slope, shift)
 
 

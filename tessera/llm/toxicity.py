@@ -33,7 +33,7 @@ from tessera.llm.common import arrow_map, documents
 COMMUNITIES = ("en", "de", "fr", "es")
 FOLDS, THRESHOLD, RIDGE = 3, 0.5, 0.3
 #: Labelled documents the chain is fitted on at most (about).
-SAMPLE_DOCS = 6_000
+SAMPLE_DOCS = 5_000
 #: N-grams of a link at most, the texts one must be in, and how far (in standard errors) above chance it must be.
 LINK_FEATURES, LEAST_TEXTS, LEAST_Z = 4_000, 3, 4.0
 
@@ -69,12 +69,11 @@ class Chain:
 
 def _choose(count: np.ndarray, total: np.ndarray, n: int, all_n: int) -> np.ndarray:
     """Buckets clearly more frequent in a category's texts (``count`` of ``n``) than in its community's (``total`` of ``all_n``)."""
-    share = total / max(all_n, 1)
-    expected = share * n
-    z = (count - expected) / np.sqrt(np.maximum(expected * (1 - n / max(all_n, 1)), 1e-9))
-    z[(count < LEAST_TEXTS) | (z < LEAST_Z)] = 0
+    seen = np.flatnonzero(count >= LEAST_TEXTS)
+    expected = total[seen] * (n / max(all_n, 1))
+    z = (count[seen] - expected) / np.sqrt(np.maximum(expected * (1 - n / max(all_n, 1)), 1e-9))
     best = np.argsort(-z, kind="stable")[:LINK_FEATURES]
-    return best[z[best] > 0]
+    return seen[best[z[best] >= LEAST_Z]]
 
 
 def fit_chain(rows, communities=COMMUNITIES, folds: int = FOLDS) -> Chain:
