@@ -6,9 +6,9 @@ committed by Spark and survive lost executors):
 * ``dictionary``: one row ``(dict_hash, width, dictionary)``; the dictionary is trained on the
   serialized ids of a bounded sample of documents, and ``width`` is the bytes of a serialized id.
 * ``blocks``: rows of about ``BLOCK_BYTES`` in ascending document order, each
-  ``(shard, block, start, dict_hash, doc_ids, tokens, offsets, payload)``: ``payload`` is the
+  ``(shard, block, dict_hash, doc_ids, starts, tokens, offsets, payload)``: ``payload`` is the
   frames one after another, ``offsets`` where each begins (and the end), ``tokens`` the ids of each,
-  ``start`` the ids of the shard before the block. A single document is read by its block's
+  ``starts`` the ids of the shard before it. A single document is read by its block's
   index and one short frame.
 
 Shards are ranges of ``doc_id``; only frames are shuffled into them, never texts.
@@ -161,14 +161,14 @@ def _frames(docs: DataFrame, path: str, dictionary: bytes) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, frame binary")
 
 
-_BLOCK = ("shard int, block long, start long, dict_hash string, doc_ids array<bigint>, tokens array<bigint>, "
+_BLOCK = ("shard int, block long, dict_hash string, doc_ids array<bigint>, starts array<bigint>, tokens array<bigint>, "
           "offsets array<bigint>, payload binary")
 
 
 def _blocks(dict_hash: str, limit: int):
     """Sorted ``(shard, doc_id, n_tokens, frame)`` rows to block rows, one block in memory at a time."""
-    schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("dict_hash", pa.string()),
-                        ("doc_ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64())),
+    schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("dict_hash", pa.string()),
+                        ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64())),
                         ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +176,9 @@ def _blocks(dict_hash: str, limit: int):
 
         def out():
             offsets = np.concatenate(([0], np.cumsum([len(f) for _, _, f in held]))).tolist()
+            starts = (start + np.cumsum([0] + [n for _, n, _ in held[:-1]])).tolist()
             return pa.RecordBatch.from_pylist(
-                [{"shard": shard, "block": block, "start": start, "dict_hash": dict_hash, "doc_ids": [d for d, _, _ in held],
+                [{"shard": shard, "block": block, "dict_hash": dict_hash, "doc_ids": [d for d, _, _ in held], "starts": starts,
                   "tokens": [n for _, n, _ in held], "offsets": offsets, "payload": b"".join(f for _, _, f in held)}], schema)
 
         for b in it:
@@ -222,27 +223,25 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     base = (blocks.groupBy("shard").agg(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
             .withColumn("base", F.sum("n").over(Window.orderBy("shard")) - F.col("n")).select("shard", "base"))
 
+    # a block is taken apart before Python sees it: batches hold single frames, not whole blocks
+    frames = (blocks.join(F.broadcast(stored(base, "token-shards")), "shard").select("dict_hash", "base", F.explode(F.expr("""
+        transform(sequence(0, size(doc_ids) - 1), i -> named_struct('doc_id', doc_ids[i], 'start', starts[i], 'n_tokens', tokens[i],
+          'frame', substring(payload, cast(offsets[i] + 1 as int), cast(offsets[i + 1] - offsets[i] as int))))""")).alias("d"))
+        .select("d.doc_id", (F.col("base") + F.col("d.start")).alias("start"), "d.n_tokens", "d.frame", "dict_hash"))
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         unpack = zstandard.ZstdDecompressor(dict_data=shared).decompress
         for b in it:
-            for r in b.to_pylist():
-                if r["dict_hash"] != dict_hash:
-                    raise ValueError("a block was written with another dictionary")
-                at, n = r["offsets"], np.array(r["tokens"], np.int64)
-                starts = r["base"] + r["start"] + np.cumsum(n) - n
-                for i in range(0, len(n), 1_000):
-                    ids = [unpack(r["payload"][a:z]) for a, z in zip(at[i:i + 1_000], at[i + 1:i + 1_001])]
-                    if any(len(x) != k * width for x, k in zip(ids, n[i:i + 1_000].tolist())):
-                        raise ValueError("a frame does not hold the ids of its index")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(r["doc_ids"][i:i + 1_000], pa.int64()), pa.array(starts[i:i + 1_000]),
-                         pa.array(n[i:i + 1_000]), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
-
-    # a block row holds megabytes: few of them in a batch
-    return (blocks.join(F.broadcast(stored(base, "token-shards")), "shard")
-            .select("dict_hash", "base", "start", "doc_ids", "tokens", "offsets", "payload")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary"))
+            if any(h != dict_hash for h in b.column(4).unique().to_pylist()):
+                raise ValueError("a block was written with another dictionary")
+            ids = [unpack(f.as_buffer()) for f in b.column(3)]
+            if any(len(x) != n * width for x, n in zip(ids, b.column(2).to_pylist())):
+                raise ValueError("a frame does not hold the ids of its index")
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+
+    batches(spark)
+    return frames.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def read_one(spark: SparkSession, folder: str, doc_id: int) -> np.ndarray | None:
