@@ -146,8 +146,8 @@ def query(spark, sf_dir):
     docs = documents(spark, sf_dir)
     chain = train(docs, labels_of(spark, sf_dir))
     scored = score(docs.select("doc_id", "text"), chain)
-    return scored.select("doc_id", "toxicity", *[F.col("categories")[i].alias(n) for i, n in enumerate(chain.names[:-1])],
-                         (F.col("toxicity") >= THRESHOLD).cast("int").alias("rejected"))
+    return scored.select("doc_id", F.col("toxicity").alias("score"), (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"),
+                         *[F.col("categories")[i].alias(n) for i, n in enumerate(chain.names[:-1])])
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
