@@ -3,9 +3,11 @@
 A layer is a text together with the span of the document that each of its characters
 comes from. The document is the first layer. Every layer is scanned for the three
 kinds of secret, then unwrapped: URL escapes and Unicode escapes replace the
-layer's escapes all at once, and each base64 run becomes a layer of its own
-(inflated when it holds gzip or zlib data). New layers join the worklist;
-a layer whose text was met before in the document at the same place is not taken again, so cycles
+layer's escapes all at once, and each base64 run becomes a layer of bytes. Escapes are read as
+bytes too when gzip or zlib data begins among them. A layer of bytes is a layer of
+text if it is text, and each compressed stream in it (all gzip members that follow one
+another are one stream) is inflated to a further layer of bytes. New layers join the worklist;
+a layer whose content was met before in the document at the same place is not taken again, so cycles
 end and the work stops at a fixpoint. Spans found in a layer are mapped back: to the very characters
 for escapes, to the four-character groups for base64, to the whole run for compressed data.
 
@@ -47,6 +49,14 @@ URL, UNICODE = re.compile(r"(?:%[0-9A-Fa-f]{2})+"), re.compile(r"(?:\\u[0-9A-Fa-
 #: Base64 in either alphabet; shorter runs than this cannot hold a secret.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAX_INFLATED = 64 << 20
+#: Escapes of a string literal, read as one byte each when they hide compressed data.
+LITERAL = re.compile(r"""(?:\\u[0-9A-Fa-f]{4}|\\["\\/bfnrt])+""")
+_ONE_ESCAPE = re.compile(r"""\\u(....)|\\(.)""")
+_SHORT = dict(zip("bfnrt", "\b\f\n\r\t"))
+#: First bytes of gzip data, or of zlib data without a preset dictionary.
+COMPRESSED = re.compile(b"|".join([rb"\x1f\x8b\x08", *(
+    b"%s[%s]" % (re.escape(bytes([c])), b"".join(re.escape(bytes([f])) for f in range(256) if not f & 32 and (c << 8 | f) % 31 == 0))
+    for c in range(8, 128, 16))]), re.S)
 
 Span = tuple[str, int, int]
 
@@ -114,18 +124,54 @@ def _read_unicode(run: str):
     return piece, ends - sizes * 6, ends
 
 
-def _inflate(raw: bytes) -> str | None:
-    """Text of gzip or zlib data, or ``OVERSIZE``; None if it is neither."""
-    if raw[:2] != b"\x1f\x8b" and (len(raw) < 2 or raw[0] & 15 != 8 or (raw[0] << 8 | raw[1]) % 31):
-        return None
-    try:
-        d = zlib.decompressobj(47)
-        out = d.decompress(raw, MAX_INFLATED)
-        if d.unconsumed_tail:
-            return OVERSIZE
-        return _plain(out + d.flush())
-    except zlib.error:
-        return None
+def _url_bytes(run: str):
+    ends = np.arange(3, len(run) + 1, 3)
+    return bytes.fromhex(run.replace("%", "")).decode("latin-1"), ends - 3, ends
+
+
+def _literal_bytes(run: str):
+    found = list(_ONE_ESCAPE.finditer(run))
+    piece = "".join(chr(int(m[1], 16)) if m[1] else _SHORT.get(m[2], m[2]) for m in found)
+    return piece, np.array([m.start() for m in found]), np.array([m.end() for m in found])
+
+
+def _inflate(raw: memoryview) -> tuple[bytes | str, int, bool] | None:
+    """What the streams that follow one another from the start of ``raw`` hold (or ``OVERSIZE``), where they end, and whether the last is whole."""
+    out, at, whole = [], 0, False
+    while COMPRESSED.match(raw, at):
+        try:
+            d = zlib.decompressobj(47)
+            piece = d.decompress(raw[at:], MAX_INFLATED - sum(map(len, out)) or 1)
+            if d.unconsumed_tail:
+                return OVERSIZE, len(raw), True
+            piece += d.flush()
+        except zlib.error:
+            break
+        out.append(piece)
+        if sum(map(len, out)) > MAX_INFLATED:
+            return OVERSIZE, len(raw), True
+        whole, at = d.eof, len(raw) - len(d.unused_data)
+        if not whole:
+            break
+        pad = at
+        while pad < len(raw) and not raw[pad]:  # gzip files may be padded with zeros between members
+            pad += 1
+        at = pad if COMPRESSED.match(raw, pad) else at
+    return (b"".join(out), at, whole) if out else None
+
+
+def _streams(raw: bytes):
+    """The compressed streams of ``raw``: start, end, and the bytes they hold or ``OVERSIZE``."""
+    view, at = memoryview(raw), 0
+    while m := COMPRESSED.search(raw, at):
+        at = m.start()
+        found = _inflate(view[at:])
+        if found is None:
+            at += 1
+            continue
+        out, size, whole = found
+        yield at, at + size, out
+        at += size if whole else 1
 
 
 def _decode64(run: str) -> bytes | None:
@@ -156,28 +202,64 @@ class Layer:
             return Layer(text, starts, ends, new)
         return Layer(text, self.starts[starts], self.ends[ends - 1], new | self.new[starts])
 
+    def name(self):
+        return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), self.place(0, len(self.text))
+
+    def spans(self) -> list[Span]:
+        """Document spans of the matches that touch decoded characters."""
+        return [(kind, *self.place(a, b)) for kind, a, b in scan(self.text) if self.new[a:b].any()]
+
     def children(self):
-        """Layers one decoding further, and compressed runs that are too large."""
+        """Layers one decoding further."""
         t = self.text
         if "%" in t and (u := _unescape(t, URL, _read_url)):
             yield self.lifted(*u)
+            yield from self._escaped_bytes(URL, _url_bytes)
         if "\\u" in t and (u := _unescape(t, UNICODE, _read_unicode)):
             yield self.lifted(*u)
+            yield from self._escaped_bytes(LITERAL, _literal_bytes)
         for m in BASE64.finditer(t):
             raw = _decode64(m.group())
-            if not raw:
-                continue
-            inner = _plain(raw)
-            if inner is not None:
-                sizes = np.array([len(c.encode()) for c in inner])
-                ends = np.cumsum(sizes)
-                first, last = m.start() + (ends - sizes) * 4 // 3, m.start() + -(-ends * 4 // 3)
-                yield self.lifted(inner, first, np.minimum(last, m.end()), np.ones(len(inner), bool))
-            elif (inner := _inflate(raw)) == OVERSIZE:
-                yield OVERSIZE, *self.place(*m.span())
-            elif inner is not None:
-                n = len(inner)
-                yield self.lifted(inner, np.full(n, m.start()), np.full(n, m.end()), np.ones(n, bool))
+            if raw:
+                ends = np.arange(1, len(raw) + 1)
+                first, last = m.start() + (ends - 1) * 4 // 3, m.start() + -(-ends * 4 // 3)
+                yield Bytes(raw, self.lifted("", first, np.minimum(last, m.end()), np.ones(len(raw), bool)), self.place(*m.span())[1])
+
+    def _escaped_bytes(self, pattern: re.Pattern, read):
+        """Layers of bytes of which compressed data was escaped, with the characters that needed no escape."""
+        text, *where = _unescape(self.text, pattern, read)
+        raw = text.encode("latin-1", "replace")
+        for r in {raw, raw.replace(b"+", b" ")} if pattern is URL else (raw,):
+            if COMPRESSED.search(r):
+                at = self.lifted("", *where)
+                yield Bytes(r, at, int(at.ends[-1]), escaped=True)
+
+
+class Bytes:
+    """Decoded bytes, the document span of each, and where their run ends; ``escaped`` ones have been read as text already."""
+
+    def __init__(self, raw: bytes, at: Layer, end: int, escaped: bool = False):
+        self.raw, self.starts, self.ends, self.end, self.escaped = raw, at.starts, at.ends, end, escaped
+
+    def name(self):
+        return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped, int(self.starts[0]), self.end
+
+    def spans(self) -> list[Span]:
+        return []
+
+    def children(self):
+        """The text, the bytes of compressed streams, and streams that are too large."""
+        if not self.escaped and (text := _plain(self.raw)) is not None:
+            sizes = np.array([len(c.encode()) for c in text])
+            ends = np.cumsum(sizes)
+            yield Layer(text, self.starts[ends - sizes], self.ends[ends - 1], np.ones(len(text), bool))
+        for a, b, out in _streams(self.raw):
+            start, end = int(self.starts[a]), int(self.ends[b - 1]) if b < len(self.raw) else self.end
+            if out == OVERSIZE:
+                yield OVERSIZE, start, end
+            elif out:
+                n = len(out)
+                yield Bytes(out, Layer("", np.full(n, start), np.full(n, end)), end)
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span]]:
@@ -191,11 +273,11 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
             if isinstance(child, tuple):
                 every.add(child)
                 continue
-            name = hashlib.blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), child.place(0, len(child.text))
+            name = child.name()
             if name in seen:
                 continue
             seen.add(name)
-            every.update((kind, *child.place(a, b)) for kind, a, b in scan(child.text) if child.new[a:b].any())
+            every.update(child.spans())
             work.append(child)
     return base, sorted(every, key=_key)
 

@@ -4,6 +4,7 @@ import base64
 import collections
 import gzip
 import hashlib
+import json
 import random
 import re
 import urllib.parse
@@ -357,6 +358,24 @@ def test_secret_layers_map_back(hidden):
     assert kind == "assign" and t[a:b] == hidden
 
 
+GZ = gzip.compress(SECRET.encode(), mtime=0)
+
+
+@pytest.mark.parametrize("hidden", [
+    B64(gzip.compress(GZ)), B64(zlib.compress(GZ)), B64(gzip.compress(zlib.compress(gzip.compress(B64(GZ).encode())))),
+    urllib.parse.quote(GZ), urllib.parse.quote_plus(gzip.compress(b"  + " + GZ)), "".join(f"%{b:02x}" for b in GZ),
+    "".join(f"\\u{b:04X}" for b in GZ), json.dumps(GZ.decode("latin-1"))[1:-1], urllib.parse.quote(zlib.compress(GZ)),
+    B64(urllib.parse.quote(GZ).encode()), urllib.parse.quote(urllib.parse.quote(GZ)),
+    B64(b"".join(gzip.compress(SECRET[i:i + 5].encode()) for i in range(0, len(SECRET), 5))),
+    B64(gzip.compress(b"first") + bytes(9) + GZ)])
+def test_secret_layers_of_bytes(hidden):
+    t = f"héllo 100%25 x^ {hidden} bye"
+    base, every = secret_scan.find(t)
+    assert not base
+    (kind, a, b), = every
+    assert kind == "assign" and t[a:b] in (hidden, hidden.rstrip("="))
+
+
 def test_secret_scan_ends(monkeypatch):
     once = urllib.parse.quote(SECRET)
     for _ in range(12):
