@@ -5,7 +5,8 @@ comes from. The document is the first layer. Every layer is scanned for the thre
 kinds of secret, then unwrapped: URL escapes and Unicode escapes replace the
 layer's escapes all at once, and each base64 run becomes a layer of bytes. Escapes are read as
 bytes too when gzip or zlib data begins among them. A layer of bytes is a layer of
-text if it is text, and each compressed stream in it (all gzip members that follow one
+text (of UTF-8 or, if it is none, of a character for each byte) whenever a run of ASCII in it is long enough for a
+secret, since patterns and encodings are ASCII, and each compressed stream in it (all gzip members that follow one
 another are one stream) is inflated to a further layer of bytes. New layers join the worklist;
 a layer whose content was met before in the document at the same place is not taken again, so cycles
 end and the work stops at a fixpoint. Spans found in a layer are mapped back: to the very characters
@@ -49,6 +50,8 @@ URL, UNICODE = re.compile(r"(?:%[0-9A-Fa-f]{2})+"), re.compile(r"(?:\\u[0-9A-Fa-
 #: Base64 in either alphabet; shorter runs than this cannot hold a secret.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAX_INFLATED = 64 << 20
+#: No secret, encoded or not, is found in bytes without such a run (the shortest is ``token=`` and its value).
+READABLE = re.compile(rb"[\t\n\r -~]{%d}" % (len("token=") + ASSIGN_LEAST))
 #: Escapes of a string literal, read as one byte each when they hide compressed data.
 LITERAL = re.compile(r"""(?:\\u[0-9A-Fa-f]{4}|\\["\\/bfnrt])+""")
 _ONE_ESCAPE = re.compile(r"""\\u(....)|\\(.)""")
@@ -73,15 +76,6 @@ def scan(text: str) -> list[Span]:
     return out
 
 
-def _plain(raw: bytes) -> str | None:
-    """Decoded bytes as text, if they are text."""
-    try:
-        s = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return s if s and all(c.isprintable() or c in "\t\n\r" for c in s) else None
-
-
 def _unescape(text: str, pattern: re.Pattern, read) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
     """``text`` with every escape run decoded: the new text, and each character's start, end and whether it was decoded."""
     parts, starts, ends, new, at = [], [], [], [], 0
@@ -220,7 +214,7 @@ class Layer:
             yield from self._escaped_bytes(LITERAL, _literal_bytes)
         for m in BASE64.finditer(t):
             raw = _decode64(m.group())
-            if raw:
+            if raw and (READABLE.search(raw) or COMPRESSED.search(raw)):
                 ends = np.arange(1, len(raw) + 1)
                 first, last = m.start() + (ends - 1) * 4 // 3, m.start() + -(-ends * 4 // 3)
                 yield Bytes(raw, self.lifted("", first, np.minimum(last, m.end()), np.ones(len(raw), bool)), self.place(*m.span())[1])
@@ -249,10 +243,17 @@ class Bytes:
 
     def children(self):
         """The text, the bytes of compressed streams, and streams that are too large."""
-        if not self.escaped and (text := _plain(self.raw)) is not None:
-            sizes = np.array([len(c.encode()) for c in text])
-            ends = np.cumsum(sizes)
-            yield Layer(text, self.starts[ends - sizes], self.ends[ends - 1], np.ones(len(text), bool))
+        if not self.escaped and READABLE.search(self.raw):
+            try:
+                text = self.raw.decode()
+            except UnicodeDecodeError:
+                text = self.raw.decode("latin-1")
+            starts, ends = self.starts, self.ends
+            if not text.isascii() and len(text) < len(self.raw):
+                codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+                after = np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))
+                starts, ends = starts[np.concatenate(([0], after[:-1]))], ends[after - 1]
+            yield Layer(text, starts, ends, np.ones(len(text), bool))
         for a, b, out in _streams(self.raw):
             start, end = int(self.starts[a]), int(self.ends[b - 1]) if b < len(self.raw) else self.end
             if out == OVERSIZE:

@@ -376,6 +376,16 @@ def test_secret_layers_of_bytes(hidden):
     assert kind == "assign" and t[a:b] in (hidden, hidden.rstrip("="))
 
 
+@pytest.mark.parametrize("odd", ["\xa0", "\xad", "\u200b", "\u2028", "\u3000", "\ufeff", "\f", "\0", "\x1b", "\x7f"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_secret_layers_with_odd_characters(odd, pack):
+    t = f"see {B64(pack(f'{odd}é中 {SECRET}{odd}'.encode()))} bye"
+    base, every = secret_scan.find(t)
+    assert not base and [k for k, _, _ in every] == ["assign"]
+    latin = B64(pack(f"é {SECRET} é".encode("latin-1")))
+    assert [k for k, _, _ in secret_scan.find(latin)[1]] == ["assign"]
+
+
 def test_secret_scan_ends(monkeypatch):
     once = urllib.parse.quote(SECRET)
     for _ in range(12):
