@@ -3,7 +3,9 @@
 A layer is a text together with the span of the document that each of its characters
 comes from. The document is the first layer. Every layer is scanned for the three
 kinds of secret, then unwrapped: URL escapes and Unicode escapes replace the
-layer's escapes all at once, and each base64 run becomes a layer of bytes. Escapes are read as
+layer's escapes all at once, and each base64 run becomes layers of bytes, read from each of its first
+four characters as it may follow a prefix in base64's own letters; runs on
+neighbouring lines are also read as one. Escapes are read as
 bytes too when gzip or zlib data begins among them. A layer of bytes is a layer of
 text (of UTF-8 or, if it is none, of a character for each byte) whenever a run of ASCII in it is long enough for a
 secret, since patterns and encodings are ASCII, and each compressed stream in it (all gzip members that follow one
@@ -49,6 +51,9 @@ _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 URL, UNICODE = re.compile(r"(?:%[0-9A-Fa-f]{2})+"), re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
 #: Base64 in either alphabet; shorter runs than this cannot hold a secret.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs that follow one another over single line breaks, as in wrapped base64 of any width.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\t ]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_BREAK = re.compile(r"\r?\n[\t ]*")
 MAX_INFLATED = 64 << 20
 #: No secret, encoded or not, is found in bytes without such a run (the shortest is ``token=`` and its value).
 READABLE = re.compile(rb"[\t\n\r -~]{%d}" % (len("token=") + ASSIGN_LEAST))
@@ -131,20 +136,22 @@ def _literal_bytes(run: str):
 
 def _inflate(raw: memoryview) -> tuple[bytes | str, int, bool] | None:
     """What the streams that follow one another from the start of ``raw`` hold (or ``OVERSIZE``), where they end, and whether the last is whole."""
-    out, at, whole = [], 0, False
+    out, size, at, whole = [], 0, 0, False
     while COMPRESSED.match(raw, at):
+        d, held, fed, step = zlib.decompressobj(47), [], at, 256
         try:
-            d = zlib.decompressobj(47)
-            piece = d.decompress(raw[at:], MAX_INFLATED - sum(map(len, out)) or 1)
-            if d.unconsumed_tail:
-                return OVERSIZE, len(raw), True
-            piece += d.flush()
+            # in growing pieces, so that neither a false start nor a short member copies what follows it
+            while not d.eof and fed < len(raw):
+                held.append(d.decompress(raw[fed:fed + step], MAX_INFLATED + 1 - size))
+                size += len(held[-1])
+                if size > MAX_INFLATED:
+                    return OVERSIZE, len(raw), True
+                fed, step = min(fed + step, len(raw)), min(step * 2, 1 << 20)
+            held.append(d.flush())
         except zlib.error:
             break
-        out.append(piece)
-        if sum(map(len, out)) > MAX_INFLATED:
-            return OVERSIZE, len(raw), True
-        whole, at = d.eof, len(raw) - len(d.unused_data)
+        out += held
+        whole, at = d.eof, fed - len(d.unused_data)
         if not whole:
             break
         pad = at
@@ -154,12 +161,12 @@ def _inflate(raw: memoryview) -> tuple[bytes | str, int, bool] | None:
     return (b"".join(out), at, whole) if out else None
 
 
-def _streams(raw: bytes):
-    """The compressed streams of ``raw``: start, end, and the bytes they hold or ``OVERSIZE``."""
+def _streams(raw: bytes, escaped: np.ndarray | None = None):
+    """The compressed streams of ``raw``: start, end, and the bytes they hold or ``OVERSIZE``; ``escaped`` ones have an escape near the start."""
     view, at = memoryview(raw), 0
     while m := COMPRESSED.search(raw, at):
         at = m.start()
-        found = _inflate(view[at:])
+        found = _inflate(view[at:]) if escaped is None or escaped[at:at + 32].any() else None
         if found is None:
             at += 1
             continue
@@ -213,11 +220,25 @@ class Layer:
             yield self.lifted(*u)
             yield from self._escaped_bytes(LITERAL, _literal_bytes)
         for m in BASE64.finditer(t):
-            raw = _decode64(m.group())
-            if raw and (READABLE.search(raw) or COMPRESSED.search(raw)):
-                ends = np.arange(1, len(raw) + 1)
-                first, last = m.start() + (ends - 1) * 4 // 3, m.start() + -(-ends * 4 // 3)
-                yield Bytes(raw, self.lifted("", first, np.minimum(last, m.end()), np.ones(len(raw), bool)), self.place(*m.span())[1])
+            yield from self._base64(m.group(), m.start(), m.end(), [])
+        if "\n" in t:
+            for m in WRAPPED.finditer(t):
+                yield from self._base64(_BREAK.sub("", m.group()), m.start(), m.end(), list(_BREAK.finditer(t, m.start(), m.end())))
+
+    def _base64(self, run: str, start: int, end: int, breaks: list[re.Match]):
+        """Layers of bytes of a run without its line ``breaks``, read from each of four characters: a prefix may be of any length."""
+        found = [(k, raw) for k in range(min(4, len(run))) if (raw := _decode64(run[k:])) and (READABLE.search(raw) or COMPRESSED.search(raw))]
+        if not found:
+            return
+        lost = np.zeros(end - start, bool)
+        for b in breaks:
+            lost[b.start() - start:b.end() - start] = True
+        places = start + np.flatnonzero(~lost)
+        stop = self.place(start, end)[1]
+        for k, raw in found:
+            after = np.arange(1, len(raw) + 1)
+            first, last = places[k + (after - 1) * 4 // 3], places[k - 1 - (-after * 4 // 3)] + 1
+            yield Bytes(raw, self.lifted("", first, last, np.ones(len(raw), bool)), stop)
 
     def _escaped_bytes(self, pattern: re.Pattern, read):
         """Layers of bytes of which compressed data was escaped, with the characters that needed no escape."""
@@ -226,24 +247,24 @@ class Layer:
         for r in {raw, raw.replace(b"+", b" ")} if pattern is URL else (raw,):
             if COMPRESSED.search(r):
                 at = self.lifted("", *where)
-                yield Bytes(r, at, int(at.ends[-1]), escaped=True)
+                yield Bytes(r, at, int(at.ends[-1]), where[2])
 
 
 class Bytes:
-    """Decoded bytes, the document span of each, and where their run ends; ``escaped`` ones have been read as text already."""
+    """Decoded bytes, the document span of each, and where their run ends; those of which some are ``escaped`` have been read as text already."""
 
-    def __init__(self, raw: bytes, at: Layer, end: int, escaped: bool = False):
+    def __init__(self, raw: bytes, at: Layer, end: int, escaped: np.ndarray | None = None):
         self.raw, self.starts, self.ends, self.end, self.escaped = raw, at.starts, at.ends, end, escaped
 
     def name(self):
-        return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped, int(self.starts[0]), self.end
+        return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped is None, int(self.starts[0]), self.end
 
     def spans(self) -> list[Span]:
         return []
 
     def children(self):
         """The text, the bytes of compressed streams, and streams that are too large."""
-        if not self.escaped and READABLE.search(self.raw):
+        if self.escaped is None and READABLE.search(self.raw):
             try:
                 text = self.raw.decode()
             except UnicodeDecodeError:
@@ -254,7 +275,7 @@ class Bytes:
                 after = np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))
                 starts, ends = starts[np.concatenate(([0], after[:-1]))], ends[after - 1]
             yield Layer(text, starts, ends, np.ones(len(text), bool))
-        for a, b, out in _streams(self.raw):
+        for a, b, out in _streams(self.raw, self.escaped):
             start, end = int(self.starts[a]), int(self.ends[b - 1]) if b < len(self.raw) else self.end
             if out == OVERSIZE:
                 yield OVERSIZE, start, end

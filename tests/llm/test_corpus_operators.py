@@ -386,6 +386,32 @@ def test_secret_layers_with_odd_characters(odd, pack):
     assert [k for k, _, _ in secret_scan.find(latin)[1]] == ["assign"]
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, lambda b: zlib.compress(gzip.compress(b))])
+@pytest.mark.parametrize("prefix", ["https://host.example/r/", "data_", "id-", "/", "a/b/", "abc"])
+def test_secret_base64_after_a_prefix(prefix, pack):
+    hidden = B64(pack(SECRET.encode() + b"!!!"))
+    t = f"see {prefix}{hidden} bye"
+    base, every = secret_scan.find(t)
+    (kind, a, b), = every
+    assert not base and kind == "assign" and a == t.index(hidden) and t[a:b] in (hidden, hidden.rstrip("="), B64(SECRET.encode()))
+
+
+@pytest.mark.parametrize("width", [5, 64, 76])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("head", ["see ", "see:\n", "-----BEGIN X-----\n", "a long word ends\n"])
+def test_secret_base64_in_lines(width, line_end, head):
+    noise = random.Random(3).randbytes(600).hex().upper()
+    for at in (0, 20, 47, 51, 56, 57, 200):
+        code = B64(f"{noise[:at]} {SECRET} {noise[at:]}".encode())
+        t = head + line_end.join(code[i:i + width] for i in range(0, len(code), width)) + "\nbye"
+        spans = secret_scan.find(t)[1]
+        assert any(SECRET.encode() in base64.b64decode(code[4 * ((at + 1) // 3):][:28])
+                   and re.sub(r"[\r\n ]", "", t[a:b]) in code and len(re.sub(r"[\r\n ]", "", t[a:b])) in (24, 25, 26) for _, a, b in spans)
+        code = B64(gzip.compress(f"{noise[:at]} {SECRET} {noise[at:]}".encode()))
+        t = head + line_end.join(code[i:i + width] for i in range(0, len(code), width)) + "\nbye"
+        assert ("assign", t.index(code[:5]), t.rindex(code.rstrip("=")[-2:]) + 2) in {(k, a, len(t[:b].rstrip("=\n"))) for k, a, b in secret_scan.find(t)[1]}
+
+
 def test_secret_scan_ends(monkeypatch):
     once = urllib.parse.quote(SECRET)
     for _ in range(12):
