@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import arrow_map, batches, documents, id_bucket, id_edges
 
-GRAM, WINDOW = 24, 77
+#: Any 32 shared code points are seen, and a text of 50 has a handful of hashes, so that likeness of short texts is graded.
+GRAM, WINDOW = 16, 17
 #: Gram positions looked at together; a chosen hash's 48 bits and a place among these fill one integer.
 SPAN = 1 << 16
 BASE = 0x9E3779B97F4A7C15

@@ -265,6 +265,26 @@ def test_winnowing_guarantee_over_long_texts():
     assert set(winnow.winnow(t)[0].tolist()) & set(winnow.winnow(other)[0].tolist())
 
 
+@pytest.mark.parametrize("n,most", [(60, 0.15), (150, 0.1), (500, 0.05)])
+def test_likeness_of_short_texts(n, most):
+    rng, off, zero = random.Random(n), [], 0
+    for _ in range(200):
+        a, b = ("".join(rng.choices("abcdefgh ", k=n)) for _ in range(2))
+        e = winnow.edited(a, b)
+        got, full = (winnow.likeness(winnow.winnow(a, winnow.GRAM, w)[0], winnow.winnow(e, winnow.GRAM, w)[0]) for w in (winnow.WINDOW, 1))
+        off.append(abs(got - full))
+        zero += got == 0
+    assert np.mean(off) < most and zero < 60
+
+
+def test_short_shared_passages_are_seen():
+    rng = random.Random(4)
+    for _ in range(200):
+        shared = "".join(rng.choices("abcdefgh", k=32))
+        a, b = ("".join(rng.choices(x, k=300)) + shared + "".join(rng.choices(x, k=300)) for x in ("ijkl", "mnop"))
+        assert set(winnow.winnow(a)[0].tolist()) & set(winnow.winnow(b)[0].tolist())
+
+
 def test_against_edits(real, texts, awkward):
     ids = sorted(texts)
     got = {r.doc_id: r for r in winnow.against_edits(real).collect()}
