@@ -19,8 +19,9 @@ takes is leftmost and not overlapping within its kind, and too short matches are
 dropped after they have been taken. In layers below the first only matches that touch decoded characters count.
 
 Edge cases: a null text is empty and has no spans. Very long texts are scanned whole. A
-compressed run that grows beyond ``MAX_INFLATED`` bytes is reported whole as a span of
-kind ``oversize`` instead of being read on. Repeated rows are scanned alike; other columns pass
+stream of more than ``HELD`` bytes is scanned in pieces of that size, each overlapping the next by half. One of
+more than ``MAX_INFLATED`` bytes is reported whole as a span of kind ``oversize`` instead of being read; a run or stream
+inside a large one that no piece holds whole is read as far as the piece goes and reported so as well. Repeated rows are scanned alike; other columns pass
 through (``spans`` is replaced). An empty table gives an empty result.
 """
 
@@ -31,7 +32,6 @@ import binascii
 import hashlib
 import re
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,10 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Runs that follow one another over single line breaks, as in wrapped base64 of any width.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\t ]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _BREAK = re.compile(r"\r?\n[\t ]*")
-MAX_INFLATED = 64 << 20
+#: Inflated bytes of one run that are held at a time, and that are read at all: the limit bounds the time.
+HELD, MAX_INFLATED = 64 << 20, 4 << 30
+#: A byte at which every match and every encoded run ends.
+_BOUNDARY = re.compile(rb"""[^A-Za-z0-9+/_.=%\\\r\n\t :"'-]""")
 #: No secret, encoded or not, is found in bytes without such a run (the shortest is ``token=`` and its value).
 READABLE = re.compile(rb"[\t\n\r -~]{%d}" % (len("token=") + ASSIGN_LEAST))
 #: Escapes of a string literal, read as one byte each when they hide compressed data.
@@ -134,45 +137,63 @@ def _literal_bytes(run: str):
     return piece, np.array([m.start() for m in found]), np.array([m.end() for m in found])
 
 
-def _inflate(raw: memoryview) -> tuple[bytes | str, int, bool] | None:
-    """What the streams that follow one another from the start of ``raw`` hold (or ``OVERSIZE``), where they end, and whether the last is whole."""
-    out, size, at, whole = [], 0, 0, False
+def _parts(raw: memoryview, state: dict):
+    """What the streams that follow one another from the start of ``raw`` hold, at most a megabyte at a time.
+
+    ``state`` tells where they ``end``, whether the last is ``whole``, and how many of the bytes are ``good``."""
+    state |= {"end": 0, "whole": False, "good": 0}
+    at = size = 0
     while COMPRESSED.match(raw, at):
-        d, held, fed, step = zlib.decompressobj(47), [], at, 256
+        d, fed, step = zlib.decompressobj(47), at, 256
         try:
             # in growing pieces, so that neither a false start nor a short member copies what follows it
             while not d.eof and fed < len(raw):
-                held.append(d.decompress(raw[fed:fed + step], MAX_INFLATED + 1 - size))
-                size += len(held[-1])
-                if size > MAX_INFLATED:
-                    return OVERSIZE, len(raw), True
+                piece = d.decompress(raw[fed:fed + step], 1 << 20)
+                while piece:
+                    size += len(piece)
+                    yield piece
+                    piece = d.decompress(d.unconsumed_tail, 1 << 20) if not d.eof else b""
                 fed, step = min(fed + step, len(raw)), min(step * 2, 1 << 20)
-            held.append(d.flush())
         except zlib.error:
-            break
-        out += held
-        whole, at = d.eof, fed - len(d.unused_data)
-        if not whole:
-            break
+            return
+        at = fed - len(d.unused_data)
+        state |= {"end": at, "whole": d.eof, "good": size}
+        if not d.eof:
+            return
         pad = at
         while pad < len(raw) and not raw[pad]:  # gzip files may be padded with zeros between members
             pad += 1
         at = pad if COMPRESSED.match(raw, pad) else at
-    return (b"".join(out), at, whole) if out else None
 
 
 def _streams(raw: bytes, escaped: np.ndarray | None = None):
-    """The compressed streams of ``raw``: start, end, and the bytes they hold or ``OVERSIZE``; ``escaped`` ones have an escape near the start."""
-    view, at = memoryview(raw), 0
+    """The compressed streams of ``raw``: start, end, whether whole, and their bytes (None if more than can be held); ``escaped`` ones have an escape near the start."""
+    view, at, held = memoryview(raw), 0, min(HELD, MAX_INFLATED)
     while m := COMPRESSED.search(raw, at):
-        at = m.start()
-        found = _inflate(view[at:]) if escaped is None or escaped[at:at + 32].any() else None
-        if found is None:
-            at += 1
-            continue
-        out, size, whole = found
-        yield at, at + size, out
-        at += size if whole else 1
+        at, state, out, size = m.start(), {"end": 0}, [], 0
+        if escaped is None or escaped[at:at + 32].any():
+            for piece in _parts(view[at:], state):
+                out.append(piece)
+                size += len(piece)
+                if size > held:
+                    break
+        if size > held:
+            yield at, len(raw), True, None
+            return
+        if state["end"]:
+            yield at, at + state["end"], state["whole"], b"".join(out)[:state["good"]]
+        at += state["end"] if state["end"] and state["whole"] else 1
+
+
+def _overlapping(raw: memoryview):
+    """Pieces of large streams and whether more follows; each begins with the last half of the one before it."""
+    held, rest = min(HELD, MAX_INFLATED), bytearray()
+    for piece in _parts(raw, {}):
+        rest += piece
+        if len(rest) > held:
+            yield bytes(rest[:held]), True
+            del rest[:held // 2]
+    yield bytes(rest), False
 
 
 def _decode64(run: str) -> bytes | None:
@@ -251,10 +272,10 @@ class Layer:
 
 
 class Bytes:
-    """Decoded bytes, the document span of each, and where their run ends; those of which some are ``escaped`` have been read as text already."""
+    """Decoded bytes, the document span of each, and where their run ends; ``more`` if their stream goes on; those of which some are ``escaped`` have been read as text already."""
 
-    def __init__(self, raw: bytes, at: Layer, end: int, escaped: np.ndarray | None = None):
-        self.raw, self.starts, self.ends, self.end, self.escaped = raw, at.starts, at.ends, end, escaped
+    def __init__(self, raw: bytes, at: Layer, end: int, escaped: np.ndarray | None = None, more: bool = False):
+        self.raw, self.starts, self.ends, self.end, self.escaped, self.more = raw, at.starts, at.ends, end, escaped, more
 
     def name(self):
         return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped is None, int(self.starts[0]), self.end
@@ -275,32 +296,51 @@ class Bytes:
                 after = np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))
                 starts, ends = starts[np.concatenate(([0], after[:-1]))], ends[after - 1]
             yield Layer(text, starts, ends, np.ones(len(text), bool))
-        for a, b, out in _streams(self.raw, self.escaped):
+        half = len(self.raw) // 2
+        if self.more and not _BOUNDARY.search(self.raw, half):
+            yield OVERSIZE, int(self.starts[0]), self.end
+        for a, b, whole, out in _streams(self.raw, self.escaped):
             start, end = int(self.starts[a]), int(self.ends[b - 1]) if b < len(self.raw) else self.end
-            if out == OVERSIZE:
+            if out is None:
+                yield from self._large(a, start, end)
+                continue
+            if self.more and not whole and a < half and b == len(self.raw):
                 yield OVERSIZE, start, end
-            elif out:
-                n = len(out)
-                yield Bytes(out, Layer("", np.full(n, start), np.full(n, end)), end)
+            if out:
+                yield Bytes(out, _everywhere(len(out), start, end), end)
+
+    def _large(self, a: int, start: int, end: int):
+        """Layers of overlapping pieces of the large stream at ``a``, unless it would take too long."""
+        size = 0
+        for piece in _parts(memoryview(self.raw)[a:], {}):
+            size += len(piece)
+            if size > MAX_INFLATED:
+                yield OVERSIZE, start, end
+                return
+        for piece, more in _overlapping(memoryview(self.raw)[a:]):
+            yield Bytes(piece, _everywhere(len(piece), start, end), end, more=more)
+
+
+def _everywhere(n: int, start: int, end: int) -> Layer:
+    """The place of ``n`` characters that all come from ``start`` to ``end``."""
+    return Layer("", np.broadcast_to(np.int64(start), n), np.broadcast_to(np.int64(end), n))
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans of ``text``, and all spans with those of its decoded layers, each in order."""
     base = sorted(scan(text or ""), key=_key)
     every, seen = set(base), set()
-    work = deque([Layer(text or "")])
+    work = [Layer(text or "").children()]  # depth first, so that one piece of a large stream is held at a time
     while work:
-        layer = work.popleft()
-        for child in layer.children():
-            if isinstance(child, tuple):
-                every.add(child)
-                continue
-            name = child.name()
-            if name in seen:
-                continue
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+        elif isinstance(child, tuple):
+            every.add(child)
+        elif (name := child.name()) not in seen:
             seen.add(name)
             every.update(child.spans())
-            work.append(child)
+            work.append(child.children())
     return base, sorted(every, key=_key)
 
 

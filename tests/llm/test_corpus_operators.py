@@ -442,6 +442,16 @@ def test_secret_scan_ends(monkeypatch):
     assert secret_scan.find(bomb)[1] == [("oversize", 0, len(bomb.rstrip("=")) + bomb.count("="))]
 
 
+def test_secret_large_streams_are_scanned_in_pieces(monkeypatch):
+    monkeypatch.setattr(secret_scan, "HELD", 4_000)
+    for at in (0, 1_990, 3_990, 4_000, 50_000, 99_000):
+        for hidden in (SECRET, B64(SECRET.encode()), urllib.parse.quote(GZ)):
+            code = B64(zlib.compress(b"! " * (at // 2) + hidden.encode() + b" !" * 50_000))
+            assert {k for k, *_ in secret_scan.find(f"x {code}")[1]} == {"assign"}
+    inner = gzip.compress(random.Random(1).randbytes(9_000) + SECRET.encode())
+    assert {k for k, *_ in secret_scan.find(B64(gzip.compress(inner)))[1]} >= {"oversize"}
+
+
 def test_secret_scan_awkward(awkward):
     got = {r.doc_id: r for r in secret_scan.summary(awkward).collect()}
     assert got[9].n_assign == 1 and got[1].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
