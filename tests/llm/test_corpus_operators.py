@@ -579,6 +579,10 @@ def test_quality_held_out():
     assert quality.fit([], [], np.array([])).predict(["x"])[0] == pytest.approx(0.5)
 
 
+def test_quality_keeps_its_features():
+    assert quality.FEATURES == 60_000
+
+
 def test_dual_descent_reaches_the_optimum():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(60, 4))
