@@ -73,7 +73,7 @@ def q_cv_compare(spark, sf):
 
 @query("model_ranking")
 def q_model_ranking(spark, sf):
-    """Baselines, tuned top 3 and a stacked model ranked by CV accuracy; the best, refitted, scores the test rows."""
+    """Baselines, tuned top 3 and a stacked model ranked by CV accuracy; the best, refitted on the search's FIT_ROWS rows, scores the test rows."""
     prepared, fm, sp = _prepared(spark, sf)
     found = models.search(prepared, "classification", _catalog(), FOLDS, TRIALS, SEED)
     ranking = models.model_ranking(spark, found["baseline"], found["tuned"], found["stack"])
