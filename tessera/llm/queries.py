@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import ann, bpe, line_dedup, mixing, quality, secret_scan, simhash, token_file, toxicity, winnow
+from tessera.llm import (ann, bpe, fim, hard_negatives, line_dedup, mixing, packing, quality, secret_scan, simhash, token_file,
+                         toxicity, winnow)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -15,9 +16,14 @@ QUERIES = {
     "op8_bpe_round_trip": bpe.query,
     "op9_toxicity_chain": toxicity.query,
     "op10_simhash_near_dedup": simhash.query,
+    "op11_fill_in_middle": fim.query,
+    "op12_packing": packing.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.SQL.strip(),
     "op2_source_mixing": mixing.SQL.strip(),
     "op6_nearest_neighbours": ann.SQL.strip(),
+    "op11_fill_in_middle": fim.SQL.strip(),
+    "op13_hard_negatives": hard_negatives.SQL.strip(),
 }

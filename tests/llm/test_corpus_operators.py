@@ -664,7 +664,10 @@ def test_contract_columns(spark, sf_small):
             "op6_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
             "op7_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
             "op8_bpe_round_trip": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            "op9_toxicity_chain": ["doc_id", "score", "predicted"], "op10_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"]}
+            "op9_toxicity_chain": ["doc_id", "score", "predicted"], "op10_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
+            "op11_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+            "op12_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+            "op13_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]}
     assert set(queries.QUERIES) == set(want)
     for name, columns in want.items():
         assert queries.QUERIES[name](spark, sf_small).columns[:len(columns)] == columns
