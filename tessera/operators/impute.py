@@ -1,9 +1,9 @@
-"""Imputation (inventory 47-50).
+"""Imputation (inventory 47, 48, 50; 49 is in ``knn``).
 
 Median, mean and mode fills are one bounded statistics job plus a ``coalesce``
-projection. Neighbour imputation uses a fixed number of learned centres, so
-its work stays linear in the rows. The caller names the method; no method
-changes with the size of the table.
+projection. Neighbour imputation is exact (``knn``) or, with work linear in the rows, by a fixed number of
+learned centres. The caller names the method; no method
+changes with the size of the table. NaN is a missing value throughout.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.quantile import mode_table, quantile_row
-from tessera.functions.safe import numeric_columns, string_columns
+from tessera.functions.safe import nan_to_null, numeric_columns, string_columns
+from tessera.operators.knn import impute_knn
 
 #: Complete rows that centres are learned from at most (about).
 FIT_ROWS = 1_000_000
@@ -30,6 +31,7 @@ def impute_median(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     Imputed columns become double (as the reference's float64 output).
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
+    df = nan_to_null(df, cols)
     med = quantile_row(df, cols, [0.5])
     fill = {c: med.get((c, 0.5)) for c in cols}
     return df.select([F.coalesce(_q(c).cast("double"), F.lit(fill[c])).alias(c)
@@ -49,6 +51,7 @@ def impute_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = list(cols) if cols is not None else numeric_columns(df)
     if not cols:
         return df
+    df = nan_to_null(df, cols)
     mean = df.agg(*[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     fill = {c: mean[f"m{i}"] for i, c in enumerate(cols)}
     return df.select([F.coalesce(_q(c).cast("double"), F.lit(fill[c])).alias(c)
@@ -78,19 +81,20 @@ def fit_centres(df: DataFrame, cols: list[str], centres: int = 64, seed: int = 4
 
 
 def impute_centres(df: DataFrame, cols: list[str] | None = None, key: str | None = None, centres: int = 64,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, max_rows: int = FIT_ROWS) -> DataFrame:
     """Neighbour imputation with a fixed number of learned centres, at any size.
 
     A row with a missing value takes it from the nearest centre: Euclidean on standardised columns over the
     coordinates the row has. A row with none takes the column mean. Observed values never change; the centres are a
-    bounded literal, so rows are filled where they are.
+    bounded literal, so rows are filled where they are. ``max_rows`` bounds the rows that centres are learned from.
     """
     cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != key]
+    df = nan_to_null(df, cols)
     valid = df.agg(*[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first() if cols else {}
     cols = [c for i, c in enumerate(cols) if valid[f"n{i}"] > 0]
     if not cols:
         return df
-    fit = fit_centres(df, cols, centres, seed)
+    fit = fit_centres(df, cols, centres, seed, max_rows)
     z = [(_q(c).cast("double") - fit["mean"][i]) / fit["dev"][i] for i, c in enumerate(cols)]
     missing = F.greatest(*[x.isNull().cast("int") for x in z], F.lit(0)) == 1
     if fit["centres"]:
@@ -113,4 +117,4 @@ METHODS = {"median": impute_median, "mean": impute_mean, "centres": impute_centr
 def impute_auto(df: DataFrame, key: str = "_src_idx", method: str = "median") -> DataFrame:
     """Numeric columns by the named ``method``, the same at every size; strings by mode. ``key`` is left alone."""
     num = [c for c in numeric_columns(df) if c != key]
-    return impute_mode(METHODS[method](df, num))
+    return impute_mode(impute_knn(df, num, key) if method == "knn" else METHODS[method](df, num))

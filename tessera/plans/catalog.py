@@ -460,6 +460,34 @@ def q_impute_auto(spark, sf):
     return impute.impute_auto(f, key="_src_idx", method="median")
 
 
+KNN_COLS = ["o_totalprice", "n_lines", "sum_qty", "sum_price", "c_acctbal"]
+KNN_HOLES = {"o_totalprice": 50, "sum_qty": 35, "c_acctbal": 70}
+_KNN_SHARED = " + ".join(f"CAST(a.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INTEGER)" for c in KNN_COLS)
+_KNN_SUM = " + ".join(f"CASE WHEN a.{c} IS NOT NULL AND d.{c} IS NOT NULL THEN (a.{c} - d.{c}) * (a.{c} - d.{c}) ELSE 0.0 END" for c in KNN_COLS)
+# for each column with holes: the mean over the five nearest rows that have it
+_KNN_FILLS = ",\n".join(f"""f{i} AS (SELECT _src_idx, avg(v) AS v FROM (
+  SELECT a._src_idx, d.{c} AS v, CAST(5 AS DOUBLE) / nullif({_KNN_SHARED}, 0) * ({_KNN_SUM}) AS dist, d._src_idx AS donor
+  FROM t a JOIN t d ON a.{c} IS NULL AND d.{c} IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a._src_idx ORDER BY dist, donor) <= 5) GROUP BY _src_idx)"""
+                         for i, c in enumerate(KNN_HOLES))
+
+
+@query("impute_knn", f"""
+WITH t AS (SELECT _src_idx, {', '.join(f"CASE WHEN _src_idx % {KNN_HOLES[c]} = 0 THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}"
+                                        if c in KNN_HOLES else f"CAST({c} AS DOUBLE) AS {c}" for c in KNN_COLS)} FROM {OF} x),
+{_KNN_FILLS}
+SELECT t._src_idx, {', '.join(f"round(coalesce(t.{c}, f{list(KNN_HOLES).index(c)}.v), 6) AS {c}" if c in KNN_HOLES
+                              else f"round({c}, 6) AS {c}" for c in KNN_COLS)}
+FROM t {' '.join(f'LEFT JOIN f{i} ON f{i}._src_idx = t._src_idx' for i in range(len(KNN_HOLES)))}""")
+def q_impute_knn(spark, sf):
+    """Holes in three order columns, each filled from the five nearest orders that have the value."""
+    f = order_frame(spark, sf).select("_src_idx", *KNN_COLS)
+    for c, every in KNN_HOLES.items():
+        f = with_nulls(f, "_src_idx", [c], every)
+    return round_doubles(impute.impute_knn(f, KNN_COLS, "_src_idx", 5).select(
+        "_src_idx", *[F.col(c).cast("double").alias(c) for c in KNN_COLS]))
+
+
 @query("impute_centres", f"""
 SELECT _src_idx, sum_price, o_totalprice AS seen_price, sum_qty AS seen_qty, true AS whole FROM {NULLED_OF} t""")
 def q_impute_centres(spark, sf):
