@@ -1,21 +1,20 @@
 """Feature engineering, encoding and problem typing (inventory 51-61).
 
-Decisions that depend on statistics (which columns get a log, which levels
-become dummies) need one small aggregate collected to the driver; the
-feature columns themselves are plain column arithmetic inside one
-projection (whole-stage codegen).
+Decisions that depend on statistics (which columns get a log) need one small aggregate
+collected to the driver; the feature columns themselves are plain column arithmetic inside one
+projection (whole-stage codegen). Levels of text columns are numbered in a table (``levels``).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.safe import numeric_columns, sample_skew, string_columns
+from tessera.operators.levels import level_counts, level_dictionary, unit_vector, with_codes, with_levels
 from tessera.operators.profile import distinct_counts
 
 EPS = 1e-9
@@ -84,74 +83,75 @@ def domain_features(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.select("*", *[F.expr(e).alias(n) for n, e in exprs.items()])
 
 
-def one_hot(df: DataFrame, cols: list[str] | None = None, drop_first: bool = True,
-            max_levels: int = 50, drop_source: bool = True) -> tuple[DataFrame, list[str]]:
+#: Dummy columns that a schema may get; more levels than that want the vector form.
+MOST_COLUMNS = 10_000
+
+
+def one_hot(df: DataFrame, cols: list[str] | None = None, drop_first: bool = True, form: str = "columns",
+            drop_source: bool = True) -> tuple[DataFrame, list[str]]:
     """0/1 dummies of every level of the string columns (get_dummies); no level is left out.
 
-    Columns with at most ``max_levels`` levels become integer columns ``<col>_<value>``;
-    wider ones become one sparse vector column ``<col>__levels`` (see ``one_hot_vector``), as
-    65k dense dummies would explode the row width. Levels are sorted; with ``drop_first``
-    the alphabetically first level is dropped; a NULL row is all zeros.
+    The caller names the ``form``, whatever the number of levels: ``columns`` gives integer columns
+    ``<col>_<value>`` (the levels become names of the schema, so they reach the driver; above ``MOST_COLUMNS`` that is
+    an error), ``vector`` one sparse vector column ``<col>__levels`` per column (see ``one_hot_vector``), whose levels
+    stay in a table. Levels are sorted; with ``drop_first`` the alphabetically first one is dropped; a NULL row is all
+    zeros. A new name that is taken gets a numeric suffix.
     """
+    if form not in ("columns", "vector"):
+        raise ValueError("form is 'columns' or 'vector'")
     cols = list(cols) if cols is not None else string_columns(df)
     if not cols:
         return df, []
-    nun = {r["column"]: r["nunique"] for r in distinct_counts(df, cols).collect()}
-    small = [c for c in cols if nun.get(c, 0) <= max_levels]
-    wide = [c for c in cols if c not in small]
-    levels: dict[str, list[str]] = {c: [] for c in small}
-    if small:
-        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("k"), _q(c).cast("string").alias("v"))
-                                            for c in small]))).where(F.col("v").isNotNull())
-        for r in long.select("k", "v").distinct().collect():  # at most len(small) * max_levels rows
-            levels[r["k"]].append(r["v"])
-    dummies, names = [], []
-    for c in small:
-        lv = sorted(levels[c])
-        if drop_first:
-            lv = lv[1:]
-        for v in lv:
-            n = f"{c}_{v}"
-            dummies.append(F.when(_q(c) == F.lit(v), 1).otherwise(0).cast("int").alias(n))
-            names.append(n)
-    out = df
-    for c in wide:
-        out, name = one_hot_vector(out, c, drop_first)
+    dictionary = level_dictionary(df, cols)
+    if form == "vector":
+        out, names = df, []
+        for c in cols:
+            out, name = one_hot_vector(out, c, drop_first, dictionary)
+            names.append(name)
+        return out.select([_q(c) for c in out.columns if not (drop_source and c in cols)]), names
+    wanted = dictionary.where(F.col("code") >= int(drop_first)).select("column", "code", "level")
+    found = wanted.limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} levels to become columns; use form='vector'")
+    kept = [c for c in df.columns if not (drop_source and c in cols)]
+    taken, dummies, names = {c.lower() for c in kept}, [], []
+    for c, _, v in sorted((cols.index(r["column"]), r["code"], r["level"]) for r in found):
+        name, i = f"{cols[c]}_{v}", 2
+        while name.lower() in taken:
+            name, i = f"{cols[c]}_{v}_{i}", i + 1
+        taken.add(name.lower())
+        dummies.append(F.when(_q(cols[c]).cast("string") == F.lit(v), 1).otherwise(0).cast("int").alias(name))
         names.append(name)
-    keep = [_q(c) for c in out.columns if not (drop_source and c in cols)]
-    return out.select(*keep, *dummies), names
+    return df.select(*[_q(c) for c in kept], *dummies), names
 
 
-def one_hot_vector(df: DataFrame, col: str, drop_first: bool = True) -> tuple[DataFrame, str]:
-    """Adds ``<col>__levels``: a sparse 0/1 vector over all levels of ``col`` in descending order.
+def one_hot_vector(df: DataFrame, col: str, drop_first: bool = True, dictionary: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """Adds ``<col>__levels``: a sparse 0/1 vector over all levels of ``col`` in ascending order, without the first
+    one if ``drop_first``. A NULL or an unknown level is all zeros. ``dictionary`` holds the levels of the training rows."""
+    out, code = f"{col}__levels", f"{col}__code"
+    if dictionary is None:
+        dictionary = level_dictionary(df, [col])
+    size = max(level_counts(dictionary, [col])[col] - int(drop_first), 0)
+    place = F.col(f"`{code}`") - int(drop_first)
+    coded = with_codes(df, dictionary, {col: code}).withColumn(out, unit_vector(F.when(place >= 0, place), size))
+    return coded.drop(code), out
 
-    The alphabetically first level is thus the last; with ``drop_first`` its place is cut off.
-    A NULL or, later, an unknown level is all zeros.
-    """
-    out, ix = f"{col}__levels", f"{col}__level_ix"
-    text = df.withColumn(ix + "_s", _q(col).cast("string"))
-    index = StringIndexer(inputCol=ix + "_s", outputCol=ix, stringOrderType="alphabetDesc", handleInvalid="keep").fit(text)
-    n = len(index.labels)
-    # the kept-invalid place is the last category, which dropLast leaves out
-    coded = OneHotEncoder(inputCol=ix, outputCol=out if not drop_first else out + "_all", dropLast=True)
-    d = index.transform(text)
-    d = coded.fit(d).transform(d)
-    if drop_first:
-        d = VectorSlicer(inputCol=out + "_all", outputCol=out, indices=list(range(max(n - 1, 0)))).transform(d)
-    return d.drop(ix, ix + "_s", out + "_all"), out
-
-
-def label_encode(df: DataFrame, col: str, out: str | None = None):
-    """Classes to sorted integer codes 0..k-1 (fitted StringIndexer, alphabetical)."""
+
+def label_encode(df: DataFrame, col: str, out: str | None = None, dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Classes to sorted integer codes 0..k-1, and the level dictionary; a NULL or unknown class has no code.
+
+    Pass the ``dictionary`` of the training rows to encode others alike."""
     out = out or f"{col}_idx"
-    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df.select(F.col(col).cast("string").alias(col)))
-    res = model.transform(df.withColumn(col, F.col(col).cast("string")))
-    return res.withColumn(out, F.col(out).cast("int")), model
+    if dictionary is None:
+        dictionary = level_dictionary(df, [col])
+    text = df.withColumn(col, _q(col).cast("string"))
+    return with_codes(text, dictionary, {col: out}).withColumn(out, _q(out).cast("int")), dictionary
 
 
-def label_decode(df: DataFrame, col: str, labels: list[str], out: str) -> DataFrame:
-    return IndexToString(inputCol=col, outputCol=out, labels=labels).transform(df.withColumn(col, F.col(col).cast("double")))
+def label_decode(df: DataFrame, col: str, dictionary: DataFrame, out: str, column: str | None = None) -> DataFrame:
+    """The class of each code in ``col``; ``column`` names the encoded column if the dictionary has several."""
+    part = dictionary if column is None else dictionary.where(F.col("column") == column)
+    return with_levels(df, part.withColumn("column", F.lit("_")), {("_", col): out})
 
 
 def detect_problem_type(df: DataFrame, targets: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.safe import sql_std_name
 from tessera.operators import assoc, features, groups, impute, metrics, profile, select, split
 from tessera.operators import hypothesis as hyp
+from tessera.operators.levels import level_dictionary
 from tessera.plans import sqlgen as S
 from tessera.plans.facts import (ORDER_NUMERIC, event_frame, line_facts, line_late, load_table, order_frame,
                                  scored_frame, with_nulls)
@@ -827,9 +828,44 @@ def q_base_columns(spark, sf):
 @query("label_decode", f"""SELECT _src_idx, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER)
   AS o_orderpriority_idx, o_orderpriority AS decoded FROM {OF} t""")
 def q_label_decode(spark, sf):
-    enc, model = features.label_encode(order_frame(spark, sf).select("_src_idx", "o_orderpriority"), "o_orderpriority")
-    dec = features.label_decode(enc, "o_orderpriority_idx", list(model.labels), "decoded")
-    return dec.select("_src_idx", F.col("o_orderpriority_idx").cast("int").alias("o_orderpriority_idx"), "decoded")
+    enc, levels = features.label_encode(order_frame(spark, sf).select("_src_idx", "o_orderpriority"), "o_orderpriority")
+    return features.label_decode(enc, "o_orderpriority_idx", levels, "decoded").select("_src_idx", "o_orderpriority_idx", "decoded")
+
+
+LEVEL_COLS = ["l_shipdate", "l_partkey", "l_returnflag", "l_extendedprice"]
+_LEVEL_TEXT = {"l_shipdate": "strftime(l_shipdate, '%Y-%m-%d')", "l_partkey": "CAST(l_partkey AS VARCHAR)", "l_returnflag": "l_returnflag",
+               "l_extendedprice": "CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR)"}
+
+
+def _level_lines(spark, sf):
+    li = load_table(spark, sf, "lineitem")
+    return li.select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"), F.col("l_partkey").cast("string").alias("l_partkey"),
+                     "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("long").cast("string").alias("l_extendedprice"))
+
+
+@query("level_dictionary", "\nUNION ALL\n".join(
+    f"""SELECT {S.lit(c)} AS "column", level, row_number() OVER (ORDER BY level) - 1 AS code, n
+FROM (SELECT {_LEVEL_TEXT[c]} AS level, count(*) AS n FROM lineitem GROUP BY 1) t WHERE level IS NOT NULL""" for c in LEVEL_COLS))
+def q_level_dictionary(spark, sf):
+    """Sorted levels of four text columns, one of them with almost as many levels as rows."""
+    return level_dictionary(_level_lines(spark, sf), LEVEL_COLS)
+
+
+@query("label_encode_wide", f"""SELECT l_orderkey, l_extendedprice, CAST(dense_rank() OVER (ORDER BY l_extendedprice) - 1 AS INTEGER) AS code,
+  l_extendedprice AS decoded FROM (SELECT l_orderkey, {_LEVEL_TEXT['l_extendedprice']} AS l_extendedprice FROM lineitem) t""")
+def q_label_encode_wide(spark, sf):
+    """A column with almost as many levels as rows, encoded and decoded without a level on the driver."""
+    enc, levels = features.label_encode(_level_lines(spark, sf).select("l_orderkey", "l_extendedprice"), "l_extendedprice", "code")
+    return features.label_decode(enc, "code", levels, "decoded")
+
+
+@query("one_hot_vector", f"""WITH t AS (SELECT l_orderkey, {_LEVEL_TEXT['l_partkey']} AS l_partkey FROM lineitem)
+SELECT l_orderkey, l_partkey, '(' || size || CASE WHEN place >= 0 THEN ',[' || place || '],[1.0])' ELSE ',[],[])' END AS dummies FROM (
+  SELECT *, dense_rank() OVER (ORDER BY l_partkey) - 2 AS place, (SELECT count(DISTINCT l_partkey) - 1 FROM t) AS size FROM t) u""")
+def q_one_hot_vector(spark, sf):
+    """One sparse vector over all levels but the first, shown as (size,[place],[1.0])."""
+    out, names = features.one_hot(_level_lines(spark, sf).select("l_orderkey", "l_partkey"), ["l_partkey"], form="vector", drop_source=False)
+    return out.select("l_orderkey", "l_partkey", F.col(names[0]).cast("string").alias("dummies"))
 
 
 @query("target_config", f"""SELECT 'late' AS target_col, CASE WHEN count(DISTINCT late) <= 15 THEN 'classification'

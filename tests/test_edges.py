@@ -121,7 +121,7 @@ def test_centres_fill_from_the_nearest_cluster(spark):
 
 def test_one_hot_keeps_every_level_of_a_wide_column(spark):
     df = spark.createDataFrame([(i, f"v{i:03d}") for i in range(60)] + [(99, None)], "_src_idx long, wide string")
-    out, names = features.one_hot(df, ["wide"], max_levels=50)
+    out, names = features.one_hot(df, ["wide"], form="vector")
     assert names == ["wide__levels"] and "wide" not in out.columns
     v = {r["_src_idx"]: r["wide__levels"] for r in out.collect()}
     assert v[0].size == 59 and v[0].numNonzeros() == 0 and v[99].numNonzeros() == 0
