@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.safe import nan_to_null, numeric_columns, safe_corr
+from tessera.operators.gramian import correlated_pairs
 from tessera.session import persisted
 
 
@@ -60,8 +61,9 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, full: bool
 
     One pass gets means and null counts. Without nulls the centred columns go
     through ``pyspark.ml.stat.Correlation`` (a tree-aggregated Gramian); with
-    nulls, one Gramian of values, squares and masks serves all pairs. NaN is missing.
-    The p x p result is bounded by the schema width.
+    nulls, one Gramian of values, squares and masks serves all pairs. NaN is missing; a pair with an
+    infinite value in one of its columns is NULL. The p x p result is bounded by the schema width; for very wide tables
+    ``gramian.correlated_pairs`` gives the pairs above a threshold and keeps the rest on the executors.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     spark = df.sparkSession
@@ -75,7 +77,11 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, full: bool
 
 
 def _corr_rows(df: DataFrame, cols: list[str], full: bool) -> list:
-    p = len(cols)
+    p, top = len(cols), float("inf")
+    endless = [F.abs(_q(c).cast("double")) == F.lit(top) for c in cols]
+    df, whole = df.select([F.when(~e, _q(c)).alias(c) for c, e in zip(cols, endless)]), df
+    inf = whole.agg(*[F.count_if(e).alias(f"i{i}") for i, e in enumerate(endless)]).first()
+    inf = {i for i in range(p) if inf[f"i{i}"]}
     st = df.agg(F.count(F.lit(1)).alias("n"),
                 *[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(cols)],
                 *[F.avg(_q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -96,10 +102,11 @@ def _corr_rows(df: DataFrame, cols: list[str], full: bool) -> list:
             corr[(i, j)] = None if (math.isnan(v) or const) else v
     elif pairs:
         corr = _pairwise(df, cols, means, [st[f"s{i}"] or 1.0 for i in range(p)], pairs)
+    corr = {(i, j): v for (i, j), v in corr.items() if i not in inf and j not in inf}
     rows = [(cols[i], cols[j], i, j, corr.get((i, j))) for i, j in pairs]
     if full:
         rows += [(cols[j], cols[i], j, i, corr.get((i, j))) for i, j in pairs]
-        rows += [(c, c, i, i, 1.0 if st[f"s{i}"] else None) for i, c in enumerate(cols)]
+        rows += [(c, c, i, i, 1.0 if st[f"s{i}"] and i not in inf else None) for i, c in enumerate(cols)]
     return rows
 
 
@@ -107,7 +114,7 @@ def correlation_with_target(df: DataFrame, target: str, cols: list[str] | None =
                             first: int | None = 10) -> DataFrame:
     """Correlation of each numeric column (first ``first``) with the target, ranked by |corr|.
 
-    A non-numeric target gives 0.0 for every column (the reference's rule).
+    A non-numeric target gives 0.0 for every column (the reference's rule). NULL where an infinite value takes part.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=(target,))
     if first:
@@ -116,7 +123,7 @@ def correlation_with_target(df: DataFrame, target: str, cols: list[str] | None =
     if not cols:
         return spark.createDataFrame([], "column string, position int, corr double, abs_corr double")
     numeric_target = target in numeric_columns(df)
-    aggs = [(safe_corr(_q(c), _q(target)) if numeric_target else F.lit(0.0)).alias(f"r{i}")
+    aggs = [(F.nanvl(safe_corr(_q(c), _q(target)), F.lit(None)) if numeric_target else F.lit(0.0)).alias(f"r{i}")
             for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     structs = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"), F.col(f"r{i}").alias("corr"))
@@ -149,7 +156,7 @@ def redundant_columns(df: DataFrame, cols: list[str] | None = None, threshold: f
     can cause a drop but is never dropped. NULL correlation never triggers.
     Returns ``(column, position, max_abs_corr, partner)``.
     """
-    cm = corr if corr is not None else correlation_matrix(df, cols)
+    cm = corr if corr is not None else correlated_pairs(df, list(cols) if cols is not None else numeric_columns(df), threshold)
     hits = cm.where(F.abs("corr") > threshold)
     if target is not None:
         hits = hits.where(F.col("col_b") != target)

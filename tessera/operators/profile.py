@@ -224,28 +224,34 @@ def mode_of(df: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
-    """Equal-width histogram between min and max, last bin closed, nulls dropped.
+    """Equal-width histogram between the finite min and max, last bin closed, nulls dropped.
 
     Every bin is returned (empty ones with count 0). A constant column puts
-    all rows into bin 0.
+    all rows into bin 0. Infinite values are counted apart, in bins -1 and ``bins`` whose two edges are
+    infinite; these bins are there only if they hold rows.
     """
     spark = df.sparkSession
     df = nan_to_null(df, [col])
-    x = _q(col).cast("double")
+    raw, top = _q(col).cast("double"), F.lit(float("inf"))
+    x = F.when(F.abs(raw) < top, raw)
     mm = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
     mn, mx = mm.select("mn").scalar(), mm.select("mx").scalar()
     width = (mx - mn) / F.lit(float(bins))
     b = F.when(mx == mn, F.lit(0)).otherwise(
         F.least(F.floor((x - mn) / width), F.lit(bins - 1))).cast("int")
-    counts = (df.where(x.isNotNull() & ~F.isnan(x)).select(b.alias("bin"))
+    b = F.when(raw == top, F.lit(bins)).when(raw == -top, F.lit(-1)).otherwise(b)
+    counts = (df.where(raw.isNotNull()).select(b.alias("bin"))
                 .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     # bins rows: bounded by the parameter
     grid = F.broadcast(spark.range(bins).select(F.col("id").cast("int").alias("bin")))
-    return (grid.join(counts, "bin", "left")
-            .select("bin", (mn + F.col("bin") * width).alias("lower"),
-                    (mn + (F.col("bin") + 1) * width).alias("upper"),
-                    F.coalesce("count", F.lit(0)).cast("long").alias("count"))
-            .where(mn.isNotNull()))
+    finite = (grid.join(counts, "bin", "left")
+              .select("bin", (mn + F.col("bin") * width).alias("lower"),
+                      (mn + (F.col("bin") + 1) * width).alias("upper"),
+                      F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+              .where(mn.isNotNull()))
+    edge = F.when(F.col("bin") < 0, -top).otherwise(top)
+    return finite.unionByName(counts.where((F.col("bin") < 0) | (F.col("bin") == bins))
+                              .select("bin", edge.alias("lower"), edge.alias("upper"), "count"))
 
 
 def boxplot_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -59,23 +59,26 @@ def _typed_literals(df: DataFrame, col: str, values):
     dt = df.schema[col].dataType
     if isinstance(dt, T.StringType):
         return [str(v) for v in values]
-    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        out = []
-        for v in values:
+    if not isinstance(dt, NUMERIC_TYPES):
+        return [str(v) for v in values]
+    out = []
+    for v in values:
+        try:
             f = float(v)
-            if f.is_integer():
-                out.append(int(f))
-        return out
-    if isinstance(dt, NUMERIC_TYPES):
-        return [float(v) for v in values]
-    return [str(v) for v in values]
+        except (TypeError, ValueError):  # a text that is no number equals none
+            continue
+        if not isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            out.append(f)
+        elif f.is_integer():
+            out.append(int(v) if isinstance(v, int) else int(f))
+    return out
 
 
 def filter_in(df: DataFrame, col: str, values) -> DataFrame:
     """Multi-select filter on the string form of a value; empty selection = no filter.
 
     The selected strings are converted to the column's type so the filter
-    reaches the parquet scan as ``In(col, ...)``.
+    reaches the parquet scan as ``In(col, ...)``; one that the type does not hold selects nothing.
     """
     if not values:
         return df

@@ -219,6 +219,25 @@ def q_read_csv(spark, sf):
     return files.read_csv_multi_encoding(spark, f"{base}/in", infer_schema=True)
 
 
+@query("read_csv_mixed_encodings", """
+SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE c_acctbal END AS account_balance, c_custkey AS customer_key,
+  c_name || ' Müller-Çelik' AS customer_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment, c_custkey % 97 = 0 AS malformed
+FROM customer""")
+def q_read_csv_mixed(spark, sf):
+    """customer in one folder of UTF-8 and Latin-1 files with different columns, some balances no numbers, read back whole."""
+    base = scratch(spark)
+    c = load_table(spark, sf, "customer")
+    balance = F.when(F.col("c_custkey") % 97 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    c = c.select(F.col("c_custkey").alias("Customer Key"), F.concat("c_name", F.lit(" Müller-Çelik")).alias("Customer Name"),
+                 balance.alias("Account Balance"), F.col("c_mktsegment").alias("Segment"))
+    c.where("`Customer Key` % 2 = 0").write.option("header", True).csv(f"{base}/in")
+    c.where("`Customer Key` % 2 = 1").select("Account Balance", "Customer Name", "Customer Key").write.mode("append").option(
+        "header", True).option("encoding", "iso-8859-1").csv(f"{base}/in")
+    got = files.read_csv_multi_encoding(spark, f"{base}/in", quarantine="raw", schema="""customer_key long, customer_name string,
+        account_balance double, segment string""")
+    return got.select("account_balance", "customer_key", "customer_name", "segment", F.col("raw").isNotNull().alias("malformed"))
+
+
 @query("layer_roundtrip", f"SELECT *, 'late' AS target_col FROM {S.ORDER_FRAME} t WHERE late = 1")
 def q_layer_roundtrip(spark, sf):
     base = scratch(spark)

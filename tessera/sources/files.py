@@ -26,39 +26,103 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def detect_encoding(spark: SparkSession, path: str, encodings=ENCODINGS) -> str:
-    """First encoding in order that decodes the file(s).
+def file_encodings(spark: SparkSession, path, encodings=ENCODINGS, header: bool = True) -> DataFrame:
+    """``(file, encoding, lines, bad_lines, header)`` of every file with lines: the first encoding in order that decodes it.
 
-    UTF-8 validity is checked on every line in parallel (``is_valid_utf8`` on
-    the raw text source); Latin-1 decodes any byte, so it ends the chain.
+    UTF-8 validity is checked on every line in parallel (``is_valid_utf8`` on the raw text source) and counted
+    by file; Latin-1 decodes any byte, so it ends the chain. Without an encoding that fits, it is NULL. ``header`` is a
+    file's first line as the text source shows it (NULL if files have none).
     """
-    for enc in encodings:
+    fits = F.lit(None).cast("string")
+    for enc in reversed(encodings):
         e = enc.lower().replace("_", "-")
         if e in ("utf-8", "utf8"):
-            bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
-            if bad == 0:
-                return enc
+            fits = F.when(F.col("bad_lines") == 0, F.lit(enc)).otherwise(fits)
         elif e in ("latin-1", "iso-8859-1", "latin1"):
+            fits = F.lit(enc)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"),
+        # lines of one block are read in order
+        F.when(F.col("_metadata.file_block_start") == 0, F.struct(F.monotonically_increasing_id().alias("i"), "value")).alias("line"))
+    per = lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count_if(~F.col("ok")).alias("bad_lines"),
+                                    F.min_by("line.value", "line.i").alias("header"))
+    return per.select("file", fits.alias("encoding"), "lines", "bad_lines", "header" if header else F.lit(None).cast("string").alias("header"))
+
+
+def detect_encoding(spark: SparkSession, path: str, encodings=ENCODINGS) -> str:
+    """First encoding in order that decodes all the file(s)."""
+    bad = file_encodings(spark, path, encodings).agg(F.sum("bad_lines")).first()[0]
+    for enc in encodings:
+        e = enc.lower().replace("_", "-")
+        if e in ("latin-1", "iso-8859-1", "latin1") or (e in ("utf-8", "utf8") and not bad):
             return enc
     raise ValueError(f"could not decode {path} with any of {encodings}")
 
 
-def read_csv_multi_encoding(spark: SparkSession, path: str, encodings=ENCODINGS, header: bool = True,
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the inferred types ``a`` and ``b``."""
+    if a == b:
+        return a
+    numbers = [T.IntegerType(), T.LongType(), T.DoubleType()]
+    if a in numbers and b in numbers:
+        return numbers[max(numbers.index(a), numbers.index(b))]
+    return T.StringType()
+
+
+def read_csv_multi_encoding(spark: SparkSession, path, encodings=ENCODINGS, header: bool = True,
                             infer_schema: bool = True, schema=None, standardize: bool = True,
-                            multi_line: bool = False) -> DataFrame:
-    """Read CSV with the first working encoding; standardise names; NaN -> NULL.
+                            multi_line: bool = False, quarantine: str | None = None) -> DataFrame:
+    """Read CSV, every file with the first encoding that decodes it; standardise names; NaN -> NULL.
+
+    Files are read in one group per encoding and header, and the groups are put together by column name (a column that a
+    group lacks is NULL there; types that differ are widened). ``schema`` gives the types by name, or by position without a
+    header. ``quarantine`` names a column for the text of malformed records (a field too few or too
+    many, or a value that its type does not hold); it is NULL for good ones, so that row counts add up.
 
     Quotes inside a quoted field are doubled. ``multi_line`` allows line breaks inside quoted
-    fields; such a file cannot be split, so it is read by one task.
+    fields; such a file cannot be split, so it is read by one task. File names reach the driver, as in any read of files.
     """
-    enc = detect_encoding(spark, path, encodings)
-    r = (spark.read.option("header", header).option("encoding", SPARK_CHARSET.get(enc.lower(), enc))
-         .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", infer_schema)
-    df = r.csv(path)
-    if standardize:
-        df = standardize_columns(df)
-    return nan_to_null(df)
+    given = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = file_encodings(spark, path, encodings, header).select("file", "encoding", "header").collect()
+    unknown = [r["file"] for r in found if r["encoding"] is None]
+    if unknown:
+        raise ValueError(f"could not decode {unknown[0]} ({len(unknown)} files) with any of {encodings}")
+    uri = spark.sparkContext._jvm.java.net.URI
+    groups: dict = {}
+    for r in sorted(found, key=lambda r: r["file"]):
+        file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri(r["file"])).toString()
+        groups.setdefault((r["encoding"], r["header"]), []).append(file)
+    if not groups:
+        return spark.createDataFrame([], given or T.StructType())
+
+    def reader(encoding: str):
+        return (spark.read.option("header", header).option("encoding", SPARK_CHARSET.get(encoding.lower(), encoding))
+                .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+
+    def final(names: list[str]) -> list[str]:
+        return standardize_names(names) if standardize else names
+
+    fields: dict = {}  # group -> its fields in order, under their final names
+    types: dict = {}
+    for g, group_files in groups.items():
+        inferred = reader(g[0]).option("inferSchema", infer_schema and given is None).csv(group_files).schema
+        if given is not None and not header:
+            inferred = given
+        fields[g] = final(inferred.fieldNames())
+        wanted = dict(zip(final(given.fieldNames()), given)) if given is not None else {}
+        for name, f in zip(fields[g], inferred):
+            t = wanted[name].dataType if name in wanted else f.dataType
+            types[name] = t if name in wanted else _wider(types.get(name, t), t)
+    out = None
+    for g, group_files in groups.items():
+        full = T.StructType([T.StructField(n, types[n]) for n in fields[g]])
+        r = reader(g[0])
+        if quarantine:
+            full = full.add(quarantine, T.StringType())
+            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", quarantine)
+        part = r.schema(full).csv(group_files)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return nan_to_null(out)
 
 
 def pick_csv_in_folder(spark: SparkSession, folder: str) -> str | None:
