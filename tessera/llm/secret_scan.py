@@ -29,7 +29,10 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
+import functools
 import hashlib
+import lzma
 import re
 import zlib
 
@@ -48,24 +51,33 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{12,}"), re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST = 8
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
-URL, UNICODE = re.compile(r"(?:%[0-9A-Fa-f]{2})+"), re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
+URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Names of characters by number: of string literals (four, eight or braced digits, or bytes), of scripts, and of HTML.
+_NUMBERED = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|%u([0-9A-Fa-f]{4})|&#[xX]([0-9A-Fa-f]{1,6});"
+                       r"|&#([0-9]{1,7});|((?:\\x[0-9A-Fa-f]{2})+)")
+UNICODE = re.compile("(?:" + re.sub(r"\((?!\?)", "(?:", _NUMBERED.pattern) + ")+")
+_NUMBER_SIGNS = ("\\u", "\\U", "\\x", "%u", "&#")
 #: Base64 in either alphabet; shorter runs than this cannot hold a secret.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Runs that follow one another over single line breaks, as in wrapped base64 of any width.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\t ]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _BREAK = re.compile(r"\r?\n[\t ]*")
 #: Inflated bytes of one run that are held at a time, and that are read at all: the limit bounds the time.
-HELD, MAX_INFLATED = 64 << 20, 4 << 30
+HELD, MAX_INFLATED = 16 << 20, 4 << 30
+#: Memory that reading an xz stream may take; one that asks for more is no stream.
+XZ_MEMORY = 128 << 20
 #: A byte at which every match and every encoded run ends.
 _BOUNDARY = re.compile(rb"""[^A-Za-z0-9+/_.=%\\\r\n\t :"'-]""")
 #: No secret, encoded or not, is found in bytes without such a run (the shortest is ``token=`` and its value).
 READABLE = re.compile(rb"[\t\n\r -~]{%d}" % (len("token=") + ASSIGN_LEAST))
+#: The same for text in two bytes a character, little or big end first.
+WIDE = re.compile(rb"(?:[\t\n\r -~]\0){%d}|(?:\0[\t\n\r -~]){%d}" % (len("token=") + ASSIGN_LEAST, len("token=") + ASSIGN_LEAST))
 #: Escapes of a string literal, read as one byte each when they hide compressed data.
-LITERAL = re.compile(r"""(?:\\u[0-9A-Fa-f]{4}|\\["\\/bfnrt])+""")
-_ONE_ESCAPE = re.compile(r"""\\u(....)|\\(.)""")
+LITERAL = re.compile(r"""(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\["\\/bfnrt])+""")
+_ONE_ESCAPE = re.compile(r"""\\u(....)|\\x(..)|\\(.)""")
 _SHORT = dict(zip("bfnrt", "\b\f\n\r\t"))
-#: First bytes of gzip data, or of zlib data without a preset dictionary.
-COMPRESSED = re.compile(b"|".join([rb"\x1f\x8b\x08", *(
+#: First bytes of gzip, bzip2 and xz data, or of zlib data without a preset dictionary.
+COMPRESSED = re.compile(b"|".join([rb"\x1f\x8b\x08", rb"BZh[1-9]1AY&SY", rb"\xfd7zXZ\x00", *(
     b"%s[%s]" % (re.escape(bytes([c])), b"".join(re.escape(bytes([f])) for f in range(256) if not f & 32 and (c << 8 | f) % 31 == 0))
     for c in range(8, 128, 16))]), re.S)
 
@@ -84,8 +96,37 @@ def scan(text: str) -> list[Span]:
     return out
 
 
+_HEX = np.full(256, -1, np.int16)
+_HEX[np.frombuffer(b"0123456789abcdefABCDEF", np.uint8)] = [*range(16), *range(10, 16)]
+
+
+def _url_arrays(text: str, as_bytes: bool) -> tuple[str, np.ndarray, np.ndarray] | None:
+    """``text`` with all URL escapes read at once: the new text, which characters are kept, and which of these are decoded.
+
+    None if an escape is not ASCII, unless each is one character of its own (``as_bytes``)."""
+    try:
+        codes = np.frombuffer(text.encode("latin-1"), np.uint8)
+        back = "latin-1"
+    except UnicodeEncodeError:
+        codes, back = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), "utf-32-le"
+    at = np.flatnonzero(codes[:-2] == ord("%"))
+    high, low = (_HEX[np.minimum(codes[at + i], 255)] for i in (1, 2))
+    good = (high >= 0) & (low >= 0)
+    at, value = at[good], (high * 16 + low)[good]
+    if not as_bytes and (value >= 0x80).any():
+        return None
+    keep, new, out = np.ones(len(codes), bool), np.zeros(len(codes), bool), codes.copy()
+    keep[at + 1] = keep[at + 2] = False
+    out[at], new[at] = value, True
+    return out[keep].tobytes().decode(back, "surrogatepass" if back != "latin-1" else "strict"), keep, new[keep]
+
+
 def _unescape(text: str, pattern: re.Pattern, read) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
     """``text`` with every escape run decoded: the new text, and each character's start, end and whether it was decoded."""
+    if pattern is URL and (found := _url_arrays(text, read is _url_bytes)):
+        out, keep, new = found
+        starts = np.flatnonzero(keep)
+        return (out, starts, starts + 1 + 2 * new, new) if new.any() else None
     parts, starts, ends, new, at = [], [], [], [], 0
     for m in pattern.finditer(text):
         found = read(m.group())
@@ -105,6 +146,33 @@ def _unescape(text: str, pattern: re.Pattern, read) -> tuple[str, np.ndarray, np
             np.concatenate([*new, np.zeros(len(rest), bool)]))
 
 
+@functools.lru_cache(1 << 16)
+def _piece(read, run: str) -> str:
+    return read(run)[0]
+
+
+def _unescape_placeless(text: str, pattern: re.Pattern, read, marks: bool) -> tuple[str, np.ndarray | None] | None:
+    """As :func:`_unescape` without places: the new text and, with ``marks``, whether each character was decoded."""
+    if pattern is URL and (found := _url_arrays(text, read is _url_bytes)):
+        return (found[0], found[2]) if found[2].any() else None
+
+    def piece(run: str) -> str:
+        return _piece(read, run) if len(run) <= 16 else read(run)[0]  # short runs are few
+
+    if not marks:
+        out, n = pattern.subn(lambda m: piece(m.group()), text)
+        return (out, None) if n else None
+    parts, new, at = [], [], 0
+    for m in pattern.finditer(text):
+        decoded = piece(m.group())
+        parts += [text[at:m.start()], decoded]
+        new += [bytes(m.start() - at), b"\1" * len(decoded)]
+        at = m.end()
+    if not parts:
+        return None
+    return "".join([*parts, text[at:]]), np.frombuffer(b"".join([*new, bytes(len(text) - at)]), bool)
+
+
 def _read_url(run: str):
     raw = bytes.fromhex(run.replace("%", ""))
     try:
@@ -117,13 +185,31 @@ def _read_url(run: str):
 
 
 def _read_unicode(run: str):
-    units = [run[i + 2:i + 6] for i in range(0, len(run), 6)]
-    piece = bytes.fromhex("".join(units)).decode("utf-16-be", "replace")
-    sizes = np.array([2 if ord(c) > 0xFFFF else 1 for c in piece])
-    if sizes.sum() != len(units):  # halves of pairs were replaced
-        piece, sizes = "".join(chr(int(u, 16)) if not 0xD800 <= int(u, 16) < 0xE000 else "�" for u in units), np.ones(len(units), int)
-    ends = np.cumsum(sizes) * 6
-    return piece, ends - sizes * 6, ends
+    pieces, starts, ends = [], [], []
+    for m in _NUMBERED.finditer(run):
+        if m[7]:
+            raw = bytes.fromhex(m[7].replace("\\x", ""))
+            try:
+                text = raw.decode()
+            except UnicodeDecodeError:
+                text = raw.decode("latin-1")
+            at = m.start()
+            for c in text:
+                n = 4 * (len(c.encode()) if len(text) != len(raw) else 1)
+                pieces.append(c)
+                starts.append(at)
+                ends.append(at := at + n)
+            continue
+        code = int(m[6]) if m[6] else int(m[1] or m[2] or m[3] or m[4] or m[5], 16)
+        if 0xDC00 <= code < 0xE000 and pieces and 0xD800 <= ord(pieces[-1]) < 0xDC00 and ends[-1] == m.start():
+            pieces[-1], ends[-1] = chr(0x10000 + (ord(pieces[-1]) - 0xD800) * 0x400 + code - 0xDC00), m.end()
+        else:
+            pieces.append(chr(code) if code <= 0x10FFFF else "\ufffd")
+            starts.append(m.start())
+            ends.append(m.end())
+    # halves of pairs that stand alone are no characters
+    text = "".join("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c for c in pieces)
+    return text, np.array(starts), np.array(ends)
 
 
 def _url_bytes(run: str):
@@ -133,18 +219,39 @@ def _url_bytes(run: str):
 
 def _literal_bytes(run: str):
     found = list(_ONE_ESCAPE.finditer(run))
-    piece = "".join(chr(int(m[1], 16)) if m[1] else _SHORT.get(m[2], m[2]) for m in found)
+    piece = "".join(chr(int(m[1] or m[2], 16)) if m[1] or m[2] else _SHORT.get(m[3], m[3]) for m in found)
     return piece, np.array([m.start() for m in found]), np.array([m.end() for m in found])
 
 
-def _parts(raw: memoryview, state: dict):
+class _Zlib:
+    """zlib's decompressor with the interface of the other two."""
+
+    def __init__(self, bits: int):
+        self._d = zlib.decompressobj(bits)
+
+    def decompress(self, data, most: int) -> bytes:
+        return self._d.decompress(self._d.unconsumed_tail + bytes(data) if self._d.unconsumed_tail else data, most)
+
+    eof = property(lambda self: self._d.eof)
+    unused_data = property(lambda self: self._d.unused_data)
+
+
+def _opened(raw: memoryview, at: int):
+    first = bytes(raw[at:at + 3])
+    if first == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor(lzma.FORMAT_XZ, memlimit=XZ_MEMORY) if first == b"\xfd7z" else _Zlib(47)
+
+
+def _parts(raw: memoryview, state: dict, bare: bool = False):
     """What the streams that follow one another from the start of ``raw`` hold, at most a megabyte at a time.
 
-    ``state`` tells where they ``end``, whether the last is ``whole``, and how many of the bytes are ``good``."""
+    ``state`` tells where they ``end``, whether the last is ``whole``, and how many of the bytes are ``good``. A ``bare`` stream is
+    deflated data without a head."""
     state |= {"end": 0, "whole": False, "good": 0}
     at = size = 0
-    while COMPRESSED.match(raw, at):
-        d, fed, step = zlib.decompressobj(47), at, 256
+    while bare or COMPRESSED.match(raw, at):
+        d, fed, step = _Zlib(-15) if bare else _opened(raw, at), at, 256
         try:
             # in growing pieces, so that neither a false start nor a short member copies what follows it
             while not d.eof and fed < len(raw):
@@ -152,13 +259,13 @@ def _parts(raw: memoryview, state: dict):
                 while piece:
                     size += len(piece)
                     yield piece
-                    piece = d.decompress(d.unconsumed_tail, 1 << 20) if not d.eof else b""
+                    piece = d.decompress(b"", 1 << 20) if not d.eof else b""
                 fed, step = min(fed + step, len(raw)), min(step * 2, 1 << 20)
-        except zlib.error:
+        except (zlib.error, OSError, lzma.LZMAError, EOFError):
             return
         at = fed - len(d.unused_data)
         state |= {"end": at, "whole": d.eof, "good": size}
-        if not d.eof:
+        if bare or not d.eof:
             return
         pad = at
         while pad < len(raw) and not raw[pad]:  # gzip files may be padded with zeros between members
@@ -166,6 +273,18 @@ def _parts(raw: memoryview, state: dict):
         at = pad if COMPRESSED.match(raw, pad) else at
 
 
+def _bare(raw: bytes) -> bool:
+    """Whether ``raw`` may be deflated data without a head: its first bytes inflate to something readable."""
+    d = zlib.decompressobj(-15)
+    try:
+        out = d.decompress(raw[:512], 4_096)
+    except zlib.error:
+        return False
+    if not (d.eof or len(raw) > 512 or d.unconsumed_tail):
+        return False
+    return bool(READABLE.search(out) or COMPRESSED.search(out) or WIDE.search(out)) or len(out) > 8 and _bare(out)
+
+
 def _streams(raw: bytes, escaped: np.ndarray | None = None):
     """The compressed streams of ``raw``: start, end, whether whole, and their bytes (None if more than can be held); ``escaped`` ones have an escape near the start."""
     view, at, held = memoryview(raw), 0, min(HELD, MAX_INFLATED)
@@ -185,10 +304,10 @@ def _streams(raw: bytes, escaped: np.ndarray | None = None):
         at += state["end"] if state["end"] and state["whole"] else 1
 
 
-def _overlapping(raw: memoryview):
+def _overlapping(raw: memoryview, bare: bool = False):
     """Pieces of large streams and whether more follows; each begins with the last half of the one before it."""
     held, rest = min(HELD, MAX_INFLATED), bytearray()
-    for piece in _parts(raw, {}):
+    for piece in _parts(raw, {}, bare):
         rest += piece
         if len(rest) > held:
             yield bytes(rest[:held]), True
@@ -207,19 +326,27 @@ def _decode64(run: str) -> bytes | None:
 
 
 class Layer:
-    """A text, and for each character its span in the document and whether a decoder made it."""
+    """A text and where it comes from: for each character its span in the document and whether a decoder made it.
+
+    What was compressed comes as a whole from one span, which is then held once (``whole``) and not for each character.
+    """
 
-    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None, new: np.ndarray | None = None):
-        self.text, self.starts, self.ends, self.new = text, starts, ends, new
+    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None, new: np.ndarray | None = None,
+                 whole: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.new, self.whole = text, starts, ends, new, whole
 
     def place(self, a: int, b: int) -> tuple[int, int]:
         """Document span of the characters ``a`` to ``b``."""
+        if self.whole:
+            return self.whole
         if self.starts is None:
             return a, b
         return int(self.starts[a:b].min()), int(self.ends[a:b].max())
 
     def lifted(self, text: str, starts: np.ndarray, ends: np.ndarray, new: np.ndarray) -> Layer:
         """The layer of ``text``, whose characters come from this layer's ``starts`` to ``ends``."""
+        if self.whole:
+            return Layer(text, whole=self.whole)
         if self.starts is None:
             return Layer(text, starts, ends, new)
         return Layer(text, self.starts[starts], self.ends[ends - 1], new | self.new[starts])
@@ -229,17 +356,25 @@ class Layer:
 
     def spans(self) -> list[Span]:
         """Document spans of the matches that touch decoded characters."""
-        return [(kind, *self.place(a, b)) for kind, a, b in scan(self.text) if self.new[a:b].any()]
+        return [(kind, *self.place(a, b)) for kind, a, b in scan(self.text) if self.whole or self.new[a:b].any()]
+
+    def _decoded(self, pattern: re.Pattern, read) -> Layer | None:
+        if self.whole:
+            found = _unescape_placeless(self.text, pattern, read, False)
+            return found and Layer(found[0], whole=self.whole)
+        found = _unescape(self.text, pattern, read)
+        return found and self.lifted(*found)
 
     def children(self):
         """Layers one decoding further."""
         t = self.text
-        if "%" in t and (u := _unescape(t, URL, _read_url)):
-            yield self.lifted(*u)
+        if "%" in t and (u := self._decoded(URL, _read_url)):
+            yield u
             yield from self._escaped_bytes(URL, _url_bytes)
-        if "\\u" in t and (u := _unescape(t, UNICODE, _read_unicode)):
-            yield self.lifted(*u)
-            yield from self._escaped_bytes(LITERAL, _literal_bytes)
+        if any(sign in t for sign in _NUMBER_SIGNS) and (u := self._decoded(UNICODE, _read_unicode)):
+            yield u
+            if "\\" in t:
+                yield from self._escaped_bytes(LITERAL, _literal_bytes)
         for m in BASE64.finditer(t):
             yield from self._base64(m.group(), m.start(), m.end(), [])
         if "\n" in t:
@@ -248,82 +383,135 @@ class Layer:
 
     def _base64(self, run: str, start: int, end: int, breaks: list[re.Match]):
         """Layers of bytes of a run without its line ``breaks``, read from each of four characters: a prefix may be of any length."""
-        found = [(k, raw) for k in range(min(4, len(run))) if (raw := _decode64(run[k:])) and (READABLE.search(raw) or COMPRESSED.search(raw))]
+        found = [(k, raw, bare) for k in range(min(4, len(run))) if (raw := _decode64(run[k:])) and (
+            not (bare := _bare(raw)) and (READABLE.search(raw) or COMPRESSED.search(raw) or WIDE.search(raw)) or bare)]
         if not found:
             return
+        stop = self.place(start, end)[1]
+        if self.whole:
+            for k, raw, bare in found:
+                yield Bytes(raw, self, stop, bare=bare)
+            return
         lost = np.zeros(end - start, bool)
         for b in breaks:
             lost[b.start() - start:b.end() - start] = True
         places = start + np.flatnonzero(~lost)
-        stop = self.place(start, end)[1]
-        for k, raw in found:
+        for k, raw, bare in found:
             after = np.arange(1, len(raw) + 1)
             first, last = places[k + (after - 1) * 4 // 3], places[k - 1 - (-after * 4 // 3)] + 1
-            yield Bytes(raw, self.lifted("", first, last, np.ones(len(raw), bool)), stop)
+            yield Bytes(raw, self.lifted("", first, last, np.ones(len(raw), bool)), stop, bare=bare)
 
     def _escaped_bytes(self, pattern: re.Pattern, read):
         """Layers of bytes of which compressed data was escaped, with the characters that needed no escape."""
-        text, *where = _unescape(self.text, pattern, read)
-        raw = text.encode("latin-1", "replace")
+        if self.whole:
+            found, at = _unescape_placeless(self.text, pattern, read, pattern is URL), self
+            if found and found[1] is None and COMPRESSED.search(found[0].encode("latin-1", "replace")):
+                found = _unescape_placeless(self.text, pattern, read, True)
+        else:
+            text, *where = _unescape(self.text, pattern, read) or (None,)
+            found, at = (text, where[2]) if text is not None else None, None
+        if not found:
+            return
+        raw = found[0].encode("latin-1", "replace")
         for r in {raw, raw.replace(b"+", b" ")} if pattern is URL else (raw,):
             if COMPRESSED.search(r):
-                at = self.lifted("", *where)
-                yield Bytes(r, at, int(at.ends[-1]), where[2])
+                at = at or self.lifted("", *where)
+                yield Bytes(r, at, at.whole[1] if at.whole else int(at.ends[-1]), found[1])
 
 
 class Bytes:
-    """Decoded bytes, the document span of each, and where their run ends; ``more`` if their stream goes on; those of which some are ``escaped`` have been read as text already."""
+    """Decoded bytes, where they come from (as in a layer), and where their run ends; ``more`` if their stream goes on; those of
+    which some are ``escaped`` have been read as text already; ``bare`` ones may be deflated data without a head."""
 
-    def __init__(self, raw: bytes, at: Layer, end: int, escaped: np.ndarray | None = None, more: bool = False):
-        self.raw, self.starts, self.ends, self.end, self.escaped, self.more = raw, at.starts, at.ends, end, escaped, more
+    def __init__(self, raw: bytes, at: Layer, end: int, escaped: np.ndarray | None = None, more: bool = False, bare: bool = False):
+        self.raw, self.at, self.end, self.escaped, self.more, self.bare = raw, at, end, escaped, more, bare
 
     def name(self):
-        return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped is None, int(self.starts[0]), self.end
+        return hashlib.blake2b(self.raw, digest_size=16).digest(), self.escaped is None, self._span(0, len(self.raw))
 
     def spans(self) -> list[Span]:
         return []
 
-    def children(self):
-        """The text, the bytes of compressed streams, and streams that are too large."""
-        if self.escaped is None and READABLE.search(self.raw):
+    def _span(self, a: int, b: int) -> tuple[int, int]:
+        """Document span of the bytes ``a`` to ``b``; to the end of the run if they reach the end of the bytes."""
+        if self.at.whole:
+            return self.at.whole
+        return int(self.at.starts[a]), int(self.at.ends[b - 1]) if b < len(self.raw) else self.end
+
+    def _text(self, text: str, first: np.ndarray | None, last: np.ndarray | None) -> Layer:
+        """The layer of ``text``, whose characters are the bytes ``first`` to ``last`` (of all, one each)."""
+        if self.at.whole:
+            return Layer(text, whole=self.at.whole)
+        starts, ends = self.at.starts, self.at.ends
+        if first is not None:
+            starts, ends = starts[first], ends[last]
+        return Layer(text, starts, ends, np.ones(len(text), bool))
+
+    def _texts(self):
+        """The text of one byte or UTF-8 a character, and that of two bytes a character."""
+        if READABLE.search(self.raw):
             try:
                 text = self.raw.decode()
             except UnicodeDecodeError:
                 text = self.raw.decode("latin-1")
-            starts, ends = self.starts, self.ends
-            if not text.isascii() and len(text) < len(self.raw):
+            first = last = None
+            if not self.at.whole and not text.isascii() and len(text) < len(self.raw):
                 codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
                 after = np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))
-                starts, ends = starts[np.concatenate(([0], after[:-1]))], ends[after - 1]
-            yield Layer(text, starts, ends, np.ones(len(text), bool))
+                first, last = np.concatenate(([0], after[:-1])), after - 1
+            yield self._text(text, first, last)
+        wide = WIDE.finditer(self.raw) if b"\0" in self.raw else ()
+        for odd, name in sorted({(m.start() % 2, "utf-16-be" if m.group()[:1] == b"\0" else "utf-16-le") for m in wide}):
+            cut = self.raw[odd:len(self.raw) - (len(self.raw) - odd) % 2]
+            text = cut.decode(name, "replace")
+            first = last = None
+            if not self.at.whole:
+                codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+                after = odd + 2 * np.cumsum(1 + (codes > 0xFFFF))
+                after = np.minimum(after, len(cut) + odd)
+                first, last = np.concatenate(([odd], after[:-1])), after - 1
+            yield self._text(text, first, last)
+
+    def children(self):
+        """The texts, the bytes of compressed streams, and streams that are too large."""
+        if self.escaped is None:
+            yield from self._texts()
         half = len(self.raw) // 2
         if self.more and not _BOUNDARY.search(self.raw, half):
-            yield OVERSIZE, int(self.starts[0]), self.end
+            yield OVERSIZE, self._span(0, 1)[0], self.end
+        if self.bare:
+            yield from self._inflated(0, *_whole(self.raw), bare=True)
         for a, b, whole, out in _streams(self.raw, self.escaped):
-            start, end = int(self.starts[a]), int(self.ends[b - 1]) if b < len(self.raw) else self.end
-            if out is None:
-                yield from self._large(a, start, end)
-                continue
             if self.more and not whole and a < half and b == len(self.raw):
-                yield OVERSIZE, start, end
-            if out:
-                yield Bytes(out, _everywhere(len(out), start, end), end)
+                yield OVERSIZE, self._span(a, b)[0], self.end
+            yield from self._inflated(a, b, out)
 
-    def _large(self, a: int, start: int, end: int):
-        """Layers of overlapping pieces of the large stream at ``a``, unless it would take too long."""
+    def _inflated(self, a: int, b: int, out: bytes | None, bare: bool = False):
+        """The layer of the stream from ``a`` to ``b``, or layers of overlapping pieces of it, unless it would take too long."""
+        span = self._span(a, b)
+        if out is not None:
+            if out:
+                yield Bytes(out, Layer("", whole=span), span[1], bare=_bare(out))
+            return
         size = 0
-        for piece in _parts(memoryview(self.raw)[a:], {}):
+        for piece in _parts(memoryview(self.raw)[a:], {}, bare):
             size += len(piece)
             if size > MAX_INFLATED:
-                yield OVERSIZE, start, end
+                yield OVERSIZE, *span
                 return
-        for piece, more in _overlapping(memoryview(self.raw)[a:]):
-            yield Bytes(piece, _everywhere(len(piece), start, end), end, more=more)
-
-
-def _everywhere(n: int, start: int, end: int) -> Layer:
-    """The place of ``n`` characters that all come from ``start`` to ``end``."""
-    return Layer("", np.broadcast_to(np.int64(start), n), np.broadcast_to(np.int64(end), n))
+        for piece, more in _overlapping(memoryview(self.raw)[a:], bare):
+            yield Bytes(piece, Layer("", whole=span), span[1], more=more)
+
+
+def _whole(raw: bytes) -> tuple[int, bytes | None]:
+    """End and bytes of a bare stream: no bytes if it does not end, None if more than can be held."""
+    state, out, size = {}, [], 0
+    for piece in _parts(memoryview(raw), state, True):
+        out.append(piece)
+        size += len(piece)
+        if size > min(HELD, MAX_INFLATED):
+            return len(raw), None
+    return state["end"], b"".join(out) if state["whole"] else b""
 
 
 def find(text: str | None) -> tuple[list[Span], list[Span]]:
