@@ -16,19 +16,21 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import permute
 from tessera.operators.metrics import accuracy as acc_metric
 from tessera.operators.metrics import rmse_r2
-from tessera.operators.split import hash_rank, kfold_assign
+from tessera.operators.split import kfold_assign
 from tessera.session import persist_sized, persisted
 
 FAIL_SCORE = -9999.0
@@ -127,10 +129,31 @@ def _score(pred: DataFrame, problem_type: str) -> float:
     return float(r) if r is not None else FAIL_SCORE
 
 
+def _without_early_stop(est):
+    """A copy of ``est`` that runs all its rounds, if it would stop early."""
+    inner = est.getClassifier() if isinstance(est, OneVsRest) else est
+    if not (inner.hasParam("validationIndicatorCol") and inner.isSet("validationIndicatorCol")):
+        return None
+    inner = inner.copy()
+    inner.clear(inner.getParam("validationIndicatorCol"))
+    return OneVsRest(classifier=inner) if isinstance(est, OneVsRest) else inner
+
+
+def fit_rows(est, rows: DataFrame):
+    """``est`` fitted on ``rows``; without early stopping where no row is held back for it, or all are."""
+    full = _without_early_stop(est)
+    if full is not None:
+        inner = est.getClassifier() if isinstance(est, OneVsRest) else est
+        held = inner.getOrDefault("validationIndicatorCol")
+        if len(rows.select(held).distinct().limit(2).collect()) < 2:
+            est = full
+    return est.fit(rows)
+
+
 def _fold_score(est, prepared: DataFrame, problem_type: str, f: int, fold_col: str = "fold"):
     """Score on fold ``f`` of a model fitted on the others, or why the model cannot be fitted."""
     try:
-        m = est.fit(prepared.where(F.col(fold_col) != f))
+        m = fit_rows(est, prepared.where(F.col(fold_col) != f))
         return _score(m.transform(prepared.where(F.col(fold_col) == f)), problem_type), None
     except (IllegalArgumentException, ValueError) as e:  # wrong for this model or these data; anything else is raised
         return FAIL_SCORE, str(e)[:200]
@@ -206,28 +229,63 @@ def tune_top(prepared: DataFrame, problem_type: str, models: dict, baseline: dic
 
 
 def _base_output(model, df: DataFrame, i: int, problem_type: str) -> DataFrame:
-    """``df`` with the ``i``-th base's output ``s<i>``: all class probabilities but the first, or the prediction."""
+    """``df`` with the ``i``-th base's output ``s<i>``, an array: all class probabilities but the first, or the prediction."""
     out = with_probability(model.transform(df)) if problem_type == "classification" else model.transform(df)
     col = F.expr("slice(p, 2, greatest(size(p) - 1, 1))") if problem_type == "classification" else F.array("prediction")
     if problem_type == "classification":
         out = out.withColumn("p", vector_to_array("probability"))
-    return out.withColumn(f"s{i}", array_to_vector(col)).drop("p", "prediction", "probability", "rawPrediction")
+    return out.withColumn(f"s{i}", col).drop("p", "prediction", "probability", "rawPrediction")
+
 
+def _stack_vector(n: int):
+    return array_to_vector(F.concat(*[F.col(f"s{i}") for i in range(n)]))
 
-class StackedModel:
-    """Fitted bases and the meta model over their outputs; ``transform`` works on any prepared frame, without a join."""
 
-    def __init__(self, bases: list, meta, problem_type: str):
-        self.bases, self.meta, self.problem_type = bases, meta, problem_type
+class StackedModel(Model, MLReadable, MLWritable):
+    """Fitted bases and the meta model over their outputs: a pipeline stage that transforms any prepared frame without a
+    join, also a stream, and is saved and loaded with the models it holds."""
 
-    def transform(self, prepared: DataFrame) -> DataFrame:
+    def __init__(self, bases: list | None = None, meta=None, problem_type: str = "classification"):
+        super().__init__()
+        self.bases, self.meta, self.problem_type = bases or [], meta, problem_type
+
+    def _transform(self, prepared: DataFrame) -> DataFrame:
         out = prepared
         for i, b in enumerate(self.bases):
             out = _base_output(b, out, i, self.problem_type)
-        out = VectorAssembler(inputCols=[f"s{i}" for i in range(len(self.bases))], outputCol="_stack").transform(out)
+        # not by an assembler, which looks at a first row for the sizes: a stream has none
+        out = out.withColumn("_stack", _stack_vector(len(self.bases)))
         self.meta.setFeaturesCol("_stack")
         return self.meta.transform(out).drop("_stack", *[f"s{i}" for i in range(len(self.bases))])
 
+    def write(self):
+        return _StackedWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _StackedReader()
+
+
+class _StackedWriter(MLWriter):
+    def __init__(self, instance: StackedModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        m = self.instance
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, {"bases": len(m.bases), "problem_type": m.problem_type})
+        for i, b in enumerate([*m.bases, m.meta]):
+            b.write().save(f"{path}/model-{i}")
+
+
+class _StackedReader(MLReader):
+    def load(self, path: str) -> StackedModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        models = [DefaultParamsReader.loadParamsInstance(f"{path}/model-{i}", self.sparkSession) for i in range(meta["bases"] + 1)]
+        out = StackedModel(models[:-1], models[-1], meta["problem_type"])
+        out._resetUid(meta["uid"])
+        return out
+
 
 def stacking(prepared: DataFrame, problem_type: str, bases: dict, k: int, key: str = "_src_idx") -> dict:
     """Stack the base estimators: their out-of-fold outputs feed a logistic/linear meta model.
@@ -246,7 +304,7 @@ def stacking(prepared: DataFrame, problem_type: str, bases: dict, k: int, key: s
             part = _base_output(fitted[f * len(names) + i], part, i, problem_type)
         part = part.select(key, "label", "fold", *[f"s{i}" for i in range(len(names))])
         oof = part if oof is None else oof.unionByName(part)
-    oof = VectorAssembler(inputCols=[f"s{i}" for i in range(len(names))], outputCol="features").transform(oof).persist()
+    oof = oof.withColumn("features", _stack_vector(len(names))).persist()
     meta = LogisticRegression(maxIter=1000) if problem_type == "classification" else LinearRegression(regParam=1.0)
     m, sd = _mean_std(cv_scores(meta, oof, problem_type, k))
 
@@ -281,6 +339,54 @@ def search(prepared: DataFrame, problem_type: str, models: dict, k: int = 5, tri
     return {"baseline": base, "tuned": tuned, "stack": stack, "name": name, "model": model}
 
 
+def refit(found: dict, prepared: DataFrame, problem_type: str, k: int):
+    """The winner of a :func:`search` fitted anew on all rows of ``prepared`` (which carry folds, for a stack)."""
+    usable = {n: v["estimator"] for n, v in found["tuned"].items() if not v["reason"]}
+    if found["name"] != "Stacking":
+        return usable[found["name"].removesuffix("_Tuned")].fit(prepared)
+    stack = stacking(prepared, problem_type, usable, k)
+    try:
+        return stack["fit"]()
+    finally:
+        stack["release"]()
+
+
+def key_share(key: str, seed: int):
+    """A number in [0, 1) for each key, the same on every engine: the first 32 bits of a hash."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def tune_halving(prepared: DataFrame, problem_type: str, name: str, estimator, k: int, trials: int = 20, eta: int = 3,
+                 seed: int = 42, key: str = "_src_idx") -> dict:
+    """Successive halving of ``trials`` seeded random settings of one model.
+
+    In each rung the remaining settings are scored by ``k``-fold cross-validation on a share of the rows, and the
+    best one in ``eta`` stays. Shares are nested (a row belongs to a share by a hash of its key) and grow ``eta``-fold up
+    to all rows in the last rung. Ties go to the earlier trial. Returns ``schedule``, a list of ``(model, rung, trial, params, share,
+    mean, std, kept)`` rows, and the winner's ``estimator``, ``params``, ``mean`` and ``std`` (of the last rung).
+    """
+    rng = random.Random(seed)
+    left = [(i, sample_params(name, rng)) for i in range(trials)]
+    rungs, n = 1, trials
+    while n > 1:
+        n, rungs = -(-n // eta), rungs + 1
+    schedule, scores = [], {}
+    for rung in range(rungs):
+        share = float(eta) ** (rung - rungs + 1)
+        part = prepared if rung == rungs - 1 else prepared.where(key_share(key, seed) < share)
+        results = _cv_all([_with_params(estimator, p) for _, p in left], part, problem_type, k)
+        scores = {i: r for (i, _), r in zip(left, results)}
+        best = sorted(left, key=lambda t: (-scores[t[0]]["mean"], t[0]))
+        stay = {i for i, _ in best[:-(-len(left) // eta)]} if rung < rungs - 1 else {best[0][0]}
+        schedule += [(name, rung, i, json.dumps(p, sort_keys=True), share, scores[i]["mean"], scores[i]["std"], i in stay) for i, p in left]
+        left = [t for t in left if t[0] in stay]
+    (i, params), = left
+    return {"schedule": schedule, "estimator": _with_params(estimator, params), "params": params, **scores[i]}
+
+
+SCHEDULE = "model string, rung int, trial int, params string, share double, mean double, std double, kept boolean"
+
+
 def model_ranking(spark, baseline: dict, tuned: dict, stack: dict | None = None) -> DataFrame:
     """All CV means: baselines, ``<name>_Tuned`` and Stacking; best = max over tuned rows."""
     rows = [(n, float(v["mean"]), float(v["std"]), False) for n, v in baseline.items()]
@@ -355,71 +461,141 @@ def score_rows(bundle: ModelBundle, spark, rows: list[dict]) -> DataFrame:
     return predict_all(bundle, spark.createDataFrame([tuple(r[c] for c in cols) for r in recs], schema))
 
 
-def feature_importance_topn(bundle: ModelBundle, prepared: DataFrame, n: int = 15) -> DataFrame:
-    """(feature, importance) top ``n``: tree importances, or |coefficients| for linear models."""
-    spark = prepared.sparkSession
-    est = bundle.model.stages[-1]
+def feature_names(prepared: DataFrame) -> list[str]:
+    """Names of the places of the ``features`` vector, in order (empty if the column carries none)."""
     attrs = prepared.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = {}
-    for group in attrs.values():
-        for a in group:
-            names[a["idx"]] = a["name"]
+    return [name for _, name in sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)]
+
+
+def _own_importance(est) -> list[float]:
+    """A model's own importance of each feature: of trees, or of absolute coefficients; one-vs-rest models are averaged."""
+    if isinstance(est, OneVsRestModel):
+        each = [_own_importance(m) for m in est.models]
+        return [sum(v) / len(each) for v in zip(*each)]
     if hasattr(est, "featureImportances"):
-        vec = est.featureImportances.toArray()
-    elif hasattr(est, "coefficients"):
-        vec = [abs(x) for x in est.coefficients.toArray()]
-    else:
-        vec = []
-    rows = [(names.get(i, f"f{i}"), float(v)) for i, v in enumerate(vec)]
+        return [float(v) for v in est.featureImportances.toArray()]
+    if hasattr(est, "coefficientMatrix"):
+        rows = est.coefficientMatrix.toArray()
+        return [float(sum(abs(r[j]) for r in rows)) for j in range(len(rows[0]))]
+    return [abs(float(v)) for v in est.coefficients.toArray()] if hasattr(est, "coefficients") else []
+
+
+def feature_importance_topn(bundle: ModelBundle, prepared: DataFrame, n: int = 15, key: str = "_src_idx") -> DataFrame:
+    """(feature, importance) top ``n``: the model's own importances of encoded features; for a model without any (a
+    stack) the permutation importances of its input columns over the rows of ``prepared``."""
+    spark = prepared.sparkSession
+    own = _own_importance(bundle.model.stages[-1])
+    if not own:
+        return permutation_importance(bundle, prepared, key).select("feature", "importance").orderBy(
+            F.desc("importance"), "feature").limit(n)
+    names = dict(enumerate(feature_names(prepared)))
+    rows = [(names.get(i, f"f{i}"), v) for i, v in enumerate(own)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature").limit(n)
 
 
-def boruta_select(prepared_src: DataFrame, numeric: list[str], label: str, key: str = "_src_idx",
-                  rounds: int = 20, trees: int = 100, seed: int = 42, tree_memory_mb: int = 128) -> DataFrame:
-    """Shadow-feature selection: a feature is kept when its random-forest importance beats
-    the best shadow in more than half the rounds.
+def permutation_importance(bundle: ModelBundle, df: DataFrame, key: str = "_src_idx", seed: int = 42) -> DataFrame:
+    """``(feature, importance, score, permuted)`` of every input column of any model.
 
-    Each shadow is its column under a permutation of its own: rows carry one exact distributed
-    rank, and shadow ``i`` of a round is shifted along it by an offset of its own, fetched by an
-    equi-join on the rank. No row is copied to the driver or to a single task.
+    ``score`` is the accuracy (or R2) on the rows of ``df``, ``permuted`` the same with the column permuted, and ``importance``
+    their difference. Every row is scored once as it is and once for each column, in one pass over blocks
+    of rows (``permute``), and the scores are one grouped aggregate.
+    """
+    cols = bundle.numeric + bundle.categorical
+    d, _ = with_label(df, bundle.target, bundle.problem_type, bundle.labels or None)
+    n = d.count()
+    turn = permute.offsets(random.Random(seed), len(cols))
+    base = permute.blocked(d.select(key, "label", *[F.col(f"`{c}`") for c in cols]), key, ["label", *cols], seed, n)
+    rows = base.select("r", F.posexplode("r").alias("place", "row")).select(
+        "row", F.struct(*[permute.neighbour(F.col("r"), F.col("place"), F.lit(o))[f"c{i + 1}"].alias(f"c{i + 1}") for i, o in enumerate(turn)]).alias("other"))
+    copies = rows.select("row", "other", F.explode(F.sequence(F.lit(0), F.lit(len(cols)))).alias("_copy"))
+    copies = copies.select("_copy", F.col("row.c0").alias("label"), *[
+        F.when(F.col("_copy") == i, F.col(f"other.c{i}")).otherwise(F.col(f"row.c{i}")).alias(c) for i, c in enumerate(cols, 1)])
+    out = bundle.model.transform(copies)
+    y, p = F.col("label"), F.col("prediction")
+    score = F.avg((y == p).cast("double")) if bundle.problem_type == "classification" else \
+        1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
+    # one row per column
+    scores = {r["_copy"]: r["score"] for r in out.groupBy("_copy").agg(score.alias("score")).collect()}
+    found = [(c, scores[0] - scores[i], scores[0], scores[i]) if scores.get(0) is not None and scores.get(i) is not None else (c, None, None, None)
+             for i, c in enumerate(cols, 1)]
+    return df.sparkSession.createDataFrame(found, "feature string, importance double, score double, permuted double")
+
+
+def binomial_tail(hits: int, rounds: int) -> tuple[float, float]:
+    """P(at least ``hits``) and P(at most ``hits``) of ``rounds`` fair coin tosses."""
+    ways = [math.comb(rounds, i) for i in range(rounds + 1)]
+    return sum(ways[hits:]) / 2 ** rounds, sum(ways[:hits + 1]) / 2 ** rounds
+
+
+def boruta_decision(hits: int, rounds: int, tests: int, alpha: float = 0.05) -> str:
+    """``confirmed`` or ``rejected`` when the hits are too many or too few for chance, else ``tentative``.
+
+    The binomial tail is multiplied by ``tests``, the looks that the whole run may take (features times rounds)."""
+    more, fewer = binomial_tail(hits, rounds)
+    return "confirmed" if more * tests < alpha else "rejected" if fewer * tests < alpha else "tentative"
+
+
+def boruta_select(src: DataFrame, numeric: list[str], label: str, key: str = "_src_idx", rounds: int = 20, trees: int = 100,
+                  seed: int = 42, tree_memory_mb: int = 128, categorical: list[str] | None = None, alpha: float = 0.05) -> DataFrame:
+    """Shadow-feature selection over the encoded columns: ``(feature, hits, rounds, decision, selected)``.
+
+    In a round every remaining feature gets a shadow, its own column permuted; a feature scores a hit when its
+    random-forest importance beats every shadow's. After each round a binomial test, corrected for all features and rounds,
+    confirms or rejects; a rejected feature leaves, a confirmed one stays but is tested no more, and the run ends when none is
+    tentative or after ``rounds``. ``rounds`` of the result are those in which a feature was tested.
+
+    Rows are put into blocks once (one shuffle); a round's shadows are turned within their blocks (``permute``).
     """
-    spark = prepared_src.sparkSession
-    hits = {c: 0 for c in numeric}
-    base = persist_sized(hash_rank(prepared_src.select(key, label, *numeric), key, seed=seed)
-                         .select(label, *numeric, F.col("_rank").alias("_ra")))
+    spark = src.sparkSession
+    labelled, _ = with_label(src, label, "classification")
+    fm = Pipeline(stages=feature_stages(numeric, categorical or [])).fit(labelled)
+    coded = fm.transform(labelled)
+    names = feature_names(coded)
+    n = labelled.count()
+    rows = coded.select(key, "label", vector_to_array("features").alias("x"))
+    if not names:
+        names = [f"f{i}" for i in range(len(rows.first()["x"]))] if n else []
+    base = permute.blocked(rows, key, ["label", "x"], seed, n).persist(StorageLevel.MEMORY_AND_DISK)
+    hits, met, state = [0] * len(names), [0] * len(names), ["tentative"] * len(names)
+    rng = random.Random(seed)
     try:
-        n = base.count()
-        rng = random.Random(seed)
-        for r in range(rounds):
-            # a row gives each column to the row whose rank is the column's offset further, around the end
-            offsets = [rng.randrange(1, max(n, 2)) for _ in numeric]
-            given = base.select(F.explode(F.array(*[
-                F.struct(F.pmod(F.col("_ra") - 1 + o, F.lit(n)).alias("_to"), F.lit(i).alias("_i"), F.col(c).cast("double").alias("_v"))
-                for i, (c, o) in enumerate(zip(numeric, offsets))])).alias("g"))
-            shadows = given.groupBy((F.col("g._to") + 1).alias("_ra")).agg(*[
-                F.max(F.when(F.col("g._i") == i, F.col("g._v"))).alias(f"shadow_{c}") for i, c in enumerate(numeric)])
-            cols = numeric + [f"shadow_{c}" for c in numeric]
+        for r in range(rounds if n else 0):
+            active = [i for i, s in enumerate(state) if s != "rejected"]
+            if not any(state[i] == "tentative" for i in active):
+                break
+            turn = permute.offsets(rng, len(active))
+            own = F.array(*map(F.lit, active))
+            shadow = F.arrays_zip(own.alias("i"), F.array(*map(F.lit, turn)).alias("o"))
+
+            def with_shadows(row, place):
+                real = F.transform(own, lambda i: F.get(row["c1"], i))
+                fake = F.transform(shadow, lambda s: F.get(permute.neighbour(F.col("r"), place, s["o"])["c1"], s["i"]))
+                return F.struct(row["c0"].alias("label"), F.concat(real, fake).alias("x"))
+
+            d = (base.select(F.inline(F.transform("r", with_shadows)))
+                 .select("label", array_to_vector("x").alias("features")))
             # the forest reads its input once per tree level: fit on a sized, persisted frame
-            d = persist_sized(VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(
-                base.join(shadows, "_ra").withColumn("label", F.col(label).cast("double"))).select("features", "label"))
+            d = persist_sized(d)
             try:
                 rf = RandomForestClassifier(numTrees=trees, seed=seed + r, labelCol="label", maxMemoryInMB=tree_memory_mb).fit(d)
             finally:
                 d.unpersist()
-            _record_hits(rf.featureImportances.toArray(), numeric, hits)
+            won = _beats_shadows(rf.featureImportances.toArray(), len(active))
+            for i, w in zip(active, won):
+                if state[i] == "tentative":
+                    hits[i], met[i] = hits[i] + w, met[i] + 1
+                    state[i] = boruta_decision(hits[i], met[i], len(names) * rounds, alpha)
     finally:
         base.unpersist()
-    rows = [(c, hits[c], rounds, hits[c] * 2 > rounds) for c in numeric]
-    return spark.createDataFrame(rows, "feature string, hits int, rounds int, selected boolean")
+    found = [(name, hits[i], met[i], state[i], state[i] == "confirmed") for i, name in enumerate(names)]
+    return spark.createDataFrame(found, "feature string, hits int, rounds int, decision string, selected boolean")
 
 
-def _record_hits(imp, numeric: list[str], hits: dict) -> None:
-    """A real feature scores a hit when its importance beats every shadow's."""
-    shadow_max = max(imp[len(numeric):]) if len(imp) > len(numeric) else 0.0
-    for i, c in enumerate(numeric):
-        if imp[i] > shadow_max:
-            hits[c] += 1
+def _beats_shadows(importance, n: int) -> list[bool]:
+    """For each of the first ``n`` importances whether it is above all the others (the shadows')."""
+    most = max(importance[n:]) if len(importance) > n else 0.0
+    return [bool(v > most) for v in importance[:n]]
 
 
 def save_bundle(bundle: ModelBundle, path: str) -> None:

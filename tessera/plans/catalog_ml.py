@@ -73,16 +73,100 @@ def q_cv_compare(spark, sf):
 
 @query("model_ranking")
 def q_model_ranking(spark, sf):
-    """Baselines, tuned top 3 and a stacked model ranked by CV accuracy; the best, refitted on the search's FIT_ROWS rows, scores the test rows."""
-    prepared, fm, sp = _prepared(spark, sf)
-    found = models.search(prepared, "classification", _catalog(), FOLDS, TRIALS, SEED)
+    """Baselines, tuned top 3 and a stacked model ranked by CV accuracy; the best, refitted on all training rows, scores the test rows."""
+    found, bundle, sp = _best_bundle(spark, sf)
     ranking = models.model_ranking(spark, found["baseline"], found["tuned"], found["stack"])
-    test, _ = models.with_label(sp.where(F.col("split") == "test"), "late", "classification")
-    acc = metrics.accuracy(found["model"].transform(fm.transform(test)), "label", "prediction").first()["accuracy"]
-    prepared.unpersist()
+    test = models.predict_all(bundle, sp.where(F.col("split") == "test"))
+    acc = metrics.accuracy(test, "late", "prediction").first()["accuracy"]
     return ranking.withColumn("test_accuracy", F.when(F.col("model") == found["name"], F.lit(acc)))
 
 
+def _best_bundle(spark, sf):
+    """A search on at most FIT_ROWS rows, and its winner (a tuned model or the stack) fitted on all training rows as a bundle."""
+    prepared, _, sp = _prepared(spark, sf)
+    found = models.search(prepared, "classification", _catalog(), FOLDS, TRIALS, SEED)
+    prepared.unpersist()
+    train = split.kfold_assign(sp.where(F.col("split") == "train").drop("split"), "_src_idx", FOLDS, "late", SEED)
+    whole, labels = models.with_label(train, "late", "classification")
+    fm = models.Pipeline(stages=models.feature_stages(ORDER_NUMERIC, CATEGORICAL)).fit(whole)
+    whole = persist_sized(_held_back(fm.transform(whole).select("_src_idx", "features", "label", "fold")))
+    best = models.refit(found, whole, "classification", FOLDS)
+    whole.unpersist()
+    bundle = models.ModelBundle(models.PipelineModel([*fm.stages, best]), "late", "classification", found["name"],
+                                list(ORDER_NUMERIC), list(CATEGORICAL), labels)
+    return found, bundle, sp
+
+
+@query("best_model_chain", f"SELECT _src_idx, late, true AS consistent FROM {S.ORDER_FRAME} t")
+def q_best_model_chain(spark, sf):
+    """Search, refit on all training rows, save, load, predict every order; metrics recomputed from the predictions agree.
+
+    ``consistent``: the loaded model gives every row the class of its larger probability, its test accuracy is that of the
+    fitted one, and it is not below the share of the larger class less one point.
+    """
+    _, bundle, sp = _best_bundle(spark, sf)
+    test = sp.where(F.col("split") == "test")
+    fitted = metrics.accuracy(models.predict_all(bundle, test), "late", "prediction").first()["accuracy"]
+    path = scratch(spark)
+    models.save_bundle(bundle, path)
+    out = models.predict_all(models.load_bundle(spark, path), sp)
+    files.write_layer(out, path, "predictions")
+    done = files.read_layer(spark, path, "predictions")
+    t = done.where(F.col("split") == "test").agg(F.avg((F.col("late") == F.col("prediction")).cast("double")).alias("acc"),
+                                                 F.avg(F.col("late").cast("double")).alias("late")).first()
+    fair = t["acc"] == fitted and t["acc"] >= max(t["late"], 1 - t["late"]) - 0.01
+    sound = (F.col("proba_1") > 0.5) == (F.col("prediction") == 1.0)
+    return done.select("_src_idx", "late", F.coalesce(sound & F.lit(bool(fair)), F.lit(False)).alias("consistent"))
+
+
+@query("best_model_metrics")
+def q_best_model_metrics(spark, sf):
+    """The chosen model's class report on the test rows, next to its name."""
+    found, bundle, sp = _best_bundle(spark, sf)
+    test = models.predict_all(bundle, sp.where(F.col("split") == "test"))
+    report = metrics.classification_report(test.withColumn("late", F.col("late").cast("double")), "late", "prediction")
+    return report.withColumn("model", F.lit(found["name"]))
+
+
+_SHARE = f"CAST('0x' || substr(md5('{SEED}|' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query("tuning_schedule", f"""
+SELECT 'LogisticRegression' AS model, rung, trials, kept, (SELECT count(*) FROM orders WHERE rung = 3 OR {_SHARE} < pow(3.0, rung - 3)) AS rows,
+  true AS best_kept FROM (VALUES (0, 20, 7), (1, 7, 3), (2, 3, 1), (3, 1, 1)) v(rung, trials, kept)""")
+def q_tuning_schedule(spark, sf):
+    """Successive halving of 20 settings: all start on a 27th of the orders; per rung, trials, survivors and rows."""
+    train = split.kfold_assign(order_frame(spark, sf), "_src_idx", FOLDS, "late", SEED)
+    prepared, _ = models.prepare(train, ORDER_NUMERIC, CATEGORICAL, "late", "classification")
+    prepared = persist_sized(prepared.select("_src_idx", "features", "label", "fold"), 50_000, keep_slots=False)
+    found = models.tune_halving(prepared, "classification", "LogisticRegression", _catalog()["LogisticRegression"], FOLDS, 20, 3, SEED)
+    share = models.key_share("_src_idx", SEED)
+    last = max(s[1] for s in found["schedule"])
+    rows = prepared.agg(*[F.count_if((share < 3.0 ** (r - last)) | F.lit(r == last)).alias(f"r{r}") for r in range(last + 1)]).first()
+    prepared.unpersist()
+    t = spark.createDataFrame(found["schedule"], models.SCHEDULE)
+    per = t.groupBy("model", "rung").agg(
+        F.count(F.lit(1)).alias("trials"), F.count_if("kept").alias("kept"),
+        (F.min(F.when(F.col("kept"), F.col("mean"))) >= F.coalesce(F.max(F.when(~F.col("kept"), F.col("mean"))), F.lit(-1e9))).alias("best_kept"))
+    sizes = spark.createDataFrame([(r, rows[f"r{r}"]) for r in range(last + 1)], "rung int, rows long")
+    return per.join(F.broadcast(sizes), "rung").select("model", "rung", "trials", "kept", "rows", "best_kept")
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """How much accuracy on the test rows each input column is worth to the forest."""
+    bundle, sp = _bundle(spark, sf)
+    return models.permutation_importance(bundle, sp.where(F.col("split") == "test")).orderBy(F.desc("importance"), "feature")
+
+
+@query("dashboard_with_model")
+def q_dashboard_with_model(spark, sf):
+    """The dashboard of a fitted model's predictions, with the permutation importance of its columns."""
+    bundle, sp = _bundle(spark, sf)
+    imp = models.permutation_importance(bundle, sp.where(F.col("split") == "test")).select("feature", "importance")
+    return round_doubles(groups.dashboard_summary(models.predict_all(bundle, sp), "r_name", importance=imp, verdicts=_verdicts(spark, sf)))
+
+
 def _bundle(spark, sf):
     sp = _train_frame(spark, sf)
     train = sp.where(F.col("split") == "train")
@@ -174,7 +258,10 @@ def q_feature_importance(spark, sf):
 
 @query("boruta_select")
 def q_boruta_select(spark, sf):
-    return models.boruta_select(order_frame(spark, sf), ORDER_NUMERIC, "late", rounds=5, seed=SEED)
+    """All encoded columns of the orders, and a planted copy of the target with a tenth of it turned (``hint``)."""
+    f = order_frame(spark, sf).withColumn("hint", F.when(F.pmod(F.xxhash64("_src_idx"), F.lit(10)) == 0, 1 - F.col("late"))
+                                          .otherwise(F.col("late")).cast("double"))
+    return models.boruta_select(f, [*ORDER_NUMERIC, "hint"], "late", rounds=20, trees=30, seed=SEED, categorical=CATEGORICAL)
 
 
 @query("score_stream")
