@@ -19,13 +19,19 @@ _STEP = 0x9E3779B97F4A7C15
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, among: Column, columns: list[str], limit: int = SAMPLE_DOCS):
-    """About ``limit`` rows ``(doc_id, text, *columns)`` of the labelled documents, picked by a hash of their id, in id order."""
+    """About ``limit`` rows ``(doc_id, text, *columns)`` of the labelled documents, picked by a hash of their id, in id order.
+
+    An id with several labels counts once, with the largest value of each label; of several rows with one id the smallest
+    ``(text, ...)`` counts. So the rows are the same in every run.
+    """
     known = labels.where(among & F.col("doc_id").isNotNull())
+    own = [c for c in known.columns if c != "doc_id"]
+    known = known.groupBy("doc_id").agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in own])
     share = min(1.0, limit / max(known.count(), 1))
     picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = (docs.join(picked.dropDuplicates(["doc_id"]), "doc_id")
-            .where(F.octet_length("text") <= SAMPLE_TEXT).select("doc_id", "text", *columns).limit(2 * limit).collect())
-    return sorted(rows, key=lambda r: (r.doc_id, r.text))
+    rows = (docs.drop(*own).join(picked, "doc_id").where(F.octet_length("text") <= SAMPLE_TEXT)
+            .groupBy("doc_id").agg(F.min(F.struct("text", *columns)).alias("row")).select("doc_id", "row.*").collect())
+    return sorted(rows, key=lambda r: r.doc_id)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

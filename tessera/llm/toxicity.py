@@ -33,7 +33,7 @@ from tessera.llm.common import arrow_map, documents
 COMMUNITIES = ("en", "de", "fr", "es")
 FOLDS, THRESHOLD, RIDGE = 3, 0.5, 0.3
 #: Labelled documents the chain is fitted on at most (about).
-SAMPLE_DOCS = 5_000
+SAMPLE_DOCS = 6_000
 #: N-grams of a link at most, the texts one must be in, and how far (in standard errors) above chance it must be.
 LINK_FEATURES, LEAST_TEXTS, LEAST_Z = 4_000, 3, 4.0
 

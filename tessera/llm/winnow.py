@@ -133,7 +133,7 @@ def edited(text: str, following: str) -> str:
 
 
 _RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
+           "near_edited double, near_next double, positions array<int>, edited_positions array<int>")
 
 
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -157,25 +157,30 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
 
 def against_edits(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """Every document's fingerprint, its edited text's, and the likeness to that and to the next document."""
+    """Every document's fingerprint, its edited text's, and the likeness to that and to the next document.
+
+    ``positions`` and ``edited_positions`` tell where each hash of the two fingerprints begins (code points): two texts that
+    share a run of ``gram + window - 1`` code points share a hash whose positions lie in that run.
+    """
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in it:
-            out = {k: [] for k in ("doc_id", "n_chars", "sha", "fp", "efp", "ne", "nn")}
+            out = {k: [] for k in ("doc_id", "n_chars", "sha", "fp", "efp", "ne", "nn", "p", "ep")}
             for bucket, _, doc, text in zip(*(c.to_pylist() for c in b.columns)):
-                mark = winnow(text, gram, window)[0]
+                mark, places = winnow(text, gram, window)
                 if held and held[0] == bucket:
-                    _, d, t, m = held
+                    _, d, t, m, p = held
                     e = edited(t, text)
-                    em = winnow(e, gram, window)[0]
+                    em, ep = winnow(e, gram, window)
                     for k, v in zip(out, (d, len(t), hashlib.sha256(e.encode()).hexdigest(), digest(m), digest(em),
-                                          likeness(m, em), likeness(m, mark))):
+                                          likeness(m, em), likeness(m, mark), p.astype(np.int32), ep.astype(np.int32))):
                         out[k].append(v)
-                held = bucket, doc, text, mark
+                held = bucket, doc, text, mark, places
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(out.values(), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(),
-                                                               pa.float64(), pa.float64()))],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                                                               pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())))],
+                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                 "positions", "edited_positions"])
 
     batches(docs.sparkSession)
     return with_next(docs).mapInArrow(run, _RESULT)

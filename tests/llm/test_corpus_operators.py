@@ -296,7 +296,8 @@ def test_against_edits(real, texts, awkward):
         a, b, c = (set(winnow.winnow(x)[0].tolist()) for x in (t, e, after))
         share = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
         assert (r.near_edited, r.near_next) == (share(a, b), share(a, c))
-        assert r.fingerprint == winnow.digest(winnow.winnow(t)[0])
+        assert r.fingerprint == winnow.digest(winnow.winnow(t)[0]) and r.positions == winnow.winnow(t)[1].tolist()
+        assert r.edited_positions == winnow.winnow(e)[1].tolist() and len(r.edited_fingerprint) == 12 * len(r.edited_positions)
     odd = winnow.against_edits(awkward).collect()
     assert len(odd) == len(awkward_rows())
     five = [r for r in odd if r.doc_id == 5]
@@ -612,6 +613,21 @@ def test_classifiers_on_tables(spark, awkward):
     assert clean.columns == docs.columns and 100 < clean.count() < 200
 
 
+def test_labelled_sample_does_not_depend_on_the_order_of_rows(spark):
+    docs = [(i, f"text {j} of {i}", "en") for i in range(50) for j in range(1 + i % 3)]
+    labels = [(i, t) for i in range(60) for t in ((0, 1) if i % 5 == 0 else (i % 2,))] + [(None, 1)]
+    seen = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(docs)
+        random.Random(seed).shuffle(labels)
+        d = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3).withColumn("toxic", F.lit(9))
+        rows = linear.labelled_sample(d, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("toxic").isNotNull(), ["lang", "toxic"])
+        seen.append([tuple(r) for r in rows])
+    assert seen[0] == seen[1] == [(i, f"text 0 of {i}", "en", 1 if i % 5 == 0 else i % 2) for i in range(50)]
+    few = linear.labelled_sample(d, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True), ["lang", "toxic"], 20)
+    assert 5 < len(few) < 40
+
+
 def test_quality_query_learns_from_the_rest(spark, sf_small):
     got = quality.query(spark, sf_small).collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for r in got)
@@ -659,7 +675,8 @@ def test_contract_columns(spark, sf_small):
     want = {"op1_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
             "op2_source_mixing": ["doc_id", "size", "source_size", "target", "taken"],
             "op3_token_file": ["doc_id", "start", "n_tokens", "ids_crc32"],
-            "op4_winnowing": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            "op4_winnowing": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                               "positions", "edited_positions"],
             "op5_quality_nbsvm": ["doc_id", "held_out", "score", "predicted"],
             "op6_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
             "op7_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
