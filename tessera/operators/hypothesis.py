@@ -7,10 +7,11 @@ results are unioned into one long table and judged by a fixed rule.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.safe import NUMERIC_TYPES, safe_corr
+from tessera.functions.special import with_chi2_tail, with_f_tail
 from tessera.operators.groups import bucket_expr, quantile_edges
 
 RESULT_SCHEMA = "id string, grp string, ord double, mean double, count long"
@@ -23,6 +24,13 @@ def run_hypotheses(df: DataFrame, specs: list[dict]) -> DataFrame:
     ``quantile_buckets`` specs are computed first (exact, bounded)."""
     if not specs:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    return (_records(df, specs).groupBy("id", "grp", "ord")
+            .agg(F.avg("t").alias("mean"), F.count("t").alias("count"))
+            .select("id", "grp", "ord", "mean", "count"))
+
+
+def _records(df: DataFrame, specs: list[dict]) -> DataFrame:
+    """``(id, grp, ord, t)``: one record per row and spec, without those that have no group."""
     recs = []
     for s in specs:
         kind, key, target = s["kind"], s["key"], s["target"]
@@ -44,10 +52,56 @@ def run_hypotheses(df: DataFrame, specs: list[dict]) -> DataFrame:
             numeric = isinstance(df.select(kc.alias("_k")).schema["_k"].dataType, NUMERIC_TYPES)
             ordc = kc.cast("double") if numeric else F.lit(None).cast("double")
         recs.append(F.struct(F.lit(s["id"]).alias("id"), grp.alias("grp"), ordc.alias("ord"), t.alias("t")))
-    long = df.select(F.inline(F.array(*recs))).where(F.col("grp").isNotNull())
-    return (long.groupBy("id", "grp", "ord")
-                .agg(F.avg("t").alias("mean"), F.count("t").alias("count"))
-                .select("id", "grp", "ord", "mean", "count"))
+    return df.select(F.inline(F.array(*recs))).where(F.col("grp").isNotNull())
+
+
+def test_statistics(df: DataFrame, specs: list[dict]) -> DataFrame:
+    """One-way F and chi-square tests of every hypothesis: ``(id, groups, n, f_stat, f_p, chi2, chi2_p, p_value, p_holm)``.
+
+    F compares the groups' means; chi-square, for a target of zeros and ones only, the groups' shares. Both come from each
+    group's count, sum and sum of squares. ``p_value`` is that of chi-square where there is one, else of F; ``p_holm`` is
+    corrected for all hypotheses (Holm). Without two groups, or without any variance, there is no statistic.
+    """
+    spark = df.sparkSession
+    if not specs:
+        return spark.createDataFrame([], "id string, groups long, n long, f_stat double, f_p double, chi2 double, chi2_p double, "
+                                         "p_value double, p_holm double")
+    g = (_records(df, specs).where("t is not null").groupBy("id", "grp", "ord")
+         .agg(F.count("t").alias("n"), F.sum("t").alias("s"), F.sum(F.col("t") * F.col("t")).alias("ss"),
+              F.bool_and(F.col("t").isin(0.0, 1.0)).alias("binary")))
+    t = g.groupBy("id").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"),
+                            F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between"), F.bool_and("binary").alias("binary"))
+    k, n, mean = F.col("groups"), F.col("n"), F.try_divide(F.col("s"), F.col("n"))
+    among, within = F.col("between") - F.col("s") * mean, F.col("ss") - F.col("between")
+    # rounding may leave a tiny variance within groups that have none
+    f = F.when((k > 1) & (n > k) & (within > 1e-12 * F.col("ss")), F.try_divide(F.greatest(among, F.lit(0.0)) / (k - 1), within / (n - k)))
+    chi2 = F.when(F.col("binary") & (k > 1), F.try_divide(F.greatest(among, F.lit(0.0)), mean * (1 - mean)))
+    t = t.select("id", "groups", "n", f.alias("f_stat"), chi2.alias("chi2"))
+    t = with_f_tail(t, F.col("f_stat"), k - 1, n - k, "f_p")
+    t = with_chi2_tail(t, F.col("chi2"), k - 1, "chi2_p").withColumn("p_value", F.coalesce("chi2_p", "f_p"))
+    # one row per hypothesis
+    order = Window.orderBy(F.col("p_value").asc_nulls_last(), "id")
+    tests, upto = F.count("p_value").over(Window.partitionBy()), order.rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("_step", F.least(F.col("p_value") * (tests - F.row_number().over(order) + 1), F.lit(1.0)))
+    return (t.withColumn("p_holm", F.when(F.col("p_value").isNotNull(), F.max("_step").over(upto)))
+            .select("id", "groups", "n", "f_stat", "f_p", "chi2", "chi2_p", "p_value", "p_holm"))
+
+
+test_statistics.__test__ = False  # not a test of pytest's
+
+
+def verdict_by_test(results: DataFrame, statistics: DataFrame, specs: DataFrame, alpha: float = 0.05, min_support: int = 30) -> DataFrame:
+    """Verdicts by the corrected test: TRUE if ``p_holm < alpha`` and the groups of ``min_support`` rows run in the expected direction.
+
+    INCONCLUSIVE without a statistic or with fewer than two supported groups, else FALSE.
+    """
+    rule = hypothesis_verdict(results, specs, min_support, 0.0).select("id", "statement", "expected_direction", "supported", "direction_corr")
+    exp, way = F.col("expected_direction"), F.col("direction_corr")
+    right = F.coalesce(F.when(exp == "positive", way > 0).when(exp == "negative", way < 0).otherwise(F.lit(True)), F.lit(False))
+    verdict = (F.when(F.col("p_holm").isNull() | (F.col("supported") < 2), "INCONCLUSIVE")
+               .when((F.col("p_holm") < alpha) & right, "TRUE").otherwise("FALSE"))
+    return rule.join(statistics.select("id", "p_holm"), "id", "left").select(
+        "id", "statement", "expected_direction", "supported", "direction_corr", "p_holm", verdict.alias("verdict"))
 
 
 def specs_frame(spark, specs: list[dict]) -> DataFrame:

@@ -800,6 +800,29 @@ def _verdicts(spark, sf):
     return hyp.hypothesis_verdict(_hyp_results(spark, sf), hyp.specs_frame(spark, SPECS), 30, 0.05)
 
 
+STATISTICS_SQL = f"""(WITH t AS (SELECT id, count(*) AS groups, CAST(sum("count") AS BIGINT) AS n, sum(mean * "count") AS s,
+  sum(mean * mean * "count") AS between FROM {HYP_RESULTS} r GROUP BY id)
+SELECT id, groups, n, round((between - s * s / n) / (groups - 1) / ((s - between) / (n - groups)), 6) AS f_stat,
+  round((between - s * s / n) / (s / n * (1 - s / n)), 6) AS chi2 FROM t)"""
+
+
+def _statistics(spark, sf):
+    return hyp.test_statistics(line_facts(spark, sf), SPECS)
+
+
+@query("hypothesis_statistics", f"""SELECT id, groups, n, CASE WHEN n > 0 THEN f_stat END AS f_stat, chi2, true AS sound
+FROM {STATISTICS_SQL} t""")
+def q_hypothesis_statistics(spark, sf):
+    """F and chi-square of every hypothesis; ``sound``: the p-values lie in 0 to 1 and the corrected one is not smaller."""
+    sound = (F.col("f_p").between(0.0, 1.0) & F.col("chi2_p").between(0.0, 1.0) & F.col("p_holm").between(F.col("p_value"), F.lit(1.0)))
+    return round_doubles(_statistics(spark, sf).select("id", "groups", "n", "f_stat", "chi2", F.coalesce(sound, F.lit(False)).alias("sound")))
+
+
+@query("verdict_by_test")
+def q_verdict_by_test(spark, sf):
+    return hyp.verdict_by_test(_hyp_results(spark, sf), _statistics(spark, sf), hyp.specs_frame(spark, SPECS))
+
+
 @query("hypothesis_verdict", f"SELECT * FROM {VERDICT_SQL} v")
 def q_hypothesis_verdict(spark, sf):
     return round_doubles(_verdicts(spark, sf).select("id", "statement", "expected_direction", "groups", "supported",

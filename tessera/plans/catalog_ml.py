@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tessera.functions.safe import numeric_columns
 from tessera.operators import assoc, features, groups, impute, metrics, models, profile, select, split
 from tessera.plans import sqlgen as S
-from tessera.plans.catalog import VERDICT_SQL, _nulled_orders, _verdicts
+from tessera.operators import hypothesis as hyp
+from tessera.plans.catalog import HYP_RESULTS, SPEC_VALUES, SPECS, VERDICT_SQL, _hyp_results, _nulled_orders, _verdicts
 from tessera.plans.facts import ORDER_NUMERIC, load_table, order_frame, scored_frame
 from tessera.plans.registry import query, round_doubles
 from tessera.session import checkpoint_dir, persist_sized
@@ -337,6 +338,38 @@ def q_layer_roundtrip(spark, sf):
     return files.read_layer(spark, base, "silver").withColumn("target_col", F.lit(cfg["target_col"]))
 
 
+@query("hypothesis_records", f"""
+SELECT sp.id, sp.statement, CAST(len(list(r.grp)) AS INTEGER) AS n_groups, sum(r."count") AS n,
+  arg_max(r.grp, struct_pack(a := r."count", b := r.grp)) AS largest, NULL::DOUBLE AS p_value
+FROM {SPEC_VALUES} JOIN {HYP_RESULTS} r ON r.id = sp.id GROUP BY sp.id, sp.statement""")
+def q_hypothesis_records(spark, sf):
+    """Hypotheses as nested records with their groups, written as JSON and read back by the declared schema."""
+    res = _hyp_results(spark, sf)
+    groups = res.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("grp", "mean", "count"))).alias("groups"))
+    rec = hyp.specs_frame(spark, SPECS).join(groups, "id").select(
+        "id", "statement", "columns", F.col("kind").alias("test"), F.col("expected_direction").alias("direction"), "groups")
+    path = f"{scratch(spark)}/hypotheses"
+    files.write_records(rec, files.HYPOTHESIS_RECORD, path)
+    back = files.read_records(spark, path, files.HYPOTHESIS_RECORD)
+    largest = F.array_max(F.transform("groups", lambda g: F.struct(g["count"].alias("a"), g["grp"].alias("b"))))["b"]
+    return back.select("id", "statement", F.size("groups").alias("n_groups"),
+                       F.aggregate("groups", F.lit(0).cast("long"), lambda a, g: a + g["count"]).alias("n"), largest.alias("largest"), "p_value")
+
+
+@query("strategy_records", f"""
+WITH c AS ({_importance_sql()}) SELECT name, value > 0.01 AS selected, CASE WHEN value > 0.01 THEN NULL ELSE 'weak' END AS reason FROM c""")
+def q_strategy_records(spark, sf):
+    """The feature strategy (selected by correlation, the rest dropped with a reason) as one nested record and back."""
+    corr = round_doubles(assoc.correlation_with_target(order_frame(spark, sf), "late", ORDER_NUMERIC))
+    rec = corr.agg(F.sort_array(F.collect_list(F.when(F.col("abs_corr") > 0.01, F.col("column")))).alias("selected"),
+                   F.collect_list(F.when(F.col("abs_corr") <= 0.01, F.struct(F.col("column").alias("name"), F.lit("weak").alias("reason")))).alias("dropped"))
+    path = f"{scratch(spark)}/strategy"
+    files.write_records(rec, files.STRATEGY_RECORD, path)
+    back = files.read_records(spark, path, files.STRATEGY_RECORD)
+    kept = back.select(F.explode("selected").alias("name"), F.lit(True).alias("selected"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(back.select(F.inline("dropped")).select("name", F.lit(False).alias("selected"), "reason"))
+
+
 @query("export_filtered_csv", f"""SELECT _src_idx, o_totalprice, n_lines, sum_qty, sum_price, c_acctbal, o_orderpriority,
   o_orderstatus, c_mktsegment, r_name, n_name, late, prediction, prediction_proba FROM {S.SCORED} s WHERE prediction = 1.0""")
 def q_export_filtered_csv(spark, sf):

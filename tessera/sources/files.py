@@ -198,6 +198,33 @@ def read_config(spark: SparkSession, path: str):
     return json.loads(spark.read.text(path).first()["value"])
 
 
+#: Records of the configuration files.
+TARGET_RECORD = "target_col string, problem_type string, insights array<string>"
+STRATEGY_RECORD = ("standard array<string>, custom array<struct<name: string, expression: string>>, selected array<string>, "
+                   "dropped array<struct<name: string, reason: string>>")
+HYPOTHESIS_RECORD = ("id string, statement string, columns array<string>, test string, direction string, verdict string, "
+                     "p_value double, groups array<struct<grp: string, mean: double, count: bigint>>")
+
+
+def write_records(df: DataFrame, schema: str, path: str) -> None:
+    """``df`` as nested JSON records of the declared ``schema``, one a line; a field of the schema that is missing is NULL.
+
+    Other columns are an error, as they would be lost when the records are read."""
+    wanted = T.StructType.fromDDL(schema)
+    extra = [c for c in df.columns if c not in wanted.fieldNames()]
+    if extra:
+        raise ValueError(f"the records have no field for {extra}")
+    out = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted]
+    df.select(*out).write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+
+
+def read_records(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """Nested JSON records (one a line, or one document a file with ``multi_line``) as a table of the declared schema.
+
+    A record that is no JSON, or does not fit the schema, is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+
+
 def stats_report_table(df: DataFrame, keys: list[str], digits: int = 4) -> DataFrame:
     """A profile or metrics table as report rows ``(*keys, metric, value, text)``, all of them.
 
