@@ -37,11 +37,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     """Exact linear-interpolated quantiles: (name string, q double, value double).
 
     One pass counts each column and finds its range. Then, level by level, the interval around
-    every wanted rank is cut into ``buckets`` equal parts; a grouped aggregate (combined in
+    every wanted rank is cut into ``buckets`` equal parts (or, while it spans many, into powers of two); a grouped aggregate (combined in
     the map tasks) gives each part's count, smallest and largest value, and the part
     that holds the rank is the next interval. A part whose smallest and largest value are equal
     is the answer. As an interval's two ends always fall into different parts, every level
-    narrows; a few levels are usual.
+    narrows: one level finds the power of two, five more the value, whatever the spread.
 
     A value repeated a billion times is one entry of a grouped count, and no window or sort
     ever holds more than ``buckets`` rows of an interval, so hot values never make a task
@@ -91,6 +91,23 @@ def _vn(i: int) -> str:
     return f"__q{i}"
 
 
+def _part(x, lo: float, hi: float, buckets: int):
+    """Which of the ``buckets`` parts of the interval ``lo`` to ``hi`` holds ``x``; both ends never share one.
+
+    An interval within a few powers of two is cut into equal widths. A wider one is cut by sign and power of two, so that
+    values spread over hundreds of powers of ten are told apart in one level, whatever their spread.
+    """
+    if lo < 0 < hi or (lo == 0 or hi == 0) or max(abs(lo), abs(hi)) > 16 * min(abs(lo), abs(hi)):
+        # -1100 is below the exponent of the least double; zero stands alone between the signs
+        power = F.floor(F.log2(F.abs(x))).cast("int") + F.lit(1101)
+        return F.when(x > 0, power).when(x < 0, -power).otherwise(0)
+    # halves keep the width finite; of neighbouring tiny numbers it may vanish
+    width = hi / 2 - lo / 2
+    part = (F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width) * buckets).cast("int") if width
+            else F.when(x > F.lit(lo), 1).otherwise(0))
+    return F.least(part, F.lit(buckets - 1))
+
+
 def _select_ranks(src: DataFrame, ranges: dict, probs: list[float], buckets: int) -> dict:
     """{(column, 0-based rank): value} for the ranks around every quantile."""
     spark = src.sparkSession
@@ -111,14 +128,10 @@ def _select_ranks(src: DataFrame, ranges: dict, probs: list[float], buckets: int
         for j, (i, lo, hi) in enumerate(intervals):
             x = F.col(_vn(i))
             x = F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x)
-            # halves keep the width finite; of neighbouring tiny numbers it may vanish
-            width = hi / 2 - lo / 2
-            part = (F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width) * buckets).cast("int") if width
-                    else F.when(x > F.lit(lo), 1).otherwise(0))
-            recs.append(F.struct(F.lit(j).alias("j"), x.alias("v"), F.least(part, F.lit(buckets - 1)).alias("b")))
+            recs.append(F.struct(F.lit(j).alias("j"), x.alias("v"), _part(x, lo, hi, buckets).alias("b")))
         parts = (src.select(F.inline(F.array(*recs))).where(F.col("v").isNotNull()).groupBy("j", "b")
                  .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
-        upto = Window.partitionBy("j").orderBy("b")  # at most ``buckets`` rows an interval
+        upto = Window.partitionBy("j").orderBy("b")  # at most ``buckets`` rows (4,300 powers of two) an interval
         parts = parts.withColumn("upto", F.sum("n").over(upto))
         want = spark.createDataFrame([(index[(i, lo, hi)], i, r, inside) for (i, r), (lo, hi, inside) in open_.items()],
                                      "j int, i int, r long, inside long")

@@ -19,15 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.quantile import quantile_row
-from tessera.session import checked_broadcast
 
 HASH_BUCKETS_HEX = 5  # 16**5 buckets
+#: Cuts that are collected and broadcast at most: one row per class and wanted rank.
+CUT_ROWS = 100_000
 
 
 def _hashed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
     """``df`` with its hash, bucket and class; a NULL class is a class of its own (``_gn`` true)."""
-    h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-    g = F.col(by).cast("string") if by else F.lit("")
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(f"`{key}`").cast("string")))
+    g = F.col(f"`{by}`").cast("string") if by else F.lit("")
     return (df.withColumn("_h", h).withColumn("_gn", g.isNull()).withColumn("_g", F.coalesce(g, F.lit("")))
               .withColumn("_b", F.substring("_h", 1, HASH_BUCKETS_HEX)))
 
@@ -51,6 +52,31 @@ def hash_rank(df: DataFrame, key: str, seed: int = 42, by: str | None = None) ->
     return out.drop("_gn", "_g", "_b", "_r", "_off")
 
 
+def _cuts(df: DataFrame, key: str, seed: int, by: str | None, wanted: list):
+    """A table ``(_gn, _g, _i, _cut_h, _cut_k)``: the (hash, key) of the rank ``wanted[_i]`` of each class, and the hint for joining it.
+
+    ``wanted`` are expressions of the class size ``_group_n``. Only keys and classes are read, and only the one bucket that
+    holds a wanted rank is ranked. The cuts are calculated once: a bounded number of them is collected (one row per
+    class and rank) and given back as a small table; more classes than that leave them to a join.
+    """
+    spark = df.sparkSession
+    narrow = (_hashed(df.select(*{f"`{c}`": 0 for c in (key, by) if c}), key, seed, by)
+              .select("_gn", "_g", "_b", "_h", F.col(f"`{key}`").alias("_k")))
+    ranks = F.array(*[F.struct(F.lit(i).alias("_i"), w.cast("long").alias("_rank")) for i, w in enumerate(wanted)])
+    edge = (_bucket_sizes(narrow).select("_gn", "_g", "_b", "_bn", "_off", F.inline(ranks))
+            .withColumn("_want", F.col("_rank") - F.col("_off"))
+            .where((F.col("_want") > 0) & (F.col("_want") <= F.col("_bn"))))
+    edge = edge.groupBy("_gn", "_g", "_b").agg(F.collect_list(F.struct("_i", "_want")).alias("_wants"))
+    w = Window.partitionBy("_gn", "_g", "_b").orderBy("_h", "_k")
+    cuts = (narrow.join(edge, ["_gn", "_g", "_b"]).withColumn("_r", F.row_number().over(w))
+            .select("_gn", "_g", F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k"), "_r", F.inline("_wants"))
+            .where(F.col("_r") == F.col("_want")).select("_gn", "_g", "_i", "_cut_h", "_cut_k"))
+    rows = cuts.limit(CUT_ROWS + 1).collect()
+    if len(rows) > CUT_ROWS:
+        return cuts, lambda d: d
+    return spark.createDataFrame(rows, cuts.schema), F.broadcast
+
+
 def train_test_split(df: DataFrame, key: str, label: str | None = None, test_frac: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Adds ``split`` in {'train','test'}: per class the first round(frac * n_class) ranks are test.
@@ -59,20 +85,31 @@ def train_test_split(df: DataFrame, key: str, label: str | None = None, test_fra
     bucket it falls in is ranked; whole rows are compared with their class's cut
     where they are.
     """
-    narrow = _hashed(df.select(key, *([label] if label else [])), key, seed, label).select("_gn", "_g", "_b", "_h", F.col(key).alias("_k"))
-    n_test = F.floor(F.col("_group_n") * F.lit(test_frac) + F.lit(0.5))
-    edge = (_bucket_sizes(narrow).withColumn("_want", n_test - F.col("_off"))
-            .where((F.col("_want") > 0) & (F.col("_want") <= F.col("_bn"))).select("_gn", "_g", "_b", "_want"))
-    w = Window.partitionBy("_gn", "_g").orderBy("_h", "_k")
-    cuts = (narrow.join(edge, ["_gn", "_g", "_b"]).withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") == F.col("_want")).select("_gn", "_g", F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k")))
-    cuts = checked_broadcast(cuts)  # one row per class
-    upto = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
-    return (_hashed(df, key, seed, label).join(cuts, ["_gn", "_g"], "left")
+    cuts, hint = _cuts(df, key, seed, label, [F.floor(F.col("_group_n") * F.lit(test_frac) + F.lit(0.5))])
+    upto = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col(f"`{key}`") <= F.col("_cut_k")))
+    return (_hashed(df, key, seed, label).join(hint(cuts.drop("_i")), ["_gn", "_g"], "left")
             .withColumn("split", F.when(upto, "test").otherwise("train"))
             .select(*[F.col(f"`{c}`") for c in df.columns], "split"))
 
 
+def kfold_ranges(df: DataFrame, key: str, k: int = 5, label: str | None = None, seed: int = 42) -> DataFrame:
+    """Adds ``fold``: each class's rows in the order of their hash, cut into ``k`` ranges of equal size (to one row).
+
+    Fold sizes and class proportions are those of :func:`kfold_assign`, but whole rows stay where they are: a row is
+    compared with the k - 1 cuts of its class. A class smaller than ``k`` fills its last folds first. Rows that share
+    one key share a fold. An existing ``fold`` is replaced.
+    """
+    df = df.drop("fold")
+    cuts, hint = _cuts(df, key, seed, label, [F.floor(F.col("_group_n") * i / F.lit(k)) for i in range(1, k)])
+    per = cuts.groupBy("_gn", "_g").agg(F.collect_list(F.struct(F.col("_cut_h").alias("h"), F.col("_cut_k").alias("k"))).alias("_cuts"),
+                                        F.count(F.lit(1)).alias("_n"))
+    # a cut of rank 0 has no row: all rows of the class are above it
+    above = F.size(F.filter("_cuts", lambda c: (F.col("_h") > c["h"]) | ((F.col("_h") == c["h"]) & (F.col(f"`{key}`") > c["k"]))))
+    fold = F.lit(k - 1) - F.coalesce(F.col("_n"), F.lit(0)) + F.coalesce(above, F.lit(0))
+    return (_hashed(df, key, seed, label).join(hint(per), ["_gn", "_g"], "left")
+            .select(*[F.col(f"`{c}`") for c in df.columns], fold.cast("int").alias("fold")))
+
+
 def kfold_assign(df: DataFrame, key: str, k: int = 5, label: str | None = None, seed: int = 42) -> DataFrame:
     """Adds ``fold`` = (rank - 1) mod k, stratified by ``label`` when given."""
     r = hash_rank(df, key, seed, label)

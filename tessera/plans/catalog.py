@@ -603,6 +603,17 @@ def q_kfold_assign(spark, sf):
     return split.kfold_assign(order_frame(spark, sf).select("_src_idx", "late"), "_src_idx", 5, "late", 42)
 
 
+@query("kfold_ranges", f"""
+WITH t AS (SELECT _src_idx, CASE WHEN _src_idx % 10 = 0 THEN NULL ELSE n_lines END AS n_lines FROM {OF} t0),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_lines ORDER BY md5('42|' || CAST(_src_idx AS VARCHAR)), _src_idx) AS rn,
+  count(*) OVER (PARTITION BY n_lines) AS cnt FROM t)
+SELECT _src_idx, n_lines, CAST(len(list_filter([1, 2, 3, 4], lambda i: floor(cnt * i / 5.0) < rn)) AS INTEGER) AS fold FROM r""")
+def q_kfold_ranges(spark, sf):
+    """Stratified folds by the hash ranges of each class; rows without a class are one, and whole rows are not shuffled."""
+    f = with_nulls(order_frame(spark, sf).select("_src_idx", "n_lines"), "_src_idx", ["n_lines"], 10)
+    return split.kfold_ranges(f, "_src_idx", 5, "n_lines", 42)
+
+
 @query("temporal_holdout", """
 SELECT event_id AS _src_idx, CASE WHEN epoch_us(ts) / 1e6 > (SELECT quantile_cont(epoch_us(ts) / 1e6, 0.8) FROM events)
   THEN 'test' ELSE 'train' END AS split FROM events""")

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessera.functions.safe import numeric_columns
-from tessera.operators import assoc, features, groups, impute, metrics, models, profile, select, split
+from tessera.operators import assoc, features, groups, impute, metrics, models, prepare, profile, select, split
 from tessera.plans import sqlgen as S
 from tessera.operators import hypothesis as hyp
 from tessera.plans.catalog import HYP_RESULTS, SPEC_VALUES, SPECS, VERDICT_SQL, _hyp_results, _nulled_orders, _verdicts
@@ -87,7 +87,7 @@ def _best_bundle(spark, sf):
     prepared, _, sp = _prepared(spark, sf)
     found = models.search(prepared, "classification", _catalog(), FOLDS, TRIALS, SEED)
     prepared.unpersist()
-    train = split.kfold_assign(sp.where(F.col("split") == "train").drop("split"), "_src_idx", FOLDS, "late", SEED)
+    train = split.kfold_ranges(sp.where(F.col("split") == "train").drop("split"), "_src_idx", FOLDS, "late", SEED)
     whole, labels = models.with_label(train, "late", "classification")
     fm = models.Pipeline(stages=models.feature_stages(ORDER_NUMERIC, CATEGORICAL)).fit(whole)
     whole = persist_sized(_held_back(fm.transform(whole).select("_src_idx", "features", "label", "fold")))
@@ -243,6 +243,38 @@ def q_analysis_pipeline(spark, sf):
     return done.select("_src_idx", "late", F.col("prediction_proba").between(0.5, 1.0).alias("scored"))
 
 
+@query("analysis_pipeline_fitted", f"""
+SELECT _src_idx, late, CASE WHEN rn <= floor(cnt * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split, true AS fair
+FROM (SELECT _src_idx, late, row_number() OVER (PARTITION BY late ORDER BY md5('42|' || CAST(_src_idx AS VARCHAR)), _src_idx) AS rn,
+  count(*) OVER (PARTITION BY late) AS cnt FROM {S.ORDER_FRAME} t) r""")
+def q_analysis_pipeline_fitted(spark, sf):
+    """Split first; fill values, features and pruning fitted on training rows, saved, loaded and applied to all; model; prediction.
+
+    The target is whether the lines of an order come to more than 150,000, told from the other columns. ``fair``: the accuracy on test rows, recomputed from the
+    stored predictions, is above the share of the larger class by at least 5 points.
+    """
+    base = scratch(spark)
+    rows = _nulled_orders(spark, sf).join(order_frame(spark, sf).select("_src_idx", (F.col("sum_price") > 150_000).cast("int").alias("dear")),
+                                          "_src_idx")
+    files.write_layer(split.train_test_split(rows, "_src_idx", "late", 0.2, SEED), base, "silver")
+    sp = files.read_layer(spark, base, "silver")
+    train = sp.where(F.col("split") == "train")
+    prepare.fit_preparation(train.drop("sum_price", "late"), "_src_idx", "dear", exclude=("split",)).save(spark, f"{base}/preparation")
+    prep = prepare.Preparation.load(spark, f"{base}/preparation")
+    files.write_layer(prep.apply(sp.drop("sum_price")), base, "ml_ready")
+    ready = files.read_layer(spark, base, "ml_ready")
+    numeric = [c for c in prep.numeric_inputs(ready) if c != "late"]
+    est = models.model_catalog("classification", SEED)["RandomForest"]
+    bundle = models.fit_bundle(ready.where(F.col("split") == "train"), numeric, [c for c in CATEGORICAL if c in ready.columns],
+                               "dear", "classification", est, "RandomForest")
+    files.write_layer(models.predict_all(bundle, ready), base, "predictions")
+    done = files.read_layer(spark, base, "predictions")
+    t = done.where(F.col("split") == "test").agg(F.avg((F.col("dear") == F.col("prediction")).cast("double")).alias("acc"),
+                                                 F.avg(F.col("dear").cast("double")).alias("dear")).first()
+    fair = t["acc"] is None or t["acc"] >= max(t["dear"], 1 - t["dear"]) + 0.05
+    return done.select("_src_idx", "late", "split", F.lit(bool(fair)).alias("fair"))
+
+
 @query("predict_all")
 def q_predict_all(spark, sf):
     bundle, _ = _bundle(spark, sf)
@@ -278,6 +310,52 @@ def q_score_stream(spark, sf):
     return spark.read.parquet(f"{base}/scored").select("_src_idx", "prediction", "prediction_proba")
 
 
+STREAM_PARTS = 4  # arrivals; the query is stopped and started again after the second
+
+
+@query("score_stream_repeats", f"""
+SELECT _src_idx, 'scored' AS state, true AS same FROM {S.ORDER_FRAME} t WHERE _src_idx % 101 <> 0
+UNION ALL SELECT _src_idx, 'malformed', NULL FROM {S.ORDER_FRAME} t WHERE _src_idx % 101 = 0""")
+def q_score_stream_repeats(spark, sf):
+    """Orders arriving as JSON by date, some a part late, many repeated, some malformed, with a restart between the parts.
+
+    Every order is scored once, as in a batch (``same``); every malformed record is set aside once.
+    """
+    from tessera.streaming import start_deduplicated_scoring
+    bundle, _ = _bundle(spark, sf)
+    base = scratch(spark)
+    dates = load_table(spark, sf, "orders").select(F.col("o_orderkey").alias("_src_idx"), F.col("o_orderdate").cast("timestamp").alias("at"))
+    rows = order_frame(spark, sf).join(dates, "_src_idx")
+    span = dates.agg(F.unix_seconds(F.min("at")).alias("lo"), F.unix_seconds(F.max("at")).alias("hi")).first()
+    step = ((span["hi"] or 0) - (span["lo"] or 0)) // STREAM_PARTS + 1
+    part = F.floor((F.unix_seconds("at") - F.lit(span["lo"])) / F.lit(step)).cast("int")
+    # every 13th order arrives one part late; every 3rd comes twice at once, every 5th again with the next part
+    last = F.lit(STREAM_PARTS - 1)
+    part = F.least(part + (F.pmod("_src_idx", F.lit(13)) == 0).cast("int"), last)
+    parts = F.concat(F.array(part), F.when(F.col("_src_idx") % 3 == 0, F.array(part)).otherwise(F.array().cast("array<int>")),
+                     F.when(F.col("_src_idx") % 5 == 0, F.array(F.least(part + 1, last))).otherwise(F.array().cast("array<int>")))
+    bad = F.col("_src_idx") % 101 == 0
+    names = [c for c in rows.columns]
+    text = F.when(bad, F.concat(F.lit('{"_src_idx": "no '), F.col("_src_idx").cast("string"), F.lit('", "at'))).otherwise(
+        F.to_json(F.struct(*names)))
+    arrivals = rows.select(text.alias("value"), F.explode(F.when(bad, F.array(part)).otherwise(parts)).alias("part"))
+    arrivals = persist_sized(arrivals)
+    delay = f"{2 * step} seconds"
+    for i in range(STREAM_PARTS):
+        arrivals.where(F.col("part") == i).select("value").write.mode("append").text(f"{base}/in")
+        if i % 2:
+            for q in start_deduplicated_scoring(spark, bundle, f"{base}/in", rows.schema, "_src_idx", "at", delay, f"{base}/out"):
+                q.awaitTermination()
+    arrivals.unpersist()
+    batch = models.predict_all(bundle, order_frame(spark, sf)).select(
+        "_src_idx", F.struct("prediction", "prediction_proba").alias("want"))
+    got = spark.read.parquet(f"{base}/out/scored").select("_src_idx", F.struct("prediction", "prediction_proba").alias("got"))
+    aside = spark.read.schema("record string").parquet(f"{base}/out/malformed")
+    key = F.regexp_extract("record", '"no (-?[0-9]+)"', 1).cast("long")
+    return (got.join(batch, "_src_idx", "left").select("_src_idx", F.lit("scored").alias("state"), F.expr("got <=> want").alias("same"))
+            .unionByName(aside.select(key.alias("_src_idx"), F.lit("malformed").alias("state"), F.lit(None).cast("boolean").alias("same"))))
+
+
 @query("dashboard_summary", f"""
 WITH s AS {S.SCORED}, r AS (SELECT prediction, prediction_proba, r_name, CASE WHEN prediction = 1.0 THEN 1.0 ELSE 0.0 END AS p FROM s),
 i AS ({_importance_sql()})

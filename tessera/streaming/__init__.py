@@ -1,3 +1,4 @@
-from tessera.streaming.scoring import score_stream, start_scoring_stream
+from tessera.streaming.scoring import (first_by_key, rows_behind, score_stream, start_deduplicated_scoring,
+                                       start_scoring_stream)
 
-__all__ = ["score_stream", "start_scoring_stream"]
+__all__ = ["first_by_key", "rows_behind", "score_stream", "start_deduplicated_scoring", "start_scoring_stream"]
