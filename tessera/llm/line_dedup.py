@@ -113,28 +113,30 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     edges = id_edges(docs, batches)
     pairs = stored(line_pairs(docs, min_chars, edges), "line-pairs", ["batch"])
     index = LineRuns(docs.sparkSession, fanout)
-    for b in range(len(edges) + 1):
-        index.add(pairs.where(F.col("batch") == b).select("h", "doc"))
-    hot = stored(index.repeated(min_docs), "line-hot")
-    index.drop()
+    try:
+        for b in range(len(edges) + 1):
+            index.add(pairs.where(F.col("batch") == b).select("h", "doc"))
+        hot = stored(index.repeated(min_docs), "line-hot")
+    finally:  # a failed run leaves no table names behind either
+        index.drop()
     gone = (pairs.drop("batch").join(hot, "h").where(F.col("doc") != F.col("keeper"))
-            .groupBy("doc", "th").agg(F.sort_array(F.collect_set("pos")).alias("_line_gone")))
-    lines, gone_at = _lines(F.col("text")), F.col("_line_gone")
+            .groupBy("doc", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone")))
+    lines, gone_at = F.col("lines"), F.col("gone")
     # the lines between one dropped place and the next, put together in order
     kept = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(gone_at)),
-        lambda i: F.slice("_line_lines", F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) + 2,
-                          F.coalesce(F.get(gone_at, i), F.size("_line_lines"))
-                          - F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) - 1)))
-    cols = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    out = (docs.withColumn("_line_doc", F.coalesce("doc_id", F.lit(LOWEST))).withColumn("_line_th", F.xxhash64("text"))
-           .join(gone.withColumnsRenamed({"doc": "_line_doc", "th": "_line_th"}), ["_line_doc", "_line_th"], "left")
-           .withColumn("_line_lines", lines))
-    return out.select(
-        *cols,
+        lambda i: F.slice(lines, F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) + 2,
+                          F.coalesce(F.get(gone_at, i), F.size(lines)) - F.coalesce(F.get(gone_at, i - 1), F.lit(-1)) - 1)))
+    # the other columns travel in one struct, so that no name of theirs meets a name of the join
+    others = [c for c in docs.columns if c != "text"]
+    out = (docs.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("doc"), F.xxhash64("text").alias("th"), F.col("text").alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"))
+           .join(gone, ["doc", "th"], "left").withColumn("lines", _lines(F.col("text"))))
+    made = F.struct(
         F.when(gone_at.isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.size("_line_lines").cast("long").alias("n_lines"),
+        F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size(gone_at), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.select("row", made.alias("made")).select(*[F.col(f"row.`{c}`") for c in others], "made.text", "made.n_lines", "made.n_dropped")
 
 
 def query(spark, sf_dir):

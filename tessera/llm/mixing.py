@@ -5,8 +5,8 @@ Weights are shares of the mix. A source whose share would take it beyond
 others by weight, round after round, until none is above. A source's target of
 ``e`` epochs is then met by ``floor(e)`` whole repetitions of every document and
 one more of a seeded part: documents in the order of a seeded hash, up to the
-words still wanted. That part is found through hash buckets, so only the one
-bucket of each source in which it ends is ranked.
+words still wanted. That part is found through hash buckets, then buckets inside the one in which it ends,
+so only the last one's documents are ranked. Sources are numbered by range, in as many tasks as there are ranges.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last;
 sources without words get target 0 and are not taken. Rows with equal ids are
@@ -20,26 +20,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, documents, small_broadcast, stored
+from tessera.operators.levels import level_dictionary
 
 WEIGHTS, SHARE, MAX_EPOCHS, SEED = (3, 1, 2), 1.5, 2, "mix-1"
-#: Leading hex digits of a hash that name its bucket.
-BUCKET_DIGITS = 3
+#: Leading hex digits of a hash that name its bucket, level by level: 4,096 buckets inside one of the level before.
+BUCKET_DIGITS = (3, 6)
 
 
 def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` with ``size`` in words and the seeded place ``_h`` in its source's order."""
-    return (docs.drop("size", "source_size", "target", "reps", "_h")
+    return (docs.drop("size", "source_size", "target", "reps")
             .withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
             .withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), F.col("source")))))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``(source, source_size, target)`` of a table of ``(source, size)``: one row per source, null last."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    pick = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    src = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-                 .withColumn("w", pick.cast("long"))
-                 .withColumn("cap", F.col("source_size") * max_epochs), "mix-sources")
+    grouped = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-groups")
+    place = level_dictionary(grouped, ["source"]).select(F.col("level").alias("source"), "code")
+    last = grouped.where("source is not null").count()
+    pick = F.element_at(F.array(*map(F.lit, weights)), (F.coalesce("code", F.lit(last)) % len(weights) + 1).cast("int"))
+    src = stored(grouped.join(place, "source", "left")
+                 .select("source", "source_size", pick.cast("long").alias("w"), (F.col("source_size") * max_epochs).alias("cap")), "mix-sources")
     # one small aggregate a round: the level at which the unclamped sources share what the clamped leave
     total = src.agg(F.sum("source_size")).first()[0] or 0
     budget, level, clamped = total * share, 0.0, -1
@@ -63,18 +65,18 @@ def mix_plan(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epoch
     src = stored(targets(narrow, weights, share, max_epochs)
                  .withColumn("whole", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)))
                  .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    bucket = F.substring("_h", 1, BUCKET_DIGITS)
-    upto = Window.partitionBy("source").orderBy("bucket")
-    ends = stored(narrow.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-                  .withColumn("upto", F.sum("words").over(upto))
-                  .withColumn("before", F.col("upto") - F.col("words")).alias("b")
-                  .join(small_broadcast(src).alias("s"), F.expr("b.source <=> s.source"))
-                  .where("before <= rest and rest < upto").select("b.source", "bucket", "before", "rest"), "mix-ends")
+    ends, depth = src.select("source", F.lit("").alias("bucket"), F.lit(0).cast("long").alias("before"), "rest"), 0
+    for digits in BUCKET_DIGITS:
+        upto = Window.partitionBy("source").orderBy("bucket")  # at most 4,096 buckets of a source
+        ends = stored(_inside(narrow, ends, depth).groupBy("source", F.substring("_h", 1, digits).alias("bucket"))
+                      .agg(F.sum("size").alias("words"), F.max("before").alias("start"), F.max("rest").alias("rest"))
+                      .withColumn("upto", F.col("start") + F.sum("words").over(upto))
+                      .withColumn("before", F.col("upto") - F.col("words"))
+                      .where("before <= rest and rest < upto").select("source", "bucket", "before", "rest"), "mix-ends")
+        depth = digits
     # a document belongs when at least half of it is still wanted
     run = Window.partitionBy("source").orderBy("_h")
-    cut = (narrow.withColumn("bucket", bucket).alias("n")
-           .join(small_broadcast(ends).alias("e"), F.expr("n.source <=> e.source and n.bucket = e.bucket"))
-           .select("n.source", "n.bucket", "_h", "size", "before", "rest")
+    cut = (_inside(narrow, ends, depth)
            .withColumn("mid", F.col("before") + F.sum("size").over(run) - F.col("size") / 2)
            .groupBy("source", "bucket").agg(F.max(F.when(F.col("mid") <= F.col("rest"), F.col("_h"))).alias("cut")))
     # a bucket's bare prefix sorts before all its hashes, and "g" after every hash
@@ -84,6 +86,12 @@ def mix_plan(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epoch
         .select("s.source", "source_size", "target", "whole", F.coalesce("cut", "bucket", none).alias("cut")), "mix-plan"))
 
 
+def _inside(narrow: DataFrame, ends: DataFrame, depth: int) -> DataFrame:
+    """The rows of ``narrow`` in the bucket (of ``depth`` digits) that ``ends`` names for their source."""
+    return (narrow.alias("n").join(small_broadcast(ends).alias("e"), F.expr(f"n.source <=> e.source and substring(n._h, 1, {depth}) = e.bucket"))
+            .select("n.source", "e.bucket", "_h", "size", "before", "rest"))
+
+
 def _taken(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return (docs.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source"))
             .select("d.*", "p.source_size", "p.target", F.expr("p.whole + cast(d._h <= p.cut as long)").alias("reps"))
@@ -98,7 +106,11 @@ def _narrow(docs: DataFrame, seed: str) -> DataFrame:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` (its source's) and ``reps``, the times the mix takes it."""
-    return _taken(sized(docs, seed), mix_plan(_narrow(docs, seed), weights, share, max_epochs))
+    own = docs.drop("size", "source_size", "target", "reps")
+    # all columns travel in one struct, so that no name of theirs meets a name of the join
+    rows = own.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in own.columns]).alias("row"))
+    out = _taken(sized(rows, seed), mix_plan(_narrow(docs, seed), weights, share, max_epochs))
+    return out.select(*[F.col(f"row.`{c}`") for c in own.columns], "size", "source_size", "target", "reps")
 
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
