@@ -1,17 +1,18 @@
 """Toxicity by a classifier chain.
 
-The chain predicts one category after another: toxic text of each community (the documents'
-language), then toxicity as such. Each link is a logistic model of n-gram indicators and
-of the probabilities of all links before it; in training those are out-of-fold predictions, so
+The chain predicts one category after another, then toxicity as such. With one toxicity label, the categories are found in
+the text of the toxic sample: its documents are grouped by the n-grams that mark toxic text (spherical k-means), so a
+category is a kind of toxic wording; nothing but texts and the label is used. Each link is a logistic model of n-gram
+indicators and of the probabilities of all links before it; in training those are out-of-fold predictions, so
 a later link sees earlier probabilities as they are on unseen text.
 
-Links are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS``), on n-grams that mark a
-category clearly more often than chance. Every document is then scored over its whole text.
+Links are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS``), on n-grams that mark toxic
+text clearly more often than chance. Every document is then scored over its whole text.
 
 Edge cases: a null or empty text has no n-gram and gets the links' base rates. Without toxic or without
-clean labelled documents, a link returns its constant rate. Labels with nulls are not
-learned from; a null language belongs to no community, and its documents teach the last link only. Repeated rows are
-scored alike. Other columns pass through (``toxicity`` and ``categories`` are replaced). An empty table
+clean labelled documents, a link returns its constant rate; so does a category that no document falls to. A toxic document
+without a marked n-gram is of no category and teaches the last link only. Labels with nulls are not
+learned from. Repeated rows are scored alike. Other columns pass through (``toxicity`` and ``categories`` are replaced). An empty table
 gives an empty result.
 """
 
@@ -29,13 +30,13 @@ from pyspark.sql import types as T
 from tessera.llm import linear
 from tessera.llm.common import arrow_map, documents
 
-#: Communities of the chain's first links, in order; the last link is toxicity as such.
-COMMUNITIES = ("en", "de", "fr", "es")
+#: Categories of the chain's first links, the larger ones first; the last link is toxicity as such.
+CATEGORIES = 4
 FOLDS, THRESHOLD, RIDGE = 3, 0.5, 0.3
 #: Labelled documents the chain is fitted on at most (about).
 SAMPLE_DOCS = 6_000
-#: N-grams of a link at most, the texts one must be in, and how far (in standard errors) above chance it must be.
-LINK_FEATURES, LEAST_TEXTS, LEAST_Z = 4_000, 3, 4.0
+#: N-grams of the chain at most, the texts one must be in, and how far (in standard errors) above chance it must be.
+FEATURES, LEAST_TEXTS, LEAST_Z = 4_000, 3, 4.0
 
 
 def words(text: str) -> list[str]:
@@ -68,26 +69,73 @@ class Chain:
 
 
 def _choose(count: np.ndarray, total: np.ndarray, n: int, all_n: int) -> np.ndarray:
-    """Buckets clearly more frequent in a category's texts (``count`` of ``n``) than in its community's (``total`` of ``all_n``)."""
+    """Buckets clearly more frequent in a category's texts (``count`` of ``n``) than in all (``total`` of ``all_n``)."""
     seen = np.flatnonzero(count >= LEAST_TEXTS)
     expected = total[seen] * (n / max(all_n, 1))
     z = (count[seen] - expected) / np.sqrt(np.maximum(expected * (1 - n / max(all_n, 1)), 1e-9))
-    best = np.argsort(-z, kind="stable")[:LINK_FEATURES]
+    best = np.argsort(-z, kind="stable")[:FEATURES]
     return seen[best[z[best] >= LEAST_Z]]
 
 
-def fit_chain(rows, communities=COMMUNITIES, folds: int = FOLDS) -> Chain:
-    """The chain of a sample of rows ``(doc_id, text, lang, toxic)``."""
-    names = tuple(f"toxic_{c}" for c in communities) + ("toxic",)
+def group_texts(x: linear.Rows, k: int, tries: int = 5, rounds: int = 25, seed: int = 7) -> np.ndarray:
+    """A group from 0 to ``k`` - 1 for each row of ``x``, the largest group first; -1 for a row without features.
+
+    Spherical k-means on rows of unit length, rarer features weighing more, from seeded starts that lie far apart.
+    """
+    seen = np.bincount(x.feature, minlength=x.size)
+    v = np.log1p(x.n / np.maximum(seen, 1))[x.feature]
+    length = np.sqrt(np.bincount(x.doc, v * v, x.n))
+    v = v / length[x.doc] if len(v) else v
+    has = np.flatnonzero(length > 0)
+    best, group = -1.0, np.full(x.n, -1)
+    if not len(has):
+        return group
+    rng = np.random.default_rng(seed)
+
+    def near(centre: np.ndarray) -> np.ndarray:
+        return np.bincount(x.doc, v * centre[x.feature], x.n)
+
+    def row(i: int) -> np.ndarray:
+        mine = x.doc == i
+        return np.bincount(x.feature[mine], v[mine], x.size)
+
+    for _ in range(tries):
+        like = near(row(rng.choice(has)))[:, None]
+        while like.shape[1] < k:
+            far = np.clip(1 - like[has].max(axis=1), 0, None) ** 2
+            if far.sum() < 1e-12:
+                break
+            like = np.column_stack((like, near(row(rng.choice(has, p=far / far.sum())))))
+        for _ in range(rounds):
+            of = like.argmax(axis=1)
+            centres = [np.bincount(x.feature[of[x.doc] == j], v[of[x.doc] == j], x.size) for j in range(like.shape[1])]
+            new = np.column_stack([near(c / (np.sqrt(c @ c) or 1.0)) for c in centres])
+            same = (new.argmax(axis=1) == of).all()
+            like = new
+            if same:
+                break
+        fit = like[has].max(axis=1).sum()
+        if fit > best + 1e-9:
+            best, group = fit, np.where(length > 0, like.argmax(axis=1), -1)
+    sizes = np.bincount(group[has], minlength=k)
+    rank = np.empty(k, np.int64)
+    rank[np.argsort(-sizes, kind="stable")] = np.arange(k)
+    return np.where(group >= 0, rank[group], -1)
+
+
+def fit_chain(rows, categories: int = CATEGORIES, folds: int = FOLDS) -> Chain:
+    """The chain of a sample of rows ``(doc_id, text, toxic)``."""
+    names = tuple(f"category_{i + 1}" for i in range(categories)) + ("toxic",)
     toxic = np.array([r.toxic == 1 for r in rows], bool)
-    member = np.array([[r.lang == c for c in communities] + [True] for r in rows], bool).reshape(len(rows), len(names))
-    y = (member & toxic[:, None]).astype(float)
     texts = [r.text for r in rows]
     find = linear.Indicators(words, None)
-    counts = linear.class_counts(find, texts, np.column_stack((y, member)))
-    chosen = np.unique(np.concatenate([
-        _choose(counts[j], counts[len(names) + j], int(y[:, j].sum()), int(member[:, j].sum())) for j in range(len(names))]))
+    counts = linear.class_counts(find, texts, np.column_stack((toxic, np.ones(len(rows)))).reshape(len(rows), 2))
+    chosen = np.sort(_choose(counts[0], counts[1], int(toxic.sum()), len(rows)))
+    del counts
     x = linear.Rows.of(linear.Indicators(words, chosen), texts)
+    kind = np.full(len(rows), -1)
+    kind[toxic] = group_texts(x.take(toxic), categories)
+    y = np.column_stack([kind == j for j in range(categories)] + [toxic]).astype(float).reshape(len(rows), len(names))
     fold = linear.folds_of([r.doc_id for r in rows], folds)
     weights, earlier, bias = np.zeros((len(names), len(chosen))), np.zeros((len(names), len(names))), np.zeros(len(names))
     unseen = np.zeros((len(rows), len(names)))
@@ -109,7 +157,7 @@ def fit_chain(rows, communities=COMMUNITIES, folds: int = FOLDS) -> Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Chain:
-    return fit_chain(linear.labelled_sample(docs, labels.select("doc_id", "toxic"), F.col("toxic").isNotNull(), ["lang", "toxic"],
+    return fit_chain(linear.labelled_sample(docs, labels.select("doc_id", "toxic"), F.col("toxic").isNotNull(), ["toxic"],
                                             SAMPLE_DOCS))
 
 
