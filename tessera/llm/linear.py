@@ -2,36 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.chunks import Memo
+from tessera.llm.chunks import Memo, spread
+from tessera.llm.common import arrow_map, batches, stored
 
-#: Labelled documents a model is fitted on at most (about), and the longest text of those in bytes.
-SAMPLE_DOCS, SAMPLE_TEXT = 4_000, 64 << 10
+#: Labelled documents a model is fitted on at most (about), and the tasks that read them.
+SAMPLE_DOCS, SAMPLE_TASKS = 4_000, 8
 #: Bits of a hashed n-gram, and the lengths of the character n-grams inside a word and its two ends.
 HASH_BITS, GRAMS = 22, (4, 5)
 _UINT = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, among: Column, columns: list[str], limit: int = SAMPLE_DOCS):
-    """About ``limit`` rows ``(doc_id, text, *columns)`` of the labelled documents, picked by a hash of their id, in id order.
+def labelled_sample(docs: DataFrame, labels: DataFrame, among: Column, columns: list[str], limit: int = SAMPLE_DOCS) -> DataFrame:
+    """About ``limit`` rows ``(doc_id, text, *columns)`` of the labelled documents, picked by a hash of their id; a stored table.
 
     An id with several labels counts once, with the largest value of each label; of several rows with one id the smallest
-    ``(text, ...)`` counts. So the rows are the same in every run.
+    ``(text, ...)`` counts. So the rows are the same in every run. Texts of any length take part; those that are null do not.
     """
     known = labels.where(among & F.col("doc_id").isNotNull())
     own = [c for c in known.columns if c != "doc_id"]
     known = known.groupBy("doc_id").agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in own])
     share = min(1.0, limit / max(known.count(), 1))
     picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = (docs.drop(*own).join(picked, "doc_id").where(F.octet_length("text") <= SAMPLE_TEXT)
-            .groupBy("doc_id").agg(F.min(F.struct("text", *columns)).alias("row")).select("doc_id", "row.*").collect())
-    return sorted(rows, key=lambda r: r.doc_id)
+    rows = (docs.drop(*own).join(picked, "doc_id").where(F.col("text").isNotNull()).select("doc_id", "text", *columns)
+            .repartition(SAMPLE_TASKS, "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", *columns)).alias("row"))
+            .select("doc_id", "row.*"))
+    return stored(rows, "sample")
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -128,21 +132,64 @@ def class_counts(find: Indicators, texts: list[str], classes: np.ndarray, step:
     return out
 
 
+def gram_counts(rows: DataFrame, split: Callable[[str], list[str]], mark: Column, least: int) -> tuple[np.ndarray, ...]:
+    """Buckets of n-grams that at least ``least`` texts of a sample have, ascending; how many marked texts and how many of all have them.
+
+    Counted in the sample's tasks and summed by Spark: the driver gets one row per bucket (2^``HASH_BITS`` at most), no text.
+    """
+    batches(rows.sparkSession)
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, total = Indicators(split, None), np.zeros((2, 1 << HASH_BITS), np.int32)
+        for b in it:
+            marked = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            total += class_counts(find, b.column(0).to_pylist(), np.column_stack((marked, np.ones(len(marked)))))
+        at = np.flatnonzero(total[1])
+        for i in range(0, len(at), 1 << 16):
+            part = at[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (part, *total[:, part])], ["bucket", "marked", "texts"])
+
+    found = (rows.select("text", mark.alias("mark")).mapInArrow(count, "bucket int, marked int, texts int")
+             .groupBy("bucket").agg(F.sum("marked").alias("marked"), F.sum("texts").alias("texts"))
+             .where(F.col("texts") >= least).toArrow())
+    bucket, marked, texts = (found.column(c).to_numpy().astype(np.int64) for c in ("bucket", "marked", "texts"))
+    order = np.argsort(bucket)
+    return bucket[order], marked[order], texts[order]
+
+
+def sample_rows(rows: DataFrame, label: Column, find: Callable[[], Indicators]) -> tuple[list[int], Rows, np.ndarray]:
+    """Ids of a sample in ascending order, which features each text has, and the label (0 or 1).
+
+    Features are found in the sample's tasks; the driver gets the chosen features of each text, not the text.
+    """
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("label", T.BooleanType()),
+                           T.StructField("features", T.ArrayType(T.IntegerType()))])
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        doc, feature = find().of(b.column(2).to_pylist())
+        ends = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, feature.astype(np.int32))],
+                                          schema.names)
+
+    got = arrow_map(rows.select("doc_id", F.coalesce(label, F.lit(False)).alias("label"), "text"), run, schema).toArrow()
+    size = find().size
+    if not got.num_rows:
+        return [], Rows(np.empty(0, np.int32), np.empty(0, np.int32), 0, size), np.zeros(0)
+    ids, lists = got.column("doc_id").to_numpy(), got.column("features").combine_chunks()
+    order = np.argsort(ids)
+    starts, ends = lists.offsets.to_numpy()[:-1], lists.offsets.to_numpy()[1:]
+    lengths = (ends - starts)[order].astype(np.int64)
+    features = lists.values.to_numpy()[spread(starts[order].astype(np.int64), lengths)]
+    y = got.column("label").to_numpy().astype(float)[order]
+    return ids[order].tolist(), Rows(np.repeat(np.arange(len(ids), dtype=np.int32), lengths), features, len(ids), size), y
+
+
 class Rows:
     """Sparse 0/1 rows."""
 
     def __init__(self, doc: np.ndarray, feature: np.ndarray, n: int, size: int):
         self.doc, self.feature, self.n, self.size = doc, feature, n, size
 
-    @classmethod
-    def of(cls, find: Indicators, texts: list[str], step: int = 200) -> Rows:
-        docs, features = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
-        for i in range(0, len(texts), step):
-            doc, feature = find.of(texts[i:i + step])
-            docs.append((doc + i).astype(np.int32))
-            features.append(feature.astype(np.int32))
-        return cls(np.concatenate(docs), np.concatenate(features), len(texts), find.size)
-
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, w[self.feature], self.n)
 

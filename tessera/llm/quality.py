@@ -5,7 +5,7 @@ tells words met before from new ones) are scaled by their class log-count ratio,
 linear hinge-loss model is fitted by dual coordinate descent. Margins of left-out folds give
 the sigmoid that turns a margin into a probability of label 1.
 
-Training uses a bounded sample (``linear.SAMPLE_DOCS``) of the labelled rows that are not held out;
+Training uses a bounded sample (``linear.SAMPLE_DOCS``) of the labelled rows that are not held out, texts of any length;
 every document is scored over its whole text. Labels, language, source and id are no inputs.
 
 Edge cases: a null or empty text has the bias alone. With one class only, the score is the (smoothed)
@@ -123,23 +123,24 @@ def fit_sigmoid(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[flo
     return float(p[0]), float(p[1])
 
 
-def fit(ids: list[int], texts: list[str], y: np.ndarray, folds: int = FOLDS) -> Model:
-    """The model of a sample with labels 0 and 1."""
+def choose(bucket: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
+    """The n-grams that tell most: their ratio, weighed by the texts that have them."""
+    weight = np.abs(log_count_ratio(pos, neg)) * np.sqrt(pos.astype(float) + neg)
+    return np.sort(bucket[np.argsort(-weight, kind="stable")[:FEATURES]])
+
+
+def fit(sample: DataFrame, folds: int = FOLDS) -> Model:
+    """The model of a sample ``(doc_id, text, quality)`` with one row per id."""
+    good = F.col("quality") == 1
+    bucket, pos, seen = linear.gram_counts(sample, words, F.coalesce(good, F.lit(False)), LEAST_TEXTS)
+    chosen = choose(bucket, pos, seen - pos)
+    ids, x, y = linear.sample_rows(sample, good, lambda: linear.Indicators(words, chosen, runs, N_RUNS))
     n1 = float(y.sum())
     empty = np.empty(0, np.int64)
     if n1 in (0.0, float(len(y))):
         rate = (n1 + 0.5) / (len(y) + 1)
         return Model(empty, np.zeros(N_RUNS), np.zeros(N_RUNS), 0.0, 0.0, float(np.log(rate / (1 - rate))))
-    counts = linear.class_counts(linear.Indicators(words, None, runs, N_RUNS), texts, np.column_stack((y, 1 - y)))
-    grams = 1 << linear.HASH_BITS
-    # the n-grams that tell most: their ratio, weighed by the texts that have them
-    pos, neg = counts[0, :grams], counts[1, :grams]
-    seen = np.flatnonzero(pos.astype(np.int32) + neg >= LEAST_TEXTS)
-    weight = np.abs(log_count_ratio(pos[seen], neg[seen])) * np.sqrt(pos[seen].astype(float) + neg[seen])
-    chosen = np.sort(seen[np.argsort(-weight, kind="stable")[:FEATURES]])
-    del counts, pos, neg
-    x = linear.Rows.of(linear.Indicators(words, chosen, runs, N_RUNS), texts)
-    cuts = np.searchsorted(x.doc, np.arange(len(texts) + 1))
+    cuts = np.searchsorted(x.doc, np.arange(len(ids) + 1))
     parts = [x.feature[a:b] for a, b in zip(cuts, cuts[1:])]
     sign = np.where(y == 1, 1.0, -1.0)
 
@@ -154,7 +155,7 @@ def fit(ids: list[int], texts: list[str], y: np.ndarray, folds: int = FOLDS) ->
         v = ratio[at]
         return at, v / (np.sqrt(v @ v) or 1.0)
 
-    fold, margin = linear.folds_of(ids, folds), np.zeros(len(texts))
+    fold, margin = linear.folds_of(ids, folds), np.zeros(len(ids))
     for f in range(folds):
         out = fold == f
         if out.any() and not out.all():
@@ -163,7 +164,7 @@ def fit(ids: list[int], texts: list[str], y: np.ndarray, folds: int = FOLDS) ->
                 at, v = scaled(parts[i], ratio)
                 margin[i] = w[at] @ v + b
     slope, shift = fit_sigmoid(margin, y)
-    ratio, w, b = train(np.ones(len(texts), bool))
+    ratio, w, b = train(np.ones(len(ids), bool))
     return Model(chosen, ratio, w, float(b), slope, shift)
 
 
@@ -172,9 +173,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = linear.labelled_sample(docs.select("doc_id", "text"), labels.select("doc_id", "quality"),
-                                  F.col("quality").isNotNull() & ~held_out(F.col("doc_id")), ["quality"])
-    return fit([r.doc_id for r in rows], [r.text for r in rows], np.array([float(r.quality == 1) for r in rows]))
+    return fit(linear.labelled_sample(docs.select("doc_id", "text"), labels.select("doc_id", "quality"),
+                                      F.col("quality").isNotNull() & ~held_out(F.col("doc_id")), ["quality"]))
 
 
 _HERE: list[Model] = []

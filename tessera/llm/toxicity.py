@@ -6,7 +6,7 @@ category is a kind of toxic wording; nothing but texts and the label is used. Ea
 indicators and of the probabilities of all links before it; in training those are out-of-fold predictions, so
 a later link sees earlier probabilities as they are on unseen text.
 
-Links are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS``), on n-grams that mark toxic
+Links are fitted on a bounded sample of labelled documents (``SAMPLE_DOCS``, texts of any length), on n-grams that mark toxic
 text clearly more often than chance. Every document is then scored over its whole text.
 
 Edge cases: a null or empty text has no n-gram and gets the links' base rates. Without toxic or without
@@ -123,24 +123,23 @@ def group_texts(x: linear.Rows, k: int, tries: int = 5, rounds: int = 25, seed:
     return np.where(group >= 0, rank[group], -1)
 
 
-def fit_chain(rows, categories: int = CATEGORIES, folds: int = FOLDS) -> Chain:
-    """The chain of a sample of rows ``(doc_id, text, toxic)``."""
+def fit_chain(sample: DataFrame, categories: int = CATEGORIES, folds: int = FOLDS) -> Chain:
+    """The chain of a sample ``(doc_id, text, toxic)`` with one row per id."""
     names = tuple(f"category_{i + 1}" for i in range(categories)) + ("toxic",)
-    toxic = np.array([r.toxic == 1 for r in rows], bool)
-    texts = [r.text for r in rows]
-    find = linear.Indicators(words, None)
-    counts = linear.class_counts(find, texts, np.column_stack((toxic, np.ones(len(rows)))).reshape(len(rows), 2))
-    chosen = np.sort(_choose(counts[0], counts[1], int(toxic.sum()), len(rows)))
-    del counts
-    x = linear.Rows.of(linear.Indicators(words, chosen), texts)
-    kind = np.full(len(rows), -1)
+    marked = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    n_all, n_toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.count_if(marked), F.lit(0))).first()
+    bucket, count, total = linear.gram_counts(sample, words, marked, LEAST_TEXTS)
+    chosen = np.sort(bucket[_choose(count, total, n_toxic, n_all)])
+    ids, x, y = linear.sample_rows(sample, marked, lambda: linear.Indicators(words, chosen))
+    toxic = y > 0
+    kind = np.full(len(ids), -1)
     kind[toxic] = group_texts(x.take(toxic), categories)
-    y = np.column_stack([kind == j for j in range(categories)] + [toxic]).astype(float).reshape(len(rows), len(names))
-    fold = linear.folds_of([r.doc_id for r in rows], folds)
+    y = np.column_stack([kind == j for j in range(categories)] + [toxic]).astype(float).reshape(len(ids), len(names))
+    fold = linear.folds_of(ids, folds)
     weights, earlier, bias = np.zeros((len(names), len(chosen))), np.zeros((len(names), len(names))), np.zeros(len(names))
-    unseen = np.zeros((len(rows), len(names)))
+    unseen = np.zeros((len(ids), len(names)))
     for j in range(len(names)):
-        n, k = len(rows), y[:, j].sum()
+        n, k = len(ids), y[:, j].sum()
         if k == 0 or k == n:  # nothing to tell apart: the (smoothed) rate
             rate = (k + 0.5) / (n + 1)
             bias[j], unseen[:, j] = np.log(rate / (1 - rate)), rate

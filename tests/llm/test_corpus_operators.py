@@ -555,9 +555,14 @@ def labelled(n=600, seed=4):
     return rows
 
 
-def test_toxicity_chain_held_out():
+def sample_of(spark, rows, label):
+    """A labelled sample as a table."""
+    return spark.createDataFrame([(r.doc_id, r.text, getattr(r, label)) for r in rows], f"doc_id long, text string, {label} int").repartition(3)
+
+
+def test_toxicity_chain_held_out(spark):
     train, test = labelled(900), labelled(300, 5)
-    chain = toxicity.fit_chain(train)
+    chain = toxicity.fit_chain(sample_of(spark, train, "toxic"))
     p = chain.predict([r.text for r in test])
     y = np.array([r.toxic for r in test])
     assert ((p[:, -1] >= toxicity.THRESHOLD) == y).mean() >= 0.97
@@ -565,19 +570,40 @@ def test_toxicity_chain_held_out():
     assert chain.predict(["", None]).shape == (2, 5)
 
 
-def test_chain_of_one_class():
+def test_chain_of_one_class(spark):
     rows = [SimpleNamespace(doc_id=i, text="a b c", lang=None, toxic=0) for i in range(20)]
-    assert toxicity.fit_chain(rows).predict(["x"])[0, -1] < 0.1
-    assert toxicity.fit_chain([]).predict(["x", None]).shape == (2, 5)
+    assert toxicity.fit_chain(sample_of(spark, rows, "toxic")).predict(["x"])[0, -1] < 0.1
+    assert toxicity.fit_chain(sample_of(spark, [], "toxic")).predict(["x", None]).shape == (2, 5)
 
 
-def test_quality_held_out():
+def test_quality_held_out(spark):
     train, test = labelled(900), labelled(300, 6)
-    m = quality.fit([r.doc_id for r in train], [r.text for r in train], np.array([float(r.quality) for r in train]))
+    m = quality.fit(sample_of(spark, train, "quality"))
     p = m.predict([r.text for r in test])
     assert ((p >= quality.CUT) == np.array([r.quality for r in test])).mean() >= 0.97
     assert ((p >= 0) & (p <= 1)).all() and len(m.predict([None, ""])) == 2
-    assert quality.fit([], [], np.array([])).predict(["x"])[0] == pytest.approx(0.5)
+    assert quality.fit(sample_of(spark, [], "quality")).predict(["x"])[0] == pytest.approx(0.5)
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    """Texts far above any batch's usual size, an empty one and a null one: all but the null one take part in the fits."""
+    rng = random.Random(8)
+    filler = [" ".join("".join(rng.choices("aeioustrn", k=6)) for _ in range(60_000)) for _ in range(2)]
+    rows = [SimpleNamespace(doc_id=i, text=filler[i % 2] + (" zzmarkzz" if i % 4 < 2 else " qqplainqq"), toxic=int(i % 4 < 2)) for i in range(40)]
+    rows += [SimpleNamespace(doc_id=90, text="", toxic=0), SimpleNamespace(doc_id=91, text=None, toxic=1)]
+    assert len(rows[0].text) > 400_000
+    labels = spark.createDataFrame([(r.doc_id, r.toxic) for r in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+    sample = linear.labelled_sample(docs, labels, F.lit(True), ["toxic"])
+    assert sorted(r.doc_id for r in sample.select("doc_id").collect()) == [*range(40), 90]
+    bucket, marked, texts = linear.gram_counts(sample, toxicity.words, F.col("toxic") == 1, 3)
+    plain = [set(linear.word_grams(list(set(r.text.split())))[0].tolist()) for r in rows[:40]]
+    n = collections.Counter(b for s in plain for b in s)
+    n1 = collections.Counter(b for s, r in zip(plain, rows) if r.toxic for b in s)
+    want = sorted((b, n1[b], k) for b, k in n.items() if k >= 3)
+    assert list(zip(bucket.tolist(), marked.tolist(), texts.tolist())) == want
+    p = toxicity.fit_chain(sample).predict(["zzmarkzz", "qqplainqq"])[:, -1]
+    assert p[0] > p[1]
 
 
 def test_quality_keeps_its_features():
@@ -622,10 +648,10 @@ def test_labelled_sample_does_not_depend_on_the_order_of_rows(spark):
         random.Random(seed).shuffle(labels)
         d = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3).withColumn("toxic", F.lit(9))
         rows = linear.labelled_sample(d, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("toxic").isNotNull(), ["lang", "toxic"])
-        seen.append([tuple(r) for r in rows])
+        seen.append(sorted(tuple(r) for r in rows.collect()))
     assert seen[0] == seen[1] == [(i, f"text 0 of {i}", "en", 1 if i % 5 == 0 else i % 2) for i in range(50)]
     few = linear.labelled_sample(d, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True), ["lang", "toxic"], 20)
-    assert 5 < len(few) < 40
+    assert 5 < few.count() < 40
 
 
 def test_quality_query_learns_from_the_rest(spark, sf_small):

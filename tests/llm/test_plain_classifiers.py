@@ -62,9 +62,13 @@ def newton(x, y, ridge):
     return w
 
 
-def test_chain_against_a_plain_version():
+def sample_of(spark, rows, label):
+    return spark.createDataFrame([(r.doc_id, r.text, getattr(r, label)) for r in rows], f"doc_id long, text string, {label} int").repartition(3)
+
+
+def test_chain_against_a_plain_version(spark):
     train, test = rows(260, 1), rows(80, 2)
-    chain = toxicity.fit_chain(train)
+    chain = toxicity.fit_chain(sample_of(spark, train, "toxic"))
     sets = [text_grams(r.text.lower()) for r in train]
     toxic = np.array([r.toxic for r in train], float)
     n, n1 = len(train), toxic.sum()
@@ -77,7 +81,8 @@ def test_chain_against_a_plain_version():
     assert len(chosen) == len(chain.chosen)
     x, unseen = dense(sets, chosen), np.zeros((n, 5))
     # the groups are those that were planted, the larger ones first
-    xs = linear.Rows.of(linear.Indicators(toxicity.words, chain.chosen), [r.text for r in train]).take(toxic > 0)
+    found = linear.Indicators(toxicity.words, chain.chosen).of([r.text for r in train])
+    xs = linear.Rows(*found, n, len(chain.chosen)).take(toxic > 0)
     group = toxicity.group_texts(xs, 4)
     kinds = [r.kind for r in train if r.toxic]
     assert len(set(zip(kinds, group))) == 4
@@ -110,10 +115,10 @@ def plain_runs(words):
     return {("met", m) for m in quality.MET_RUNS if longest >= m} | {("same", m) for m in quality.SAME_RUNS if best >= m}
 
 
-def test_quality_against_a_plain_version():
+def test_quality_against_a_plain_version(spark):
     train, test = rows(240, 3), rows(80, 4)
     y = np.array([float(r.quality) for r in train])
-    model = quality.fit([r.doc_id for r in train], [r.text for r in train], y)
+    model = quality.fit(sample_of(spark, train, "quality"))
     sets = [text_grams(r.text) | plain_runs(r.text.split()) for r in train]
     df = {}
     for s in sets:
