@@ -110,3 +110,20 @@ def test_nan_is_missing_in_every_method(spark):
         assert got == {1: 1.0, 2: 3.0, 3: 3.0, 4: 5.0}
     only = impute.impute_centres(df.where(F.col("_src_idx") == 2), ["v"])
     assert only.first()["v"] is None
+
+
+def test_centres_are_one_expression_however_many(spark):
+    rng = random.Random(3)
+    rows = [(i, *[None if rng.random() < 0.2 else rng.gauss(0, 1) for _ in range(3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "_src_idx long, a double, b double, c double")
+    fit = impute.fit_centres(df, ["a", "b", "c"], 64)
+    out = impute.impute_centres(df, ["a", "b", "c"], centres=64)
+    # a distance per centre and column, written out, outgrew what one generated method holds
+    assert out._jdf.queryExecution().analyzed().toString().count("coalesce(") < 64
+    got = {r[0]: r[1:] for r in out.collect()}
+    for i, *row in rows:
+        z = [None if v is None else (v - m) / d for v, m, d in zip(row, fit["mean"], fit["dev"])]
+        near = min(([sum((x - v) * (x - v) for x, v in zip(z, c) if x is not None), c] for c in fit["centres"]))[1]
+        for j in range(3):
+            want = fit["mean"][j] if all(v is None for v in row) else near[j] * fit["dev"][j] + fit["mean"][j]
+            assert got[i][j] == pytest.approx(want if row[j] is None else row[j], abs=1e-9)
