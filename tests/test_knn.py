@@ -127,3 +127,29 @@ def test_centres_are_one_expression_however_many(spark):
         for j in range(3):
             want = fit["mean"][j] if all(v is None for v in row) else near[j] * fit["dev"][j] + fit["mean"][j]
             assert got[i][j] == pytest.approx(want if row[j] is None else row[j], abs=1e-9)
+
+
+def test_tiles_of_a_part_are_pruned_exactly(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (4_000, 3))
+    asked = rng.normal(0, 1, (50, 3))
+    asked[:, 0] = np.nan
+    met, whole = [], knn._nearest
+    monkeypatch.setattr(knn, "_nearest", lambda a, d, k: met.append(len(a) * len(d)) or whole(a, d, k))
+    part = knn.Part(pa.array(range(len(x))), x)
+    i, c, d, j = part.nearest(asked, np.full((50, 3), np.inf), 5)
+    assert sum(met) < len(asked) * len(x) / 3 and set(c) == {0}
+    for r in range(50):
+        near = 1.5 * ((x[:, 1:] - asked[r, 1:]) ** 2).sum(axis=1)
+        assert j[i == r].tolist() == np.argsort(near, kind="stable")[:5].tolist()
+
+
+def test_tree_has_as_many_donors_on_either_side_and_splits_off_ties():
+    rng = np.random.default_rng(2)
+    x = np.column_stack((rng.normal(0, 9, 6_400), np.where(rng.random(6_400) < 0.8, 1.0, 0.0)))
+    x[::7, 1] = np.nan
+    leaves = np.bincount(knn.Tree(x, np.array([0.0, 0.8]), 5).leaf(x), minlength=32)
+    assert leaves.min() > 100 and leaves.max() < 400
+    assert set(knn.Tree(np.array([[0.0], [1.0], [1.0], [1.0]]), np.zeros(1), 1).leaf(np.array([[0.0], [1.0]]))) == {0, 1}
