@@ -79,3 +79,18 @@ def test_rungs_of_a_tuning_have_partitions_by_their_rows(spark, monkeypatch):
     prepared.unpersist()
     assert [p for _, p in seen] == [-(-n // 300) for n, _ in seen]
     assert seen[0][1] < 3 and seen[-1] == (2700, 9)
+
+
+def test_shadows_are_the_neighbours_of_packed_blocks(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import permute
+
+    rows = spark.createDataFrame([(i, float(i % 2), [float(i), i * 10.0, i * 100.0]) for i in range(41)], "_src_idx long, label double, x array<double>")
+    base = permute.blocked(rows, "_src_idx", ["label", "x"], 7, 41, rows=10)
+    own, turn = [2, 0], [3, 1 << 29]
+    got = sorted((r.label, *r.x) for r in permute.with_shadows(permute.packed(base), own, turn).collect())
+    each = base.select("r", F.posexplode("r").alias("place", "row"))
+    want = each.select("row.c0", *[F.get("row.c1", F.lit(c)) for c in own],
+                       *[F.get(permute.neighbour(F.col("r"), F.col("place"), F.lit(o))["c1"], F.lit(c)) for c, o in zip(own, turn)])
+    assert got == sorted(map(tuple, want.collect())) and len(got) == 41
