@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Distinct chunks a task process remembers; beyond it the memory starts anew (a matter of speed only).
+#: Distinct chunks a task process remembers; beyond it those met once are forgotten (a matter of speed only).
 MEMO_CHUNKS = 500_000
 
 
@@ -20,18 +20,21 @@ class Ragged:
 
     def __init__(self):
         self.flat, self.starts, self.n, self.used = np.empty(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0, 0
+        self.uses = np.zeros(1 << 12, np.int32)
 
     def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.empty_like(self.flat)))
         while self.n + len(lengths) + 1 > len(self.starts):
             self.starts = np.concatenate((self.starts, np.empty_like(self.starts)))
+            self.uses = np.concatenate((self.uses, np.zeros_like(self.uses)))
         self.flat[self.used:self.used + len(flat)] = flat
         self.starts[self.n + 1:self.n + 1 + len(lengths)] = self.used + np.cumsum(lengths)
         self.n, self.used = self.n + len(lengths), self.used + len(flat)
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The runs ``rows`` one after another, and their lengths."""
+        """The runs ``rows`` one after another, and their lengths; ``uses`` counts the calls that took a run."""
+        self.uses[rows] += 1
         lengths = self.starts[rows + 1] - self.starts[rows]
         return self.flat[spread(self.starts[rows], lengths)], lengths
 
@@ -68,9 +71,15 @@ class Memo(dict):
             self.new = []
 
     def forget(self, limit: int = MEMO_CHUNKS) -> None:
+        """Above ``limit`` chunks keep those that were taken more than once since the last time (none, if they are over half of it)."""
         if len(self) > limit:
+            rows = np.flatnonzero(self.ids.uses[:len(self)] > 1)
+            rows = rows if len(rows) <= limit // 2 else rows[:0]
+            chunks, ids = list(self), Ragged()
+            ids.extend(*self.ids.take(rows))
             self.clear()
-            self.ids = Ragged()
+            self.update((chunks[row], i) for i, row in enumerate(rows.tolist()))
+            self.ids = ids
 
 
 def per_text(lengths: np.ndarray, chunks_per_text: np.ndarray) -> np.ndarray:

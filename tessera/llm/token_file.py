@@ -44,7 +44,9 @@ END_ID = 1
 DICT_BYTES, SAMPLE_DOCS, SAMPLE_TEXT = 64 << 10, 1_000, 32 << 10
 BLOCK_BYTES, LEVEL = 256 << 10, 3
 #: Distinct chunks, and pieces of them, that a task process remembers.
-MEMO = 300_000
+MEMO = 150_000
+#: With this pattern of a vocabulary a chunk of letters is one piece.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that the library and Python lower-case and class alike, and that no normal form changes.
 PLAIN = regex.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 
@@ -72,7 +74,9 @@ class Encoder:
         # what the short way does by hand; another vocabulary goes through the library alone
         self.plain = names == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) if self.plain else None
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.words = self.plain and self.pattern.pattern == WORDS
+        special = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("|".join(map(regex.escape, special)) if special else "(?!)").search
         self.as_bytes = {b: c for b, c in enumerate(byte_symbols())}
         self.pieces, self.memo = Memo(self._pieces), Memo(self._chunks)
 
@@ -86,14 +90,18 @@ class Encoder:
 
     def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces, counts = [], []
+        plain, special, whole = self.plain, self.special, PLAIN.fullmatch
+        words, find = self.words, self.pattern.findall if plain else None
         for c in chunks:
-            if self.plain and PLAIN.fullmatch(c) and not any(s in c for s in self.special):
-                found = self.pattern.findall(c.lower())
+            if words and c.isascii() and c.isalpha() and not special(c):
+                found = [c if c.islower() else c.lower()]
+            elif plain and (c.isascii() and c.isprintable() or whole(c)) and not special(c):
+                found = find(c.lower())
             else:
                 found = ["\0" + c]
             pieces += found
             counts.append(len(found))
-        rows = np.array(list(map(self.pieces.__getitem__, pieces)), np.int64)
+        rows = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
         self.pieces.learn()
         flat, n = self.pieces.ids.take(rows)
         self.pieces.forget(2 * MEMO)
@@ -106,7 +114,7 @@ class Encoder:
             parts = t.split(" ") if t else []
             chunks += parts
             counts.append(len(parts))
-        rows = np.array(list(map(self.memo.__getitem__, chunks)), np.int64)
+        rows = np.fromiter(map(self.memo.__getitem__, chunks), np.int64, len(chunks))
         self.memo.learn()
         flat, n = self.memo.ids.take(rows)
         self.memo.forget(MEMO)

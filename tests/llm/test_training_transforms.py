@@ -322,3 +322,20 @@ def test_keys_sort_by_anchor_descending_score_and_id(rows):
 def test_empty_tables(spark, empty):
     assert fim.restore(fim.fill_in_middle(empty)).count() == 0
     assert packing.pack(empty).count() == 0 and packing.sequences(packing.pack(empty)).count() == 0
+
+
+def test_memory_keeps_what_is_met_again_and_stays_bounded():
+    import numpy as np
+
+    from tessera.llm.chunks import Memo
+
+    asked = []
+    memo = Memo(lambda new: (asked.extend(new), np.array([len(c) for c in new], np.int32), np.ones(len(new), np.int64))[1:])
+    for i in range(50):
+        chunks = ["often", "too", *[f"once{i}-{j}" + "x" * (i + j) for j in range(20)]]
+        rows = np.fromiter(map(memo.__getitem__, chunks), np.int64, len(chunks))
+        memo.learn()
+        assert memo.ids.take(rows)[0].tolist() == [len(c) for c in chunks]
+        memo.forget(100)
+        assert len(memo) <= 100
+    assert asked.count("often") == asked.count("too") == 1
