@@ -84,14 +84,17 @@ class Indicators:
         self.split, self.chosen, self.extra, self.n_extra = split, chosen, extra, n_extra
         self.n_grams = 1 << HASH_BITS if chosen is None else len(chosen)
         self.size = self.n_grams + n_extra
-        self.memo = Memo(self._words)
+        self.memo, self.place = Memo(self._words), None
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         buckets, n = word_grams(words)
         if self.chosen is None:
             return buckets, n
-        at = np.minimum(np.searchsorted(self.chosen, buckets), max(len(self.chosen) - 1, 0))
-        hit = self.chosen[at] == buckets if len(self.chosen) else np.zeros(len(buckets), bool)
+        if self.place is None:  # of each bucket, as many as HASH_BITS tell apart
+            self.place = np.full(1 << HASH_BITS, -1, np.int32)
+            self.place[self.chosen] = np.arange(len(self.chosen))
+        at = self.place[buckets]
+        hit = at >= 0
         return at[hit], np.bincount(np.repeat(np.arange(len(n)), n)[hit], minlength=len(n))
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +106,7 @@ class Indicators:
                 w = list(set(w))
             words += w
             counts.append(len(w))
-        rows = np.array(list(map(self.memo.__getitem__, words)), np.int64)
+        rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         self.memo.learn()
         doc = np.repeat(np.arange(len(texts)), counts)
         if self.extra is not None:

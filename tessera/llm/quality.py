@@ -39,19 +39,25 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
-def _longest(flags: np.ndarray) -> int:
-    off = np.flatnonzero(~flags)
-    return int(np.diff(np.concatenate(([-1], off, [len(flags)]))).max()) - 1
-
-
 def runs(rows: np.ndarray) -> list[int]:
     """Which run features a sequence of words has."""
-    if not len(rows):
-        return []
-    met = np.ones(len(rows), bool)
-    met[np.unique(rows, return_index=True)[1]] = False
-    seen, same = _longest(met), _longest(rows[1:] == rows[:-1])
-    return [i for i, n in enumerate(MET_RUNS) if seen >= n] + [len(MET_RUNS) + i for i, n in enumerate(SAME_RUNS) if same >= n]
+    met, last, met_run, same_run, most_met, most_same = set(), None, 0, 0, 0, 0
+    for r in rows.tolist():
+        if r in met:
+            met_run += 1
+            if r == last:
+                same_run += 1
+                if same_run > most_same:
+                    most_same = same_run
+            else:
+                same_run = 0
+            if met_run > most_met:
+                most_met = met_run
+        else:
+            met.add(r)
+            met_run = same_run = 0
+        last = r
+    return [i for i, n in enumerate(MET_RUNS) if most_met >= n] + [len(MET_RUNS) + i for i, n in enumerate(SAME_RUNS) if most_same >= n]
 
 
 @dataclasses.dataclass(frozen=True, eq=False)
