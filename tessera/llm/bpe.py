@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.chunks import Memo, Ragged, per_text, spread
+from tessera.llm.chunks import Memo, Ragged, per_text, resident, spread
 from tessera.llm.common import arrow_map, documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -86,7 +86,7 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.splits = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pattern = regex.compile(_pattern())
-        self._library = path
+        self.path = path
         text = [b""] * self.size
         for token, i in vocab.items():
             text[i] = bytes(to_byte[c] for c in token) if all(c in to_byte for c in token) else token.encode()
@@ -100,7 +100,7 @@ class Codec:
     @functools.cached_property
     def _pre(self):
         from tokenizers import Tokenizer
-        return Tokenizer.from_file(self._library).pre_tokenizer
+        return Tokenizer.from_file(self.path).pre_tokenizer
 
     def words(self, chunk: str) -> list[str]:
         """The pieces inside which merges take place."""
@@ -251,9 +251,9 @@ class Codec:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    """The codec of a file, kept by this process with its memory of chunks."""
+    return resident(lambda held: isinstance(held, Codec) and held.path == path, lambda: Codec(path))
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -7,12 +7,13 @@ put together from the chunks' ids with array operations.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
 
 #: Distinct chunks a task process remembers; beyond it those met once are forgotten (a matter of speed only).
-MEMO_CHUNKS = 500_000
+MEMO_CHUNKS = 200_000
 
 
 class Ragged:
@@ -82,6 +83,21 @@ class Memo(dict):
             self.ids = ids
 
 
+_HELD: list = []
+
+
+def resident(same: Callable[[object], bool], make: Callable[[], object]):
+    """The one thing with a memory of chunks that a task process keeps: what it holds, if that is the ``same``, or else what ``make`` gives.
+
+    A process serves stage after stage, and would in the end hold the memories of all their operators.
+    """
+    if not (_HELD and same(_HELD[0])):
+        _HELD.clear()
+        gc.collect()  # a memory and its encoder refer to each other
+        _HELD.append(make())
+    return _HELD[0]
+
+
 def per_text(lengths: np.ndarray, chunks_per_text: np.ndarray) -> np.ndarray:
     """Ids of each text from the ids of each of its chunks."""
     ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(chunks_per_text)]

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import linear
+from tessera.llm.chunks import resident
 from tessera.llm.common import arrow_map, documents
 
 #: Categories of the chain's first links, the larger ones first; the last link is toxicity as such.
@@ -175,14 +176,10 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     return arrow_map(docs, run, schema)
 
 
-_HERE: list[Chain] = []
-
-
 def _resident(chain: Chain) -> Chain:
     """The same chain as the last task of this process had, with its word memory, if its weights are equal."""
-    if not (_HERE and np.array_equal(_HERE[0].weights, chain.weights) and np.array_equal(_HERE[0].chosen, chain.chosen)):
-        _HERE[:] = [chain]
-    return _HERE[0]
+    return resident(lambda held: isinstance(held, Chain) and np.array_equal(held.weights, chain.weights)
+                    and np.array_equal(held.chosen, chain.chosen), lambda: chain)
 
 
 def labels_of(spark, sf_dir):
