@@ -38,6 +38,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, among: Column, columns:
     return stored(rows, "sample")
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """``keys`` in ascending order, each once. ``np.unique`` would put all of them into a table of nodes, which takes longer and more memory."""
+    keys = np.sort(keys)
+    keep = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=keep[1:])
+    return keys[keep]
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> _UINT(29)
     h *= _UINT(0xBF58476D1CE4E5B9)
@@ -97,8 +105,12 @@ class Indicators:
         hit = at >= 0
         return at[hit], np.bincount(np.repeat(np.arange(len(n)), n)[hit], minlength=len(n))
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (text, feature), each once, in order."""
+    def of(self, texts: list[str | None], step: int = 200) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (text, feature), each once, in order; ``step`` texts at a time, so that little is held beside the pairs."""
+        parts = [(i, *self._of(texts[i:i + step])) for i in range(0, len(texts), step)] or [(0, *self._of([]))]
+        return np.concatenate([i + doc for i, doc, _ in parts]), np.concatenate([feature for *_, feature in parts])
+
+    def _of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         words, counts = [], []
         for t in texts:
             w = self.split(t) if t else []
@@ -113,13 +125,13 @@ class Indicators:
             more, at = [], np.concatenate(([0], np.cumsum(counts)))
             for i in range(len(texts)):
                 more += [i * self.size + self.n_grams + k for k in self.extra(rows[at[i]:at[i + 1]])]
-            both = np.unique(doc * (len(self.memo) + 1) + rows)
+            both = distinct(doc * (len(self.memo) + 1) + rows)
             doc, rows = both // (len(self.memo) + 1), both % (len(self.memo) + 1)
         flat, n = self.memo.ids.take(rows)
         pairs = np.repeat(doc, n) * self.size + flat
         if self.extra is not None:
             pairs = np.concatenate((pairs, np.array(more, np.int64)))
-        pairs = np.unique(pairs)
+        pairs = distinct(pairs)
         self.memo.forget()
         return pairs // self.size, pairs % self.size
 
