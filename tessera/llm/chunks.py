@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable
+from itertools import compress, repeat
 
 import numpy as np
 
-#: Distinct chunks a task process remembers; beyond it those met once are forgotten (a matter of speed only).
+#: Distinct chunks a task process remembers; beyond it those seldom met are forgotten (a matter of speed only).
 MEMO_CHUNKS = 200_000
 
 
@@ -66,18 +67,36 @@ class Memo(dict):
         self.new.append(chunk)
         return row
 
+    def rows(self, chunks: list[str]) -> np.ndarray:
+        """The row of every chunk; the unknown ones are found first and numbered together."""
+        rows = np.fromiter(map(self.get, chunks, repeat(-1)), np.int64, len(chunks))
+        at = rows < 0
+        if at.any():
+            unknown = list(compress(chunks, at.tolist()))
+            new = list(dict.fromkeys(unknown))
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.new += new
+            rows[at] = np.fromiter(map(self.__getitem__, unknown), np.int64, len(unknown))
+        return rows
+
     def learn(self) -> None:
         if self.new:
             self.ids.extend(*self.encode(self.new))
             self.new = []
 
     def forget(self, limit: int = MEMO_CHUNKS) -> None:
-        """Above ``limit`` chunks keep those that were taken more than once since the last time (none, if they are over half of it)."""
+        """Above ``limit`` chunks keep those that were taken more than once, the most taken half of it at most.
+
+        What is kept keeps half of its count, so that it stays if it is met again before the next time.
+        """
         if len(self) > limit:
-            rows = np.flatnonzero(self.ids.uses[:len(self)] > 1)
-            rows = rows if len(rows) <= limit // 2 else rows[:0]
-            chunks, ids = list(self), Ragged()
+            uses = self.ids.uses[:len(self)]
+            rows = np.flatnonzero(uses > 1)
+            if len(rows) > limit // 2:
+                rows = np.sort(rows[np.argpartition(-uses[rows], limit // 2)[:limit // 2]])
+            chunks, ids, left = list(self), Ragged(), (uses[rows] + 1) // 2
             ids.extend(*self.ids.take(rows))
+            ids.uses[:len(rows)] = left
             self.clear()
             self.update((chunks[row], i) for i, row in enumerate(rows.tolist()))
             self.ids = ids

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import byte_symbols
-from tessera.llm.chunks import Memo, per_text
+from tessera.llm.chunks import Memo, per_text, spread
 from tessera.llm.common import arrow_map, batches, documents, id_bucket, id_edges, scratch_path, stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -45,10 +45,14 @@ DICT_BYTES, SAMPLE_DOCS, SAMPLE_TEXT = 64 << 10, 1_000, 32 << 10
 BLOCK_BYTES, LEVEL = 256 << 10, 3
 #: Distinct chunks, and pieces of them, that a task process remembers.
 MEMO = 150_000
-#: With this pattern of a vocabulary a chunk of letters is one piece.
+#: Texts whose chunks are looked up together: few, so that the chunks are still in the processor's cache.
+TEXTS = 32
+#: The splitting pattern that the short way knows: no piece holds white space, so chunks joined by spaces are searched together.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Characters that the library and Python lower-case and class alike, and that no normal form changes.
-PLAIN = regex.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: A space, which begins a chunk, or a piece of it.
+PIECES = regex.compile(f" |{WORDS}")
+#: Whether the library and Python lower-case and class a character alike, and no normal form changes it; by code point, all above the last as the last.
+PLAIN = np.array([bool(regex.match("[\t-\r -~À-ÖØ-öø-ÿ]", chr(i))) for i in range(257)])
 
 
 def default_path() -> str:
@@ -59,8 +63,8 @@ def default_path() -> str:
 class Encoder:
     """The tokenizers library behind a memory of distinct chunks (its tokens never span a space).
 
-    A new chunk of plain letters, digits and signs is lower-cased and split as the file's own pattern
-    says, and the library's model encodes each distinct piece once; any other chunk is encoded by the library as it is.
+    New chunks of plain letters, digits and signs are lower-cased and split as the file's own pattern says, all in one
+    search, and the library's model encodes each distinct piece once; any other chunk is encoded by the library as it is.
     """
 
     def __init__(self, path: str):
@@ -72,9 +76,8 @@ class Encoder:
             spec = json.load(f)
         names = [n["type"] for n in spec["normalizer"]["normalizers"]], [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
         # what the short way does by hand; another vocabulary goes through the library alone
-        self.plain = names == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) if self.plain else None
-        self.words = self.plain and self.pattern.pattern == WORDS
+        self.plain = (names == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"])
+                      and spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex") == WORDS)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special)) if special else "(?!)").search
         self.as_bytes = {b: c for b, c in enumerate(byte_symbols())}
@@ -83,38 +86,62 @@ class Encoder:
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokenize, odd = self.tokenizer.model.tokenize, [p[1:] for p in pieces if p[0] == "\0"]
         whole = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
-        ids = [next(whole).ids if p[0] == "\0" else
-               [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.as_bytes))] for p in pieces]
-        n = np.array([len(x) for x in ids], np.int64)
-        return np.fromiter((i for x in ids for i in x), np.int32, int(n.sum())), n
+        ids, n = [], []
+        for p in pieces:
+            if p[0] == "\0":
+                found = next(whole).ids
+            elif p == " ":
+                found = ()
+            else:
+                found = [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.as_bytes))]
+            ids += found
+            n.append(len(found))
+        return np.array(ids, np.int32), np.array(n, np.int64)
+
+    def _odd(self, chunks: list[str]) -> np.ndarray:
+        """Which chunks only the library can encode."""
+        if not self.plain:
+            return np.ones(len(chunks), bool)
+        joined = " ".join(chunks)
+        odd = np.array([bool(self.special(c)) for c in chunks]) if self.special(joined) else np.zeros(len(chunks), bool)
+        if not joined.isascii() or not joined.isprintable():
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)
+            odd[np.searchsorted(ends, np.flatnonzero(~PLAIN[np.minimum(points, 256)]), side="right")] = True
+        return odd
 
     def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces, counts = [], []
-        plain, special, whole = self.plain, self.special, PLAIN.fullmatch
-        words, find = self.words, self.pattern.findall if plain else None
-        for c in chunks:
-            if words and c.isascii() and c.isalpha() and not special(c):
-                found = [c if c.islower() else c.lower()]
-            elif plain and (c.isascii() and c.isprintable() or whole(c)) and not special(c):
-                found = find(c.lower())
-            else:
-                found = ["\0" + c]
-            pieces += found
-            counts.append(len(found))
-        rows = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        """Ids of new chunks, none of which holds a space: a space before each tells where its pieces begin."""
+        odd = self._odd(chunks)
+        some = bool(odd.any())
+        short = [c for c, o in zip(chunks, odd.tolist()) if not o] if some else chunks
+        pieces = PIECES.findall(" " + " ".join(short).lower()) if short else []
+        if some:
+            pieces += [x for c, o in zip(chunks, odd.tolist()) if o for x in (" ", "\0" + c)]
+        space = self.pieces[" "]
+        rows = self.pieces.rows(pieces)
         self.pieces.learn()
+        counts = np.diff(np.flatnonzero(rows == space), append=len(rows))
+        if some:
+            # from the plain ones first to the chunks' own order
+            starts, order = np.cumsum(counts) - counts, np.argsort(np.argsort(odd, kind="stable"), kind="stable")
+            counts = counts[order]
+            rows = rows[spread(starts[order], counts)]
         flat, n = self.pieces.ids.take(rows)
         self.pieces.forget(2 * MEMO)
-        return flat, per_text(n, np.array(counts, np.int64))
+        return flat, per_text(n, counts)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another and how many each text has, end ids left out."""
-        chunks, counts = [], []
-        for t in texts:
-            parts = t.split(" ") if t else []
-            chunks += parts
-            counts.append(len(parts))
-        rows = np.fromiter(map(self.memo.__getitem__, chunks), np.int64, len(chunks))
+        counts, found = [], [np.empty(0, np.int64)]
+        for at in range(0, len(texts), TEXTS):
+            chunks = []
+            for t in texts[at:at + TEXTS]:
+                parts = t.split(" ") if t else []
+                chunks += parts
+                counts.append(len(parts))
+            found.append(self.memo.rows(chunks))
+        rows = np.concatenate(found)
         self.memo.learn()
         flat, n = self.memo.ids.take(rows)
         self.memo.forget(MEMO)
