@@ -1,5 +1,6 @@
-"""The order frame that ``score_stream_repeats`` splits, fits on and scores is written once, with every order."""
+"""The order frame that ``score_stream_repeats`` and ``best_model_chain`` split, fit on and score is written once, with every order."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import catalog_ml
@@ -33,3 +34,21 @@ def test_training_rows_are_split_without_the_joins_behind_them(spark, tmp_path):
     want = sorted(map(tuple, order_frame(spark, d).collect()))
     assert sorted(map(tuple, sp.drop("split").collect())) == want and len(want) == 60
     assert sp.where("split = 'test'").count() in range(10, 15)
+
+
+def test_the_best_model_is_searched_and_fitted_without_the_joins_behind_it(spark, tmp_path, monkeypatch):
+    d, met = str(tmp_path), []
+    _tables(spark, d)
+
+    class Stop(Exception):
+        pass
+
+    def bounded(df, *_):
+        met.append(df)
+        raise Stop
+
+    monkeypatch.setattr(catalog_ml.models, "bounded_fit_rows", bounded)
+    with pytest.raises(Stop):
+        catalog_ml.q_best_model_chain(spark, d)
+    assert not [f for f in met[0].inputFiles() if "lineitem.parquet" in f]
+    assert met[0].count() in range(45, 51)
