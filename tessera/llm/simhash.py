@@ -115,7 +115,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, max_entry: int = MAX_ENTRY)
     table = stored(table, "simhash-table")
     near = F.filter("entry", lambda m: (F.bit_count(m.bitwiseXOR(F.col("fp"))) <= max_bits) & (m != F.col("fp")))
     large = F.size("entry") > max_entry
-    fetched = stored(_entries(fps, True).join(table, ["s", "key"])
+    # sizes before an explode say nothing about the 34 probes of a fingerprint: without the hint they are broadcast
+    fetched = stored(_entries(fps, True).hint("merge").join(table, ["s", "key"])
                      .select("fp", large.alias("large"), F.when(~large, near).otherwise(F.array().cast("array<bigint>")).alias("near"))
                      .where("large or size(near) > 0"), "simhash-fetched")
     pairs = fetched.select(F.col("fp").alias("a"), F.explode("near").alias("b"))

@@ -1,0 +1,24 @@
+"""The probes of the fingerprints' halves are never broadcast, however small the fingerprints' file is."""
+
+import random
+
+from tessera.llm import simhash
+
+
+def test_probes_are_not_broadcast(spark, monkeypatch):
+    rng = random.Random(11)
+    fps = simhash.stored(spark.createDataFrame([(rng.getrandbits(63),) for _ in range(400)], "fp long"), "test-fps")
+    plans, stored = {}, simhash.stored
+
+    def seen(df, label, *a):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label, *a)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        simhash.links(fps)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plans["simhash-fetched"] and "Broadcast" not in plans["simhash-fetched"]
