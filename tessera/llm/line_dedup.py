@@ -56,7 +56,8 @@ class LineRuns:
         keys = (pairs.groupBy("h").agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper")))
         known = F.lit(False)
         for i, run in enumerate(r for level in self.levels for r in level):
-            keys = keys.join(run.select("h", F.lit(True).alias(f"in{i}")), "h", "left")
+            # a broadcast would put every run, ten times its file's size, on the driver at once
+            keys = keys.hint("merge").join(run.select("h", F.lit(True).alias(f"in{i}")), "h", "left")
             known = known | F.col(f"in{i}").isNotNull()
         met = self._run(keys.select("h", "n", "keeper", known.alias("known")))
         self.levels[0].append(met.where(~F.col("known")).drop("known"))
